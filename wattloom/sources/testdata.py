@@ -2,95 +2,98 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from wattloom.functions.joins import dimension_join
 from wattloom.schema import FACT_NAMES
 from wattloom.session import ensure_utc, materialize
 
-
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Declared so that no job has to open files to learn the types.
+TABLE_DDL = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+IN_SESSION = "event_type IN ('session_start', 'meter_update', 'session_stop')"
+HAS_ENERGY = "event_type IN ('meter_update', 'session_stop')"
+IS_FAULT = "event_type = 'fault_alert'"
+
+FACT_EXPRESSIONS = {
+    "event_id": "CAST(event_id AS STRING)",
+    "event_type": "event_type",
+    "timestamp": "CAST(ts AS TIMESTAMP)",
+    "station_id": "concat('NET', CAST(u % 10 AS STRING), '_S', lpad(CAST(u AS STRING), 5, '0'))",
+    "connector_id": "CAST(1 + k % 4 AS INT)",
+    "session_id": f"IF({IN_SESSION}, concat('SES-', CAST(u AS STRING), '-', CAST(CAST(ts AS DATE) AS STRING)), '')",
+    "network_id": "concat('NET', CAST(u % 10 AS STRING))",
+    "city": "n_name",
+    "country": "r_name",
+    "latitude": "CAST(36 + n_nationkey % 6 AS DOUBLE)",
+    "longitude": "CAST(26 + n_nationkey % 10 AS DOUBLE)",
+    "charger_type": "elt(CAST(1 + u % 4 AS INT), 'AC_LEVEL1', 'AC_LEVEL2', 'DC_FAST', 'DC_ULTRA_FAST')",
+    "power_kw": "IF(event_type IN ('session_start', 'meter_update'), CAST(k AS DOUBLE), 0D)",
+    "energy_kwh": f"IF({HAS_ENERGY}, value, 0D)",
+    "soc_percent": f"IF({IN_SESSION}, k, 0)",
+    "vehicle_type": f"IF({IN_SESSION}, IF(u % 4 = 3, 'PHEV', 'BEV'), '')",
+    "duration_minutes": f"IF({HAS_ENERGY}, CAST((k * 7) % 150 AS INT), 0)",
+    "price_per_kwh": "CAST(65 + 3 * (u % 10) AS DOUBLE) / 100D",
+    "revenue_eur": f"""IF({HAS_ENERGY}, CAST(round(CAST(value AS DECIMAL(18,2))
+        * CAST(65 + 3 * (u % 10) AS DECIMAL(8,0)) * CAST(0.01 AS DECIMAL(4,2)), 2) AS DOUBLE), 0D)""",
+    "status": """CASE event_type WHEN 'fault_alert' THEN 'fault'
+        WHEN 'session_start' THEN 'charging' WHEN 'meter_update' THEN 'charging'
+        WHEN 'status_change' THEN elt(1 + k % 3, 'available', 'offline', 'reserved') ELSE 'available' END""",
+    "error_code": f"IF({IS_FAULT} AND k % 9 <> 8, concat('E00', CAST(1 + k % 9 AS STRING)), '')",
+    "component": f"IF({IS_FAULT}, concat('COMP', CAST(k % 8 AS STRING)), '')",
+    "voltage_v": "IF(event_type = 'meter_update', 400D, 0D)",
+    "current_a": "IF(event_type = 'meter_update', CAST(k AS DOUBLE) * 2.5D, 0D)",
+    "vehicle_brand": f"""IF({IN_SESSION},
+        elt(CAST(1 + u % 7 AS INT), 'Tesla', 'BMW', 'Kia', 'Audi', 'Volvo', 'Renault', ''), '')""",
+    "vehicle_model": f"IF({IN_SESSION}, concat('M', CAST(u % 3 AS STRING)), '')",
+    "vehicle_ev_id": f"IF({IN_SESSION}, concat('EV', lpad(CAST(u AS STRING), 15, '0')), '')",
+    "tariff_id": f"""IF({IN_SESSION} AND k % 5 <> 4,
+        concat('tariff-', CAST(u % 10 AS STRING), '-', CAST(k % 5 AS STRING)), '')""",
+}
+
+EVENT_TYPE = """CASE source_type WHEN 'signup' THEN 'session_start' WHEN 'view' THEN 'meter_update'
+    WHEN 'purchase' THEN 'session_stop' WHEN 'error' THEN 'fault_alert'
+    ELSE IF(k % 2 = 0, 'status_change', 'heartbeat') END AS event_type"""
+
+# One of each defect per hundred events; every 37th event is shown an hour old.
+MESSAGE = """IF(m = 83, '{bad json', concat(
+    '{"event_id":"', event_id,
+    '","event_type":"', IF(m = 13, 'unknown_evt', event_type),
+    '","timestamp":"', IF(m = 23, 'not-a-date',
+        concat(date_format(shown, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), '+00:00')),
+    '","station_id":', IF(m = 3, 'null', concat('"', station_id, '"')),
+    ',"session_id":"', IF(m = 33, '', session_id),
+    '","network_id":"', network_id, '","city":"', city,
+    '","connector_id":"', CAST(connector_id AS STRING),
+    '","soc_percent":', CASE m WHEN 43 THEN '150' WHEN 53 THEN '"abc"' ELSE CAST(soc_percent AS STRING) END,
+    ',"power_kw":', IF(m = 63, '-1.5', CAST(power_kw AS STRING)),
+    ',"energy_kwh":', IF(m = 73, '"n/a"', CAST(energy_kwh AS STRING)),
+    ',"duration_minutes":', CAST(duration_minutes AS STRING),
+    ',"revenue_eur":', CAST(revenue_eur AS STRING), ',"error_code":null}')) AS raw"""
 
 
-def _pick(index: Column, *values: str) -> Column:
-    """values[index], with the last value for everything beyond."""
-    picked = F.when(index == 0, values[0])
-    for i, value in enumerate(values[1:-1], start=1):
-        picked = picked.when(index == i, value)
-    return picked.otherwise(values[-1])
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLE_DDL[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def charging_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events x customer x nation x region -> the 28 fact columns."""
     ensure_utc(spark)
-    events = _table(spark, sf_dir, "events").select(
-        "event_id", "ts", "user_id", "value",
-        F.col("event_type").alias("source_type"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+    events = _table(spark, sf_dir, "events").selectExpr(
+        "event_id", "ts", "user_id AS u", "value", "event_type AS source_type",
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
     )
-    u, k, kind, zero = F.col("user_id"), F.col("k"), F.col("event_type"), F.lit(0.0)
-    customers = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    placed = dimension_join(events, customers, "user_id", "c_custkey", "event_id")
+    placed = dimension_join(events, _table(spark, sf_dir, "customer"), "u", "c_custkey", "event_id")
     placed = dimension_join(placed, _table(spark, sf_dir, "nation"), "c_nationkey", "n_nationkey", "event_id")
     placed = dimension_join(placed, _table(spark, sf_dir, "region"), "n_regionkey", "r_regionkey", "event_id")
-    typed = placed.withColumn(
-        "event_type",
-        F.when(F.col("source_type") == "signup", "session_start")
-        .when(F.col("source_type") == "view", "meter_update")
-        .when(F.col("source_type") == "purchase", "session_stop")
-        .when(F.col("source_type") == "error", "fault_alert")
-        .otherwise(F.when(k % 2 == 0, "status_change").otherwise("heartbeat")),
+    return placed.selectExpr("*", EVENT_TYPE).selectExpr(
+        *[f"{FACT_EXPRESSIONS[name]} AS {name}" for name in FACT_NAMES]
     )
-    in_session = kind.isin("session_start", "meter_update", "session_stop")
-    has_energy = kind.isin("meter_update", "session_stop")
-    is_fault = kind == "fault_alert"
-    cents = (F.lit(65) + F.lit(3) * (u % 10)).cast("decimal(8,0)")
-    revenue = F.round(F.col("value").cast("decimal(18,2)") * cents * F.lit("0.01").cast("decimal(4,2)"), 2)
-    network = F.concat(F.lit("NET"), (u % 10).cast("string"))
-
-    def session_text(value: Column) -> Column:
-        return F.when(in_session, value).otherwise("")
-
-    columns = {
-        "event_id": F.col("event_id").cast("string"),
-        "event_type": kind,
-        "timestamp": F.col("ts").cast("timestamp"),
-        "station_id": F.concat(network, F.lit("_S"), F.lpad(u.cast("string"), 5, "0")),
-        "connector_id": (F.lit(1) + k % 4).cast("int"),
-        "session_id": session_text(
-            F.concat(F.lit("SES-"), u.cast("string"), F.lit("-"), F.to_date("ts").cast("string"))),
-        "network_id": network,
-        "city": F.col("n_name"),
-        "country": F.col("r_name"),
-        "latitude": (F.lit(36) + F.col("n_nationkey") % 6).cast("double"),
-        "longitude": (F.lit(26) + F.col("n_nationkey") % 10).cast("double"),
-        "charger_type": _pick(u % 4, "AC_LEVEL1", "AC_LEVEL2", "DC_FAST", "DC_ULTRA_FAST"),
-        "power_kw": F.when(kind.isin("session_start", "meter_update"), k.cast("double")).otherwise(zero),
-        "energy_kwh": F.when(has_energy, F.col("value")).otherwise(zero),
-        "soc_percent": F.when(in_session, k).otherwise(0),
-        "vehicle_type": session_text(F.when(u % 4 == 3, "PHEV").otherwise("BEV")),
-        "duration_minutes": F.when(has_energy, ((k * 7) % 150).cast("int")).otherwise(0),
-        "price_per_kwh": (F.lit(65) + F.lit(3) * (u % 10)).cast("double") / F.lit(100.0),
-        "revenue_eur": F.when(has_energy, revenue.cast("double")).otherwise(zero),
-        "status": F.when(is_fault, "fault")
-        .when(kind.isin("session_start", "meter_update"), "charging")
-        .when(kind == "status_change", _pick(k % 3, "available", "offline", "reserved"))
-        .otherwise("available"),
-        "error_code": F.when(is_fault & (k % 9 != 8), F.concat(F.lit("E00"), (F.lit(1) + k % 9).cast("string")))
-        .otherwise(""),
-        "component": F.when(is_fault, F.concat(F.lit("COMP"), (k % 8).cast("string"))).otherwise(""),
-        "voltage_v": F.when(kind == "meter_update", F.lit(400.0)).otherwise(zero),
-        "current_a": F.when(kind == "meter_update", k.cast("double") * F.lit(2.5)).otherwise(zero),
-        "vehicle_brand": session_text(_pick(u % 7, "Tesla", "BMW", "Kia", "Audi", "Volvo", "Renault", "")),
-        "vehicle_model": session_text(F.concat(F.lit("M"), (u % 3).cast("string"))),
-        "vehicle_ev_id": session_text(F.concat(F.lit("EV"), F.lpad(u.cast("string"), 15, "0"))),
-        "tariff_id": F.when(
-            in_session & (k % 5 != 4),
-            F.concat(F.lit("tariff-"), (u % 10).cast("string"), F.lit("-"), (k % 5).cast("string")),
-        ).otherwise(""),
-    }
-    return typed.select(*[columns[name].alias(name) for name in FACT_NAMES])
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,40 +101,12 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Written to the shared folder once, as a log would hold it, so that later plans start from stored text.
     """
-    i = F.col("event_id").cast("bigint")
-    m = i % 100
-    shown = F.when(i % 37 == 5, F.col("timestamp") - F.expr("INTERVAL 1 HOUR")).otherwise(F.col("timestamp"))
-    stamp = F.concat(F.date_format(shown, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
-
-    def text(name: str) -> Column:
-        return F.col(name).cast("string")
-
-    body = F.concat(
-        F.lit('{"event_id":"'), F.col("event_id"),
-        F.lit('","event_type":"'), F.when(m == 13, "unknown_evt").otherwise(F.col("event_type")),
-        F.lit('","timestamp":"'), F.when(m == 23, "not-a-date").otherwise(stamp),
-        F.lit('","station_id":'), F.when(m == 3, "null")
-        .otherwise(F.concat(F.lit('"'), F.col("station_id"), F.lit('"'))),
-        F.lit(',"session_id":"'), F.when(m == 33, "").otherwise(F.col("session_id")),
-        F.lit('","network_id":"'), F.col("network_id"),
-        F.lit('","city":"'), F.col("city"),
-        F.lit('","connector_id":"'), text("connector_id"),
-        F.lit('","soc_percent":'), F.when(m == 43, "150").when(m == 53, '"abc"').otherwise(text("soc_percent")),
-        F.lit(',"power_kw":'), F.when(m == 63, "-1.5").otherwise(text("power_kw")),
-        F.lit(',"energy_kwh":'), F.when(m == 73, '"n/a"').otherwise(text("energy_kwh")),
-        F.lit(',"duration_minutes":'), text("duration_minutes"),
-        F.lit(',"revenue_eur":'), text("revenue_eur"),
-        F.lit(',"error_code":null}'),
-    )
-    first = F.struct((i * 2).alias("arrival"))
-    resend = F.struct(((i + 5) * 2 + 1).alias("arrival"))
-    sends = F.when(m == 7, F.array(first, resend)).otherwise(F.array(first))
     messages = (
         charging_events(spark, sf_dir)
-        .select(
-            F.when(m == 83, "{bad json").otherwise(body).alias("raw"),
-            F.explode(sends).alias("send"),
+        .selectExpr(
+            "*", "CAST(event_id AS BIGINT) AS i", "CAST(event_id AS BIGINT) % 100 AS m",
+            "IF(CAST(event_id AS BIGINT) % 37 = 5, timestamp - INTERVAL 1 HOUR, timestamp) AS shown",
         )
-        .select(F.col("send.arrival").alias("arrival"), "raw")
+        .selectExpr("explode(IF(m = 7, array(2 * i, 2 * (i + 5) + 1), array(2 * i))) AS arrival", MESSAGE)
     )
     return materialize(messages, "raw-events")
