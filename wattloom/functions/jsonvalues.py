@@ -1,7 +1,7 @@
 """SQL texts that read loosely typed JSON fields: truth, number and timestamp conversion, quoting in messages.
 
-A decoded field `f` comes with a sibling `f_kind`: 's' string, 'n' number, 'b' boolean, 'o' array or object, null
-when the field is absent or JSON null. Strings are accepted as numbers only in the spellings listed here.
+A decoded field `f` is text, null when absent or JSON null, with a sibling flag `f_quoted` that tells a JSON string
+from a bare number, boolean, array or object. Strings count as numbers only in the spellings listed here.
 """
 
 from __future__ import annotations
@@ -14,45 +14,35 @@ TIME_TEXT = r"^\d{4}-\d{2}-\d{2}.\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?([+-]\d{2}(:?\
 BASIC_TEXT = r"^\d{8}(.\d{6}([.,]\d+)?([+-]\d{2}(:?\d{2})?)?)?$"
 
 
-def kind(variant: str) -> str:
-    """One-letter kind of a VARIANT field."""
-    shape = f"schema_of_variant({variant})"
-    return f"""CASE WHEN {shape} IS NULL OR {shape} = 'VOID' THEN NULL WHEN {shape} = 'STRING' THEN 's'
-        WHEN {shape} = 'BOOLEAN' THEN 'b' WHEN {shape} RLIKE '^(BIGINT|DECIMAL|DOUBLE|FLOAT)' THEN 'n' ELSE 'o' END"""
+def quoted(variant: str) -> str:
+    """Whether a VARIANT field is a JSON string."""
+    return f"coalesce(schema_of_variant({variant}) = 'STRING', false)"
 
 
 def is_empty(field: str) -> str:
     """Absent, null, '', 0, false, [] or {}."""
-    return f"""({field}_kind IS NULL OR CASE {field}_kind WHEN 's' THEN {field} = '' WHEN 'b' THEN {field} = 'false'
-        WHEN 'n' THEN try_cast({field} AS DOUBLE) = 0 ELSE {field} IN ('[]', '{{}}') END)"""
+    return f"""(`{field}` IS NULL OR `{field}` = '' OR (NOT {field}_quoted
+        AND (`{field}` IN ('false', '[]', '{{}}') OR coalesce(try_cast(`{field}` AS DOUBLE) = 0, false))))"""
 
 
 def shown(field: str) -> str:
     """The value as quoted in a reject reason: strings in quotes, everything else as written."""
-    escaped = f"replace({field}, '\\\\', '\\\\\\\\')"
-    return f"""CASE WHEN {field}_kind <> 's' THEN {field}
-        WHEN contains({field}, "'") AND NOT contains({field}, '"') THEN concat('"', {escaped}, '"')
+    escaped = f"replace(`{field}`, '\\\\', '\\\\\\\\')"
+    return f"""CASE WHEN NOT {field}_quoted THEN `{field}`
+        WHEN contains(`{field}`, "'") AND NOT contains(`{field}`, '"') THEN concat('"', {escaped}, '"')
         ELSE concat("'", replace({escaped}, "'", "\\\\'"), "'") END"""
 
 
-def as_double(field: str) -> str:
-    """Number of a field; null when it is none."""
-    return f"""CASE {field}_kind WHEN 'n' THEN try_cast({field} AS DOUBLE) WHEN 'b' THEN IF({field} = 'true', 1D, 0D)
-        WHEN 's' THEN IF({field} RLIKE r'{FLOAT_TEXT}', try_cast(replace({field}, '_', '') AS DOUBLE), NULL) END"""
+def number(field: str, spelling: str = FLOAT_TEXT) -> str:
+    """Number of a field; null when it is absent or none. Where an integer is wanted, strings must be integers."""
+    return f"""CASE WHEN {field}_quoted
+          THEN IF(`{field}` RLIKE r'{spelling}', try_cast(replace(`{field}`, '_', '') AS DOUBLE), NULL)
+        WHEN `{field}` = 'true' THEN 1D WHEN `{field}` = 'false' THEN 0D ELSE try_cast(`{field}` AS DOUBLE) END"""
 
 
-def as_whole(field: str) -> str:
-    """Number of a field where an integer is wanted: JSON floats are cut toward zero, strings must be integers."""
-    return f"""CASE {field}_kind WHEN 'n' THEN try_cast({field} AS DOUBLE) WHEN 'b' THEN IF({field} = 'true', 1D, 0D)
-        WHEN 's' THEN IF({field} RLIKE r'{INT_TEXT}', try_cast(replace({field}, '_', '') AS DOUBLE), NULL) END"""
-
-
-def double_or_zero(field: str) -> str:
-    return f"IF({is_empty(field)}, 0D, {as_double(field)})"
-
-
-def int_or_zero(field: str) -> str:
-    return f"IF({is_empty(field)}, 0, try_cast({as_whole(field)} AS INT))"
+def no_number(field: str) -> str:
+    """Empty values that stand for 0 though they are no number."""
+    return f"""(`{field}` IS NULL OR `{field}` = '' OR (NOT {field}_quoted AND `{field}` IN ('[]', '{{}}')))"""
 
 
 def parsed_time(text: str) -> str:

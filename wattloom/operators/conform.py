@@ -4,33 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from wattloom.functions.jsonvalues import double_or_zero, int_or_zero, parsed_time, shown
-from wattloom.operators.decode import NUMBER_FIELDS, decode
+from wattloom.functions.jsonvalues import no_number, parsed_time, shown
+from wattloom.operators.decode import INT_FIELDS, NUMBER_FIELDS, decode
 from wattloom.schema import FACT_COLUMNS
 
 
 def _converted(name: str, type_: str) -> str:
     if type_ == "int":
-        return int_or_zero(name)
+        return f"IF({no_number(name)}, 0, try_cast({name}_number AS INT))"
     if type_ == "double":
-        return double_or_zero(name)
+        return f"IF({no_number(name)}, 0D, {name}_number)"
     if type_ == "timestamp":
         return f"date_trunc('MILLISECOND', coalesce({parsed_time('`timestamp`')}, current_timestamp()))"
     return f"coalesce(`{name}`, '')"
 
 
-def conversion_error() -> str:
-    """Reason text of the first field, in column order, that is no number; null when all convert."""
-    tests = []
-    for name, type_ in FACT_COLUMNS:
-        if name not in NUMBER_FIELDS:
-            continue
-        if type_ == "int":
-            text = f"concat('invalid literal for int() with base 10: ', {shown(name)})"
-        else:
-            text = f"concat('could not convert string to float: ', {shown(name)})"
-        tests.append(f"WHEN ({_converted(name, type_)}) IS NULL THEN concat('row_conversion_error:', {text})")
-    return f"CASE {' '.join(tests)} END"
+def with_conversion_error(decoded: DataFrame) -> DataFrame:
+    """Adds `conversion_error`: the reject reason of the first field, in column order, that is no number."""
+    failed = [
+        f"WHEN {'try_cast(%s_number AS INT)' % name if name in INT_FIELDS else '%s_number' % name} IS NULL"
+        f" AND NOT {no_number(name)} THEN '{name}'"
+        for name in NUMBER_FIELDS
+    ]
+    values = " ".join(f"WHEN '{name}' THEN struct({name} AS text, {name}_quoted AS quoted)" for name in NUMBER_FIELDS)
+    ints = ", ".join(f"'{name}'" for name in INT_FIELDS)
+    complaint = f"""IF(failed IN ({ints}), 'invalid literal for int() with base 10: ',
+        'could not convert string to float: ')"""
+    return (
+        decoded.selectExpr("*", f"CASE {' '.join(failed)} END AS failed")
+        .selectExpr("*", f"CASE failed {values} END AS bad")
+        .selectExpr("*", "bad.text AS bad_text", "bad.quoted AS bad_text_quoted")
+        .selectExpr("*", f"concat('row_conversion_error:', {complaint}, {shown('bad_text')}) AS conversion_error")
+        .drop("failed", "bad", "bad_text", "bad_text_quoted")
+    )
 
 
 def conform(decoded: DataFrame, *keep: str) -> DataFrame:

@@ -1,13 +1,14 @@
-"""JSON text to flat text columns, each field next to the JSON kind it had."""
+"""JSON text to flat columns: every field as text, typed fields with a string flag, number fields as numbers."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from wattloom.functions.jsonvalues import kind
+from wattloom.functions.jsonvalues import INT_TEXT, number, quoted
 from wattloom.schema import FACT_COLUMNS, FACT_NAMES
 
-# Fields whose JSON kind matters for validation or conversion; the others are taken as text.
+# Fields whose JSON type matters for validation or conversion; the others are taken as text.
+INT_FIELDS = [name for name, type_ in FACT_COLUMNS if type_ == "int"]
 NUMBER_FIELDS = [name for name, type_ in FACT_COLUMNS if type_ in ("int", "double")]
 TYPED_FIELDS = ["event_id", "event_type", "timestamp", "station_id", "session_id", *NUMBER_FIELDS]
 
@@ -24,11 +25,14 @@ _DECODE_REASON = f"""CASE
 
 
 def decode(raw: DataFrame) -> DataFrame:
-    """Adds `decode_reason`, the 28 fields as text and `<field>_kind` for the typed ones. Parsed once."""
+    """Adds `decode_reason`, the 28 fields as text, `<field>_quoted` and `<field>_number`. Parsed once."""
     parsed = raw.withColumn("ev", F.from_json("raw", _JSON_DDL, _OPTIONS))
-    return parsed.selectExpr(
+    texts = parsed.selectExpr(
         *raw.columns,
         f"{_DECODE_REASON} AS decode_reason",
         *[f"CAST(ev.`{name}` AS STRING) AS `{name}`" for name in FACT_NAMES],
-        *[f"{kind(f'ev.`{name}`')} AS {name}_kind" for name in TYPED_FIELDS],
+        *[f"{quoted(f'ev.`{name}`')} AS {name}_quoted" for name in TYPED_FIELDS],
     )
+    ints = [f"{number(name, INT_TEXT)} AS {name}_number" for name in INT_FIELDS]
+    doubles = [f"{number(name)} AS {name}_number" for name in NUMBER_FIELDS if name not in INT_FIELDS]
+    return texts.selectExpr("*", *ints, *doubles)

@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from wattloom.functions.numeric import count_where, n_rows, ratio, rnd
-from wattloom.operators.conform import conform_raw, conversion_error
+from wattloom.operators.conform import conform_raw, with_conversion_error
 from wattloom.operators.decode import decode
 from wattloom.operators.dedup import drop_seen, first_arrivals
 from wattloom.operators.lateness import BLOCK, late_reason, with_high_water
@@ -24,9 +24,7 @@ PAYLOAD = ["arrival", "raw", "event_id", "event_type", "station_id", "event_ts",
 
 def check(raw: DataFrame) -> DataFrame:
     """Row-wise part: the payload columns and the conversion error a valid message would meet later."""
-    return validate(decode(raw)).selectExpr(
-        *PAYLOAD, f"IF(reason IS NULL, {conversion_error()}, NULL) AS conversion_error"
-    )
+    return with_conversion_error(validate(decode(raw))).select(*PAYLOAD, "conversion_error")
 
 
 def classify(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from wattloom.functions.jsonvalues import as_double, as_whole, is_empty, parsed_time, shown
+from wattloom.functions.jsonvalues import is_empty, parsed_time, shown
 from wattloom.operators.decode import decode
 from wattloom.schema import EVENT_TYPES, SESSION_EVENT_TYPES
 
@@ -36,17 +36,16 @@ def session_id_rule() -> str:
 
 def soc_rule() -> str:
     """Cut toward zero before the range test, so anything above -1 and below 101 is in range."""
-    number = as_whole("soc_percent")
-    return f"""CASE WHEN soc_percent_kind IS NULL THEN NULL
-        WHEN ({number}) IS NULL OR isnan({number}) OR abs({number}) = double('infinity')
+    return f"""CASE WHEN soc_percent IS NULL OR (soc_percent_number > -1 AND soc_percent_number < 101) THEN NULL
+        WHEN soc_percent_number IS NULL OR isnan(soc_percent_number) OR abs(soc_percent_number) = double('infinity')
           THEN concat('invalid_soc_type:', {shown('soc_percent')})
-        WHEN NOT (({number}) > -1 AND ({number}) < 101) THEN concat('soc_out_of_range:', soc_percent) END"""
+        ELSE concat('soc_out_of_range:', soc_percent) END"""
 
 
 def non_negative_rule(field: str) -> str:
-    return f"""CASE WHEN {field}_kind IS NULL THEN NULL
-        WHEN ({as_double(field)}) IS NULL THEN concat('invalid_{field}_type:', {shown(field)})
-        WHEN ({as_double(field)}) < 0 THEN concat('negative_{field}:', {field}) END"""
+    return f"""CASE WHEN {field} IS NULL OR {field}_number >= 0 THEN NULL
+        WHEN {field}_number IS NULL THEN concat('invalid_{field}_type:', {shown(field)})
+        ELSE concat('negative_{field}:', {field}) END"""
 
 
 RULES = {

@@ -301,5 +301,274 @@ def rollup_sql() -> dict[str, str]:
     }
 
 
+FAULTS = "event_type = 'fault_alert'"
+CITY = "coalesce(nullif(city, ''), 'unknown')"
+CODE = "coalesce(nullif(error_code, ''), 'UNKNOWN')"
+ACTIVE = """CAST(coalesce(sum(CASE WHEN event_type = 'session_start' AND session_id <> '' THEN 1
+                              WHEN event_type = 'session_stop' THEN -1 END), 0) AS BIGINT)"""
+
+
+def _leaderboard(member: str, alias: str) -> str:
+    return f"""
+SELECT CAST(timestamp AS DATE) AS day, {member} AS {alias}, {rsum('revenue_eur')} AS revenue_eur
+FROM ce WHERE {STOPS} AND revenue_eur > 0 GROUP BY 1, 2"""
+
+
+# Status writes in order, a new segment after a gap of 300 s, the last value of each field within the segment.
+STATION_CTES = (
+    f"""
+writes AS (SELECT station_id, timestamp, event_id,
+             CASE event_type WHEN 'session_start' THEN 'charging' WHEN 'session_stop' THEN 'available'
+                  WHEN 'fault_alert' THEN 'fault' ELSE coalesce(nullif(status, ''), 'unknown') END AS new_status,
+             CASE event_type WHEN 'session_start' THEN session_id WHEN 'session_stop' THEN '' END AS new_session,
+             CASE event_type WHEN 'fault_alert' THEN {CODE} END AS new_error
+           FROM ce WHERE event_type IN ('session_stop', 'status_change', 'fault_alert')
+              OR (event_type = 'session_start' AND session_id <> ''))""",
+    """
+marked AS (SELECT *, CASE WHEN timestamp >= lag(timestamp) OVER w + INTERVAL 300 SECOND THEN 1 ELSE 0 END AS is_new
+           FROM writes WINDOW w AS (PARTITION BY station_id ORDER BY timestamp, event_id))""",
+    """
+segments AS (SELECT *, sum(is_new) OVER (PARTITION BY station_id ORDER BY timestamp, event_id
+                                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS segment FROM marked)""",
+    f"""
+station_state AS (
+  SELECT station_id, min(timestamp) AS segment_start, max(timestamp) AS last_updated,
+         arg_max(new_status, (timestamp, event_id)) AS status,
+         arg_max(new_session, (timestamp, event_id)) FILTER (WHERE new_session IS NOT NULL) AS session_id,
+         arg_max(new_error, (timestamp, event_id)) FILTER (WHERE new_error IS NOT NULL) AS error_code,
+         max(timestamp) > {AS_OF} - INTERVAL 300 SECOND AS is_live
+  FROM segments GROUP BY station_id, segment)""",
+)
+
+# Events after the last stop; an entry generation ends where an event finds it expired.
+SESSION_CTES = (
+    """
+sess AS (SELECT * FROM ce WHERE session_id <> '' AND event_type IN ('session_start', 'meter_update', 'session_stop'))""",
+    """
+numbered AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY timestamp, event_id) AS rn FROM sess)""",
+    """
+last_stops AS (SELECT session_id, max(rn) AS stop_rn FROM numbered WHERE event_type = 'session_stop' GROUP BY 1)""",
+    """
+open_events AS (SELECT n.* FROM numbered n LEFT JOIN last_stops l ON n.session_id = l.session_id
+                WHERE l.stop_rn IS NULL OR n.rn > l.stop_rn)""",
+    """
+seen_before AS (SELECT *,
+    max(CASE WHEN event_type = 'session_start' THEN timestamp END) OVER w AS prev_start,
+    max(CASE WHEN event_type = 'meter_update' THEN timestamp END) OVER w AS prev_meter
+  FROM open_events WINDOW w AS (PARTITION BY session_id ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""",
+    """
+generations AS (SELECT *, sum(CASE WHEN timestamp >= prev_start + INTERVAL 3600 SECOND
+      AND (prev_meter IS NULL OR prev_meter < prev_start + INTERVAL 3600 SECOND) THEN 1 ELSE 0 END)
+    OVER (PARTITION BY session_id ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS generation
+  FROM seen_before)""",
+    """
+newest AS (SELECT * FROM generations g WHERE generation =
+             (SELECT max(generation) FROM generations h WHERE h.session_id = g.session_id))""",
+    """
+entry_starts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY rn DESC) AS k
+                 FROM newest WHERE event_type = 'session_start') WHERE k = 1)""",
+    """
+entry_meters AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY rn DESC) AS k
+                 FROM newest WHERE event_type = 'meter_update') WHERE k = 1)""",
+)
+LIVE_SESSIONS = f"""
+SELECT i.session_id, s.session_id IS NOT NULL AS has_start,
+       s.station_id, s.network_id, s.charger_type, s.power_kw, s.timestamp AS start_time, s.city, s.country,
+       s.vehicle_type, s.vehicle_brand, s.vehicle_model, s.soc_percent AS soc_start, s.price_per_kwh, s.tariff_id,
+       m.energy_kwh, m.soc_percent AS soc_current, m.duration_minutes, m.revenue_eur, m.timestamp AS last_updated
+FROM (SELECT DISTINCT session_id FROM newest) i
+LEFT JOIN entry_starts s ON s.session_id = i.session_id
+LEFT JOIN entry_meters m ON m.session_id = i.session_id
+WHERE s.session_id IS NULL OR s.timestamp > {AS_OF} - INTERVAL 3600 SECOND"""
+
+KPI_TYPES = ",\n       ".join(
+    f"count(*) FILTER (WHERE event_type = '{t}') AS {t}_events"
+    for t in ("session_start", "meter_update", "session_stop", "status_change", "heartbeat", "fault_alert")
+)
+
+
+def state_sql() -> dict[str, str]:
+    return {
+        "t1_event_counters": on_events("""
+            SELECT event_type, count(*) AS events FROM ce GROUP BY 1
+            UNION ALL SELECT 'total', count(*) FROM ce"""),
+        "t2_live_sessions": on_events(LIVE_SESSIONS, *SESSION_CTES),
+        "t3_station_status": on_events("SELECT * FROM station_state", *STATION_CTES),
+        "t3_station_status_live": on_events(
+            "SELECT * EXCLUDE (is_live) FROM station_state WHERE is_live", *STATION_CTES),
+        "t4_active_by_network": on_events(f"""
+            SELECT network_id, {ACTIVE} AS active_sessions FROM ce
+            WHERE event_type IN ('session_start', 'session_stop') GROUP BY 1"""),
+        "t5_active_by_city": on_events(f"""
+            SELECT {CITY} AS city, {ACTIVE} AS active_sessions FROM ce
+            WHERE event_type IN ('session_start', 'session_stop') GROUP BY 1"""),
+        "t6_active_global": on_events(f"""
+            SELECT active_sessions, greatest(0, active_sessions) AS active_shown
+            FROM (SELECT {ACTIVE} AS active_sessions FROM ce)"""),
+        "t7_leaderboard_station": on_events(_leaderboard("station_id", "station_id")),
+        "t8_leaderboard_network": on_events(_leaderboard("network_id", "network_id")),
+        "t9_leaderboard_city": on_events(_leaderboard(CITY, "city")),
+        "t10_leaderboard_topn": on_events("""
+            SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY day ORDER BY revenue_eur DESC, station_id)
+                                     AS INT) AS rank FROM board) WHERE rank <= 10""",
+            f"board AS ({_leaderboard('station_id', 'station_id')})"),
+        "t11_energy_daily": on_events(f"""
+            SELECT CAST(timestamp AS DATE) AS day, {rsum('energy_kwh')} AS energy_kwh
+            FROM ce WHERE {STOPS} AND energy_kwh > 0 GROUP BY 1"""),
+        "t12_energy_network_daily": on_events(f"""
+            SELECT CAST(timestamp AS DATE) AS day, network_id, {rsum('energy_kwh')} AS energy_kwh
+            FROM ce WHERE {STOPS} AND energy_kwh > 0 GROUP BY 1, 2"""),
+        "t13_fault_counters": on_events(f"""
+            SELECT {CODE} AS error_code, count(*) AS faults FROM ce WHERE {FAULTS} GROUP BY 1
+            UNION ALL SELECT 'total', count(*) FROM ce WHERE {FAULTS}"""),
+        "t14_faults_network_daily": on_events(f"""
+            SELECT CAST(timestamp AS DATE) AS day, network_id, count(*) AS faults FROM ce WHERE {FAULTS} GROUP BY 1, 2"""),
+        "t15_status_counts": on_events("""
+            SELECT coalesce(nullif(status, ''), 'unknown') AS status, count(*) AS changes
+            FROM ce WHERE event_type = 'status_change' GROUP BY 1"""),
+        "t16_live_kpis": on_events(f"""
+            SELECT count(*) AS total_events, greatest(0, {ACTIVE}) AS active_sessions,
+                   {KPI_TYPES},
+                   count(*) FILTER (WHERE {FAULTS}) AS total_faults,
+                   coalesce({rnd(f"""sum(energy_kwh) FILTER (WHERE {STOPS} AND energy_kwh > 0
+                     AND CAST(timestamp AS DATE) = CAST({AS_OF} AS DATE))""", 1)}, 0) AS energy_today_kwh,
+                   {rnd(f"count(*) FILTER (WHERE {FAULTS}) / CAST(greatest(count(*), 1) AS DOUBLE) * 100", 3)}
+                     AS error_rate_pct
+            FROM ce"""),
+    }
+
+
+BANDS = """CASE WHEN hour_of_day BETWEEN 7 AND 8 THEN 'Morning Peak' WHEN hour_of_day BETWEEN 12 AND 13 THEN 'Lunch Peak'
+       WHEN hour_of_day BETWEEN 17 AND 19 THEN 'Evening Peak' ELSE 'Off-Peak' END"""
+
+
+def _bars(chart: str, source: str, label: str, value: str) -> str:
+    load = rnd(f"{value} / nullif(CAST((SELECT max({value}) FROM {source}) AS DOUBLE), 0)", 4)
+    return f"""SELECT '{chart}' AS chart, {label} AS label, CAST({value} AS DOUBLE) AS value,
+       coalesce({load}, 0) AS relative_load FROM {source}"""
+
+
+def report_sql() -> dict[str, str]:
+    brand = (f"a3 AS ({A3})", """
+pair AS (SELECT t.*, o.avg_duration_min AS o_duration, o.avg_energy_kwh AS o_energy, o.avg_power_kw AS o_power,
+                o.avg_revenue_per_session AS o_revenue
+         FROM a3 t JOIN a3 o ON t.brand_group = 'Tesla' AND o.brand_group = 'Other Brands')""")
+    return {
+        "d1_kpi_cover": on_events(f"""
+            SELECT (SELECT count(*) FROM ce) AS total_events, events_per_second, active_stations, unique_sessions,
+                   (SELECT {rsum('total_revenue_eur')} FROM month) AS revenue_30d_eur,
+                   (SELECT {rsum('total_energy_kwh')} FROM month) AS energy_30d_kwh
+            FROM recent""", f"month AS ({Q1 % 30})", f"recent AS ({Q7})"),
+        "d2_hour_bands": on_events(f"SELECT *, {BANDS} AS band FROM q9", f"q9 AS ({Q9})"),
+        "d3_station_flags": on_events("""
+            SELECT *, fault_rate_pct > 0.5 AS above_threshold,
+                   CASE WHEN uptime_pct >= 90 THEN 'good' WHEN uptime_pct >= 70 THEN 'fair' ELSE 'poor' END AS uptime_band,
+                   (SELECT count(*) FROM a2 WHERE fault_rate_pct > 0.5) AS stations_above,
+                   (SELECT count(*) FROM a2) AS stations_listed
+            FROM a2""", f"a2 AS ({A2})"),
+        "d4_brand_delta": on_events(f"""
+            SELECT {rnd('avg_duration_min - o_duration', 1)} AS delta_duration_min,
+                   {rnd('avg_energy_kwh - o_energy', 2)} AS delta_energy_kwh,
+                   {rnd('avg_power_kw - o_power', 1)} AS delta_power_kw,
+                   {rnd('avg_revenue_per_session - o_revenue', 2)} AS delta_revenue_per_session
+            FROM pair""", *brand),
+        "d5_peak_share": on_events(
+            f"SELECT {rsum('revenue_pct', 1)} AS peak_revenue_pct FROM a4 WHERE period <> 'Off-Peak'", *A4_CTES),
+        "d6_worst_density_city": on_events(
+            "SELECT * FROM a5 ORDER BY faults_per_station DESC, fault_count DESC, city, country LIMIT 1",
+            f"a5 AS ({A5})"),
+        "d7_anomaly_summary": on_events(f"""
+            SELECT count(*) AS anomalies,
+                   {rnd(f'CAST(100 AS DOUBLE) * count(*) / (SELECT count(*) FROM ce WHERE {TIMED_STOPS})', 2)}
+                     AS anomaly_pct,
+                   count(*) FILTER (WHERE z_score > 0) AS high, count(*) FILTER (WHERE NOT z_score > 0) AS low,
+                   max(fleet_mean_power) AS fleet_mean_power, max(fleet_std_power) AS fleet_std_power
+            FROM listed HAVING count(*) > 0""", *A6_CTES, f"listed AS ({A6 % 200})"),
+        "d8_relative_load": on_events(
+            _bars("hour_of_day", "q9", "CAST(hour_of_day AS VARCHAR)", "session_count")
+            + "\nUNION ALL " + _bars("hourly_energy", "a1", "strftime(hour, '%Y-%m-%d %H:%M:%S')", "total_energy_kwh")
+            + "\nUNION ALL " + _bars("period", "a4", "period", "total_revenue_eur"),
+            f"q9 AS ({Q9})", *A1_CTES, *A4_CTES),
+        "d9_panel_networks": on_events(Q1 % 1 + "\nORDER BY total_revenue_eur DESC, network_id LIMIT 6"),
+        "d9_panel_cities": on_events(Q4 % 8),
+        "d9_panel_errors": on_events(Q5 + "\nORDER BY occurrences DESC, error_code LIMIT 6"),
+        "d9_panel_brands": on_events(Q13 % 8),
+        "d9_panel_tariffs": on_events(Q14 % 8),
+        "d9_panel_hours": on_events(Q2 % 48),
+    }
+
+
+SESSION_EVENTS = "session_id <> '' AND event_type IN ('session_start', 'meter_update', 'session_stop')"
+SERIES = f"""
+SELECT time_bucket(INTERVAL 300 SECOND, timestamp, TIMESTAMP '1970-01-01') AS interval_start, count(*) AS events,
+       {rnd('count(*) / CAST(300 AS DOUBLE)', 4)} AS events_per_second,
+       {KPI_TYPES}
+FROM ce GROUP BY 1"""
+
+
+def quality_sql() -> dict[str, str]:
+    expected = rnd("energy_kwh * price_per_kwh", 2)
+    return {
+        "r1_session_lifecycle": on_events(f"""
+            SELECT *, coalesce(first_start <= last_stop, false) AS is_complete FROM (
+              SELECT session_id, min(timestamp) FILTER (WHERE event_type = 'session_start') AS first_start,
+                     max(timestamp) FILTER (WHERE {STOPS}) AS last_stop,
+                     count(*) FILTER (WHERE event_type = 'meter_update') AS meter_updates,
+                     arg_min(soc_percent, (timestamp, event_id)) AS first_soc,
+                     arg_max(soc_percent, (timestamp, event_id)) AS last_soc,
+                     arg_max(energy_kwh, (timestamp, event_id)) FILTER (WHERE {STOPS}) AS final_energy_kwh,
+                     arg_max(revenue_eur, (timestamp, event_id)) FILTER (WHERE {STOPS}) AS final_revenue_eur
+              FROM ce WHERE {SESSION_EVENTS} GROUP BY session_id)"""),
+        "r2_lifecycle_violations": on_events("""
+            SELECT * FROM (
+              SELECT session_id, count(*) FILTER (WHERE energy_kwh < prev_energy) AS energy_drops,
+                     count(*) FILTER (WHERE soc_percent < prev_soc) AS soc_drops,
+                     coalesce(min(timestamp) FILTER (WHERE event_type = 'session_stop')
+                       < min(timestamp) FILTER (WHERE event_type = 'session_start'), false) AS stop_before_start
+              FROM readings GROUP BY session_id)
+            WHERE energy_drops > 0 OR soc_drops > 0 OR stop_before_start""",
+            f"""readings AS (SELECT *, lag(energy_kwh) OVER w AS prev_energy, lag(soc_percent) OVER w AS prev_soc
+                FROM ce WHERE {SESSION_EVENTS}
+                WINDOW w AS (PARTITION BY session_id ORDER BY timestamp, event_id))"""),
+        "r3_revenue_check": on_events(f"""
+            SELECT event_id, session_id, energy_kwh, price_per_kwh, revenue_eur, {expected} AS expected_revenue_eur
+            FROM ce WHERE event_type IN ('meter_update', 'session_stop') AND revenue_eur <> {expected}"""),
+        "r3_revenue_check_by_network": on_events(f"""
+            SELECT network_id, count(*) AS checked, count(*) FILTER (WHERE revenue_eur <> {expected}) AS mismatches
+            FROM ce WHERE event_type IN ('meter_update', 'session_stop') GROUP BY 1"""),
+        "r4_power_bounds": on_events(f"""
+            SELECT event_id, station_id, charger_type, power_kw, min_kw, max_kw,
+                   {rnd('power_kw * CAST(1000 AS DOUBLE) / nullif(voltage_v, 0)', 1)} AS derived_current_a
+            FROM ce JOIN bounds USING (charger_type)
+            WHERE power_kw > 0 AND NOT power_kw BETWEEN min_kw AND max_kw""",
+            """bounds AS (SELECT charger_type, CAST(lo AS DOUBLE) AS min_kw, CAST(hi AS DOUBLE) AS max_kw
+                FROM (VALUES ('AC_LEVEL1', 3.7, 7.4), ('AC_LEVEL2', 7.4, 22.0), ('DC_FAST', 50.0, 150.0),
+                             ('DC_ULTRA_FAST', 150.0, 350.0)) AS t(charger_type, lo, hi))"""),
+        "r5_peak_multiplier": on_events("""
+            SELECT CAST(CASE WHEN hour(timestamp) BETWEEN 7 AND 8 THEN 2.0 WHEN hour(timestamp) BETWEEN 12 AND 13 THEN 1.5
+                        WHEN hour(timestamp) BETWEEN 17 AND 19 THEN 3.0 ELSE 1.0 END AS DOUBLE) AS multiplier,
+                   count(*) AS events, count(*) FILTER (WHERE event_type = 'session_start') AS session_starts,
+                   count(DISTINCT nullif(session_id, '')) AS sessions
+            FROM ce GROUP BY 1"""),
+        "r6_station_dimension": on_events("""
+            SELECT station_id, arg_max(network_id, (timestamp, event_id)) AS network_id,
+                   arg_max(city, (timestamp, event_id)) AS city, arg_max(country, (timestamp, event_id)) AS country,
+                   arg_max(charger_type, (timestamp, event_id)) AS charger_type,
+                   count(DISTINCT connector_id) AS connectors, min(price_per_kwh) AS min_price_per_kwh,
+                   max(price_per_kwh) AS max_price_per_kwh
+            FROM ce GROUP BY station_id"""),
+        "r7_throughput_series": on_events(SERIES),
+        "r7_throughput_summary": on_events(f"""
+            SELECT count(*) AS intervals, CAST(sum(events) AS BIGINT) AS events,
+                   {rnd('avg(rate)', 4)} AS avg_eps, {rnd('max(rate)', 4)} AS peak_eps,
+                   {rnd('stddev_pop(rate)', 4)} AS std_eps, {rnd('avg(rate) / CAST(0.05 AS DOUBLE) * 100', 1)} AS pct_of_target
+            FROM (SELECT *, events / CAST(300 AS DOUBLE) AS rate FROM series)""", f"series AS ({SERIES})"),
+        "r8_traffic_mix": on_events(f"""
+            SELECT event_type, count(*) AS events,
+                   {rnd('CAST(100 AS DOUBLE) * count(*) / (SELECT count(*) FROM ce)', 2)} AS share_pct
+            FROM ce GROUP BY 1"""),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**analytics_sql(), **rollup_sql()}
+    return {**analytics_sql(), **rollup_sql(), **state_sql(), **report_sql(), **quality_sql()}

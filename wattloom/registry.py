@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from wattloom.functions.numeric import rnd
-from wattloom.operators import rollups
-from wattloom.plans import analytics
+from wattloom.operators import quality, rollups, state
+from wattloom.plans import analytics, report
 from wattloom.sources import testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,5 +67,51 @@ ROLLUPS: dict[str, Query] = {
 }
 
 
+STATE: dict[str, Query] = {
+    "t1_event_counters": on_events(state.event_counters),
+    "t2_live_sessions": on_events(state.live_sessions_at),
+    "t3_station_status": on_events(state.station_status_history),
+    "t3_station_status_live": on_events(state.station_status_live),
+    "t4_active_by_network": on_events(state.active_by_network),
+    "t5_active_by_city": on_events(state.active_by_city),
+    "t6_active_global": on_events(state.active_global),
+    "t7_leaderboard_station": on_events(lambda df: state.leaderboard(df, "station_id")),
+    "t8_leaderboard_network": on_events(lambda df: state.leaderboard(df, "network_id")),
+    "t9_leaderboard_city": on_events(lambda df: state.leaderboard(df, "city")),
+    "t10_leaderboard_topn": on_events(state.leaderboard_top),
+    "t11_energy_daily": on_events(state.energy_daily),
+    "t12_energy_network_daily": on_events(lambda df: state.energy_daily(df, "network_id")),
+    "t13_fault_counters": on_events(state.fault_counters),
+    "t14_faults_network_daily": on_events(state.faults_network_daily),
+    "t15_status_counts": on_events(state.status_counts),
+    "t16_live_kpis": on_events(state.live_kpis),
+}
+
+REPORT: dict[str, Query] = {
+    "d1_kpi_cover": on_events(report.kpi_cover),
+    "d2_hour_bands": on_events(report.hour_bands),
+    "d3_station_flags": on_events(report.station_flags),
+    "d4_brand_delta": on_events(report.brand_delta),
+    "d5_peak_share": on_events(report.peak_share),
+    "d6_worst_density_city": on_events(report.worst_density_city),
+    "d7_anomaly_summary": on_events(report.anomaly_summary),
+    "d8_relative_load": on_events(report.load_bars),
+    **{f"d9_panel_{name}": on_events(panel) for name, panel in report.PANELS.items()},
+}
+
+QUALITY: dict[str, Query] = {
+    "r1_session_lifecycle": on_events(quality.session_lifecycle),
+    "r2_lifecycle_violations": on_events(quality.lifecycle_violations),
+    "r3_revenue_check": on_events(quality.revenue_mismatches),
+    "r3_revenue_check_by_network": on_events(quality.revenue_check),
+    "r4_power_bounds": on_events(quality.power_out_of_bounds),
+    "r5_peak_multiplier": on_events(quality.sessions_per_multiplier),
+    "r6_station_dimension": on_events(quality.station_dimension),
+    "r7_throughput_series": on_events(quality.throughput_series),
+    "r7_throughput_summary": on_events(quality.throughput_summary),
+    "r8_traffic_mix": on_events(quality.traffic_mix),
+}
+
+
 def queries() -> dict[str, Query]:
-    return {**ANALYTICS, **ROLLUPS}
+    return {**ANALYTICS, **ROLLUPS, **STATE, **REPORT, **QUALITY}

@@ -15,6 +15,9 @@ def build_session(app: str = "wattloom", master: str | None = None, **conf: str)
         builder = builder.master(master)
     defaults = {
         "spark.sql.session.timeZone": "UTC",
+        "spark.ui.showConsoleProgress": "false",
+        # HotSpot does not JIT methods beyond 8000 bytes of bytecode; larger stages run as separate projections.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
