@@ -27,26 +27,32 @@ def check(raw: DataFrame) -> DataFrame:
     return with_conversion_error(validate(decode(raw))).select(*PAYLOAD, "conversion_error")
 
 
-def classify(
-    raw: DataFrame,
+def first_unseen(raw: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    """Checked messages without duplicates, neither among themselves nor of ids taken earlier."""
+    return drop_seen(first_arrivals(check(raw)), seen)
+
+
+def judge(
+    fresh: DataFrame,
     *,
     lateness_s: int = MAX_LATENESS_S,
     prior_high_water: datetime | None = None,
-    seen: DataFrame | None = None,
-    stage: bool = True,
     block: int = BLOCK,
 ) -> DataFrame:
+    """Adds `high_water` and turns `reason` into the final one: schema rule, then lateness, then conversion."""
+    timed = with_high_water(fresh, prior_high_water, block)
+    final = f"coalesce(reason, {late_reason(lateness_s)}, conversion_error) AS reason"
+    return timed.selectExpr(*[c for c in PAYLOAD if c != "reason"], "dedup_key", "high_water", final)
+
+
+def classify(raw: DataFrame, *, seen: DataFrame | None = None, stage: bool = True, **judging) -> DataFrame:
     """Every message but the duplicates, with `high_water` and the final `reason` (null: accepted).
 
     The deduplicated messages feed both the block maxima and the rows themselves; `stage` writes them once to the
     shared folder instead of decoding and shuffling them twice.
     """
-    fresh = drop_seen(first_arrivals(check(raw)), seen)
-    if stage:
-        fresh = materialize(fresh, "fresh-messages")
-    timed = with_high_water(fresh, prior_high_water, block)
-    final = f"coalesce(reason, {late_reason(lateness_s)}, conversion_error) AS reason"
-    return timed.selectExpr(*[c for c in PAYLOAD if c != "reason"], "dedup_key", "high_water", final)
+    fresh = first_unseen(raw, seen)
+    return judge(materialize(fresh, "fresh-messages") if stage else fresh, **judging)
 
 
 def accepted(classified: DataFrame) -> DataFrame:

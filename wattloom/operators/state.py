@@ -45,17 +45,25 @@ def with_total(counts: DataFrame, key: str, measure: str) -> DataFrame:
     )
 
 
+def event_counts(df: DataFrame) -> DataFrame:
+    return df.groupBy("event_type").agg(n_rows().alias("events"))
+
+
 def event_counters(df: DataFrame) -> DataFrame:
-    return with_total(df.groupBy("event_type").agg(n_rows().alias("events")), "event_type", "events")
+    return with_total(event_counts(df), "event_type", "events")
+
+
+def fault_counts(df: DataFrame) -> DataFrame:
+    code = _or("error_code", "UNKNOWN").alias("error_code")
+    return df.filter(_is(FAULT)).groupBy(day_bucket().alias("day"), "network_id", code).agg(n_rows().alias("faults"))
 
 
 def fault_counters(df: DataFrame) -> DataFrame:
-    codes = df.filter(_is(FAULT)).groupBy(_or("error_code", "UNKNOWN").alias("error_code"))
-    return with_total(codes.agg(n_rows().alias("faults")), "error_code", "faults")
+    return with_total(fault_counts(df).groupBy("error_code").agg(F.sum("faults").alias("faults")), "error_code", "faults")
 
 
 def faults_network_daily(df: DataFrame) -> DataFrame:
-    return df.filter(_is(FAULT)).groupBy(day_bucket().alias("day"), "network_id").agg(n_rows().alias("faults"))
+    return fault_counts(df).groupBy("day", "network_id").agg(F.sum("faults").alias("faults"))
 
 
 def status_counts(df: DataFrame) -> DataFrame:
@@ -70,6 +78,12 @@ def _active() -> Column:
     return F.coalesce(F.sum(F.when(opened, 1).when(_is(STOP), -1)), F.lit(0)).alias("active_sessions")
 
 
+def active_counts(df: DataFrame) -> DataFrame:
+    return (
+        df.filter(F.col("event_type").isin(START, STOP)).groupBy("network_id", _city().alias("city")).agg(_active())
+    )
+
+
 def active_by_network(df: DataFrame) -> DataFrame:
     return df.filter(F.col("event_type").isin(START, STOP)).groupBy("network_id").agg(_active())
 
@@ -88,6 +102,18 @@ def energy_daily(df: DataFrame, *keys: str) -> DataFrame:
     return delivered.groupBy(day_bucket().alias("day"), *keys).agg(rsum("energy_kwh").alias("energy_kwh"))
 
 
+def day_sums(df: DataFrame) -> DataFrame:
+    """Revenue and energy of a day's stops per station, the additive base of leaderboards and daily energy."""
+    return (
+        df.filter(_is(STOP))
+        .groupBy(day_bucket().alias("day"), "station_id", "network_id", _city().alias("city"))
+        .agg(
+            F.sum(F.when(F.col("revenue_eur") > 0, F.col("revenue_eur"))).alias("revenue_eur"),
+            F.sum(F.when(F.col("energy_kwh") > 0, F.col("energy_kwh"))).alias("energy_kwh"),
+        )
+    )
+
+
 # ---- leaderboards ----------------------------------------------------------------------------------------------
 
 

@@ -570,5 +570,202 @@ def quality_sql() -> dict[str, str]:
     }
 
 
+RAW_CTES = (
+    """
+numbered_events AS (
+  SELECT CAST(event_id AS BIGINT) AS i, CAST(event_id AS BIGINT) % 100 AS m, ce.*,
+         CASE WHEN CAST(event_id AS BIGINT) % 37 = 5 THEN timestamp - INTERVAL 1 HOUR ELSE timestamp END AS t2
+  FROM ce)""",
+    """
+messages AS (SELECT i, m, CASE WHEN m = 83 THEN '{bad json' ELSE concat(
+    '{"event_id":"', event_id,
+    '","event_type":"', CASE WHEN m = 13 THEN 'unknown_evt' ELSE event_type END,
+    '","timestamp":"', CASE WHEN m = 23 THEN 'not-a-date'
+                            ELSE concat(strftime(t2, '%Y-%m-%dT%H:%M:%S.%f'), '+00:00') END,
+    '","station_id":', CASE WHEN m = 3 THEN 'null' ELSE concat('"', station_id, '"') END,
+    ',"session_id":"', CASE WHEN m = 33 THEN '' ELSE session_id END,
+    '","network_id":"', network_id, '","city":"', city,
+    '","connector_id":"', CAST(connector_id AS VARCHAR),
+    '","soc_percent":', CASE WHEN m = 43 THEN '150' WHEN m = 53 THEN '"abc"' ELSE CAST(soc_percent AS VARCHAR) END,
+    ',"power_kw":', CASE WHEN m = 63 THEN '-1.5' ELSE CAST(power_kw AS VARCHAR) END,
+    ',"energy_kwh":', CASE WHEN m = 73 THEN '"n/a"' ELSE CAST(energy_kwh AS VARCHAR) END,
+    ',"duration_minutes":', CAST(duration_minutes AS VARCHAR),
+    ',"revenue_eur":', CAST(revenue_eur AS VARCHAR), ',"error_code":null}') END AS raw
+  FROM numbered_events)""",
+    """
+raw_events AS (SELECT 2 * i AS arrival, raw FROM messages
+               UNION ALL SELECT 2 * (i + 5) + 1 AS arrival, raw FROM messages WHERE m = 7)""",
+    """
+decoded AS (SELECT *, j->>'event_id' AS event_id, j->>'event_type' AS event_type, j->>'timestamp' AS ts_text,
+                   j->>'station_id' AS station_id, j->>'session_id' AS session_id,
+                   j->>'soc_percent' AS soc, json_type(j, '$.soc_percent') AS soc_type,
+                   j->>'power_kw' AS power, j->>'energy_kwh' AS energy,
+                   TRY_CAST(replace(j->>'timestamp', '+00:00', '') AS TIMESTAMP) AS event_ts
+            FROM (SELECT *, json_valid(raw) AS is_json,
+                         CAST(CASE WHEN json_valid(raw) THEN raw ELSE '{}' END AS JSON) AS j FROM raw_events))""",
+    """
+ruled AS (SELECT *,
+    CASE WHEN NOT is_json THEN 'json_decode_error:malformed' END AS decode_reason,
+    CASE WHEN coalesce(event_id, '') = '' THEN 'missing_field:event_id'
+         WHEN coalesce(event_type, '') = '' THEN 'missing_field:event_type'
+         WHEN coalesce(ts_text, '') = '' THEN 'missing_field:timestamp'
+         WHEN coalesce(station_id, '') = '' THEN 'missing_field:station_id' END AS missing_rule,
+    CASE WHEN event_type NOT IN ('session_start', 'meter_update', 'session_stop', 'status_change', 'heartbeat',
+                                 'fault_alert') THEN concat('invalid_event_type:', event_type) END AS type_rule,
+    CASE WHEN event_ts IS NULL THEN concat('invalid_timestamp:''', ts_text, '''') END AS time_rule,
+    CASE WHEN event_type IN ('session_start', 'meter_update', 'session_stop') AND coalesce(session_id, '') = ''
+         THEN 'missing_field:session_id' END AS session_rule,
+    CASE WHEN soc IS NULL THEN NULL
+         WHEN soc_type = 'VARCHAR' AND TRY_CAST(soc AS INT) IS NULL THEN concat('invalid_soc_type:''', soc, '''')
+         WHEN TRY_CAST(soc AS DOUBLE) NOT BETWEEN 0 AND 100 THEN concat('soc_out_of_range:', soc) END AS soc_rule,
+    CASE WHEN power IS NULL THEN NULL
+         WHEN TRY_CAST(power AS DOUBLE) IS NULL THEN concat('invalid_power_kw_type:''', power, '''')
+         WHEN TRY_CAST(power AS DOUBLE) < 0 THEN concat('negative_power_kw:', power) END AS power_rule,
+    CASE WHEN energy IS NULL THEN NULL
+         WHEN TRY_CAST(energy AS DOUBLE) IS NULL THEN concat('invalid_energy_kwh_type:''', energy, '''')
+         WHEN TRY_CAST(energy AS DOUBLE) < 0 THEN concat('negative_energy_kwh:', energy) END AS energy_rule
+  FROM decoded)""",
+    """
+validated AS (SELECT *, coalesce(decode_reason, missing_rule, type_rule, time_rule, session_rule, soc_rule,
+                                 power_rule, energy_rule) AS reason FROM ruled)""",
+    """
+fresh AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY arrival) AS nth
+          FROM validated WHERE reason IS NULL) WHERE nth = 1)""",
+    """
+timed AS (SELECT *, max(event_ts) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS high_water
+          FROM fresh)""",
+)
+
+
+def _judged(lateness_s: int) -> tuple[str, ...]:
+    behind = f"(epoch_us(high_water) - CAST({lateness_s} AS BIGINT) * 1000000 - epoch_us(event_ts))"
+    seconds = f"CAST(round_even(CAST({behind} AS DECIMAL(20,0)) / 1000000, 0) AS BIGINT)"
+    return (
+        f"""
+judged AS (SELECT arrival, raw, event_id, event_type, station_id, event_ts, high_water, j,
+             CASE WHEN {behind} > 0 THEN concat('late_event:', CAST({seconds} AS VARCHAR), 's') END AS reason FROM timed)""",
+        """
+outcomes AS (SELECT arrival, raw, event_id, event_type, station_id, event_ts, reason FROM judged
+             UNION ALL SELECT arrival, raw, event_id, event_type, station_id, event_ts, reason
+             FROM validated WHERE reason IS NOT NULL)""",
+    )
+
+
+def on_messages(body: str, *ctes: str, lateness_s: int = 300) -> str:
+    return on_events(body, *RAW_CTES, *_judged(lateness_s), *ctes)
+
+
+def _typed(source: str) -> str:
+    """The 28 columns out of JSON; fields the messages do not carry get their defaults."""
+    def text(name: str) -> str:
+        return f"coalesce(j->>'{name}', '') AS {name}"
+
+    def number(name: str, kind: str) -> str:
+        return f"coalesce(CAST(j->>'{name}' AS {kind}), 0) AS {name}"
+
+    zero, none = "CAST(0 AS DOUBLE) AS {}", "'' AS {}"
+    columns = [
+        text("event_id"), text("event_type"), "date_trunc('millisecond', event_ts) AS timestamp", text("station_id"),
+        number("connector_id", "INT"), text("session_id"), text("network_id"), text("city"), none.format("country"),
+        zero.format("latitude"), zero.format("longitude"), none.format("charger_type"), number("power_kw", "DOUBLE"),
+        number("energy_kwh", "DOUBLE"), number("soc_percent", "INT"), none.format("vehicle_type"),
+        number("duration_minutes", "INT"), zero.format("price_per_kwh"), number("revenue_eur", "DOUBLE"),
+        none.format("status"), none.format("error_code"), none.format("component"), zero.format("voltage_v"),
+        zero.format("current_a"), none.format("vehicle_brand"), none.format("vehicle_model"),
+        none.format("vehicle_ev_id"), none.format("tariff_id"),
+    ]
+    return f"SELECT arrival, {', '.join(columns)} FROM {source}"
+
+
+def _rule(column: str) -> str:
+    return on_messages(f"SELECT arrival, {column} AS reason FROM ruled WHERE is_json AND {column} IS NOT NULL")
+
+
+SUMMARY = "SELECT split_part(reason, ':', 1) AS rule, count(*) AS events FROM outcomes WHERE reason IS NOT NULL GROUP BY 1"
+
+
+def ingest_sql() -> dict[str, str]:
+    late = "reason LIKE 'late_event:%'"
+    valid = "SELECT * FROM validated WHERE reason IS NULL"
+    return {
+        "i1_decode": on_messages("SELECT arrival, event_id, event_type, station_id, decode_reason FROM ruled"),
+        "i2a_missing_field": _rule("missing_rule"),
+        "i2b_event_type": _rule("type_rule"),
+        "i2c_timestamp": _rule("time_rule"),
+        "i2d_session_id": _rule("session_rule"),
+        "i2e_soc": _rule("soc_rule"),
+        "i2f_power": _rule("power_rule"),
+        "i2g_energy": _rule("energy_rule"),
+        "i2_validate": on_messages("SELECT arrival, reason FROM validated"),
+        "i3_conform_row": on_messages(_typed(f"({valid})")),
+        "i4_parse_ts": on_messages("SELECT arrival, event_ts FROM decoded"),
+        "i5_dedup": on_messages("SELECT arrival, event_id FROM fresh"),
+        "i6_watermark": on_messages("SELECT arrival, high_water FROM timed"),
+        "i7_late_split": on_messages("SELECT arrival, coalesce(reason, 'accepted') AS outcome FROM outcomes"),
+        "i8_lateness_param": on_messages(
+            f"SELECT arrival, event_id, reason FROM judged WHERE {late}", lateness_s=1800),
+        "i9_current_watermark": on_messages("SELECT max(event_ts) - INTERVAL 300 SECOND AS watermark_utc FROM fresh"),
+        "i10_ingest_metrics": on_messages(f"""
+            SELECT messages, accepted, dead_letters, duplicates, late,
+                   {rnd('CAST(100 AS DOUBLE) * duplicates / (tested + duplicates)', 2)} AS dedup_hit_pct,
+                   {rnd('CAST(100 AS DOUBLE) * late / tested', 2)} AS late_pct,
+                   {rnd('accepted / span', 3)} AS events_per_second
+            FROM (SELECT (SELECT count(*) FROM raw_events) AS messages,
+                         count(*) FILTER (WHERE reason IS NULL) AS accepted,
+                         count(*) FILTER (WHERE reason IS NOT NULL) AS dead_letters,
+                         (SELECT count(*) FROM raw_events) - count(*) AS duplicates,
+                         count(*) FILTER (WHERE {late}) AS late,
+                         (SELECT count(*) FROM fresh) AS tested,
+                         (max(epoch_us(event_ts)) FILTER (WHERE reason IS NULL)
+                          - min(epoch_us(event_ts)) FILTER (WHERE reason IS NULL)) / CAST(1000000 AS DOUBLE) AS span
+                  FROM outcomes)"""),
+        "i11_dead_letter_summary": on_messages(SUMMARY),
+        "i12_replay_late": on_messages(f"""
+            SELECT date_trunc('hour', timestamp) AS hour, network_id, city, country, charger_type,
+                   count(*) AS session_count, {rsum('energy_kwh')} AS total_energy_kwh,
+                   {rsum('revenue_eur')} AS total_revenue_eur,
+                   CAST(sum(duration_minutes) AS BIGINT) AS total_duration_minutes, {rsum('power_kw')} AS sum_power_kw
+            FROM typed WHERE event_type = 'session_stop' AND date_trunc('hour', timestamp) IN
+                 (SELECT date_trunc('hour', event_ts) FROM judged WHERE {late})
+            GROUP BY 1, 2, 3, 4, 5""", f"typed AS ({_typed('judged')})"),
+    }
+
+
+FACT_JSON = """concat('{"event_id":"', event_id, '","event_type":"', event_type, '","timestamp":"',
+    strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%f'), '+00:00","station_id":"', station_id,
+    '","connector_id":', connector_id, ',"session_id":"', session_id, '","network_id":"', network_id,
+    '","city":"', city, '","country":"', country, '","latitude":', latitude, ',"longitude":', longitude,
+    ',"charger_type":"', charger_type, '","power_kw":', power_kw, ',"energy_kwh":', energy_kwh,
+    ',"soc_percent":', soc_percent, ',"vehicle_type":"', vehicle_type, '","duration_minutes":', duration_minutes,
+    ',"price_per_kwh":', price_per_kwh, ',"revenue_eur":', revenue_eur, ',"status":"', status,
+    '","error_code":"', error_code, '","component":"', component, '","voltage_v":', voltage_v,
+    ',"current_a":', current_a, ',"vehicle_brand":"', vehicle_brand, '","vehicle_model":"', vehicle_model,
+    '","vehicle_ev_id":"', vehicle_ev_id, '","tariff_id":"', tariff_id, '"}')"""
+
+
+def storage_sql() -> dict[str, str]:
+    return {
+        "s1_event_source": on_messages("SELECT arrival, raw FROM raw_events"),
+        "s2_backfill_mode": on_messages(
+            SUMMARY + " UNION ALL SELECT 'accepted', count(*) FROM outcomes WHERE reason IS NULL", lateness_s=999_999),
+        "s3_fact_append": on_events("SELECT *, strftime(timestamp, '%Y-%m') AS event_month FROM ce"),
+        "s4_dead_letter_sink": on_messages("""
+            SELECT reason, coalesce(event_id, '') AS event_id, coalesce(event_type, '') AS event_type,
+                   event_ts AS timestamp, coalesce(station_id, '') AS station_id, raw AS raw_event
+            FROM outcomes WHERE reason IS NOT NULL"""),
+        "s5_export_day": on_events("SELECT * FROM ce WHERE CAST(timestamp AS DATE) = DATE '2024-01-15'"),
+        "s5_export_all": on_events("SELECT * FROM ce"),
+        "s6_retention": on_events(
+            f"SELECT event_id, timestamp FROM ce WHERE timestamp >= {AS_OF} - INTERVAL 10 DAY"),
+        "s7_fanout": on_messages("""
+            SELECT event_type, count(*) AS events, 'warehouse' AS consumer FROM judged WHERE reason IS NULL GROUP BY 1
+            UNION ALL SELECT event_type, count(*), 'live' FROM judged GROUP BY 1"""),
+        "s8_encode_publish": on_events(f"SELECT station_id AS key, {FACT_JSON} AS value FROM ce"),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**analytics_sql(), **rollup_sql(), **state_sql(), **report_sql(), **quality_sql()}
+    return {
+        **analytics_sql(), **rollup_sql(), **state_sql(), **report_sql(), **quality_sql(), **ingest_sql(),
+        **storage_sql(),
+    }

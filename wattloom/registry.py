@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from wattloom.functions.numeric import rnd
-from wattloom.operators import quality, rollups, state
+from wattloom.operators import ingest, lateness, quality, replay, rollups, state
+from wattloom.operators.conform import conform
+from wattloom.operators.decode import decode
+from wattloom.operators.validate import apply_rule, validate, with_event_time
 from wattloom.plans import analytics, report
-from wattloom.sources import testdata
+from wattloom.schema import BACKFILL_LATENESS_S, FACT_NAMES
+from wattloom.session import scratch_path
+from wattloom.sources import deadletter, export, fact, streams, testdata
+from wattloom.streaming import jobs, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -113,5 +120,128 @@ QUALITY: dict[str, Query] = {
 }
 
 
+def on_messages(job: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: plain_times(job(testdata.raw_events(spark, sf_dir)))
+
+
+def rule_query(rule: str) -> Query:
+    return on_messages(lambda raw: apply_rule(raw, rule))
+
+
+def valid_rows(raw: DataFrame) -> DataFrame:
+    return conform(validate(decode(raw)).filter("reason IS NULL"), "arrival")
+
+
+def late_messages(raw: DataFrame, lateness_s: int) -> DataFrame:
+    judged = ingest.classify(raw, lateness_s=lateness_s)
+    return judged.filter(F.col("reason").startswith("late_event:")).select("arrival", "event_id", "reason")
+
+
+def outcome(raw: DataFrame) -> DataFrame:
+    """What became of every message that is no duplicate."""
+    return ingest.classify(raw).select("arrival", F.coalesce("reason", F.lit("accepted")).alias("outcome"))
+
+
+def replayed(raw: DataFrame) -> DataFrame:
+    """The hours that late events belong to, computed again after their replay."""
+    judged = ingest.classify(raw)
+    facts = ingest.accepted(judged)
+    late = replay.replayed_rows(ingest.rejected(judged), facts)
+    return rounded(replay.recomputed_hours(facts, late))
+
+
+INGEST: dict[str, Query] = {
+    "i1_decode": on_messages(lambda raw: decode(raw).select("arrival", "event_id", "event_type", "station_id",
+                                                            "decode_reason")),
+    "i2a_missing_field": rule_query("missing_field"),
+    "i2b_event_type": rule_query("event_type"),
+    "i2c_timestamp": rule_query("timestamp"),
+    "i2d_session_id": rule_query("session_id"),
+    "i2e_soc": rule_query("soc"),
+    "i2f_power": rule_query("power"),
+    "i2g_energy": rule_query("energy"),
+    "i2_validate": on_messages(lambda raw: validate(decode(raw)).select("arrival", "reason")),
+    "i3_conform_row": on_messages(valid_rows),
+    "i4_parse_ts": on_messages(lambda raw: with_event_time(decode(raw)).select("arrival", "event_ts")),
+    "i5_dedup": on_messages(lambda raw: ingest.first_unseen(raw).filter("reason IS NULL").select("arrival", "event_id")),
+    "i6_watermark": on_messages(
+        lambda raw: ingest.classify(raw).filter("dedup_key LIKE 'id:%'").select("arrival", "high_water")),
+    "i7_late_split": on_messages(outcome),
+    "i8_lateness_param": on_messages(lambda raw: late_messages(raw, 1800)),
+    "i9_current_watermark": on_messages(
+        lambda raw: lateness.current_watermark(ingest.first_unseen(raw).filter("reason IS NULL"), ts="event_ts")),
+    "i10_ingest_metrics": on_messages(lambda raw: ingest.ingest_metrics(raw, ingest.classify(raw))),
+    "i11_dead_letter_summary": on_messages(
+        lambda raw: ingest.dead_letter_summary(ingest.rejected(ingest.classify(raw)))),
+    "i12_replay_late": on_messages(replayed),
+}
+
+
+def streamed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = streams.read_folder(spark, testdata.raw_event_folder(spark, sf_dir))
+    return jobs.drain(events, scratch_path(spark, "stream-copy"))
+
+
+def backfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome counts of the warehouse stream reading a whole log with the lateness test switched off."""
+    folder = scratch_path(spark, "backfill")
+    events = streams.read_folder(spark, testdata.raw_event_folder(spark, sf_dir))
+    jobs.start_warehouse(events, folder, BACKFILL_LATENESS_S).awaitTermination()
+    rejects = ingest.dead_letter_summary(deadletter.read_dead_letters(spark, f"{folder}/dead_letters"))
+    taken = fact.read_fact(spark, f"{folder}/fact").agg(F.count(F.lit(1)).alias("events"))
+    return rejects.unionByName(taken.select(F.lit("accepted").alias("rule"), "events"))
+
+
+def stored_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "fact")
+    fact.write_fact(testdata.charging_events(spark, sf_dir), path)
+    return plain_times(fact.read_fact(spark, path).select(*FACT_NAMES, "event_month"))
+
+
+def stored_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "dead-letters")
+    judged = ingest.classify(testdata.raw_events(spark, sf_dir))
+    deadletter.write_dead_letters(ingest.rejected(judged), path)
+    stored = deadletter.read_dead_letters(spark, path)
+    return plain_times(stored.select("reason", "event_id", "event_type", "timestamp", "station_id", "raw_event"))
+
+
+def exported(day: date | None) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, "export")
+        export.export(testdata.charging_events(spark, sf_dir), path, day)
+        return plain_times(spark.read.parquet(path))
+
+    return run
+
+
+def fanned_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two consumers of one stream, each with its own progress: events per type as each has counted them."""
+    folder = scratch_path(spark, "fanout")
+    source = testdata.raw_event_folder(spark, sf_dir)
+    warehouse = jobs.start_warehouse(
+        streams.read_folder(spark, source), f"{folder}/warehouse", run_as_backfill=True)
+    live = jobs.start_live(streams.read_folder(spark, source), f"{folder}/live", run_as_backfill=True)
+    for query in (warehouse, live):
+        query.awaitTermination()
+    taken = state.event_counts(fact.read_fact(spark, f"{folder}/warehouse/fact"))
+    counted = tables.read_partials(spark, f"{folder}/live/live", tables.LIVE_PARTIALS, "event_counts")
+    return taken.withColumn("consumer", F.lit("warehouse")).unionByName(
+        counted.withColumn("consumer", F.lit("live")))
+
+
+STORAGE: dict[str, Query] = {
+    "s1_event_source": streamed_messages,
+    "s2_backfill_mode": backfilled,
+    "s3_fact_append": stored_fact,
+    "s4_dead_letter_sink": stored_dead_letters,
+    "s5_export_day": exported(date(2024, 1, 15)),
+    "s5_export_all": exported(None),
+    "s6_retention": on_events(lambda df: fact.retain(df, days=10).select("event_id", "timestamp")),
+    "s7_fanout": fanned_out,
+    "s8_encode_publish": on_events(export.encode),
+}
+
+
 def queries() -> dict[str, Query]:
-    return {**ANALYTICS, **ROLLUPS, **STATE, **REPORT, **QUALITY}
+    return {**ANALYTICS, **ROLLUPS, **STATE, **REPORT, **QUALITY, **INGEST, **STORAGE}

@@ -52,7 +52,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return store(df, scratch_path(df.sparkSession, name))
+
+
+def store(df: DataFrame, path: str) -> DataFrame:
+    """Write a frame to a given folder, replacing what an earlier attempt left, and read it back."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    file_system, target = _file_system(spark, path)
+    return file_system.exists(target)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below a path; partition names, so their number is small."""
+    file_system, target = _file_system(spark, path)
+    if not file_system.exists(target):
+        return []
+    return [s.getPath().getName() for s in file_system.listStatus(target) if s.isDirectory()]
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    file_system, target = _file_system(spark, path)
+    file_system.delete(target, True)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wattloom.functions.joins import dimension_join
-from wattloom.schema import FACT_NAMES
-from wattloom.session import ensure_utc, materialize
+from wattloom.schema import FACT_NAMES, RAW_DDL
+from wattloom.session import ensure_utc, scratch_path
 
 # Declared so that no job has to open files to learn the types.
 TABLE_DDL = {
@@ -96,7 +96,7 @@ def charging_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_event_folder(spark: SparkSession, sf_dir: str) -> str:
     """The same events as JSON text with planted defects, resends and late rows: (arrival, raw).
 
     Written to the shared folder once, as a log would hold it, so that later plans start from stored text.
@@ -109,4 +109,10 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .selectExpr("explode(IF(m = 7, array(2 * i, 2 * (i + 5) + 1), array(2 * i))) AS arrival", MESSAGE)
     )
-    return materialize(messages, "raw-events")
+    path = scratch_path(spark, "raw-events")
+    messages.write.parquet(path)
+    return path
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(RAW_DDL).parquet(raw_event_folder(spark, sf_dir))
