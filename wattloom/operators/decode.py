@@ -21,17 +21,23 @@ _NOT_AN_OBJECT = "NOT (startswith(trim(raw), '{') AND endswith(trim(raw), '}'))"
 _DECODE_REASON = f"""CASE
     WHEN {_NOT_AN_OBJECT} AND NOT startswith(trim(raw), '{{') AND try_parse_json(raw) IS NOT NULL
       THEN 'json_decode_error:not_object'
-    WHEN {_NOT_AN_OBJECT} OR ev IS NULL OR ev._corrupt IS NOT NULL THEN 'json_decode_error:malformed' END"""
+    WHEN raw IS NULL OR {_NOT_AN_OBJECT} OR _corrupt IS NOT NULL THEN 'json_decode_error:malformed' END"""
+
+
+def evaluate_once(df: DataFrame) -> DataFrame:
+    """The same rows behind a generator. Catalyst rewrites a filter in terms of the expressions below it, which
+    would parse a message anew for every use of a field; it does not do so across a generator."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
 
 
 def decode(raw: DataFrame) -> DataFrame:
     """Adds `decode_reason`, the 28 fields as text, `<field>_quoted` and `<field>_number`. Parsed once."""
-    parsed = raw.withColumn("ev", F.from_json("raw", _JSON_DDL, _OPTIONS))
+    parsed = raw.select("*", F.inline(F.array(F.from_json("raw", _JSON_DDL, _OPTIONS))))
     texts = parsed.selectExpr(
         *raw.columns,
         f"{_DECODE_REASON} AS decode_reason",
-        *[f"CAST(ev.`{name}` AS STRING) AS `{name}`" for name in FACT_NAMES],
-        *[f"{quoted(f'ev.`{name}`')} AS {name}_quoted" for name in TYPED_FIELDS],
+        *[f"CAST(`{name}` AS STRING) AS `{name}`" for name in FACT_NAMES],
+        *[f"{quoted(f'`{name}`')} AS {name}_quoted" for name in TYPED_FIELDS],
     )
     ints = [f"{number(name, INT_TEXT)} AS {name}_number" for name in INT_FIELDS]
     doubles = [f"{number(name)} AS {name}_number" for name in NUMBER_FIELDS if name not in INT_FIELDS]

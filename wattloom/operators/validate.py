@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from wattloom.functions.jsonvalues import is_empty, parsed_time, shown
-from wattloom.operators.decode import decode
+from wattloom.operators.decode import decode, evaluate_once
 from wattloom.schema import EVENT_TYPES, SESSION_EVENT_TYPES
 
 # Fields no message may lack, in the order they are tested.
@@ -64,12 +64,16 @@ def with_event_time(decoded: DataFrame) -> DataFrame:
 
 
 def validate(decoded: DataFrame) -> DataFrame:
-    """Adds `event_ts` and `reason`; a null reason means valid."""
+    """Adds `event_ts` and `reason`; a null reason means valid. To filter by it directly, use `valid_only`."""
     first_broken = ", ".join(f"({rule})" for rule in RULES.values())
     return with_event_time(decoded).selectExpr("*", f"coalesce(decode_reason, {first_broken}) AS reason")
 
 
+def valid_only(decoded: DataFrame) -> DataFrame:
+    return evaluate_once(validate(decoded)).filter("reason IS NULL")
+
+
 def apply_rule(raw: DataFrame, rule: str) -> DataFrame:
     """One rule alone over the messages that decode: (arrival, reason) of those breaking it."""
-    checked = with_event_time(decode(raw)).filter("decode_reason IS NULL")
-    return checked.selectExpr("arrival", f"{RULES[rule]} AS reason").filter("reason IS NOT NULL")
+    tested = with_event_time(decode(raw)).selectExpr("arrival", "decode_reason", f"{RULES[rule]} AS reason")
+    return evaluate_once(tested).filter("decode_reason IS NULL AND reason IS NOT NULL").select("arrival", "reason")

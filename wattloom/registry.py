@@ -11,7 +11,7 @@ from wattloom.functions.numeric import rnd
 from wattloom.operators import ingest, lateness, quality, replay, rollups, state
 from wattloom.operators.conform import conform
 from wattloom.operators.decode import decode
-from wattloom.operators.validate import apply_rule, validate, with_event_time
+from wattloom.operators.validate import apply_rule, valid_only, validate, with_event_time
 from wattloom.plans import analytics, report
 from wattloom.schema import BACKFILL_LATENESS_S, FACT_NAMES
 from wattloom.session import scratch_path
@@ -129,7 +129,7 @@ def rule_query(rule: str) -> Query:
 
 
 def valid_rows(raw: DataFrame) -> DataFrame:
-    return conform(validate(decode(raw)).filter("reason IS NULL"), "arrival")
+    return conform(valid_only(decode(raw)), "arrival")
 
 
 def late_messages(raw: DataFrame, lateness_s: int) -> DataFrame:
