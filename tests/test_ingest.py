@@ -9,7 +9,7 @@ import pytest
 from wattloom.operators import ingest, lateness, replay
 from wattloom.operators.conform import conform_raw
 from wattloom.operators.decode import decode
-from wattloom.operators.validate import validate, with_event_time
+from wattloom.operators.validate import validate
 from wattloom.schema import FACT_NAMES, RAW_DDL
 
 BASE = {"event_id": "e", "event_type": "meter_update", "timestamp": "2024-06-15T10:00:00Z", "station_id": "N_S1",
@@ -99,7 +99,7 @@ def test_event_times(spark):
         "10:00:00": None,
     }
     raw = raw_frame(spark, [message(timestamp=t) for t in forms])
-    rows = with_event_time(decode(raw)).selectExpr("arrival", "CAST(event_ts AS timestamp_ntz) AS t").collect()
+    rows = decode(raw).selectExpr("arrival", "CAST(event_ts AS timestamp_ntz) AS t").collect()
     assert {list(forms)[r.arrival]: r.t for r in rows} == forms
 
 

@@ -4,43 +4,46 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from wattloom.functions.jsonvalues import no_number, parsed_time, shown
+from wattloom.functions.jsonvalues import quoted, shown, stands_for_zero
 from wattloom.operators.decode import INT_FIELDS, NUMBER_FIELDS, decode
 from wattloom.schema import FACT_COLUMNS
 
 
 def _converted(name: str, type_: str) -> str:
     if type_ == "int":
-        return f"IF({no_number(name)}, 0, try_cast({name}_number AS INT))"
+        return f"coalesce(try_cast({name}_number AS INT), IF({stands_for_zero(name)}, 0, NULL))"
     if type_ == "double":
-        return f"IF({no_number(name)}, 0D, {name}_number)"
+        return f"coalesce({name}_number, IF({stands_for_zero(name)}, 0D, NULL))"
     if type_ == "timestamp":
-        return f"date_trunc('MILLISECOND', coalesce({parsed_time('`timestamp`')}, current_timestamp()))"
+        return "date_trunc('MILLISECOND', coalesce(event_ts, current_timestamp()))"
     return f"coalesce(`{name}`, '')"
 
 
 def with_conversion_error(decoded: DataFrame) -> DataFrame:
     """Adds `conversion_error`: the reject reason of the first field, in column order, that is no number."""
-    failed = [
-        f"WHEN {'try_cast(%s_number AS INT)' % name if name in INT_FIELDS else '%s_number' % name} IS NULL"
-        f" AND NOT {no_number(name)} THEN '{name}'"
-        for name in NUMBER_FIELDS
-    ]
-    values = " ".join(f"WHEN '{name}' THEN struct({name} AS text, {name}_quoted AS quoted)" for name in NUMBER_FIELDS)
+    tests, values = [], []
+    for name in NUMBER_FIELDS:
+        converted = f"try_cast({name}_number AS INT)" if name in INT_FIELDS else f"{name}_number"
+        tests.append(f"WHEN {converted} IS NULL AND NOT {stands_for_zero(name)} THEN '{name}'")
+        values.append(f"WHEN '{name}' THEN struct({name} AS value, {quoted(name)} AS quoted)")
     ints = ", ".join(f"'{name}'" for name in INT_FIELDS)
     complaint = f"""IF(failed IN ({ints}), 'invalid literal for int() with base 10: ',
         'could not convert string to float: ')"""
     return (
-        decoded.selectExpr("*", f"CASE {' '.join(failed)} END AS failed")
-        .selectExpr("*", f"CASE failed {values} END AS bad")
-        .selectExpr("*", "bad.text AS bad_text", "bad.quoted AS bad_text_quoted")
-        .selectExpr("*", f"concat('row_conversion_error:', {complaint}, {shown('bad_text')}) AS conversion_error")
-        .drop("failed", "bad", "bad_text", "bad_text_quoted")
+        decoded.selectExpr("*", f"CASE {' '.join(tests)} END AS failed")
+        .selectExpr("*", f"CASE failed {' '.join(values)} END AS bad")
+        .selectExpr("*", f"concat('row_conversion_error:', {complaint}, {shown('bad.value', 'bad.quoted')}) "
+                         "AS conversion_error")
+        .drop("failed", "bad")
     )
 
 
+def fact_columns() -> list[str]:
+    return [f"{_converted(name, type_)} AS `{name}`" for name, type_ in FACT_COLUMNS]
+
+
 def conform(decoded: DataFrame, *keep: str) -> DataFrame:
-    return decoded.selectExpr(*keep, *[f"{_converted(name, type_)} AS `{name}`" for name, type_ in FACT_COLUMNS])
+    return decoded.selectExpr(*keep, *fact_columns())
 
 
 def conform_raw(messages: DataFrame, *keep: str) -> DataFrame:

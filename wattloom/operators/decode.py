@@ -1,20 +1,16 @@
-"""JSON text to flat columns: every field as text, typed fields with a string flag, number fields as numbers."""
+"""JSON text to flat columns: every field as text, number fields also as numbers, the event time."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from wattloom.functions.jsonvalues import INT_TEXT, number, quoted
+from wattloom.functions.jsonvalues import as_double, as_whole, bare_text, parsed_time
 from wattloom.schema import FACT_COLUMNS, FACT_NAMES
 
-# Fields whose JSON type matters for validation or conversion; the others are taken as text.
 INT_FIELDS = [name for name, type_ in FACT_COLUMNS if type_ == "int"]
 NUMBER_FIELDS = [name for name, type_ in FACT_COLUMNS if type_ in ("int", "double")]
-TYPED_FIELDS = ["event_id", "event_type", "timestamp", "station_id", "session_id", *NUMBER_FIELDS]
 
-_JSON_DDL = ", ".join(
-    [f"`{name}` {'VARIANT' if name in TYPED_FIELDS else 'STRING'}" for name in FACT_NAMES] + ["_corrupt STRING"]
-)
+_JSON_DDL = ", ".join([f"`{name}` STRING" for name in FACT_NAMES] + ["_corrupt STRING"])
 _OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "allowNonNumericNumbers": "true"}
 
 _NOT_AN_OBJECT = "NOT (startswith(trim(raw), '{') AND endswith(trim(raw), '}'))"
@@ -31,14 +27,15 @@ def evaluate_once(df: DataFrame) -> DataFrame:
 
 
 def decode(raw: DataFrame) -> DataFrame:
-    """Adds `decode_reason`, the 28 fields as text, `<field>_quoted` and `<field>_number`. Parsed once."""
+    """Adds `decode_reason`, the 28 fields as text, `<field>_number` for the numbers, and `event_ts`."""
     parsed = raw.select("*", F.inline(F.array(F.from_json("raw", _JSON_DDL, _OPTIONS))))
     texts = parsed.selectExpr(
         *raw.columns,
         f"{_DECODE_REASON} AS decode_reason",
-        *[f"CAST(`{name}` AS STRING) AS `{name}`" for name in FACT_NAMES],
-        *[f"{quoted(f'`{name}`')} AS {name}_quoted" for name in TYPED_FIELDS],
+        *[f"{bare_text(name)} AS `{name}`" if name in NUMBER_FIELDS else f"`{name}`" for name in FACT_NAMES],
+    )
+    return texts.selectExpr(
+        "*",
+        *[f"{as_whole(name) if name in INT_FIELDS else as_double(name)} AS {name}_number" for name in NUMBER_FIELDS],
+        f"{parsed_time('`timestamp`')} AS event_ts",
     )
-    ints = [f"{number(name, INT_TEXT)} AS {name}_number" for name in INT_FIELDS]
-    doubles = [f"{number(name)} AS {name}_number" for name in NUMBER_FIELDS if name not in INT_FIELDS]
-    return texts.selectExpr("*", *ints, *doubles)

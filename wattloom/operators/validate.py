@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from wattloom.functions.jsonvalues import is_empty, parsed_time, shown
+from wattloom.functions.jsonvalues import is_empty, shown_field
 from wattloom.operators.decode import decode, evaluate_once
 from wattloom.schema import EVENT_TYPES, SESSION_EVENT_TYPES
 
@@ -26,7 +26,7 @@ def event_type_rule() -> str:
 
 
 def timestamp_rule() -> str:
-    return f"IF(event_ts IS NULL, concat('invalid_timestamp:', {shown('timestamp')}), NULL)"
+    return f"IF(event_ts IS NULL, concat('invalid_timestamp:', {shown_field('timestamp')}), NULL)"
 
 
 def session_id_rule() -> str:
@@ -36,15 +36,15 @@ def session_id_rule() -> str:
 
 def soc_rule() -> str:
     """Cut toward zero before the range test, so anything above -1 and below 101 is in range."""
-    return f"""CASE WHEN soc_percent IS NULL OR (soc_percent_number > -1 AND soc_percent_number < 101) THEN NULL
+    return f"""CASE WHEN (soc_percent_number > -1 AND soc_percent_number < 101) OR soc_percent IS NULL THEN NULL
         WHEN soc_percent_number IS NULL OR isnan(soc_percent_number) OR abs(soc_percent_number) = double('infinity')
-          THEN concat('invalid_soc_type:', {shown('soc_percent')})
+          THEN concat('invalid_soc_type:', {shown_field('soc_percent')})
         ELSE concat('soc_out_of_range:', soc_percent) END"""
 
 
 def non_negative_rule(field: str) -> str:
-    return f"""CASE WHEN {field} IS NULL OR {field}_number >= 0 THEN NULL
-        WHEN {field}_number IS NULL THEN concat('invalid_{field}_type:', {shown(field)})
+    return f"""CASE WHEN {field}_number >= 0 OR {field} IS NULL THEN NULL
+        WHEN {field}_number IS NULL THEN concat('invalid_{field}_type:', {shown_field(field)})
         ELSE concat('negative_{field}:', {field}) END"""
 
 
@@ -59,14 +59,10 @@ RULES = {
 }
 
 
-def with_event_time(decoded: DataFrame) -> DataFrame:
-    return decoded.selectExpr("*", f"{parsed_time('`timestamp`')} AS event_ts")
-
-
 def validate(decoded: DataFrame) -> DataFrame:
-    """Adds `event_ts` and `reason`; a null reason means valid. To filter by it directly, use `valid_only`."""
+    """Adds `reason`; a null reason means valid. To filter by it directly, use `valid_only`."""
     first_broken = ", ".join(f"({rule})" for rule in RULES.values())
-    return with_event_time(decoded).selectExpr("*", f"coalesce(decode_reason, {first_broken}) AS reason")
+    return decoded.selectExpr("*", f"coalesce(decode_reason, {first_broken}) AS reason")
 
 
 def valid_only(decoded: DataFrame) -> DataFrame:
@@ -75,5 +71,5 @@ def valid_only(decoded: DataFrame) -> DataFrame:
 
 def apply_rule(raw: DataFrame, rule: str) -> DataFrame:
     """One rule alone over the messages that decode: (arrival, reason) of those breaking it."""
-    tested = with_event_time(decode(raw)).selectExpr("arrival", "decode_reason", f"{RULES[rule]} AS reason")
+    tested = decode(raw).selectExpr("arrival", "decode_reason", f"{RULES[rule]} AS reason")
     return evaluate_once(tested).filter("decode_reason IS NULL AND reason IS NOT NULL").select("arrival", "reason")

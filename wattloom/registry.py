@@ -11,7 +11,7 @@ from wattloom.functions.numeric import rnd
 from wattloom.operators import ingest, lateness, quality, replay, rollups, state
 from wattloom.operators.conform import conform
 from wattloom.operators.decode import decode
-from wattloom.operators.validate import apply_rule, valid_only, validate, with_event_time
+from wattloom.operators.validate import apply_rule, valid_only, validate
 from wattloom.plans import analytics, report
 from wattloom.schema import BACKFILL_LATENESS_S, FACT_NAMES
 from wattloom.session import scratch_path
@@ -162,7 +162,7 @@ INGEST: dict[str, Query] = {
     "i2g_energy": rule_query("energy"),
     "i2_validate": on_messages(lambda raw: validate(decode(raw)).select("arrival", "reason")),
     "i3_conform_row": on_messages(valid_rows),
-    "i4_parse_ts": on_messages(lambda raw: with_event_time(decode(raw)).select("arrival", "event_ts")),
+    "i4_parse_ts": on_messages(lambda raw: decode(raw).select("arrival", "event_ts")),
     "i5_dedup": on_messages(lambda raw: ingest.first_unseen(raw).filter("reason IS NULL").select("arrival", "event_id")),
     "i6_watermark": on_messages(
         lambda raw: ingest.classify(raw).filter("dedup_key LIKE 'id:%'").select("arrival", "high_water")),

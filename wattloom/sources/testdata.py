@@ -81,6 +81,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_DDL[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _spread(df: DataFrame, scan: DataFrame) -> DataFrame:
+    """Rows over all cores when their file is too small to be read by several tasks; a large one stays as stored."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if scan.rdd.getNumPartitions() < cores else df
+
+
 def charging_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events x customer x nation x region -> the 28 fact columns."""
     ensure_utc(spark)
@@ -102,7 +108,7 @@ def raw_event_folder(spark: SparkSession, sf_dir: str) -> str:
     Written to the shared folder once, as a log would hold it, so that later plans start from stored text.
     """
     messages = (
-        charging_events(spark, sf_dir)
+        _spread(charging_events(spark, sf_dir), _table(spark, sf_dir, "events"))
         .selectExpr(
             "*", "CAST(event_id AS BIGINT) AS i", "CAST(event_id AS BIGINT) % 100 AS m",
             "IF(CAST(event_id AS BIGINT) % 37 = 5, timestamp - INTERVAL 1 HOUR, timestamp) AS shown",
