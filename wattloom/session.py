@@ -8,16 +8,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Session settings every job relies on. Hour and day buckets are UTC. HotSpot compiles no method beyond 8000 bytes of
+# bytecode, so a stage that would generate a larger one runs as separate, compiled projections instead.
+RUNTIME_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
 def build_session(app: str = "wattloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs rely on; cluster sizing stays with spark-submit."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     defaults = {
-        "spark.sql.session.timeZone": "UTC",
+        **RUNTIME_SETTINGS,
         "spark.ui.showConsoleProgress": "false",
-        # HotSpot does not JIT methods beyond 8000 bytes of bytecode; larger stages run as separate projections.
-        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -27,10 +33,11 @@ def build_session(app: str = "wattloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def ensure_utc(spark: SparkSession) -> None:
-    """All event times are UTC; hour and day buckets depend on it."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare(spark: SparkSession) -> None:
+    """The same settings on a session built elsewhere."""
+    for key, value in RUNTIME_SETTINGS.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wattloom.functions.joins import dimension_join
 from wattloom.schema import FACT_NAMES, RAW_DDL
-from wattloom.session import ensure_utc, scratch_path
+from wattloom.session import prepare, scratch_path
 
 # Declared so that no job has to open files to learn the types.
 TABLE_DDL = {
@@ -89,7 +89,7 @@ def _spread(df: DataFrame, scan: DataFrame) -> DataFrame:
 
 def charging_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events x customer x nation x region -> the 28 fact columns."""
-    ensure_utc(spark)
+    prepare(spark)
     events = _table(spark, sf_dir, "events").selectExpr(
         "event_id", "ts", "user_id AS u", "value", "event_type AS source_type",
         "CAST(get_json_object(props, '$.k') AS INT) AS k",

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wattloom.operators import ingest
 from wattloom.operators.lateness import BLOCK
 from wattloom.schema import MAX_LATENESS_S
-from wattloom.session import drop_folder, ensure_utc, store
+from wattloom.session import drop_folder, prepare, store
 from wattloom.sources.deadletter import write_dead_letters
 from wattloom.sources.fact import read_fact, write_fact
 from wattloom.sources.streams import trigger_of, with_arrival
@@ -27,7 +27,7 @@ NEVER_LATE_S = 10**9
 def _classified(batch: DataFrame, batch_id: int, folder: str, lateness_s: int, block: int):
     """The micro-batch classified against the past, plus the past itself."""
     spark = batch.sparkSession
-    ensure_utc(spark)
+    prepare(spark)
     progress = Progress(spark, f"{folder}/state")
     high_water = progress.high_water(batch_id)
     raw = store(with_arrival(batch), f"{folder}/stage/messages")
