@@ -138,6 +138,25 @@ def test_a_repeated_batch_replaces_its_own_rows(spark, chunks, tmp_path):
     assert warehouse_state(spark, folder) == before
 
 
+def test_replay_fills_facts_and_rollups_once(spark, chunks, tmp_path):
+    raw, pieces = chunks
+    folder = str(tmp_path / "warehouse")
+    run = jobs.warehouse_batch(folder)
+    for number, piece in enumerate(pieces):
+        run(piece, number)
+    for replay_id in ("one", "one", "two"):
+        jobs.replay_late(spark, folder, replay_id)
+    whole = ingest.accepted(ingest.classify(raw, lateness_s=jobs.NEVER_LATE_S))
+    assert rows(fact.read_fact(spark, f"{folder}/fact").select(*FACT_NAMES)) == rows(whole.select(*FACT_NAMES))
+    from wattloom.operators import rollups
+
+    assert rows(tables.read_errors_daily(spark, f"{folder}/rollups")) == rows(rollups.errors_daily(whole))
+    stored = tables.read_partials(spark, f"{folder}/rollups", tables.ROLLUP_PARTIALS, "network_revenue_daily")
+    expected = rollups.network_revenue_daily(whole)
+    counts = ["day", "network_id", "session_count"]
+    assert rows(stored.select(counts)) == rows(expected.select(counts))
+
+
 def test_live_consumer_counts_late_events_too(spark, chunks, tmp_path):
     raw, pieces = chunks
     folder = str(tmp_path / "live")

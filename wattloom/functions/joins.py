@@ -13,6 +13,10 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    return F.broadcast(df) if estimated_bytes(df) <= limit else df
+
+
 def dimension_join(
     fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, spread: str, limit: int = BROADCAST_BYTES
 ) -> DataFrame:

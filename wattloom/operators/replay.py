@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from wattloom.functions.joins import broadcast_if_small
 from wattloom.functions.windows import hour_bucket
 from wattloom.operators.conform import conform_raw
 from wattloom.operators.rollups import sessions_hourly
@@ -14,11 +15,24 @@ def late_letters(letters: DataFrame) -> DataFrame:
     return letters.filter(F.col("reason").startswith("late_event:"))
 
 
-def replayed_rows(letters: DataFrame, fact: DataFrame) -> DataFrame:
-    """Fact rows of the late dead letters, one per event id, without those the fact already has."""
+def late_rows(letters: DataFrame) -> DataFrame:
+    """Fact rows of the late dead letters, one per event id."""
     late = late_letters(letters).groupBy("event_id").agg(F.min("raw_event").alias("raw"))
-    rows = conform_raw(late.select("raw")).select(*FACT_NAMES)
-    return rows.join(fact.select("event_id"), "event_id", "left_anti").select(*FACT_NAMES)
+    return conform_raw(late.select("raw")).select(*FACT_NAMES)
+
+
+def not_in_fact(rows: DataFrame, fact: DataFrame) -> DataFrame:
+    """Rows whose event id the fact table lacks.
+
+    The ids in question are looked up in the fact table, not the other way round: few of them, once stored, are
+    broadcast and the fact table is only scanned.
+    """
+    known = fact.select("event_id").join(broadcast_if_small(rows.select("event_id")), "event_id", "left_semi").distinct()
+    return rows.join(known, "event_id", "left_anti").select(*FACT_NAMES)
+
+
+def replayed_rows(letters: DataFrame, fact: DataFrame) -> DataFrame:
+    return not_in_fact(late_rows(letters), fact)
 
 
 def recomputed_hours(fact: DataFrame, replayed: DataFrame) -> DataFrame:

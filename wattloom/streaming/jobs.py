@@ -9,14 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from wattloom.operators import ingest
+from wattloom.operators import ingest, replay
 from wattloom.operators.lateness import BLOCK
 from wattloom.schema import MAX_LATENESS_S
 from wattloom.session import drop_folder, prepare, store
-from wattloom.sources.deadletter import write_dead_letters
+from wattloom.sources.deadletter import read_dead_letters, write_dead_letters
 from wattloom.sources.fact import read_fact, write_fact
 from wattloom.sources.streams import trigger_of, with_arrival
 from wattloom.streaming.tables import LIVE_PARTIALS, ROLLUP_PARTIALS, Progress, write_partials
@@ -69,6 +69,22 @@ def live_batch(folder: str, block: int = BLOCK) -> Callable:
     return run
 
 
+def replay_late(spark: SparkSession, folder: str, replay_id: str) -> None:
+    """Put the late dead letters of a warehouse back: fact rows, and the rollup partials of exactly those rows.
+
+    Rollups are additive, so the touched hours and days come out as if computed again. The same replay run twice
+    replaces its own rows; a later replay finds them in the fact table and adds nothing.
+    """
+    prepare(spark)
+    batch, stage = f"replay-{replay_id}", f"{folder}/stage-replay-{replay_id}"
+    rows = store(replay.late_rows(read_dead_letters(spark, f"{folder}/dead_letters")), f"{stage}/late")
+    others = read_fact(spark, f"{folder}/fact").filter(F.col("batch_id") != batch)
+    missing = store(replay.not_in_fact(rows, others), f"{stage}/missing")
+    write_fact(missing, f"{folder}/fact", batch)
+    write_partials(missing, f"{folder}/rollups", ROLLUP_PARTIALS, batch)
+    drop_folder(spark, stage)
+
+
 def _start(events: DataFrame, run: Callable, folder: str, lateness_s: int, name: str) -> StreamingQuery:
     return (
         events.writeStream.queryName(name)

@@ -33,7 +33,7 @@ def empty_facts(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], FACT_DDL)
 
 
-def write_partials(facts: DataFrame, folder: str, partials: dict[str, tuple[Fold, Fold]], batch_id: int) -> None:
+def write_partials(facts: DataFrame, folder: str, partials: dict[str, tuple[Fold, Fold]], batch_id: int | str) -> None:
     for name, (partial, _) in partials.items():
         partial(facts).write.mode("overwrite").parquet(f"{folder}/{name}/batch_id={batch_id}")
 
