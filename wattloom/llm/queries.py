@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import mixing, quality
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,7 +18,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    took = mixing.take(table(spark, sf_dir, "documents"))
+    return took.withColumnRenamed("key", "doc_id")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op4_quality_rules": op4_quality_rules,
+        "op8_source_mix": op8_source_mix,
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .mixing import MODULUS, STEP, MixRules
 from .quality import CHAR_CLASSES, COMMON_WORDS, PUNCTUATION, QualityRules
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -60,7 +61,41 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM d"""
 
 
+def mix_sql(rules: MixRules = MixRules()) -> str:
+    weights = "[" + ", ".join(map(str, rules.weights)) + "]"
+    words = rules.block_words
+    return f"""
+WITH d AS (SELECT doc_id, source, len({WORDS})::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, {weights}[1 + ((row_number() OVER (ORDER BY source NULLS LAST)) - 1)
+        % {len(rules.weights)}]::DOUBLE AS w, sum(size)::DOUBLE * {rules.max_epochs} AS cap
+      FROM d GROUP BY source),
+l AS (SELECT *, (sum(source_size) OVER () * {rules.percent_of_all / 100} - coalesce(sum(cap) OVER b, 0))
+        / (sum(w) OVER () - coalesce(sum(w) OVER b, 0)) AS level
+      FROM s WINDOW b AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT source, source_size, CASE WHEN cap <= level * w THEN cap
+        ELSE max(CASE WHEN cap > level * w THEN level END) OVER () * w END AS target FROM l),
+h AS (SELECT *, round(sum(target) OVER (ORDER BY source NULLS LAST ROWS UNBOUNDED PRECEDING)
+        / (sum(target) OVER ()) * {MODULUS})::BIGINT AS high FROM t WHERE target > 0),
+b AS (SELECT *, coalesce(lag(high) OVER (ORDER BY high, source NULLS LAST), 0) AS low FROM h),
+k AS (SELECT k, (k % {MODULUS}) * {STEP} % {MODULUS} AS point
+      FROM range((SELECT ceil(sum(target) / {words})::BIGINT FROM t)) r(k)),
+slots AS (SELECT source, row_number() OVER (PARTITION BY source ORDER BY k) - 1 AS rank
+          FROM k JOIN b ON point >= low AND point < high),
+o AS (SELECT d.*, source_size, target, sum(size) OVER (PARTITION BY d.source
+        ORDER BY ('0x' || substr(md5('{rules.seed}:' || doc_id), 1, 15))::BIGINT, doc_id
+        ROWS UNBOUNDED PRECEDING) - size AS start
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+p AS (SELECT *, start + e * source_size AS a, start + e * source_size + size AS z
+      FROM o, range({rules.max_epochs}) r(e) WHERE size > 0),
+x AS (SELECT p.*, unnest(range((a // {words})::BIGINT, ((z - 1) // {words})::BIGINT + 1)) AS rank FROM p WHERE a < target),
+u AS (SELECT doc_id, sum(greatest(least(z, (rank + 1) * {words}, round(target)::BIGINT) - greatest(a, rank * {words}), 0))
+        AS taken
+      FROM x JOIN slots USING (source, rank) GROUP BY doc_id)
+SELECT o.doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM o LEFT JOIN u USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_quality_rules": quality_sql(),
+        "op8_source_mix": mix_sql(),
     }
