@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # The white space of the contracts; everything between two of these characters is a word.
@@ -42,3 +42,19 @@ def whole_row(df: DataFrame) -> Column:
 def parts_for(rows: int, per_part: int) -> int:
     """How many groups of about per_part rows cover a table; grows with it."""
     return max(1, -(-rows // per_part))
+
+
+def running_sum(df: DataFrame, keys: list[str], group: str, order: list[Column], value: Column, name: str) -> DataFrame:
+    """Sum of `value` over the rows before a row in its `keys`, ordered by `group` and then by `order`.
+
+    Two levels: within groups, which the caller keeps of bounded size, and over the totals of the groups. So a key with
+    most of the rows is spread over as many tasks as it has groups.
+    """
+    sums = df.groupBy(*keys, group).agg(F.sum(value).alias("_in_group"))
+    earlier = Window.partitionBy(*keys).orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.withColumn("_start", F.coalesce(F.sum("_in_group").over(earlier), F.lit(0))).drop("_in_group")
+    within = Window.partitionBy(*keys, group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    df = df.withColumn("_within", F.coalesce(F.sum(value).over(within), F.lit(0)))
+    match = [df[k].eqNullSafe(starts[k]) for k in (*keys, group)]
+    placed = df.join(starts, match, "inner").select(*[df[c] for c in df.columns], "_start")
+    return placed.withColumn(name, F.col("_start") + F.col("_within")).drop("_start", "_within")

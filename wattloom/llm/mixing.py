@@ -17,12 +17,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattloom.session import materialize
 
-from .common import parts_for, whole_row, word_count
+from .common import parts_for, running_sum, whole_row, word_count
 
 # Points are multiples of 1 / 2**31; the step is 2**31 over the golden ratio, rounded to an odd number.
 MODULUS = 2147483648
@@ -65,18 +65,6 @@ def targets(sizes: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     return df.select("source", "source_size", share.alias("target"))
 
 
-def _running(df: DataFrame, keys: list[str], group: str, order: list[Column], value: Column, name: str) -> DataFrame:
-    """Sum of `value` over the rows before a row in its `keys`, ordered by `group` and then by `order`."""
-    sums = df.groupBy(*keys, group).agg(F.sum(value).alias("_in_group"))
-    earlier = Window.partitionBy(*keys).orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.withColumn("_start", F.coalesce(F.sum("_in_group").over(earlier), F.lit(0))).drop("_in_group")
-    within = Window.partitionBy(*keys, group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    df = df.withColumn("_within", F.coalesce(F.sum(value).over(within), F.lit(0)))
-    match = [df[k].eqNullSafe(starts[k]) for k in (*keys, group)]
-    placed = df.join(starts, match, "inner").select(*[df[c] for c in df.columns], "_start")
-    return placed.withColumn(name, F.col("_start") + F.col("_within")).drop("_start", "_within")
-
-
 def schedule(spark, shares: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     """source, rank of every slot of the mix; the number of slots is the mix divided by the block."""
     total = shares.agg(F.coalesce(F.sum("target"), F.lit(0.0)).alias("total")).first()["total"]
@@ -94,7 +82,7 @@ def schedule(spark, shares: DataFrame, rules: MixRules = MixRules()) -> DataFram
     points = points.withColumn("_cell", F.floor(F.col("_point") / width))
     drawn = points.join(bounds, "_cell").where("_low <= _point and _point < _high")
     drawn = drawn.select("source", "_k", F.floor(F.col("_k") / rules.rows_per_group).alias("_group"))
-    ranked = _running(drawn, ["source"], "_group", [F.col("_k")], F.lit(1), "rank")
+    ranked = running_sum(drawn, ["source"], "_group", [F.col("_k")], F.lit(1), "rank")
     return ranked.select("source", "rank")
 
 
@@ -116,7 +104,7 @@ def take(docs: DataFrame, rules: MixRules = MixRules(), text: str = "text", sour
     stream = sizes.where("size > 0").withColumn("_order", F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"))
     stream = stream.withColumn("_group", F.shiftright(F.shiftright("_order", 30) * groups, 30))
     order = [F.col(c) for c in ("_order", "key", "size", "uid")]
-    stream = _running(stream, ["source"], "_group", order, F.col("size"), "_offset")
+    stream = running_sum(stream, ["source"], "_group", order, F.col("size"), "_offset")
 
     known = shares.select("source", "source_size", "target")
     stream = stream.join(known, stream["source"].eqNullSafe(known["source"])).drop(known["source"])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality
+from . import lengths, mixing, packing, quality
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,13 +18,23 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lengths.totals(lengths.histogram(table(spark, sf_dir, "documents")))
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     took = mixing.take(table(spark, sf_dir, "documents"))
     return took.withColumnRenamed("key", "doc_id")
 
 
+def op9_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op4_quality_rules": op4_quality_rules,
+        "op5_token_lengths": op5_token_lengths,
         "op8_source_mix": op8_source_mix,
+        "op9_harmonic_packing": op9_harmonic_packing,
     }
