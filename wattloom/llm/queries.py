@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lengths, mixing, packing, quality
+from . import jaccard, lengths, mixing, packing, quality
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op5_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.totals(lengths.histogram(table(spark, sf_dir, "documents")))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     took = mixing.take(table(spark, sf_dir, "documents"))
     return took.withColumnRenamed("key", "doc_id")
@@ -35,6 +39,7 @@ def queries() -> dict[str, Query]:
     return {
         "op4_quality_rules": op4_quality_rules,
         "op5_token_lengths": op5_token_lengths,
+        "op7_jaccard_join": op7_jaccard_join,
         "op8_source_mix": op8_source_mix,
         "op9_harmonic_packing": op9_harmonic_packing,
     }
