@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import jaccard, lengths, mixing, packing, quality
+from . import jaccard, lengths, mixing, packing, pii, quality
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +23,12 @@ def op5_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.totals(lengths.histogram(table(spark, sf_dir, "documents")))
 
 
+def op6_disguised_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    counts = [f"n_{kind}" for kind in pii.KINDS]
+    return found.select(F.col("key").alias("doc_id"), *counts, F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
@@ -39,6 +46,7 @@ def queries() -> dict[str, Query]:
     return {
         "op4_quality_rules": op4_quality_rules,
         "op5_token_lengths": op5_token_lengths,
+        "op6_disguised_pii": op6_disguised_pii,
         "op7_jaccard_join": op7_jaccard_join,
         "op8_source_mix": op8_source_mix,
         "op9_harmonic_packing": op9_harmonic_packing,
