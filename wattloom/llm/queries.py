@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, lengths, mixing, packing, pii, quality
+from . import jaccard, lengths, mixing, packing, pii, quality, suffix_tree
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,10 @@ def op9_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
 
 
+def op10_suffix_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op4_quality_rules": op4_quality_rules,
@@ -50,4 +54,5 @@ def queries() -> dict[str, Query]:
         "op7_jaccard_join": op7_jaccard_join,
         "op8_source_mix": op8_source_mix,
         "op9_harmonic_packing": op9_harmonic_packing,
+        "op10_suffix_tree_score": op10_suffix_tree_score,
     }
