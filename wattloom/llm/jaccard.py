@@ -29,12 +29,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattloom.session import materialize
 
-from .common import small_batches
+from .common import small_batches, whole_row
 
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -344,3 +344,17 @@ def join(docs: DataFrame, rules: JoinRules = JoinRules(), text: str = "text", ke
     full = signed.join(named, "set_id", "left")
     return full.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce(
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")), F.col("doc_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, rules: JoinRules = JoinRules(), text: str = "text", key: str = "doc_id") -> DataFrame:
+    """docs with one row of each component: that of its smallest id, and of several rows with this id one. Rows without
+    words or without an id stay."""
+    numbered = docs.select(whole_row(docs).alias("row"), F.col(f"`{key}`").cast("long").alias("doc_id"),
+                           F.col(f"`{text}`").alias("text"))
+    joined = materialize(join(numbered, rules), "joined")
+    goes = joined.where("doc_id <> component_id").select("doc_id")
+    kept = numbered.join(goes.distinct(), "doc_id", "left_anti")
+    many = joined.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
+    twice = kept.join(many, "doc_id", "left_semi").withColumn("_n", F.row_number().over(
+        Window.partitionBy("doc_id").orderBy("text")))
+    return kept.join(many, "doc_id", "left_anti").select("row.*").unionByName(twice.where("_n = 1").select("row.*"))

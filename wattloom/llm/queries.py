@@ -7,12 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, lengths, mixing, packing, pii, quality, suffix_tree
+from . import html_text, jaccard, lengths, maxscore, mixing, packing, pii, quality, sharding, suffix_tree
 from .common import table
 
+SHARDS = [f"shard-{i:03d}" for i in range(64)]
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_maxscore_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op3_shard_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.place(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS)
+    return placed.select("row.doc_id", "slot", "shard")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"))
     return judged.select(
@@ -48,6 +62,9 @@ def op10_suffix_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_maxscore_top_k": op1_maxscore_top_k,
+        "op2_main_text": op2_main_text,
+        "op3_shard_placement": op3_shard_placement,
         "op4_quality_rules": op4_quality_rules,
         "op5_token_lengths": op5_token_lengths,
         "op6_disguised_pii": op6_disguised_pii,

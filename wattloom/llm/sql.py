@@ -18,6 +18,16 @@ def _divergence(shares: str, reference: list[float]) -> str:
         + CASE WHEN z[1] > 0 THEN z[1] * log2(z[1] / ((z[1] + z[2]) / 2)) ELSE 0 END) / 2)), 0))"""
 
 
+def top_k_sql(k: int = 5, every: int = 50) -> str:
+    return f"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % {every} = 0)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
+FROM s QUALIFY rank <= {k}"""
+
+
 def quality_sql(rules: QualityRules = QualityRules()) -> str:
     points = PUNCTUATION.replace("'", "''")
     languages = []
@@ -96,6 +106,7 @@ SELECT o.doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_maxscore_top_k": top_k_sql(),
         "op4_quality_rules": quality_sql(),
         "op8_source_mix": mix_sql(),
     }
