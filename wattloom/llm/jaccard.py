@@ -4,7 +4,7 @@ A document's set holds its distinct runs of five words, each as a 64-bit hash. A
 n-grams, and that order is cut into fragments:
 
 1. The n-grams below `tier` of the hash space come first, ordered by how many different sets hold them (rare first) and
-   then by hash; the others follow by hash. Counting only the first tier needs about a fifth of all n-grams.
+   then by hash; the others follow by hash. Counting only the first tier needs a third of all n-grams.
 2. Two sets that link share an n-gram among the first n - ceil(0.8 n) + 1 of each. Those that only one set holds can
    find no partner, so most documents drop out after the count.
 3. Sets that may find a partner are gathered into blocks of bounded size around their most shared n-gram. Two blocks
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from wattloom.session import materialize
 
-from .common import small_batches, whole_row
+from .common import parts_for, small_batches, whole_row
 
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -44,11 +44,12 @@ MIX = np.uint64(0xBF58476D1CE4E5B9)
 class JoinRules:
     words: int = 5
     percent: int = 80
-    tier: float = 0.22
+    tier: float = 0.35
     fragments: int = 4
     block_tokens: int = 200_000
     least_tokens: int = 200
     filter_bits: int = 1 << 23
+    tokens_per_group: int = 4_000_000
 
 
 def shingles(text: bytes, words: int = 5) -> np.ndarray:
@@ -125,45 +126,108 @@ def _leading(docs: DataFrame, rules: JoinRules) -> DataFrame:
     return docs.select("text").mapInArrow(lead, "set_id binary, n long, first array<long>, next array<long>")
 
 
-def _prefixes(docs: DataFrame, rules: JoinRules) -> DataFrame:
-    """set_id, n, gram: the n-grams of the prefixes that occur in the prefix or first tier of two or more sets."""
-    sets = _leading(docs, rules).groupBy("set_id").agg(
-        F.first("n").alias("n"), F.first("first").alias("first"), F.first("next").alias("next"))
-    sets = materialize(sets, "leading")
-    grams = sets.select("set_id", "n", F.size("first").alias("in_first"), F.explode(F.concat(
-        F.transform("first", lambda g: F.struct(g.alias("gram"), F.lit(0).alias("tier"))),
-        F.transform("next", lambda g: F.struct(g.alias("gram"), F.lit(1).alias("tier"))))).alias("g"))
-    grams = grams.select("set_id", "n", "in_first", "g.gram", "g.tier")
-    shared = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    grams = grams.join(shared, "gram")
-    order = F.struct("tier", F.when(F.col("tier") == 0, F.col("df")).otherwise(0).alias("df"), "gram")
-    per_set = grams.groupBy("set_id").agg(
-        F.first("n").alias("n"), F.first("in_first").alias("in_first"), F.sort_array(F.collect_list(order)).alias("shared"))
-    prefix = F.col("n") - F.ceil(F.col("n") * rules.percent / 100) + 1
-    # N-grams of the first tier that only this set holds come before the shared ones and use up the prefix.
-    alone = F.col("in_first") - F.size(F.filter("shared", lambda g: g["tier"] == 0))
-    slots = F.greatest(prefix - alone, F.lit(0)).cast("int")
-    # Later n-grams of one set only are missing here too; keeping one too many of those costs time, not results.
-    kept = per_set.select("set_id", "n", F.explode(F.slice("shared", 1, slots)).alias("g"))
-    return kept.select("set_id", "n", "g.gram")
-
-
-def _blocks(prefixes: DataFrame, rules: JoinRules) -> tuple[DataFrame, DataFrame]:
-    """(set_id, n, block) and the pairs of blocks (left <= right) that share an n-gram of their prefixes."""
+def _sets(rows: list[dict]) -> dict[bytes, dict]:
+    """The rows of a group, one of each set, by set id."""
+    return dict(sorted((row["set_id"], row) for row in rows))
+
+
+def _grams(sets: dict[bytes, dict]) -> tuple[np.ndarray, np.ndarray]:
+    """First-tier n-grams of all sets, one after the other, and where each set's begin."""
+    each = [np.array(row["first"], dtype=np.int64).view(np.uint64) for row in sets.values()]
+    return np.concatenate(each), np.cumsum([0, *map(len, each)])
+
+
+def _digests(grams: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Part and 32-bit digest of n-grams, ascending with them. Two n-grams of one digest only count as one another's
+    holders; the order stays the same for all sets, which is what the join needs."""
+    low = grams & np.uint64(0xFFFFFFFF)
+    return ((grams >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32), (low ^ (grams >> np.uint64(32))).astype("<u4")
+
+
+ASK = pa.schema([("block", pa.int64()), ("part", pa.int64()), ("digests", pa.binary()), ("holders", pa.binary())])
+
+
+def _prefixes(docs: DataFrame, n_tokens: int, rules: JoinRules) -> DataFrame:
+    """set_id, n, gram: the n-grams of the prefixes, without those of the first tier that no other set holds.
+
+    Blocks of sets ask each part of the hash space how many sets hold their n-grams. A block names every n-gram once
+    with the number of its own sets, so a frequent one costs a few bytes per block.
+    """
+    parts = parts_for(n_tokens, rules.tokens_per_group)
+    leading = _leading(docs, rules)
+    blocks = leading.withColumn("block", F.pmod(F.xxhash64("set_id"), F.lit(parts)))
+
+    def ask(table: pa.Table) -> pa.Table:
+        grams, _ = _grams(_sets(table.to_pylist()))
+        grams, holders = np.unique(grams, return_counts=True)
+        part, digests = _digests(grams, parts)
+        edges = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
+        block = table["block"][0].as_py()
+        return pa.Table.from_pylist([
+            {"block": block, "part": p, "digests": digests[x:y].tobytes(), "holders": holders[x:y].astype("<u4").tobytes()}
+            for p, (x, y) in enumerate(zip(edges, edges[1:])) if x < y], schema=ASK)
+
+    def reply(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        digests, holders = (np.concatenate([np.frombuffer(r[c], dtype="<u4") for r in rows]) for c in ("digests", "holders"))
+        _, at = np.unique(digests, return_inverse=True)
+        total = np.minimum(np.bincount(at, weights=holders)[at], 0xFFFF).astype("<u2")
+        cuts = np.cumsum([0, *[len(r["digests"]) // 4 for r in rows]])
+        return pa.table({
+            "block": pa.array([r["block"] for r in rows], pa.int64()), "part": pa.array([r["part"] for r in rows], pa.int64()),
+            "holders": pa.array([total[x:y].tobytes() for x, y in zip(cuts, cuts[1:])], pa.binary())})
+
+    def finish(table: pa.Table, replies: pa.Table) -> pa.Table:
+        out: list[tuple[bytes, int, int]] = []
+        if table.num_rows:
+            sets = _sets(table.to_pylist())
+            grams, cuts = _grams(sets)
+            _, at = np.unique(grams, return_inverse=True)
+            rows = sorted(replies.to_pylist(), key=lambda r: r["part"])
+            holders = np.concatenate([np.empty(0, dtype="<u2"), *[np.frombuffer(r["holders"], dtype="<u2") for r in rows]])[at]
+            for (set_id, row), x, y in zip(sets.items(), cuts, cuts[1:]):
+                n, known = row["n"], holders[x:y]
+                # N-grams that only this set holds come first and use up the prefix.
+                slots = prefix_length(n, rules.percent) - int((known < 2).sum())
+                if slots > 0:
+                    shared = grams[x:y][known > 1]
+                    shared = shared[np.lexsort((shared, known[known > 1]))]
+                    prefix = [*shared.view(np.int64).tolist(), *row["next"]][:slots]
+                    out += [(set_id, n, g) for g in prefix]
+        columns = list(zip(*out)) if out else [[], [], []]
+        return pa.table({"set_id": pa.array(columns[0], pa.binary()), "n": pa.array(columns[1], pa.int64()),
+                         "gram": pa.array(columns[2], pa.int64())})
+
+    asked = blocks.groupBy("block").applyInArrow(ask, "block long, part long, digests binary, holders binary")
+    replied = asked.groupBy("part").applyInArrow(reply, "block long, part long, holders binary")
+    return blocks.groupBy("block").cogroup(replied.groupBy("block")).applyInArrow(
+        finish, "set_id binary, n long, gram long")
+
+
+def _blocks(prefixes: DataFrame, rules: JoinRules) -> DataFrame:
+    """pair, side, set_id: for every two blocks that share an n-gram of their prefixes, the sets that hold such ones.
+
+    A set's block is that of the most frequent n-gram in its prefix, in parts of bounded size.
+    """
+    prefixes = materialize(prefixes, "prefixes")
     shared = prefixes.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    prefixes = materialize(prefixes.join(shared, "gram"), "prefixes")
+    prefixes = materialize(prefixes.join(shared, "gram"), "shared-prefixes")
     anchors = prefixes.groupBy("set_id").agg(F.first("n").alias("n"), F.max(F.struct("df", "gram")).alias("a"))
-    anchors = materialize(anchors.select("set_id", "n", F.col("a.gram").alias("anchor")), "anchors")
+    anchors = anchors.select("set_id", "n", F.col("a.gram").alias("anchor"))
     load = F.ceil(F.sum(F.greatest("n", F.lit(rules.least_tokens))) / rules.block_tokens)
     loads = anchors.groupBy("anchor").agg(load.alias("parts"))
-    placed = anchors.join(loads, "anchor").select("set_id", "n", F.xxhash64(
+    placed = anchors.join(loads, "anchor").select("set_id", F.xxhash64(
         "anchor", F.pmod(F.xxhash64("set_id"), F.col("parts"))).alias("block"))
-    placed = materialize(placed, "placed")
-    seen = prefixes.select("gram", "set_id").join(placed.select("set_id", "block"), "set_id").select("gram", "block").distinct()
-    seen = materialize(seen, "seen")
-    meets = seen.select("gram", F.col("block").alias("left")).join(
-        seen.select("gram", F.col("block").alias("right")), "gram").where("left <= right")
-    return placed, materialize(meets.select("left", "right").distinct(), "meets")
+    placed = materialize(prefixes.select("gram", "set_id").join(placed, "set_id"), "placed")
+    # A block alone is a pair with itself if an n-gram occurs in it twice.
+    seen = placed.groupBy("gram", "block").agg(F.count(F.lit(1)).alias("sets"))
+    both = seen.select("gram", F.col("block").alias("left"), F.col("sets")).join(
+        seen.select("gram", F.col("block").alias("right")), "gram").where("left < right or (left = right and sets > 1)")
+    both = both.select("gram", "left", "right", F.xxhash64("left", "right").alias("pair"))
+    members = [
+        both.select("gram", F.col(side).alias("block"), "pair").join(placed, ["gram", "block"]).select(
+            "pair", F.lit(at).alias("side"), "set_id").distinct() for at, side in enumerate(("left", "right"))]
+    return members[0].unionByName(members[1])
 
 
 def _marks(wanted: DataFrame, rules: JoinRules) -> bytes:
@@ -178,13 +242,13 @@ def _marks(wanted: DataFrame, rules: JoinRules) -> bytes:
     return bytes(marks)
 
 
-def _segments(docs: DataFrame, signed: DataFrame, placed: DataFrame, rules: JoinRules) -> DataFrame:
-    """block, fragment, sets: for every block and fragment the n-grams of the fragment of each set of the block.
+def _segments(docs: DataFrame, signed: DataFrame, members: DataFrame, rules: JoinRules) -> DataFrame:
+    """set_id, n, parts: the n-grams of every set that is a member of a pair, cut by fragment.
 
     One text of every set is read again; a bit set of fixed size tells a task which texts cannot be among them.
     """
     edges = np.array([int(i * 2.0**64 / rules.fragments) for i in range(1, rules.fragments)], dtype=np.uint64)
-    wanted = signed.join(placed.select("set_id"), "set_id").groupBy("set_id").agg(F.min("text_hash").alias("text_hash"))
+    wanted = signed.join(members.select("set_id").distinct(), "set_id").groupBy("set_id").agg(F.min("text_hash").alias("text_hash"))
     marks = docs.sparkSession.sparkContext.broadcast(_marks(wanted, rules))
 
     def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,11 +270,7 @@ def _segments(docs: DataFrame, signed: DataFrame, placed: DataFrame, rules: Join
                 names=["set_id", "n", "parts"])
 
     cut = docs.select("text").mapInArrow(segment, "set_id binary, n long, parts array<binary>")
-    cut = cut.join(placed.select("set_id", "block"), "set_id").groupBy("set_id").agg(
-        F.first("block").alias("block"), F.first("n").alias("n"), F.first("parts").alias("parts"))
-    cut = cut.select("set_id", "block", "n", F.posexplode("parts").alias("fragment", "grams"))
-    return cut.groupBy("block", "fragment").agg(
-        F.sort_array(F.collect_list(F.struct("set_id", "n", "grams"))).alias("sets"))
+    return cut.groupBy("set_id").agg(F.first("n").alias("n"), F.first("parts").alias("parts"))
 
 
 def _incidence(sets: list[np.ndarray], known: np.ndarray) -> np.ndarray:
@@ -251,6 +311,9 @@ def forest(pairs: np.ndarray, n: int) -> list[tuple[int, int]]:
     return [(find(i), i) for i in range(n) if find(i) != i]
 
 
+SETS = pa.list_(pa.list_(pa.struct([("id", pa.binary()), ("n", pa.int64())])))
+
+
 def _promising(counts: np.ndarray, left: list[dict], right: list[dict], percent: int) -> np.ndarray:
     """Where a pair can still link: its overlap here, and all that the other fragments could add, reach the threshold."""
     size = [np.array([s["n"] for s in side], dtype=np.int64) for side in (left, right)]
@@ -261,29 +324,23 @@ def _promising(counts: np.ndarray, left: list[dict], right: list[dict], percent:
 
 def _links(docs: DataFrame, signed: DataFrame, rules: JoinRules) -> DataFrame:
     """a, b: set ids; within every pair of blocks, a spanning forest of the links between their sets."""
-    placed, meets = _blocks(_prefixes(docs, rules), rules)
-    segments = materialize(_segments(docs, signed, placed, rules), "segments")
-    pairs = materialize(meets.withColumn("pair", F.monotonically_increasing_id()), "pairs")
-    sides = [
-        pairs.select("pair", F.col(side).alias("block")).join(segments, "block").select(
-            F.col("pair").alias(f"pair_{side}"), F.col("fragment").alias(f"fragment_{side}"), F.col("sets").alias(f"sets_{side}")
-        ).groupBy(f"pair_{side}", f"fragment_{side}") for side in ("left", "right")]
+    n_tokens = signed.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    members = materialize(_blocks(_prefixes(docs, n_tokens, rules), rules), "members")
+    segments = materialize(_segments(docs, signed, members, rules), "segments")
+    sets = members.join(segments, "set_id").select(
+        "pair", "side", "set_id", "n", F.posexplode("parts").alias("fragment", "grams"))
     percent = rules.percent
 
-    def partial(left: pa.Table, right: pa.Table) -> pa.Table:
+    def partial(table: pa.Table) -> pa.Table:
         """Overlaps of one fragment of one pair of blocks, without those that rule a link out."""
-        if not left.num_rows or not right.num_rows:
-            return pa.table({n: pa.array([], t) for n, t in zip(("pair", "at", "n", "sets"), kinds)})
-        a, b = left["sets_left"][0].as_py(), right["sets_right"][0].as_py()
+        rows = sorted(table.to_pylist(), key=lambda r: r["set_id"])
+        a, b = ([r for r in rows if r["side"] == side] for side in (0, 1))
         counts = overlaps(*([np.frombuffer(s["grams"], dtype=np.uint64) for s in side] for side in (a, b)))
         at = np.flatnonzero(_promising(counts, a, b, percent))
-        row = [left["pair_left"][0].as_py(), at.astype("<i4").tobytes(), counts.ravel()[at].astype("<i4").tobytes(),
-               [[(s["set_id"], s["n"]) for s in side] for side in (a, b)]]
-        sets = [[{"id": i, "n": n} for i, n in side] for side in row[3]]
-        return pa.table({"pair": pa.array([row[0]], kinds[0]), "at": pa.array([row[1]], kinds[1]),
-                         "n": pa.array([row[2]], kinds[2]), "sets": pa.array([sets], kinds[3])})
-
-    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.list_(pa.struct([("id", pa.binary()), ("n", pa.int64())])))]
+        ids = [[{"id": s["set_id"], "n": s["n"]} for s in side] for side in (a, b)]
+        return pa.table({
+            "pair": table["pair"][:1], "at": pa.array([at.astype("<i4").tobytes()], pa.binary()),
+            "n": pa.array([counts.ravel()[at].astype("<i4").tobytes()], pa.binary()), "sets": pa.array([ids], SETS)})
 
     def total(rows: pa.Table) -> pa.Table:
         """Sums the partial counts of a pair of blocks and keeps a forest of the sets that link."""
@@ -301,7 +358,7 @@ def _links(docs: DataFrame, signed: DataFrame, rules: JoinRules) -> DataFrame:
         return pa.table({"a": pa.array([ids[k] for k, _ in found], pa.binary()),
                          "b": pa.array([ids[k] for _, k in found], pa.binary())})
 
-    counted = sides[0].cogroup(sides[1]).applyInArrow(
+    counted = sets.groupBy("pair", "fragment").applyInArrow(
         partial, "pair long, at binary, n binary, sets array<array<struct<id binary, n long>>>")
     return counted.groupBy("pair").applyInArrow(total, "a binary, b binary").distinct()
 
