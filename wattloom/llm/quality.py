@@ -107,7 +107,7 @@ def _common_word_distance(df: DataFrame) -> DataFrame:
     for language, words in COMMON_WORDS.items():
         name = f"_{language}"
         counts = F.transform(F.array(*map(F.lit, words)), lambda w: F.coalesce(F.try_element_at("_count", w), F.lit(0)))
-        df = df.withColumn(name, F.transform(counts, lambda c: c / F.size("_words")))
+        df = df.withColumn(name, F.transform(counts, lambda c: c / F.greatest(F.size("_words"), F.lit(1))))
         rest = F.greatest(1 - F.aggregate(name, F.lit(0.0), lambda a, s: a + s), F.lit(0.0))
         reference = [v / 1000 for v in words.values()]
         each.append(_distance(F.concat(F.col(name), F.array(rest)), [*reference, 1 - sum(reference)]))
@@ -159,5 +159,10 @@ def judge(docs: DataFrame, rules: QualityRules = QualityRules(), text: str = "te
 
 
 def quality_filter(docs: DataFrame, rules: QualityRules = QualityRules(), text: str = "text") -> DataFrame:
-    """The rows that the rules keep, with their own columns only."""
-    return judge(docs, rules, text).where("kept").select("row.*")
+    """The rows that the rules keep, with their own columns only.
+
+    The generator keeps Catalyst from pushing the filter below the judgement, which would write all of it out in terms
+    of the text, many times over.
+    """
+    judged = judge(docs, rules, text).select("row", "kept")
+    return judged.select(F.inline(F.array(F.struct("row", "kept")))).where("kept").select("row.*")
