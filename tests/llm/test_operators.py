@@ -348,6 +348,7 @@ def test_cuts_lie_in_their_class():
 
 def test_scores_equal_a_dictionary_model(docs, empty, spark):
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()] + [(500 + i, prose(150, i)) for i in range(30)]
+    rows += [(600 + i, "red blue green white blue black " * 5) for i in range(9)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     rules = suffix_tree.TreeRules(min_share=2e-3, gain_per_token=0.05, tokens_per_part=700)
     found = suffix_tree.score(frame, rules).collect()
