@@ -6,6 +6,7 @@ from datetime import date, datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from wattloom.functions.windows import trailing
 from wattloom.operators import ingest, state
 from wattloom.schema import FACT_NAMES
 from wattloom.sources import deadletter, export, fact, streams, testdata
@@ -27,8 +28,8 @@ def months(events):
 
 def test_fact_months_pruning_and_retention(spark, months, tmp_path):
     path = str(tmp_path / "fact")
-    fact.write_fact(months, path)
-    fact.write_fact(months, path)
+    fact.write_fact(months, path, "first")
+    fact.write_fact(months, path, "first")
     assert rows(fact.read_fact(spark, path).select(*FACT_NAMES)) == rows(months)
     recent = fact.read_fact(spark, path, since=datetime(2024, 4, 10))
     assert recent.count() == 3
@@ -40,6 +41,36 @@ def test_fact_months_pruning_and_retention(spark, months, tmp_path):
     assert fact.retain(fact.read_fact(spark, path), days=90, as_of=NOW).count() == 6
 
 
+def test_loads_without_an_id_add_up(spark, months, tmp_path):
+    path = str(tmp_path / "fact")
+    early, late = months.filter("day(timestamp) = 1"), months.filter("day(timestamp) = 15")
+    fact.write_fact(early, path)
+    fact.write_fact(late, path)
+    assert rows(fact.read_fact(spark, path).select(*FACT_NAMES)) == rows(months)
+
+
+def test_months_are_utc_whatever_the_session_says(spark, events, tmp_path):
+    path = str(tmp_path / "fact")
+    moved = events({"event_type": "heartbeat", "timestamp": "2024-02-01T02:00:00"})
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        fact.write_fact(moved, path)
+        assert fact.read_fact(spark, path, since=datetime(2024, 2, 1)).count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_trailing_windows_read_their_months_only(spark, months, tmp_path):
+    path = str(tmp_path / "fact")
+    fact.write_fact(months, path)
+    stored = fact.read_fact(spark, path)
+    for as_of in (None, NOW, F.current_timestamp(), F.lit(NOW)):
+        asked = trailing(stored, as_of, days=7)
+        assert "event_month" in asked._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1]
+    assert trailing(stored, None, days=7).count() == 1
+    assert trailing(stored, NOW, days=25).count() == 2
+
+
 def test_export_of_one_day_in_time_order(spark, months, tmp_path):
     export.export(months, str(tmp_path / "day"), date(2024, 3, 15))
     export.export(months, str(tmp_path / "all"), batch=3)
@@ -73,7 +104,9 @@ def test_dead_letters_as_json_lines(spark, tmp_path):
 def test_stream_options():
     live, backfill = (streams.kafka_options("h:9092", "t", s) for s in (300, 999_999))
     assert live["startingOffsets"] == "latest" and backfill["startingOffsets"] == "earliest"
-    assert live["maxOffsetsPerTrigger"] == "5000"
+    assert "maxOffsetsPerTrigger" not in live and "maxOffsetsPerTrigger" not in backfill
+    limited = streams.kafka_options("h:9092", "t", 300, per_trigger=250_000, min_partitions=64)
+    assert (limited["maxOffsetsPerTrigger"], limited["minPartitions"]) == ("250000", "64")
     assert streams.trigger_of(999_999) == {"availableNow": True}
     assert streams.trigger_of(300) == {"processingTime": "5 seconds"}
 

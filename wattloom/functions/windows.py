@@ -34,6 +34,9 @@ def utc(moment: datetime) -> datetime:
 def reference_time(df: DataFrame, as_of: AsOf, ts: str = "timestamp") -> Column:
     """The 'now' of a query: a literal, a column such as current_timestamp(), or the newest event."""
     if as_of is None:
+        if ts == "timestamp" and "event_month" in df.columns:  # the newest event is in the newest month
+            newest = df.agg(F.max("event_month").alias("month")).scalar()
+            df = df.filter(F.col("event_month") == newest)
         return df.agg(F.max(ts).alias("as_of")).scalar()
     if isinstance(as_of, Column):
         return as_of
@@ -41,11 +44,14 @@ def reference_time(df: DataFrame, as_of: AsOf, ts: str = "timestamp") -> Column:
 
 
 def trailing(df: DataFrame, as_of: AsOf, **length: int) -> DataFrame:
-    """Rows not older than the given interval. Months are pruned when the table has them and as_of is fixed."""
+    """Rows not older than the given interval. A table with months is read from the month of the oldest of them on; for
+    a reference time known only when the query runs, the months are pruned then."""
     now = reference_time(df, as_of)
     (unit, amount), = length.items()
     span = timedelta(**{unit: amount})
     kept = df.filter(F.col("timestamp") >= now - F.lit(span))
-    if isinstance(as_of, datetime) and "event_month" in df.columns:
-        kept = kept.filter(F.col("event_month") >= F.lit((utc(as_of) - span).strftime("%Y-%m")))
+    if "event_month" in df.columns:
+        fixed = isinstance(as_of, datetime)
+        oldest = F.lit((utc(as_of) - span).strftime("%Y-%m")) if fixed else F.date_format(now - F.lit(span), "yyyy-MM")
+        kept = kept.filter(F.col("event_month") >= oldest)
     return kept

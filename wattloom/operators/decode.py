@@ -10,14 +10,16 @@ from wattloom.schema import FACT_COLUMNS, FACT_NAMES
 INT_FIELDS = [name for name, type_ in FACT_COLUMNS if type_ == "int"]
 NUMBER_FIELDS = [name for name, type_ in FACT_COLUMNS if type_ in ("int", "double")]
 
-_JSON_DDL = ", ".join([f"`{name}` STRING" for name in FACT_NAMES] + ["_corrupt STRING"])
-_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "allowNonNumericNumbers": "true"}
+# A message is parsed as the only element of a list: text after it, or a second message, shows as an error or a second
+# element, while the parser by itself would stop after the first.
+_JSON_DDL = f"array<struct<{', '.join(f'`{name}`: string' for name in FACT_NAMES)}>>"
+_OPTIONS = {"mode": "PERMISSIVE", "allowNonNumericNumbers": "true", "allowSingleQuotes": "false"}
 
 _NOT_AN_OBJECT = "NOT (startswith(trim(raw), '{') AND endswith(trim(raw), '}'))"
 _DECODE_REASON = f"""CASE
     WHEN {_NOT_AN_OBJECT} AND NOT startswith(trim(raw), '{{') AND try_parse_json(raw) IS NOT NULL
       THEN 'json_decode_error:not_object'
-    WHEN raw IS NULL OR {_NOT_AN_OBJECT} OR _corrupt IS NOT NULL THEN 'json_decode_error:malformed' END"""
+    WHEN raw IS NULL OR {_NOT_AN_OBJECT} OR _one IS NOT TRUE THEN 'json_decode_error:malformed' END"""
 
 
 def evaluate_once(df: DataFrame) -> DataFrame:
@@ -28,7 +30,11 @@ def evaluate_once(df: DataFrame) -> DataFrame:
 
 def decode(raw: DataFrame) -> DataFrame:
     """Adds `decode_reason`, the 28 fields as text, `<field>_number` for the numbers, and `event_ts`."""
-    parsed = raw.select("*", F.inline(F.array(F.from_json("raw", _JSON_DDL, _OPTIONS))))
+    listed = F.from_json(F.concat(F.lit("["), "raw", F.lit("]")), _JSON_DDL, _OPTIONS)
+    parsed = raw.select("*", F.inline(F.array(F.struct(listed.alias("_listed")))))
+    parsed = parsed.select(
+        *raw.columns, F.expr("size(_listed) = 1 AND _listed[0] IS NOT NULL").alias("_one"),
+        F.inline(F.expr(f"IF(size(_listed) = 1, _listed, CAST(array(NULL) AS {_JSON_DDL}))")))
     texts = parsed.selectExpr(
         *raw.columns,
         f"{_DECODE_REASON} AS decode_reason",

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from wattloom.functions.joins import broadcast_if_small
+
 # Rejected messages take part under a key of their own, so one pass carries them along untouched.
 DEDUP_KEY = "IF(reason IS NULL, concat('id:', event_id), concat('at:', CAST(arrival AS STRING)))"
 
@@ -24,7 +26,12 @@ def first_arrivals(checked: DataFrame) -> DataFrame:
 
 
 def drop_seen(fresh: DataFrame, seen: DataFrame | None) -> DataFrame:
-    """Remove ids already taken in earlier batches. Both sides have one row per key."""
+    """Remove ids already taken in earlier batches. Both sides have one row per key.
+
+    The batch's own ids, few beside an hour of ids, are looked up among the seen ones: these are scanned, not shuffled.
+    """
     if seen is None:
         return fresh
-    return fresh.join(seen.select("dedup_key").distinct(), "dedup_key", "left_anti")
+    own = broadcast_if_small(fresh.select("dedup_key"))
+    known = seen.select("dedup_key").join(own, "dedup_key", "left_semi")
+    return fresh.join(known, "dedup_key", "left_anti")

@@ -182,9 +182,7 @@ def throughput_summary(df: DataFrame, *, interval_s: int = 300, target_eps: floa
 
 
 def traffic_mix(df: DataFrame) -> DataFrame:
-    """Share of events per type; the window has no key, its input is one row per known event type."""
-    counts = df.filter(F.col("event_type").isin(*EVENT_TYPES)).groupBy("event_type").agg(n_rows().alias("events"))
-    everything = Window.partitionBy(F.lit(0))
-    return counts.withColumn(
-        "share_pct", rnd(ratio(F.lit(100.0) * F.col("events"), F.sum("events").over(everything)), 2)
-    )
+    """Share of all events per type, known or not."""
+    counts = df.groupBy("event_type").agg(n_rows().alias("events"))
+    total = counts.agg(F.sum("events").alias("n")).scalar()
+    return counts.withColumn("share_pct", rnd(ratio(F.lit(100.0) * F.col("events"), total), 2))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, functions as F
 
 from wattloom.functions.joins import broadcast_if_small
 from wattloom.functions.windows import hour_bucket
-from wattloom.operators.conform import conform_raw
+from wattloom.operators.ingest import check, rejected
 from wattloom.operators.rollups import sessions_hourly
 from wattloom.schema import FACT_NAMES
 
@@ -16,9 +18,21 @@ def late_letters(letters: DataFrame) -> DataFrame:
 
 
 def late_rows(letters: DataFrame) -> DataFrame:
-    """Fact rows of the late dead letters, one per event id."""
-    late = late_letters(letters).groupBy("event_id").agg(F.min("raw_event").alias("raw"))
-    return conform_raw(late.select("raw")).select(*FACT_NAMES)
+    """Fact rows of the late dead letters, the first rejected of each event id, that convert to rows at all."""
+    return late_checked(letters).filter("conversion_error IS NULL").select("fact.*")
+
+
+def late_checked(letters: DataFrame) -> DataFrame:
+    """The first late dead letter of each event id with its typed row and the conversion error it meets, if any."""
+    first = F.min_by("raw_event", F.struct("rejected_at", "raw_event"))
+    late = late_letters(letters).groupBy("event_id").agg(first.alias("raw"))
+    return check(late.select(F.lit(0).cast("bigint").alias("arrival"), "raw"))
+
+
+def unconvertible(letters: DataFrame, now: datetime | None = None) -> DataFrame:
+    """Dead letters for the late events that convert to no row."""
+    bad = late_checked(letters).filter("conversion_error IS NOT NULL").withColumn("reason", F.col("conversion_error"))
+    return rejected(bad, now)
 
 
 def not_in_fact(rows: DataFrame, fact: DataFrame) -> DataFrame:
@@ -38,8 +52,8 @@ def replayed_rows(letters: DataFrame, fact: DataFrame) -> DataFrame:
 def recomputed_hours(fact: DataFrame, replayed: DataFrame) -> DataFrame:
     """The hourly rollup of exactly the hours that received replayed rows.
 
-    The touched hours are at most one row per hour of the retained period, so they are broadcast.
+    Late events may carry any time, so the touched hours are broadcast only if they are few.
     """
     touched = replayed.select(hour_bucket().alias("_hour")).distinct()
     both = fact.select(*FACT_NAMES).unionByName(replayed)
-    return sessions_hourly(both.join(F.broadcast(touched), hour_bucket() == F.col("_hour"), "left_semi"))
+    return sessions_hourly(both.join(broadcast_if_small(touched), hour_bucket() == F.col("_hour"), "left_semi"))

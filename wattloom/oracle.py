@@ -463,9 +463,9 @@ pair AS (SELECT t.*, o.avg_duration_min AS o_duration, o.avg_energy_kwh AS o_ene
         "d3_station_flags": on_events("""
             SELECT *, fault_rate_pct > 0.5 AS above_threshold,
                    CASE WHEN uptime_pct >= 90 THEN 'good' WHEN uptime_pct >= 70 THEN 'fair' ELSE 'poor' END AS uptime_band,
-                   (SELECT count(*) FROM a2 WHERE fault_rate_pct > 0.5) AS stations_above,
-                   (SELECT count(*) FROM a2) AS stations_listed
-            FROM a2""", f"a2 AS ({A2})"),
+                   (SELECT count(*) FROM a2_all WHERE fault_rate_pct > 0.5) AS stations_above,
+                   (SELECT count(*) FROM a2_all) AS stations_listed
+            FROM a2""", f"a2 AS ({A2})", f"a2_all AS ({A2.rpartition('LIMIT')[0]})"),
         "d4_brand_delta": on_events(f"""
             SELECT {rnd('avg_duration_min - o_duration', 1)} AS delta_duration_min,
                    {rnd('avg_energy_kwh - o_energy', 2)} AS delta_energy_kwh,
@@ -476,14 +476,14 @@ pair AS (SELECT t.*, o.avg_duration_min AS o_duration, o.avg_energy_kwh AS o_ene
             f"SELECT {rsum('revenue_pct', 1)} AS peak_revenue_pct FROM a4 WHERE period <> 'Off-Peak'", *A4_CTES),
         "d6_worst_density_city": on_events(
             "SELECT * FROM a5 ORDER BY faults_per_station DESC, fault_count DESC, city, country LIMIT 1",
-            f"a5 AS ({A5})"),
+            f"a5 AS ({A5.rpartition('LIMIT')[0]})"),
         "d7_anomaly_summary": on_events(f"""
             SELECT count(*) AS anomalies,
                    {rnd(f'CAST(100 AS DOUBLE) * count(*) / (SELECT count(*) FROM ce WHERE {TIMED_STOPS})', 2)}
                      AS anomaly_pct,
                    count(*) FILTER (WHERE z_score > 0) AS high, count(*) FILTER (WHERE NOT z_score > 0) AS low,
                    max(fleet_mean_power) AS fleet_mean_power, max(fleet_std_power) AS fleet_std_power
-            FROM listed HAVING count(*) > 0""", *A6_CTES, f"listed AS ({A6 % 200})"),
+            FROM listed HAVING count(*) > 0""", *A6_CTES, f"listed AS ({A6.rpartition('LIMIT')[0]})"),
         "d8_relative_load": on_events(
             _bars("hour_of_day", "q9", "CAST(hour_of_day AS VARCHAR)", "session_count")
             + "\nUNION ALL " + _bars("hourly_energy", "a1", "strftime(hour, '%Y-%m-%d %H:%M:%S')", "total_energy_kwh")

@@ -276,10 +276,18 @@ def hourly_energy_week(hourly_rollup: DataFrame, now: Column) -> DataFrame:
 
 def hourly_energy_7days(df: DataFrame, *, as_of: AsOf = None, rollup: DataFrame | None = None) -> DataFrame:
     """`rollup` is the stored hourly rollup; without one it is computed from the fact table."""
-    return hourly_energy_week(sessions_hourly(df) if rollup is None else rollup, reference_time(df, as_of))
+    if rollup is None:
+        # An hour of the week has no rows from before it, so older ones need not be read.
+        rollup = sessions_hourly(trailing(df, as_of, days=7))
+    return hourly_energy_week(rollup, reference_time(df, as_of))
 
 
-def station_uptime(df: DataFrame, *, limit: int = 20) -> DataFrame:
+def _ranked(df: DataFrame, *order, limit: int | None) -> DataFrame:
+    return df if limit is None else df.orderBy(*order).limit(limit)
+
+
+def station_uptime(df: DataFrame, *, limit: int | None = 20) -> DataFrame:
+    """The worst stations; all with a fault if `limit` is None."""
     starts = count_where(F.col("event_type") == START)
     faults = count_where(F.col("event_type") == FAULT)
     return (
@@ -292,8 +300,7 @@ def station_uptime(df: DataFrame, *, limit: int = 20) -> DataFrame:
             rnd(ratio(F.lit(100.0) * starts, starts + faults), 1).alias("uptime_pct"),
         )
         .filter(F.col("fault_events") > 0)
-        .orderBy(F.desc("fault_rate_pct"), "station_id", "network_id", "city")
-        .limit(limit)
+        .transform(_ranked, F.desc("fault_rate_pct"), "station_id", "network_id", "city", limit=limit)
     )
 
 
@@ -354,9 +361,9 @@ def peak_hour_revenue(df: DataFrame) -> DataFrame:
     return filled.withColumn("revenue_pct", rnd(share, 1)).orderBy("sort_order").drop("sort_order")
 
 
-def fault_geography(df: DataFrame, *, limit: int = 20) -> DataFrame:
-    all_faults = _faults(df).agg(n_rows().alias("n")).scalar()
-    return (
+def fault_geography(df: DataFrame, *, limit: int | None = 20) -> DataFrame:
+    """The cities with most faults; all if `limit` is None."""
+    per_city = (
         _faults(df)
         .groupBy("city", "country")
         .agg(
@@ -364,15 +371,18 @@ def fault_geography(df: DataFrame, *, limit: int = 20) -> DataFrame:
             F.count_distinct("station_id").alias("affected_stations"),
             F.count_distinct("error_code").alias("distinct_error_types"),
         )
-        .withColumn("pct_of_all_faults", rnd(ratio(F.lit(100.0) * F.col("fault_count"), all_faults), 2))
+    )
+    all_faults = per_city.agg(F.sum("fault_count").alias("n")).scalar()
+    return (
+        per_city.withColumn("pct_of_all_faults", rnd(ratio(F.lit(100.0) * F.col("fault_count"), all_faults), 2))
         .withColumn("faults_per_station", rnd(ratio(F.col("fault_count"), F.col("affected_stations")), 2))
-        .orderBy(F.desc("fault_count"), "city", "country")
-        .limit(limit)
+        .transform(_ranked, F.desc("fault_count"), "city", "country", limit=limit)
     )
 
 
-def anomalies(df: DataFrame, *, limit: int = 20) -> DataFrame:
-    """Stops whose mean power lies more than two population standard deviations from the fleet mean."""
+def anomalies(df: DataFrame, *, limit: int | None = 20) -> DataFrame:
+    """Stops whose mean power lies more than two population standard deviations from the fleet mean; the farthest ones,
+    all if `limit` is None."""
     sessions = _timed_stops(df).select(
         "event_id", "session_id", "station_id", "network_id", "city", "vehicle_brand",
         rnd(mean_power(), 2).alias("power_kw"),
@@ -394,8 +404,7 @@ def anomalies(df: DataFrame, *, limit: int = 20) -> DataFrame:
             rnd(ratio(F.col("power_kw") - mean, std), 2).alias("z_score"),
             "event_id",
         )
-        .orderBy(F.desc(F.abs("z_score")), "event_id")
-        .limit(limit)
+        .transform(_ranked, F.desc(F.abs("z_score")), "event_id", limit=limit)
         .drop("event_id")
     )
 

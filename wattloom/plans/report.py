@@ -38,19 +38,17 @@ def hour_bands(df: DataFrame) -> DataFrame:
 
 
 def station_flags(df: DataFrame, *, threshold: float = 0.5, limit: int = 20) -> DataFrame:
-    """The worst stations with their bands and, on every row, how many of them exceed the threshold.
-
-    The window has no key: its input is the limited list.
-    """
-    everything = Window.partitionBy(F.lit(0))
+    """The worst stations with their bands and, on every row, how many of all stations with a fault exceed the threshold."""
     uptime = F.col("uptime_pct")
     above = F.col("fault_rate_pct") > threshold
+    counts = analytics.station_uptime(df, limit=None).agg(
+        F.struct(count_where(above).alias("above"), n_rows().alias("listed")).alias("counts")).scalar()
     return (
         analytics.station_uptime(df, limit=limit)
         .withColumn("above_threshold", above)
         .withColumn("uptime_band", F.when(uptime >= 90, "good").when(uptime >= 70, "fair").otherwise("poor"))
-        .withColumn("stations_above", count_where(above).over(everything))
-        .withColumn("stations_listed", n_rows().over(everything))
+        .withColumn("stations_above", counts["above"])
+        .withColumn("stations_listed", counts["listed"])
     )
 
 
@@ -81,19 +79,19 @@ def peak_share(df: DataFrame) -> DataFrame:
     return analytics.peak_hour_revenue(df).agg(rnd(F.sum(peak), 1).alias("peak_revenue_pct"))
 
 
-def worst_density_city(df: DataFrame, *, limit: int = 20) -> DataFrame:
+def worst_density_city(df: DataFrame) -> DataFrame:
     return (
-        analytics.fault_geography(df, limit=limit)
+        analytics.fault_geography(df, limit=None)
         .orderBy(F.desc("faults_per_station"), F.desc("fault_count"), "city", "country")
         .limit(1)
     )
 
 
-def anomaly_summary(df: DataFrame, *, limit: int = 200) -> DataFrame:
-    """Counts over the listed anomalies; nothing when there are none."""
+def anomaly_summary(df: DataFrame) -> DataFrame:
+    """Counts over all anomalies; nothing when there are none."""
     stops = df.filter((F.col("event_type") == STOP) & (F.col("duration_minutes") > 0)).agg(n_rows()).scalar()
     return (
-        analytics.anomalies(df, limit=limit)
+        analytics.anomalies(df, limit=None)
         .agg(
             n_rows().alias("anomalies"),
             count_where(F.col("z_score") > 0).alias("high"),

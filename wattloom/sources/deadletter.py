@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattloom.schema import DEAD_LETTER_DDL
+from wattloom.session import prepare
 
 STORED_DDL = f"{DEAD_LETTER_DDL}, reject_month string, batch_id string"
 
 
-def write_dead_letters(df: DataFrame, path: str, batch_id: str = "load") -> None:
-    """One folder per month of rejection; a repeated batch replaces its own rows."""
+def write_dead_letters(df: DataFrame, path: str, batch_id: str | None = None) -> None:
+    """One folder per month of rejection; a repeated batch replaces its own rows, one without an id is always new.
+
+    A batch that may run again stamps its rows with one time, so that both attempts fall into one month.
+    """
+    prepare(df.sparkSession)
     (
         df.withColumn("reject_month", F.date_format("rejected_at", "yyyy-MM"))
-        .withColumn("batch_id", F.lit(batch_id))
+        .withColumn("batch_id", F.lit(batch_id or f"load-{uuid.uuid4().hex}"))
         .sortWithinPartitions("rejected_at", "reason")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -23,6 +30,7 @@ def write_dead_letters(df: DataFrame, path: str, batch_id: str = "load") -> None
 
 
 def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
+    prepare(spark)
     return spark.read.schema(STORED_DDL).parquet(path)
 
 

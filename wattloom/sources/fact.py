@@ -2,26 +2,29 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattloom.functions.windows import AsOf, reference_time, utc
 from wattloom.schema import FACT_DDL, FACT_NAMES, FACT_RETENTION_DAYS
-from wattloom.session import drop_folder, subfolders
+from wattloom.session import drop_folder, prepare, subfolders
 
 SORT_KEYS = ["timestamp", "network_id", "station_id"]
 STORED_DDL = f"{FACT_DDL}, event_month string, batch_id string"
 
 
-def write_fact(df: DataFrame, path: str, batch_id: str = "load", *, clustered: bool = True) -> None:
-    """Write one batch below its months, replacing what an earlier attempt of the same batch left.
+def write_fact(df: DataFrame, path: str, batch_id: str | None = None, *, clustered: bool = True) -> None:
+    """Append one batch below its months. A batch with an id replaces what an earlier attempt of it left; without one
+    every call is a batch of its own.
 
     `clustered` range-partitions a large load by the sort keys, so that every file covers a short time range and
     no task writes into every month; a micro-batch, small and recent, is only sorted inside its partitions.
     """
+    prepare(df.sparkSession)
     rows = df.select(*FACT_NAMES).withColumn("event_month", F.date_format("timestamp", "yyyy-MM"))
-    rows = rows.withColumn("batch_id", F.lit(batch_id))
+    rows = rows.withColumn("batch_id", F.lit(batch_id or f"load-{uuid.uuid4().hex}"))
     if clustered:
         rows = rows.repartitionByRange(*SORT_KEYS, "event_id")
     (
@@ -38,6 +41,7 @@ def read_fact(
     batch_id: str | None = None,
 ) -> DataFrame:
     """The fact table between two times (until is exclusive); whole months outside are not listed for reading."""
+    prepare(spark)
     df = spark.read.schema(STORED_DDL).parquet(path)
     if since is not None:
         df = df.filter(F.col("event_month") >= utc(since).strftime("%Y-%m")).filter(F.col("timestamp") >= utc(since))

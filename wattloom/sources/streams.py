@@ -6,22 +6,25 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattloom.schema import BACKFILL_LATENESS_S, RAW_DDL
 
-# Fixed value: messages taken per poll.
-POLL_SIZE = 5_000
-
 
 def mode_of(lateness_s: int) -> str:
     """An allowance of 999999 seconds or more means reading the whole log once."""
     return "backfill" if lateness_s >= BACKFILL_LATENESS_S else "live"
 
 
-def kafka_options(servers: str, topic: str, lateness_s: int, per_trigger: int = POLL_SIZE) -> dict[str, str]:
-    return {
+def kafka_options(servers: str, topic: str, lateness_s: int, per_trigger: int | None = None,
+                  min_partitions: int | None = None) -> dict[str, str]:
+    """A trigger takes all there is unless the caller limits it; `min_partitions` splits long offset ranges."""
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest" if mode_of(lateness_s) == "backfill" else "latest",
-        "maxOffsetsPerTrigger": str(per_trigger),
     }
+    if per_trigger:
+        options["maxOffsetsPerTrigger"] = str(per_trigger)
+    if min_partitions:
+        options["minPartitions"] = str(min_partitions)
+    return options
 
 
 def trigger_of(lateness_s: int, every: str = "5 seconds") -> dict[str, object]:

@@ -19,13 +19,13 @@ from wattloom.session import drop_folder, prepare, store
 from wattloom.sources.deadletter import read_dead_letters, write_dead_letters
 from wattloom.sources.fact import read_fact, write_fact
 from wattloom.sources.streams import trigger_of, with_arrival
-from wattloom.streaming.tables import LIVE_PARTIALS, ROLLUP_PARTIALS, Progress, write_partials
+from wattloom.streaming.tables import LIVE_PARTIALS, ROLLUP_PARTIALS, Progress, write_metrics, write_partials
 
 NEVER_LATE_S = 10**9
 
 
 def _classified(batch: DataFrame, batch_id: int, folder: str, lateness_s: int, block: int):
-    """The micro-batch classified against the past, plus the past itself."""
+    """The messages of the micro-batch, the same classified against the past, and the past itself."""
     spark = batch.sparkSession
     prepare(spark)
     progress = Progress(spark, f"{folder}/state")
@@ -35,22 +35,22 @@ def _classified(batch: DataFrame, batch_id: int, folder: str, lateness_s: int, b
         ingest.first_unseen(raw, progress.seen(batch_id, high_water)), f"{folder}/stage/fresh"
     )
     classified = ingest.judge(fresh, lateness_s=lateness_s, prior_high_water=high_water, block=block)
-    return classified.persist(StorageLevel.MEMORY_AND_DISK), progress, high_water
+    return raw, classified.persist(StorageLevel.MEMORY_AND_DISK), progress, high_water
 
 
 def warehouse_batch(folder: str, lateness_s: int = MAX_LATENESS_S, block: int = BLOCK) -> Callable:
     """Fact rows, dead letters and rollup partials of one micro-batch."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        classified, progress, high_water = _classified(batch, batch_id, folder, lateness_s, block)
+        raw, classified, progress, high_water = _classified(batch, batch_id, folder, lateness_s, block)
         name = str(batch_id)
         write_fact(ingest.accepted(classified), f"{folder}/fact", name, clustered=False)
         write_dead_letters(ingest.rejected(classified), f"{folder}/dead_letters", name)
-        facts = read_fact(spark, f"{folder}/fact", batch_id=name)
-        write_partials(facts, f"{folder}/rollups", ROLLUP_PARTIALS, batch_id)
+        # Its own rows come from the cached batch: reading them back would list every folder of the table.
+        write_partials(ingest.accepted(classified), f"{folder}/rollups", ROLLUP_PARTIALS, batch_id)
+        write_metrics(raw, classified, f"{folder}/metrics", batch_id)
         progress.commit(classified, batch_id, high_water)
         classified.unpersist()
-        drop_folder(spark, f"{folder}/stage")
+        drop_folder(batch.sparkSession, f"{folder}/stage")
 
     return run
 
@@ -58,13 +58,13 @@ def warehouse_batch(folder: str, lateness_s: int = MAX_LATENESS_S, block: int =
 def live_batch(folder: str, block: int = BLOCK) -> Callable:
     """Live-state partials of one micro-batch; late events count here."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        classified, progress, high_water = _classified(batch, batch_id, folder, NEVER_LATE_S, block)
+        raw, classified, progress, high_water = _classified(batch, batch_id, folder, NEVER_LATE_S, block)
         facts = store(ingest.accepted(classified), f"{folder}/stage/facts")
         write_partials(facts, f"{folder}/live", LIVE_PARTIALS, batch_id)
+        write_metrics(raw, classified, f"{folder}/metrics", batch_id)
         progress.commit(classified, batch_id, high_water)
         classified.unpersist()
-        drop_folder(spark, f"{folder}/stage")
+        drop_folder(batch.sparkSession, f"{folder}/stage")
 
     return run
 
@@ -77,7 +77,10 @@ def replay_late(spark: SparkSession, folder: str, replay_id: str) -> None:
     """
     prepare(spark)
     batch, stage = f"replay-{replay_id}", f"{folder}/stage-replay-{replay_id}"
-    rows = store(replay.late_rows(read_dead_letters(spark, f"{folder}/dead_letters")), f"{stage}/late")
+    letters = read_dead_letters(spark, f"{folder}/dead_letters").filter(F.col("batch_id") != batch)
+    rows = store(replay.late_rows(letters), f"{stage}/late")
+    failed = store(replay.unconvertible(letters), f"{stage}/failed")
+    write_dead_letters(failed, f"{folder}/dead_letters", batch)
     others = read_fact(spark, f"{folder}/fact").filter(F.col("batch_id") != batch)
     missing = store(replay.not_in_fact(rows, others), f"{stage}/missing")
     write_fact(missing, f"{folder}/fact", batch)

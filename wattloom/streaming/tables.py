@@ -8,6 +8,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattloom.operators import rollups, state
+from wattloom.operators.ingest import ingest_metrics
 from wattloom.operators.rollups import STORED_ROLLUPS, combine
 from wattloom.schema import DEDUP_HORIZON_S, FACT_DDL
 from wattloom.session import exists, subfolders
@@ -39,13 +40,33 @@ def write_partials(facts: DataFrame, folder: str, partials: dict[str, tuple[Fold
 
 
 def read_partials(spark: SparkSession, folder: str, partials: dict[str, tuple[Fold, Fold]], name: str) -> DataFrame:
-    """The table as of the last finished batch, one row per key."""
+    """The table as of the last finished batch, one row per key. Replays count once they are written."""
     partial, fold = partials[name]
     shape = partial(empty_facts(spark))
     path = f"{folder}/{name}"
     if not exists(spark, path):
         return shape
-    return fold(spark.read.schema(shape.schema).parquet(path).select(*shape.columns))
+    stored = spark.read.schema(f"{_ddl(shape)}, batch_id string").parquet(path)
+    marks = f"{folder.rsplit('/', 1)[0]}/state"
+    if exists(spark, f"{marks}/high_water"):
+        last = max(finished_batches(spark, marks), default=-1)
+        finished = (F.expr("try_cast(batch_id AS bigint)") <= last) | F.col("batch_id").startswith("replay-")
+        stored = stored.filter(finished)
+    return fold(stored.select(*shape.columns))
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)
+
+
+def write_metrics(raw: DataFrame, classified: DataFrame, folder: str, batch_id: int) -> None:
+    """One row of counters of a micro-batch."""
+    ingest_metrics(raw, classified).write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+
+
+def read_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """The counters of every micro-batch, with its number."""
+    return spark.read.parquet(folder)
 
 
 def read_errors_daily(spark: SparkSession, folder: str) -> DataFrame:
