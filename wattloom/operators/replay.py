@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from wattloom.functions.joins import broadcast_if_small
 from wattloom.functions.windows import hour_bucket
+from wattloom.operators.decode import evaluate_once
 from wattloom.operators.ingest import check, rejected
 from wattloom.operators.rollups import sessions_hourly
 from wattloom.schema import FACT_NAMES
@@ -26,7 +27,7 @@ def late_checked(letters: DataFrame) -> DataFrame:
     """The first late dead letter of each event id with its typed row and the conversion error it meets, if any."""
     first = F.min_by("raw_event", F.struct("rejected_at", "raw_event"))
     late = late_letters(letters).groupBy("event_id").agg(first.alias("raw"))
-    return check(late.select(F.lit(0).cast("bigint").alias("arrival"), "raw"))
+    return evaluate_once(check(late.select(F.lit(0).cast("bigint").alias("arrival"), "raw")))
 
 
 def unconvertible(letters: DataFrame, now: datetime | None = None) -> DataFrame:
