@@ -285,6 +285,20 @@ def test_components_equal_brute_force(spark, docs, empty):
         assert listed(found, "doc_id", "n_shingles", "component_id") == brute_components(rows)
 
 
+def test_copies_of_a_text_reach_a_block_once(spark):
+    rules = jaccard.JoinRules()
+    texts = [prose(80, 7)] * 400 + [prose(80, 7).upper()] * 200 + [prose(90, 100 + i) for i in range(50)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(16)
+    found = jaccard._set_blocks(frame, 5, rules)
+    sizes = [r.n for r in found.collect()]
+    assert len(sizes) == found.select("set_id").distinct().count() == 51
+    ids = "set_id binary, n long"
+    grouped = found.groupBy("block").applyInArrow(lambda rows: rows.select(["set_id", "n"]), ids)
+    assert grouped._jdf.queryExecution().executedPlan().toString().count("hashpartitioning") == 1
+    assert sorted(r.n for r in grouped.collect()) == sorted(sizes)
+    assert jaccard._prefixes(frame, 50_000, rules).count() == 0
+
+
 # mixing
 
 def test_mix_meets_targets_and_agrees_with_itself(spark, docs, empty):

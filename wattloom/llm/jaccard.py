@@ -105,16 +105,20 @@ def _signatures(docs: DataFrame, rules: JoinRules) -> DataFrame:
 
 
 def _leading(docs: DataFrame, rules: JoinRules) -> DataFrame:
-    """set_id, n, and of its n-grams: those of the first tier, and, if they are fewer than the prefix, the next ones."""
+    """set_id, n, and of its n-grams: those of the first tier, and, if they are fewer than the prefix, the next ones; of
+    equal sets in a task one."""
     bound = np.uint64(int(rules.tier * 2.0**64))
 
     def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
             ids, sizes, first, next_ones = [], [], [], []
             for text in batch.column(0).to_pylist():
                 found = shingles(text or b"", rules.words)
-                if len(found):
-                    ids.append(xxhash.xxh3_128_digest(found.tobytes()))
+                set_id = xxhash.xxh3_128_digest(found.tobytes())
+                if len(found) and set_id not in seen:
+                    seen.add(set_id)
+                    ids.append(set_id)
                     sizes.append(len(found))
                     at = int(np.searchsorted(found, bound))
                     first.append(found[:at])
@@ -126,8 +130,19 @@ def _leading(docs: DataFrame, rules: JoinRules) -> DataFrame:
     return docs.select("text").mapInArrow(lead, "set_id binary, n long, first array<long>, next array<long>")
 
 
+def _set_blocks(docs: DataFrame, parts: int, rules: JoinRules) -> DataFrame:
+    """block and the columns of _leading, one row of each set, however many documents have it.
+
+    Rows already lie by block when equal sets become one, so that this and grouping by block need a single exchange; of
+    each set it has at most one row per task that read documents.
+    """
+    leading = _leading(docs, rules).withColumn("block", F.pmod(F.xxhash64("set_id"), F.lit(parts)))
+    firsts = [F.first(c).alias(c) for c in ("n", "first", "next")]
+    return leading.repartition("block").groupBy("block", "set_id").agg(*firsts)
+
+
 def _sets(rows: list[dict]) -> dict[bytes, dict]:
-    """The rows of a group, one of each set, by set id."""
+    """The rows of a group by set id, in its order."""
     return dict(sorted((row["set_id"], row) for row in rows))
 
 
@@ -154,8 +169,7 @@ def _prefixes(docs: DataFrame, n_tokens: int, rules: JoinRules) -> DataFrame:
     with the number of its own sets, so a frequent one costs a few bytes per block.
     """
     parts = parts_for(n_tokens, rules.tokens_per_group)
-    leading = _leading(docs, rules)
-    blocks = leading.withColumn("block", F.pmod(F.xxhash64("set_id"), F.lit(parts)))
+    blocks = _set_blocks(docs, parts, rules)
 
     def ask(table: pa.Table) -> pa.Table:
         grams, _ = _grams(_sets(table.to_pylist()))
