@@ -163,6 +163,25 @@ def test_encoder_gives_the_tokenizers_ids():
             assert b"".join(i.to_bytes(4, "little") for i in expected) == ids, repr(text)
 
 
+def test_operators_give_added_tokens_their_ids(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokens.tokenizer_path())
+    encoder = tokens.Encoder(tokens.tokenizer_path(), remembered=50, encode_special_tokens=False)
+    r = random.Random(6)
+    parts = ["a", "word", "'s", " ", "  ", "\n", "12", "é", "<|endoftext|>", "<|endoftext", "|>", "　"]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", ""]
+    texts += ["".join(r.choice(parts) for _ in range(r.randint(0, 30))) for _ in range(2000)]
+    expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    packed = [b"".join(i.to_bytes(4, "little") for i in ids) for ids in expected]
+    assert expected[0] == [64, 220, 50256, 275] and encoder.encode(texts) == packed
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts[:4])], "doc_id long, text string")
+    found = {x.length: x.n_docs for x in lengths.histogram(frame).collect()}
+    assert found == Counter(map(len, expected[:4]))
+    placed = packing.pack(frame, packing.PackRules(capacity=256), keep_ids=True).collect()
+    assert {x.key: bytes(x.ids) for x in placed} == {i: ids + (1).to_bytes(4, "little") for i, ids in enumerate(packed[:4])}
+
+
 def token_lists(docs) -> list[bytes]:
     return tokens.Encoder(tokens.tokenizer_path()).encode([r.text or "" for r in docs.select("text").collect()])
 

@@ -27,7 +27,7 @@ def histogram(docs: DataFrame, path: str | None = None, text: str = "text") -> D
     small_batches(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = Encoder(path, encode_special_tokens=False)
         for batch in batches:
             texts = [t or "" for t in batch.column(0).to_pylist()]
             sizes = [len(ids) // 4 for ids in encoder.encode(texts)]

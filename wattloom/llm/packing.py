@@ -64,7 +64,7 @@ def pieces(docs: DataFrame, rules: PackRules = PackRules(), path: str | None = N
     schema = PIECE + (", ids binary" if keep_ids else "")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = Encoder(path, encode_special_tokens=False)
         for batch in batches:
             keys = batch.column(0).to_pylist()
             rows: list[tuple] = []
