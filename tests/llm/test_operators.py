@@ -428,6 +428,23 @@ def test_scores_equal_a_dictionary_model(docs, empty, spark):
     assert suffix_tree.score(empty).count() == 0
 
 
+def test_a_frequent_token_is_spread_over_the_parts():
+    import numpy as np
+
+    hot, frequent = np.uint64(77), np.sort(np.array([77, *range(1000, 1300)], dtype=np.uint64))
+    base = len(frequent) + 1
+    codes = np.arange(1, base * 40, dtype=np.int64)  # contexts of one and of two words before the one token
+    keys, counts = np.full(len(codes), hot), np.ones(len(codes))
+    rows = suffix_tree._pack(keys, codes, counts, codes % base, frequent, 16)
+    sizes = [len(r["codes"]) // 8 for r in rows]
+    assert len(rows) == 16 and sum(sizes) == len(codes) and max(sizes) < 3 * len(codes) / 16
+    where = defaultdict(set)
+    for r in rows:
+        for code in np.frombuffer(r["codes"], dtype="<i8").tolist():
+            where[code % base].add(r["part"])
+    assert all(len(parts) == 1 for parts in where.values())
+
+
 def test_held_out_texts_score_better_than_by_counts_alone(spark, sf):
     scored = suffix_tree.score(spark.read.parquet(f"{sf}/documents.parquet")).where("held_out")
     sums = scored.agg(F.sum("score").alias("score"), F.sum("base_score").alias("base")).first()

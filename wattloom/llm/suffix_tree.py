@@ -6,9 +6,11 @@ their parent's: the gain in log likelihood must exceed the number of next tokens
 kept context before it, where counts are smoothed with the parent's distribution in proportion to the number of
 different next tokens (Witten-Bell), down to the root with one added to every count.
 
-Counts of all training documents are gathered, by hash of the token. Tasks add up what they read and send one packed
-row per part of the token space; blocks of documents ask every part for just their different (token, state) pairs and
-get counts and log probabilities back. So neither the counts nor the texts ever meet in one place: driver and broadcasts
+Counts of all training documents are gathered, by hash of the token, and for frequent tokens by hash of the token and the
+word before it, so that a token with a large share of the corpus is spread while a context stays with its parent; how
+often a frequent token occurs in all is counted beforehand. Tasks add up what they read and send one packed row per part
+of this space; blocks of documents ask every part for just their different (token, state) pairs and get counts and log
+probabilities back. So neither the counts nor the texts ever meet in one place: driver and broadcasts
 hold only the kept contexts, whose number `min_share` bounds.
 
 * A null or empty text has one token, its end. Repeated rows count and are scored each.
@@ -27,6 +29,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattloom.session import materialize
+
 from .common import parts_for, small_batches
 
 END = xxhash.xxh64_intdigest(b"\n")  # no word holds white space
@@ -51,13 +55,28 @@ def _sum_by(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return unique, np.bincount(place, weights=values, minlength=len(unique))
 
 
+def _known(flat: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """The 1-based place of each token in `frequent`, 0 for others."""
+    if not len(frequent):
+        return np.zeros(len(flat), dtype=np.int64)
+    at = np.searchsorted(frequent, flat)
+    at[at == len(frequent)] = 0
+    return np.where(frequent[at] == flat, at + 1, 0)
+
+
+def _spread(keys: np.ndarray, last: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """A hash of every entry that places it: of its token, and for a frequent token of the word before it (`last`) too."""
+    word = np.where(_known(keys, frequent) > 0, last, 0).astype(np.uint64)
+    mixed = keys ^ (word * np.uint64(0x9E3779B97F4A7C15))
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+    return mixed ^ (mixed >> np.uint64(29))
+
+
 def _previous(streams: list[np.ndarray], frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All tokens, and for each the 1-based places in `frequent` of the word before it and of the one before that (0:
     none, or not frequent, or beyond the start of the text)."""
     flat = np.concatenate(streams)
-    at = np.searchsorted(frequent, flat)
-    at[at == len(frequent)] = 0
-    known = np.where(frequent[at] == flat, at + 1, 0) if len(frequent) else np.zeros(len(flat), dtype=np.int64)
+    known = _known(flat, frequent)
     starts = np.cumsum([0, *map(len, streams[:-1])])
     one, two = np.zeros_like(known), np.zeros_like(known)
     one[1:], two[2:] = known[:-1], known[:-2]
@@ -67,19 +86,24 @@ def _previous(streams: list[np.ndarray], frequent: np.ndarray) -> tuple[np.ndarr
     return flat, one, np.where(one > 0, two, 0)
 
 
-def _pack(keys: np.ndarray, codes: np.ndarray, counts: np.ndarray, parts: int) -> list[dict]:
-    """One row per part of the token space: its different tokens, the number of entries of each, their codes and counts.
-    Entries come sorted by token, then code."""
-    tokens_, first = np.unique(keys, return_index=True)
-    part = ((tokens_ >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+def _places(keys: np.ndarray, last: np.ndarray, frequent: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The part of every entry, and the order of entries by part that otherwise keeps theirs."""
+    part = ((_spread(keys, last, frequent) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    return part, np.argsort(part, kind="stable")
+
+
+def _pack(keys: np.ndarray, codes: np.ndarray, counts: np.ndarray, last: np.ndarray, frequent: np.ndarray,
+          parts: int) -> list[dict]:
+    """One row per part: its different tokens, the number of entries of each, their codes and counts. Entries come sorted
+    by token, then code, and are so in every part; `last` is the word before the token in each."""
+    part, order = _places(keys, last, frequent, parts)
+    part, keys, codes, counts = part[order], keys[order], codes[order], counts[order]
     edges = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
-    ends = np.append(first, len(keys))
     rows = []
-    for p in range(parts):
-        a, b = edges[p], edges[p + 1]
-        if a < b:
-            x, y = ends[a], ends[b]
-            rows.append({"part": p, "tokens": tokens_[a:b].tobytes(), "sizes": np.diff(ends[a:b + 1]).astype("<i4").tobytes(),
+    for p, (x, y) in enumerate(zip(edges, edges[1:])):
+        if x < y:
+            tokens_, sizes = np.unique(keys[x:y], return_counts=True)
+            rows.append({"part": p, "tokens": tokens_.tobytes(), "sizes": sizes.astype("<i4").tobytes(),
                          "codes": codes[x:y].astype("<i8").tobytes(), "counts": counts[x:y].astype("<i4").tobytes()})
     return rows
 
@@ -106,9 +130,9 @@ def _entries(flat: np.ndarray, codes: np.ndarray, learnt: np.ndarray) -> tuple[n
     return keys[new], sorted_codes[new], counts, at
 
 
-def _frequent(docs: DataFrame, rules: TreeRules) -> tuple[np.ndarray, int]:
+def _frequent(docs: DataFrame, rules: TreeRules) -> tuple[np.ndarray, int, int]:
     """Hashes of all words that make up min_share of the training tokens (and no more than twice as many as can), and
-    the number of all tokens. A batch reports words of at least half that share in it, so what goes unreported is less
+    the numbers of training tokens and of all tokens. A batch reports words of at least half that share in it, so what goes unreported is less
     than half of it in sum."""
     share = rules.min_share / 2
 
@@ -127,22 +151,33 @@ def _frequent(docs: DataFrame, rules: TreeRules) -> tuple[np.ndarray, int]:
                 pa.array([len(flat), every, *n[often].tolist()], pa.int64())], names=["word", "every", "n"])
 
     counted = docs.select("text", "held_out").mapInArrow(count, "word long, every boolean, n long")
-    counted = counted.groupBy("word", "every").agg(F.sum("n").alias("n"))
-    counted = counted.withColumn("learnt", F.max(F.when(F.col("word").isNull() & ~F.col("every"), F.col("n"))).over(_all()))
-    rows = counted.where(F.col("word").isNull() | (F.col("n") >= F.col("learnt") * share)).collect()
-    words = np.array([r["word"] for r in rows if r["word"] is not None], dtype=np.int64).view(np.uint64)
-    return np.sort(words), sum(r["n"] for r in rows if r["every"])
+    counted = materialize(counted.groupBy("word", "every").agg(F.sum("n").alias("n")), "frequent-words")
+    totals = {r["every"]: r["n"] for r in counted.where("word is null").collect()}
+    rows = counted.where("word is not null").where(F.col("n") >= totals.get(False, 0) * share).collect()
+    words = np.array([r["word"] for r in rows], dtype=np.int64).view(np.uint64)
+    return np.sort(words), totals.get(False, 0), totals.get(True, 0)
 
 
-def _all():
-    from pyspark.sql import Window
+def _occurrences(docs: DataFrame, frequent: np.ndarray) -> np.ndarray:
+    """How often each word of `frequent` occurs in the training documents."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(frequent) + 1, dtype=np.int64)
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                total += np.bincount(_known(tokens(text), frequent), minlength=len(total))
+        at = np.flatnonzero(total[1:])
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[1:][at], pa.int64())], names=["at", "n"])
 
-    return Window.partitionBy()
+    found = docs.where("not held_out").select("text").mapInArrow(count, "at long, n long")
+    counts = np.zeros(len(frequent), dtype=np.int64)
+    for row in found.groupBy("at").agg(F.sum("n").alias("n")).collect():
+        counts[row["at"]] = row["n"]
+    return counts
 
 
-def _statistics(docs: DataFrame, frequent: np.ndarray, parts: int, rules: TreeRules) -> DataFrame:
+def _statistics(docs: DataFrame, frequent: np.ndarray, occurrences: np.ndarray, parts: int, rules: TreeRules) -> DataFrame:
     """code, n, kinds, gain of every context seen: tokens after it, different ones, and the sum of n ln(n / n of the same
-    token after the parent). Code -1 has all training tokens and different ones."""
+    token after the parent). Code -1 has the tokens that are not frequent and the different ones of them."""
     base = len(frequent) + 1
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +186,7 @@ def _statistics(docs: DataFrame, frequent: np.ndarray, parts: int, rules: TreeRu
         def rows() -> pa.RecordBatch:
             flat, one, two = _previous(streams, frequent)
             keys, codes, counts, _ = _entries(flat, two * base + one, np.ones(len(flat)))
-            return pa.RecordBatch.from_pylist(_pack(keys, codes, counts, parts), schema=PACKED)
+            return pa.RecordBatch.from_pylist(_pack(keys, codes, counts, codes % base, frequent, parts), schema=PACKED)
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -165,12 +200,12 @@ def _statistics(docs: DataFrame, frequent: np.ndarray, parts: int, rules: TreeRu
 
     def sums(table: pa.Table) -> pa.Table:
         keys, codes, counts = _unpack(table.to_pylist())
-        _, token = np.unique(keys, return_inverse=True)
-        kinds = int(token.max()) + 1
+        words, token = np.unique(keys, return_inverse=True)
+        place = _known(words, frequent)
         # in numbers that fit: token below 2**22 or so, code below 2**31
         both, n = _sum_by(token.astype(np.int64) * (base * base) + codes, counts)
         token, codes = both // (base * base), both % (base * base)
-        per_token = np.bincount(token, weights=n)
+        per_token = _per_token(place, np.bincount(token, weights=n), occurrences)
         one_keys, one = _sum_by((token * base + codes % base)[codes % base > 0], n[codes % base > 0])
         deep = codes >= base
         parent = one[np.searchsorted(one_keys, (token * base + codes % base)[deep])]
@@ -181,8 +216,8 @@ def _statistics(docs: DataFrame, frequent: np.ndarray, parts: int, rules: TreeRu
         add = lambda values: np.bincount(at, weights=values, minlength=len(code))
         return pa.table({
             "code": pa.array(np.append(code, -1).astype(np.int64)),
-            "n": pa.array(np.append(add(n), per_token.sum()).astype(np.int64)),
-            "kinds": pa.array(np.append(add(np.ones(len(n))), kinds).astype(np.int64)),
+            "n": pa.array(np.append(add(n), per_token[place == 0].sum()).astype(np.int64)),
+            "kinds": pa.array(np.append(add(np.ones(len(n))), (place == 0).sum()).astype(np.int64)),
             "gain": pa.array(np.append(add(n * np.log(n / above)), 0.0))})
 
     packed = docs.where("not held_out").select("text").mapInArrow(learn, PACKED_DDL)
@@ -190,11 +225,17 @@ def _statistics(docs: DataFrame, frequent: np.ndarray, parts: int, rules: TreeRu
     return found.groupBy("code").agg(F.sum("n").alias("n"), F.sum("kinds").alias("kinds"), F.sum("gain").alias("gain"))
 
 
+def _per_token(place: np.ndarray, here: np.ndarray, occurrences: np.ndarray) -> np.ndarray:
+    """Training counts of tokens: those of this part, and of frequent ones, which other parts hold too, the known ones."""
+    return np.where(place > 0, np.append(0, occurrences)[place], here)
+
+
 @dataclass
 class Tree:
-    """The kept contexts: sorted codes, and by state (0: root) tokens after it, different ones, and the parent's state."""
+    """How often each frequent word is learnt. The kept contexts: sorted codes, and by state (0: root) tokens after it, different ones, and the parent's state."""
 
     frequent: np.ndarray
+    occurrences: np.ndarray
     codes: np.ndarray
     n: np.ndarray
     kinds: np.ndarray
@@ -207,6 +248,10 @@ class Tree:
         base = len(self.frequent) + 1
         return np.where(self._place(two * base + one) * (two > 0) > 0, self._place(two * base + one), self._place(one))
 
+    def last(self, states: np.ndarray) -> np.ndarray:
+        """The word before the token in each state, 0 for the root; a state and its parent share it."""
+        return np.append(0, self.codes % (len(self.frequent) + 1))[states]
+
     def _place(self, codes: np.ndarray) -> np.ndarray:
         if not len(self.codes):
             return np.zeros(len(codes), dtype=np.int64)
@@ -215,13 +260,12 @@ class Tree:
         return np.where(self.codes[at] == codes, at + 1, 0)
 
 
-def learn_tree(docs: DataFrame, frequent: np.ndarray, parts: int, rules: TreeRules) -> Tree:
-    found = _statistics(docs, frequent, parts, rules)
-    # The row of all tokens, and at most 1 / min_share contexts of each length.
-    everything = F.max(F.when(F.col("code") == -1, F.col("n"))).over(_all())
-    rows = found.withColumn("_all", everything).where(F.col("n") >= F.col("_all") * rules.min_share).collect()
-    total = next((r for r in rows if r["code"] == -1), None)
-    n_tokens, vocabulary = (total["n"], total["kinds"]) if total else (0, 0)
+def learn_tree(docs: DataFrame, frequent: np.ndarray, n_tokens: int, parts: int, rules: TreeRules) -> Tree:
+    occurrences = _occurrences(docs, frequent)
+    found = _statistics(docs, frequent, occurrences, parts, rules)
+    # The row of the other tokens, and at most 1 / min_share contexts of each length.
+    rows = found.where((F.col("code") == -1) | (F.col("n") >= n_tokens * rules.min_share)).collect()
+    vocabulary = sum(r["kinds"] for r in rows if r["code"] == -1) + int((occurrences > 0).sum())
     base = len(frequent) + 1
     size = {r["code"]: r["n"] for r in rows}
     kept = []
@@ -233,7 +277,7 @@ def learn_tree(docs: DataFrame, frequent: np.ndarray, parts: int, rules: TreeRul
                 kept.append(r)
     kept.sort(key=lambda r: r["code"])
     codes = np.array([r["code"] for r in kept], dtype=np.int64)
-    tree = Tree(frequent, codes, *(np.array([0, *[r[c] for r in kept]], dtype=np.int64) for c in ("n", "kinds")),
+    tree = Tree(frequent, occurrences, codes, *(np.array([0, *[r[c] for r in kept]], dtype=np.int64) for c in ("n", "kinds")),
                 np.zeros(len(kept) + 1, dtype=np.int64), n_tokens, vocabulary)
     tree.parent[1:] = np.where(codes >= base, tree._place(codes % base), 0)
     return tree
@@ -241,9 +285,9 @@ def learn_tree(docs: DataFrame, frequent: np.ndarray, parts: int, rules: TreeRul
 
 def _answer(keys: np.ndarray, states: np.ndarray, counts: np.ndarray, tree: Tree) -> tuple[np.ndarray, np.ndarray]:
     """Training count of each entry's token, and log10 probability of the token in its state."""
-    _, token = np.unique(keys, return_inverse=True)
+    words, token = np.unique(keys, return_inverse=True)
     token = token.astype(np.int64)
-    per_token = np.bincount(token, weights=counts)
+    per_token = _per_token(_known(words, tree.frequent), np.bincount(token, weights=counts), tree.occurrences)
     width = len(tree.n)
     up = tree.parent[states]
     every = np.concatenate([token * width + states, (token * width + up)[up > 0]])
@@ -265,9 +309,9 @@ def score(docs: DataFrame, rules: TreeRules = TreeRules(), text: str = "text", k
     fold = F.crc32(F.col(f"`{key}`").cast("string")) % folds
     docs = docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").cast("binary").alias("text"),
                        F.coalesce(fold == held_out_fold, F.lit(False)).alias("held_out"))
-    frequent, every = _frequent(docs, rules)
+    frequent, n_tokens, every = _frequent(docs, rules)
     parts = parts_for(every, rules.tokens_per_part)
-    shared = spark.sparkContext.broadcast(learn_tree(docs, frequent, parts, rules))
+    shared = spark.sparkContext.broadcast(learn_tree(docs, frequent, n_tokens, parts, rules))
 
     def read(table: pa.Table) -> tuple:
         tree = shared.value
@@ -278,8 +322,9 @@ def score(docs: DataFrame, rules: TreeRules = TreeRules(), text: str = "text", k
 
     def ask(table: pa.Table) -> pa.Table:
         _, (keys, states, counts, _) = read(table)
+        tree = shared.value
         block = table["block"][0].as_py()
-        rows = [{"block": block, **row} for row in _pack(keys, states, counts, parts)]
+        rows = [{"block": block, **row} for row in _pack(keys, states, counts, tree.last(states), tree.frequent, parts)]
         return pa.Table.from_pylist(rows, schema=pa.schema([("block", pa.int64()), *PACKED]))
 
     def reply(table: pa.Table) -> pa.Table:
@@ -294,10 +339,12 @@ def score(docs: DataFrame, rules: TreeRules = TreeRules(), text: str = "text", k
 
     def finish(table: pa.Table, replies: pa.Table) -> pa.Table:
         tree = shared.value
-        streams, (_, _, _, at) = read(table)
+        streams, (keys, states, _, at) = read(table)
+        _, order = _places(keys, tree.last(states), tree.frequent, parts)
+        back = np.argsort(order)[at]  # replies come by part, positions by token and state
         rows = sorted(replies.to_pylist(), key=lambda r: r["part"])
-        known = np.concatenate([np.frombuffer(r["known"], dtype="<i8") for r in rows])[at]
-        chances = np.concatenate([np.frombuffer(r["chances"], dtype="<f4") for r in rows]).astype(float)[at]
+        known = np.concatenate([np.frombuffer(r["known"], dtype="<i8") for r in rows])[back]
+        chances = np.concatenate([np.frombuffer(r["chances"], dtype="<f4") for r in rows]).astype(float)[back]
         starts = np.cumsum([0, *[len(s) for s in streams[:-1]]])
         base = np.log10((known + 1) / (tree.tokens + tree.vocabulary + 1))
         add = lambda values: np.add.reduceat(values, starts)
