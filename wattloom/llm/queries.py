@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, jaccard, lengths, maxscore, mixing, packing, pii, quality, sharding, suffix_tree
+from . import alignment, best_fit, filter_audit, html_text, jaccard, lengths, maxscore, mixing, packing, pii, quality, sharding, suffix_tree
 from .common import table
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -60,6 +60,19 @@ def op10_suffix_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = filter_audit.masks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return filter_audit.audit(counted)
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(table(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_maxscore_top_k": op1_maxscore_top_k,
@@ -72,4 +85,7 @@ def queries() -> dict[str, Query]:
         "op8_source_mix": op8_source_mix,
         "op9_harmonic_packing": op9_harmonic_packing,
         "op10_suffix_tree_score": op10_suffix_tree_score,
+        "op11_token_alignment": op11_token_alignment,
+        "op12_filter_audit": op12_filter_audit,
+        "op13_best_fit_packing": op13_best_fit_packing,
     }

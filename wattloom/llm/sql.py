@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .filter_audit import AuditRules
 from .mixing import MODULUS, STEP, MixRules
 from .quality import CHAR_CLASSES, COMMON_WORDS, PUNCTUATION, QualityRules
 
@@ -104,9 +105,44 @@ u AS (SELECT doc_id, sum(greatest(least(z, (rank + 1) * {words}, round(target)::
 SELECT o.doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM o LEFT JOIN u USING (doc_id)"""
 
 
+def audit_sql(rules: AuditRules = AuditRules()) -> str:
+    return f"""
+WITH RECURSIVE t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, {WORDS} AS words FROM documents),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT t, min(doc_id) AS lowest FROM t GROUP BY t),
+d AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    concat(CASE WHEN len(words) < {rules.min_words} THEN 'A' END,
+      CASE WHEN 100 * len(list_distinct(words)) < {rules.min_distinct_percent} * len(words) THEN 'B' END,
+      CASE WHEN 100 * len(regexp_extract_all(t.t, '[A-Z]')) > {rules.max_upper_percent} * length(t.t) THEN 'C' END,
+      CASE WHEN regexp_matches(t.t, '{rules.symbols}') THEN 'D' END,
+      CASE WHEN t.doc_id > lowest THEN 'E' END) AS fails
+  FROM t JOIN m ON t.t = m.t LEFT JOIN l ON t.doc_id = l.doc_id),
+c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+      FROM d GROUP BY part, fails),
+p AS (SELECT '' AS o UNION ALL
+      SELECT o || x FROM p, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) WHERE length(o) < 5 AND NOT contains(o, x)),
+s AS (SELECT o AS filter_order, step, o[step] AS f FROM p, range(1, 6) r(step) WHERE length(o) = 5),
+a AS (
+  SELECT part, filter_order, step, f, n, good, toxic, fails, contains(fails, f) AS hit,
+    len(list_filter(string_split(filter_order[1:step - 1], ''), lambda x: x <> '' AND contains(fails, x))) > 0 AS gone
+  FROM c, s),
+r AS (
+  SELECT part, filter_order, step, any_value(f) AS f, coalesce(sum(n) FILTER (NOT hit AND NOT gone), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (hit AND NOT gone), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (hit AND gone), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (fails = f), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (hit AND NOT gone), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (hit AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM a GROUP BY part, filter_order, step)
+SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM r"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_maxscore_top_k": top_k_sql(),
         "op4_quality_rules": quality_sql(),
         "op8_source_mix": mix_sql(),
+        "op12_filter_audit": audit_sql(),
     }

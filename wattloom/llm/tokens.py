@@ -111,3 +111,15 @@ class Encoder:
             self._plain(text) if words is None else self._plain(words[0]) + b"".join(map(get, words[1:]))
             for text, words in zip(texts, split)
         ]
+
+
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes of every id of a byte-level vocabulary file; those of added tokens are their strings'."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    byte_of, found = _bytes_by_character(), {}
+    for token, i in spec["model"]["vocab"].items():
+        found[i] = bytes(map(byte_of.__getitem__, token)) if all(c in byte_of for c in token) else token.encode()
+    for token in spec["added_tokens"]:
+        found[token["id"]] = token["content"].encode()
+    return [found.get(i, b"") for i in range(max(found) + 1)]
