@@ -23,7 +23,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from wattloom.session import materialize
 
 from .common import small_batches
-from .tokens import SPACE_AND_BLANK, Encoder, token_bytes, tokenizer_path
+from .tokens import BLANKS, SPACE_AND_BLANK, Encoder, token_bytes, tokenizer_path
 
 B_SHIFT = 32
 MARK = "▁"  # stands for a space in pieces
@@ -42,8 +42,9 @@ MARK = "▁"  # stands for a space in pieces
 
 @dataclass(frozen=True)
 class AlignRules:
-    block_bytes: int = 16_000_000
+    block_bytes: int = 4_000_000
     block_rows: int = 50_000
+    chunk_words: int = 20_000
     byte_bpe: str | None = None
     piece_bpe: str | None = None
 
@@ -69,10 +70,11 @@ class Vocabularies:
         import sentencepiece
 
         path = rules.byte_bpe or tokenizer_path()
-        self.encoder = Encoder(path)
+        self.encoder = Encoder(path, remembered=0)  # blocks ask for each of their words once
         self.model = sentencepiece.SentencePieceProcessor(
             model_file=rules.piece_bpe or tokenizer_path("piece_bpe_32k.model"))
         self.a, self.b = token_bytes(path), piece_bytes(self.model)
+        self.a_len, self.b_len = (np.array(list(map(len, table)), dtype=np.int64) for table in (self.a, self.b))
         size = range(len(self.b))
         special = [self.model.is_control(i) or self.model.is_unknown(i) for i in size]
         whole = [not self.model.is_byte(i) for i in size]
@@ -101,44 +103,75 @@ class Words:
     regular: np.ndarray
 
 
+def encode_words(words: list[str], vocabularies: Vocabularies) -> tuple[list[np.ndarray], list[np.ndarray], list[bool]]:
+    """Ids of words, each with a space before it, one after the other, and which words both tokenizers give back.
+
+    Words without blanks are encoded as one text; if it does not come back, its halves are tried, down to the words.
+    """
+    text = " ".join(words)
+    whole = (" " + text).encode()
+    a = np.frombuffer(vocabularies.encoder.encode([" " + text])[0], dtype="<u4").astype(np.int64)
+    b = np.array(vocabularies.model.encode(text, num_threads=1), dtype=np.int64)
+    if all(b"".join(map(table.__getitem__, ids.tolist())) == whole for table, ids in ((vocabularies.a, a), (vocabularies.b, b))):
+        return [a], [b], [True] * len(words)
+    if len(words) == 1:
+        return [], [], [False]
+    middle = len(words) // 2
+    left, right = encode_words(words[:middle], vocabularies), encode_words(words[middle:], vocabularies)
+    return tuple(x + y for x, y in zip(left, right))
+
+
+def stretches(words: list[str]) -> Iterator[list[str]]:
+    """Words that can be encoded as one text; one with a space in it, or a blank at an end, is alone."""
+    together: list[str] = []
+    for word in words:
+        if not word or " " in word or word[0] in BLANKS or word[-1] in BLANKS:
+            if together:
+                yield together
+            yield [word]
+            together = []
+        else:
+            together.append(word)
+    if together:
+        yield together
+
+
 def align_words(words: list[str], vocabularies: Vocabularies) -> Words:
     """Aligns words, each with a space before it."""
-    a_ids = vocabularies.encoder.encode([" " + w for w in words])
-    b_ids = vocabularies.model.encode(words, num_threads=1) if words else []
-    a_of, b_of = vocabularies.a.__getitem__, vocabularies.b.__getitem__
-    valid = np.zeros(len(words), dtype=bool)
-    for i, (word, a, b) in enumerate(zip(words, a_ids, b_ids)):
-        whole = (" " + word).encode()
-        valid[i] = (b"".join(map(b_of, b)) == whole
-                    and b"".join(map(a_of, np.frombuffer(a, dtype="<u4").tolist())) == whole)
-    a_ids = [a if ok else b"" for a, ok in zip(a_ids, valid)]
-    b_ids = [b if ok else [] for b, ok in zip(b_ids, valid)]
-    n_a = np.array([len(a) // 4 for a in a_ids], dtype=np.int64)
-    n_b = np.array([len(b) for b in b_ids], dtype=np.int64)
-    a = np.frombuffer(b"".join(a_ids), dtype="<u4").astype(np.int64)
-    b = np.fromiter((i for ids in b_ids for i in ids), dtype=np.int64, count=int(n_b.sum()))
-
-    a_end = np.cumsum(np.array(list(map(len, vocabularies.a)))[a])
-    b_end = np.cumsum(np.array(list(map(len, vocabularies.b)))[b])
+    parts = [encode_words(stretch, vocabularies) for stretch in stretches(words)]
+    none = np.empty(0, dtype=np.int64)
+    a, b = (np.concatenate([none, *[ids for part in parts for ids in part[side]]]) for side in (0, 1))
+    valid = np.array([ok for part in parts for ok in part[2]], dtype=bool)
+    n_bytes = np.fromiter((len(w.encode()) + 1 for w in words), dtype=np.int64, count=len(words))
+    word_end = np.cumsum(np.where(valid, n_bytes, 0))
+
+    def by_word(ends: np.ndarray) -> np.ndarray:
+        return np.diff(np.searchsorted(ends, word_end, side="right"), prepend=0)
+
+    a_end, b_end = np.cumsum(vocabularies.a_len[a]), np.cumsum(vocabularies.b_len[b])
     both, any_end = np.intersect1d(a_end, b_end, assume_unique=True), np.union1d(a_end, b_end)
     # Between two ends that follow each other lie bytes of one token of each, and of no other link of these two.
-    at_a, at_b = np.searchsorted(a_end, any_end), np.searchsorted(b_end, any_end)
+    a_link, b_link = a[np.searchsorted(a_end, any_end)], b[np.searchsorted(b_end, any_end)]
     group = np.searchsorted(both, any_end)
     links_of_group = np.bincount(group, minlength=len(both))
-    keys = (a[at_a] << B_SHIFT) | b[at_b]
-    regular = (links_of_group[group] == 1) & (vocabularies.same[a[at_a]] == b[at_b])
-
-    word_of_a = np.repeat(np.arange(len(words)), n_a)
-    n_links = np.bincount(word_of_a[at_a], minlength=len(words))
-    a_cut = np.searchsorted(a_end, both, side="right")
-    b_cut = np.searchsorted(b_end, both, side="right").tolist()
-    n_groups = np.bincount(word_of_a[a_cut - 1], minlength=len(words))
-    a_text, b_text, a_cut = list(map(str, a.tolist())), list(map(str, b.tolist())), a_cut.tolist()
-    texts = [",".join(a_text[p:q]) + "|" + ",".join(b_text[x:y])
+    regular = (links_of_group[group] == 1) & (vocabularies.same[a_link] == b_link)
+
+    a_cut, b_cut = (np.searchsorted(ends, both, side="right").tolist() for ends in (a_end, b_end))
+    a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
+    texts = [a_text[p] + "|" + b_text[x] if q - p == y - x == 1 else ",".join(a_text[p:q]) + "|" + ",".join(b_text[x:y])
              for p, q, x, y in zip([0, *a_cut], a_cut, [0, *b_cut], b_cut)]
+    n_groups = by_word(both)
     ends = np.cumsum(n_groups).tolist()
     groups = [";".join(texts[x:y]).encode() for x, y in zip([0, *ends], ends)]
-    return Words(valid, n_a, n_b, n_groups, n_links, groups, keys, regular)
+    return Words(valid, by_word(a_end), by_word(b_end), n_groups, by_word(any_end), groups, (a_link << B_SHIFT) | b_link, regular)
+
+
+def align_in_chunks(words: list[str], vocabularies: Vocabularies, chunk: int) -> Words:
+    """The same for any number of words; what is needed on the way is held for one chunk at a time."""
+    parts = [align_words(words[i:i + chunk], vocabularies) for i in range(0, max(len(words), 1), chunk)]
+    return Words(*[
+        [g for p in parts for g in p.groups] if f.name == "groups" else np.concatenate([getattr(p, f.name) for p in parts])
+        for f in fields(Words)])
 
 
 DOC = [("doc_id", pa.int64()), *[(c, pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")],
@@ -159,20 +192,23 @@ def sums_by(lengths: np.ndarray, values: np.ndarray) -> np.ndarray:
     return upto[ends] - upto[ends - lengths]
 
 
-def code_block(block: int, keys: list, texts: list[str], vocabularies: Vocabularies, keep_groups: bool) -> pa.RecordBatch:
+def code_block(block: int, keys: list, texts: list[str], vocabularies: Vocabularies, rules: AlignRules,
+               keep_groups: bool) -> pa.RecordBatch:
     """One row with the documents of a block, their words and links, and its counts."""
     index: dict[str, int] = {}
-    placed = [[index.setdefault(w, len(index)) for w in vocabularies.words(t)] if t else [] for t in texts]
-    found = align_words(list(index), vocabularies)
-    valid = found.valid.tolist()
-    placed = [ids if all(map(valid.__getitem__, ids)) else [] for ids in placed]
+    placed = [np.array([index.setdefault(w, len(index)) for w in vocabularies.words(t)] if t else [], dtype=np.int64)
+              for t in texts]
+    found = align_in_chunks(list(index), vocabularies, rules.chunk_words)
+    placed = [ids if found.valid[ids].all() else ids[:0] for ids in placed]
     n_words = np.array(list(map(len, placed)), dtype=np.int64)
-    words = np.fromiter((i for ids in placed for i in ids), dtype=np.int64, count=int(n_words.sum()))
+    words = np.concatenate(placed)
 
     figures = {c: sums_by(n_words, getattr(found, c)[words]).tolist() for c in ("n_a", "n_b", "n_groups", "n_links")}
-    joined = [b";".join(map(found.groups.__getitem__, ids)) for ids in placed]
-    digests = [hashlib.sha256(j).hexdigest() if j else "" for j in joined]
-    shown = [j.decode() if keep_groups else None for j in joined]
+    digests, shown = [], []
+    for ids in placed:
+        joined = b";".join(map(found.groups.__getitem__, ids.tolist()))
+        digests.append(hashlib.sha256(joined).hexdigest() if joined else "")
+        shown.append(joined.decode() if keep_groups else None)
     docs = [dict(zip([c for c, _ in DOC], row)) for row in zip(keys, *figures.values(), digests, shown)]
 
     times = np.repeat(np.bincount(words, minlength=len(index)), found.n_links)
@@ -203,10 +239,10 @@ def code(docs: DataFrame, rules: AlignRules = AlignRules(), text: str = "text",
                 texts.append(value or "")
                 size += len(value or "")
                 if size >= rules.block_bytes or len(keys) >= rules.block_rows:
-                    yield code_block(number, keys, texts, vocabularies, keep_groups)
+                    yield code_block(number, keys, texts, vocabularies, rules, keep_groups)
                     keys, texts, size, number = [], [], 0, number + 1
         if keys:
-            yield code_block(number, keys, texts, vocabularies, keep_groups)
+            yield code_block(number, keys, texts, vocabularies, rules, keep_groups)
 
     columns = [F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")]
     return docs.select(*columns).mapInArrow(blocks, BLOCK_DDL)
