@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wattloom.session import materialize
+
 # The white space of the contracts; everything between two of these characters is a word.
 SPACE_CLASS = r"\x20\x09-\x0D"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -39,6 +41,26 @@ def whole_row(df: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])
 
 
+ADDRESS = ["file", "place"]
+
+
+def addressed(docs: DataFrame, name: str) -> DataFrame:
+    """row, file, place: every row with the file and the position it is stored at, unique and the same in every pass.
+
+    Rows that are not those of a stored table as it is are stored first, under `name`.
+    """
+    if docs._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation":
+        docs = materialize(docs, name)
+    stored = docs.metadataColumn("_metadata")
+    return docs.select(whole_row(docs).alias("row"), stored["file_path"].alias("file"), stored["row_index"].alias("place"))
+
+
+def rows_at(placed: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The addressed rows that `chosen` names, with its columns. At every size the rows go through one exchange, and wait
+    in no sort, for the addresses are the side that is hashed."""
+    return placed.join(chosen.hint("shuffle_hash"), ADDRESS)
+
+
 def parts_for(rows: int, per_part: int) -> int:
     """How many groups of about per_part rows cover a table; grows with it."""
     return max(1, -(-rows // per_part))

@@ -29,12 +29,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.session import materialize
 
-from .common import parts_for, small_batches, whole_row
+from .common import ADDRESS, addressed, parts_for, rows_at, small_batches
 
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -89,7 +89,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), _signed(flat))
 
 
-def _signatures(docs: DataFrame, rules: JoinRules) -> DataFrame:
+def _signatures(docs: DataFrame, rules: JoinRules, carry: list[str]) -> DataFrame:
     """doc_id, n, set_id (128 bits of the whole set, null if empty) and a hash of the text of every row."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,9 +99,11 @@ def _signatures(docs: DataFrame, rules: JoinRules) -> DataFrame:
                 batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                 pa.array([_text_hash(t) for t in texts], pa.int64()),
-            ], names=["doc_id", "n", "set_id", "text_hash"])
+                *[batch.column(c) for c in carry],
+            ], names=["doc_id", "n", "set_id", "text_hash", *carry])
 
-    return docs.mapInArrow(sign, "doc_id long, n long, set_id binary, text_hash long")
+    kinds = [f", {c} {kind}" for c, kind in docs.dtypes if c in carry]
+    return docs.mapInArrow(sign, "doc_id long, n long, set_id binary, text_hash long" + "".join(kinds))
 
 
 def _leading(docs: DataFrame, rules: JoinRules) -> DataFrame:
@@ -400,12 +402,14 @@ def components(links: DataFrame) -> DataFrame:
         edges = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
 
 
-def join(docs: DataFrame, rules: JoinRules = JoinRules(), text: str = "text", key: str = "doc_id") -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
+def join(docs: DataFrame, rules: JoinRules = JoinRules(), text: str = "text", key: str = "doc_id",
+         carry: list[str] | None = None) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row, and the columns of `carry`."""
+    carry = carry or []
     small_batches(docs.sparkSession)
     docs = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"),
-                       F.col(f"`{text}`").cast("binary").alias("text"))
-    signed = materialize(_signatures(docs, rules), "signatures")
+                       F.col(f"`{text}`").cast("binary").alias("text"), *carry)
+    signed = materialize(_signatures(docs, rules, carry), "signatures")
     roots = components(_links(docs, signed, rules))
     classes = signed.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("lowest"))
     classes = classes.join(roots, classes["set_id"] == roots["node"], "left").select(
@@ -414,18 +418,20 @@ def join(docs: DataFrame, rules: JoinRules = JoinRules(), text: str = "text", ke
     named = materialize(classes.join(lowest, "root").select("set_id", "component_id"), "components")
     full = signed.join(named, "set_id", "left")
     return full.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce(
-        F.when(F.col("doc_id").isNotNull(), F.col("component_id")), F.col("doc_id")).alias("component_id"))
+        F.when(F.col("doc_id").isNotNull(), F.col("component_id")), F.col("doc_id")).alias("component_id"), *carry)
 
 
 def keep_one(docs: DataFrame, rules: JoinRules = JoinRules(), text: str = "text", key: str = "doc_id") -> DataFrame:
     """docs with one row of each component: that of its smallest id, and of several rows with this id one. Rows without
-    words or without an id stay."""
-    numbered = docs.select(whole_row(docs).alias("row"), F.col(f"`{key}`").cast("long").alias("doc_id"),
-                           F.col(f"`{text}`").alias("text"))
-    joined = materialize(join(numbered, rules), "joined")
-    goes = joined.where("doc_id <> component_id").select("doc_id")
-    kept = numbered.join(goes.distinct(), "doc_id", "left_anti")
-    many = joined.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
-    twice = kept.join(many, "doc_id", "left_semi").withColumn("_n", F.row_number().over(
-        Window.partitionBy("doc_id").orderBy("text")))
-    return kept.join(many, "doc_id", "left_anti").select("row.*").unionByName(twice.where("_n = 1").select("row.*"))
+    words or without an id stay.
+
+    Which rows stay is settled on their addresses alone; the rows themselves then move once.
+    """
+    placed = addressed(docs, "join-rows")
+    slim = placed.select(F.col("row").getField(key).cast("long").alias("doc_id"), F.col("row").getField(text).alias("text"), *ADDRESS)
+    joined = materialize(join(slim, rules, carry=ADDRESS), "joined")
+    single = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
+    named = joined.where(~single & (F.col("doc_id") == F.col("component_id")))
+    first = named.groupBy("doc_id").agg(F.min(F.struct(*ADDRESS)).alias("at")).select("at.*")
+    kept = materialize(joined.where(single).select(*ADDRESS).unionByName(first), "kept-rows")
+    return rows_at(placed, kept).select("row.*")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from wattloom.session import materialize
 
-from .common import parts_for, running_sum, whole_row, word_count
+from .common import ADDRESS, addressed, parts_for, rows_at, running_sum, word_count
 
 # Points are multiples of 1 / 2**31; the step is 2**31 over the golden ratio, rounded to an odd number.
 MODULUS = 2147483648
@@ -87,14 +87,12 @@ def schedule(spark, shares: DataFrame, rules: MixRules = MixRules()) -> DataFram
 
 
 def take(docs: DataFrame, rules: MixRules = MixRules(), text: str = "text", source: str = "source",
-         key: str = "doc_id", carry: bool = False) -> DataFrame:
-    """key, size, source_size, target and taken of every row; with `carry` the row itself as `row`."""
-    spark = docs.sparkSession
+         key: str = "doc_id", carry: list[str] | None = None) -> DataFrame:
+    """key, size, source_size, target and taken of every row, and the columns of `carry`."""
+    spark, carry = docs.sparkSession, carry or []
     columns = [F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").alias("source"),
                word_count(F.col(f"`{text}`")).alias("size")]
-    if carry:
-        columns.append(whole_row(docs).alias("row"))
-    listed = docs.select(*columns)
+    listed = docs.select(*columns, *carry)
     # Stored, a row keeps the number it is given here, whatever is recomputed later.
     listed = materialize(listed.withColumn("uid", F.monotonically_increasing_id()), "mix-sizes")
     sizes = listed.select("uid", "key", "source", "size")
@@ -125,20 +123,27 @@ def take(docs: DataFrame, rules: MixRules = MixRules(), text: str = "text", sour
     result = listed.join(used, "uid", "left")
     result = result.join(known, result["source"].eqNullSafe(known["source"])).drop(known["source"])
     kept = ["key", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")]
-    return result.select(*kept, *(["row"] if carry else []))
+    return result.select(*kept, *carry)
 
 
 def mix(docs: DataFrame, rules: MixRules = MixRules(), text: str = "text", source: str = "source",
         key: str = "doc_id") -> DataFrame:
     """The mixed corpus with the columns of docs: a row for each full copy that is taken, and one with the leading words
-    of a copy that is taken in part (up to and without the white space after its last word). Rows not taken go."""
-    took = take(docs, rules, text, source, key, carry=True)
+    of a copy that is taken in part (up to and without the white space after its last word). Rows not taken go.
+
+    What is taken is settled on sizes and addresses; the rows themselves then move once.
+    """
+    placed = addressed(docs, "mix-rows")
+    field = F.col("row").getField
+    slim = placed.select(field(key).alias("key"), field(source).alias("source"), field(text).alias("text"), *ADDRESS)
+    took = materialize(take(slim, rules, "text", "source", "key", carry=ADDRESS).where("taken > 0"), "mix-taken")
+    took = rows_at(placed, took.select("size", "taken", *ADDRESS))
     full, part = F.col("taken").cast("long"), F.pmod(F.col("taken"), F.greatest("size", F.lit(1)))
     copies = F.floor(full / F.greatest("size", F.lit(1))).cast("int")
     lengths = F.concat(F.array_repeat("size", copies), F.when(part > 0, F.array(part)).otherwise(
         F.array().cast("array<bigint>")))
     rows = took.select("row", "size", F.explode(lengths).alias("_n"))
-    body = F.col("row").getField(text)
+    body = field(text)
     pieces = F.regexp_extract_all(body, F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     cut = F.when(F.col("_n") < F.col("size"), F.array_join(F.slice(pieces, 1, F.col("_n").cast("int")), "")).otherwise(body)
     return rows.withColumn("row", F.col("row").withField(f"`{text}`", cut)).select("row.*")
