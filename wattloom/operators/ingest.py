@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wattloom.functions.numeric import count_where, n_rows, ratio, rnd
 from wattloom.operators.conform import fact_columns, with_conversion_error
@@ -85,26 +85,36 @@ def dead_letter_summary(letters: DataFrame) -> DataFrame:
     return letters.groupBy(F.split_part("reason", F.lit(":"), F.lit(1)).alias("rule")).agg(n_rows().alias("events"))
 
 
-def ingest_metrics(raw: DataFrame, classified: DataFrame, elapsed_s: float | None = None) -> DataFrame:
-    """One row of counters. Without a wall-clock duration the rate is over the event-time span."""
+def outcome_counts() -> list[Column]:
+    """What the metrics need to know of the classified messages, as aggregates (also for an observation)."""
     late = F.col("reason").startswith("late_event:")
     tested = F.col("reason").isNull() | late | F.col("reason").startswith("row_conversion_error:")
     taken = F.when(F.col("reason").isNull(), F.unix_micros("event_ts"))
-    span = F.lit(elapsed_s) if elapsed_s else (F.max(taken) - F.min(taken)) / F.lit(1_000_000.0)
-    counts = classified.agg(
-        raw.agg(n_rows()).scalar().alias("messages"),
+    return [
         count_where(F.col("reason").isNull()).alias("accepted"),
         count_where(F.col("reason").isNotNull()).alias("dead_letters"),
         count_where(late).alias("late"),
-        count_where(tested).alias("_tested"),
-        n_rows().alias("_kept"),
-        span.alias("_span"),
-    )
-    duplicates = F.col("messages") - F.col("_kept")
+        count_where(tested).alias("tested"),
+        n_rows().alias("kept"),
+        F.min(taken).alias("first_micros"),
+        F.max(taken).alias("last_micros"),
+    ]
+
+
+def metrics_of(counts: DataFrame, elapsed_s: float | None = None) -> DataFrame:
+    """The metrics from one row of `messages` and `outcome_counts`. Without a wall-clock duration the rate is over the
+    event-time span."""
+    span = F.lit(elapsed_s) if elapsed_s else (F.col("last_micros") - F.col("first_micros")) / F.lit(1_000_000.0)
+    duplicates = F.col("messages") - F.col("kept")
     return counts.select(
         "messages", "accepted", "dead_letters", duplicates.alias("duplicates"), "late",
-        rnd(F.coalesce(ratio(F.lit(100.0) * duplicates, F.col("_tested") + duplicates), F.lit(0.0)), 2)
+        rnd(F.coalesce(ratio(F.lit(100.0) * duplicates, F.col("tested") + duplicates), F.lit(0.0)), 2)
         .alias("dedup_hit_pct"),
-        rnd(F.coalesce(ratio(F.lit(100.0) * F.col("late"), F.col("_tested")), F.lit(0.0)), 2).alias("late_pct"),
-        rnd(F.coalesce(ratio(F.col("accepted"), F.col("_span")), F.lit(0.0)), 3).alias("events_per_second"),
+        rnd(F.coalesce(ratio(F.lit(100.0) * F.col("late"), F.col("tested")), F.lit(0.0)), 2).alias("late_pct"),
+        rnd(F.coalesce(ratio(F.col("accepted"), span), F.lit(0.0)), 3).alias("events_per_second"),
     )
+
+
+def ingest_metrics(raw: DataFrame, classified: DataFrame, elapsed_s: float | None = None) -> DataFrame:
+    """One row of counters."""
+    return metrics_of(classified.agg(raw.agg(n_rows()).scalar().alias("messages"), *outcome_counts()), elapsed_s)

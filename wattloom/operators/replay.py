@@ -4,18 +4,27 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wattloom.functions.joins import broadcast_if_small
-from wattloom.functions.windows import hour_bucket
+from wattloom.functions.windows import day_bucket, hour_bucket, utc
 from wattloom.operators.decode import evaluate_once
 from wattloom.operators.ingest import check, rejected
-from wattloom.operators.rollups import sessions_hourly
+from wattloom.operators.rollups import sessions_hourly, station_daily
 from wattloom.schema import FACT_NAMES
 
 
-def late_letters(letters: DataFrame) -> DataFrame:
-    return letters.filter(F.col("reason").startswith("late_event:"))
+def late_letters(letters: DataFrame, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+    """Late dead letters, of events between two times (until is exclusive) if they are given."""
+    late = letters.filter(F.col("reason").startswith("late_event:"))
+    late = late.filter(F.col("timestamp") >= utc(since)) if since else late
+    return late.filter(F.col("timestamp") < utc(until)) if until else late
+
+
+def not_replayed(letters: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Letters whose event id no replay has taken yet. The ids in question are looked up in the ledger."""
+    own = broadcast_if_small(letters.select("event_id"))
+    return letters.join(ledger.select("event_id").join(own, "event_id", "left_semi"), "event_id", "left_anti")
 
 
 def late_rows(letters: DataFrame) -> DataFrame:
@@ -50,11 +59,27 @@ def replayed_rows(letters: DataFrame, fact: DataFrame) -> DataFrame:
     return not_in_fact(late_rows(letters), fact)
 
 
-def recomputed_hours(fact: DataFrame, replayed: DataFrame) -> DataFrame:
-    """The hourly rollup of exactly the hours that received replayed rows.
+def _of_touched(fact: DataFrame, replayed: DataFrame, bucket: Column) -> DataFrame:
+    """Facts and replayed rows of the hours or days that received replayed rows.
 
-    Late events may carry any time, so the touched hours are broadcast only if they are few.
+    Late events may carry any time, so the touched buckets are broadcast only if they are few. A stored fact table is read
+    in their months alone: its month is part of the join, by which Spark prunes folders when the query runs.
     """
-    touched = replayed.select(hour_bucket().alias("_hour")).distinct()
-    both = fact.select(*FACT_NAMES).unionByName(replayed)
-    return sessions_hourly(both.join(broadcast_if_small(touched), hour_bucket() == F.col("_hour"), "left_semi"))
+    # Every event has an id; Spark prunes folders only by a side that is filtered.
+    touched = replayed.filter(F.col("event_id") != "").select(
+        bucket.alias("_bucket"), F.date_format(bucket, "yyyy-MM").alias("_month")).distinct()
+    match = bucket == F.col("_bucket")
+    if "event_month" in fact.columns:
+        match = match & (F.col("event_month") == F.col("_month"))
+    old = fact.join(broadcast_if_small(touched), match, "left_semi").select(*FACT_NAMES)
+    return old.unionByName(replayed.select(*FACT_NAMES))
+
+
+def recomputed_hours(fact: DataFrame, replayed: DataFrame) -> DataFrame:
+    """The hourly rollup of exactly the hours that received replayed rows."""
+    return sessions_hourly(_of_touched(fact, replayed, hour_bucket()))
+
+
+def recomputed_days(fact: DataFrame, replayed: DataFrame) -> DataFrame:
+    """The daily station rollup of exactly the days that received replayed rows."""
+    return station_daily(_of_touched(fact, replayed, day_bucket()))

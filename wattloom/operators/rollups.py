@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wattloom.functions.numeric import n_rows
+from wattloom.functions.numeric import count_where, mean_power, n_rows
 from wattloom.functions.windows import day_bucket, hour_bucket
 from wattloom.schema import FAULT, STOP
 
@@ -83,6 +83,51 @@ def errors_daily(df: DataFrame) -> DataFrame:
     return errors_from_members(error_members_daily(df))
 
 
+STOP_HOUR_KEYS = ["hour", "network_id", "city", "country", "charger_type", "vehicle_type"]
+LENGTH_KEYS = ["day", "length_class"]
+EVENT_HOUR_KEYS = ["hour", "network_id", "event_type"]
+# Lower bounds, in minutes, of the duration classes after the first.
+LENGTH_BOUNDS = (15, 30, 60, 120)
+
+
+def stops_hourly(df: DataFrame) -> DataFrame:
+    """Sums and counts from which the averages over all stops, over those with a duration (timed) and over those with
+    energy (charged) follow for any whole hours."""
+    timed, charged = F.col("duration_minutes") > 0, F.col("energy_kwh") > 0
+
+    def part(condition: Column, value: Column | str, alias: str) -> Column:
+        value = F.col(value) if isinstance(value, str) else value
+        return F.coalesce(F.sum(F.when(condition, value)), F.lit(0).cast("double")).alias(alias)
+
+    return (
+        df.filter(F.col("event_type") == STOP)
+        .groupBy(hour_bucket().alias("hour"), *STOP_HOUR_KEYS[1:])
+        .agg(
+            n_rows().alias("stops"), _sum_of("energy_kwh", "energy"), _sum_of("revenue_eur", "revenue"),
+            _sum_of("duration_minutes", "minutes"),
+            count_where(timed).alias("timed"), part(timed, "energy_kwh", "timed_energy"),
+            part(timed, "revenue_eur", "timed_revenue"), part(timed, "duration_minutes", "timed_minutes"),
+            part(timed, mean_power(), "timed_power"),
+            count_where(charged).alias("charged"), part(charged, "energy_kwh", "charged_energy"),
+            part(charged, "revenue_eur", "charged_revenue"), part(charged, "price_per_kwh", "charged_price"),
+        )
+    )
+
+
+def stop_lengths_daily(df: DataFrame) -> DataFrame:
+    """Stops by class of duration, 0 being the shortest."""
+    length = sum((F.when(F.col("duration_minutes") >= bound, 1).otherwise(0) for bound in LENGTH_BOUNDS), F.lit(0))
+    return (
+        df.filter(F.col("event_type") == STOP)
+        .groupBy(day_bucket().alias("day"), length.alias("length_class"))
+        .agg(n_rows().alias("stops"), _sum_of("energy_kwh", "energy"), _sum_of("revenue_eur", "revenue"))
+    )
+
+
+def events_hourly(df: DataFrame) -> DataFrame:
+    return df.groupBy(hour_bucket().alias("hour"), *EVENT_HOUR_KEYS[1:]).agg(n_rows().alias("events"))
+
+
 def combine(partials: DataFrame, keys: list[str]) -> DataFrame:
     """Add up partial rollup rows per key; every non-key column is a measure."""
     measures = [name for name in partials.columns if name not in keys]
@@ -100,4 +145,7 @@ STORED_ROLLUPS = {
     "station_daily": (STATION_KEYS, station_daily),
     "error_members_daily": ([*ERROR_KEYS, "station_id"], error_members_daily),
     "network_revenue_daily": (NETWORK_KEYS, network_revenue_daily),
+    "stops_hourly": (STOP_HOUR_KEYS, stops_hourly),
+    "stop_lengths_daily": (LENGTH_KEYS, stop_lengths_daily),
+    "events_hourly": (EVENT_HOUR_KEYS, events_hourly),
 }

@@ -143,10 +143,14 @@ def leaderboard_top(df: DataFrame, member: str = "station_id", *, n: int = 10) -
 # ---- stations --------------------------------------------------------------------------------------------------
 
 
-def station_cells(df: DataFrame) -> DataFrame:
-    """Last write of each status field per station and five-minute cell. Additive over batches: see `merge_cells`."""
+def station_writes(df: DataFrame) -> DataFrame:
+    """The events that write a station's status entry."""
     opened = _is(START) & (F.col("session_id") != "")
-    writes = df.filter(opened | F.col("event_type").isin(STOP, STATUS_CHANGE, FAULT))
+    return df.filter(opened | F.col("event_type").isin(STOP, STATUS_CHANGE, FAULT))
+
+
+def station_fields() -> list[Column]:
+    """First and last write, and the last write of each field, as aggregates over `station_writes`."""
     status = (
         F.when(_is(START), "charging").when(_is(STOP), "available").when(_is(FAULT), "fault")
         .otherwise(_or("status", "unknown"))
@@ -156,13 +160,19 @@ def station_cells(df: DataFrame) -> DataFrame:
         return F.struct(F.col("timestamp").alias("ts"), F.col("event_id").alias("id"), value.alias("value"))
 
     session = F.when(_is(START), F.col("session_id")).when(_is(STOP), F.lit(""))
-    return writes.groupBy("station_id", time_cell(F.col("timestamp"), STATION_TTL_S).alias("cell")).agg(
+    return [
         F.min("timestamp").alias("first_ts"),
         F.max("timestamp").alias("last_ts"),
         F.max(stamped(status)).alias("status"),
         F.max(F.when(F.col("event_type").isin(START, STOP), stamped(session))).alias("session"),
         F.max(F.when(_is(FAULT), stamped(_or("error_code", "UNKNOWN")))).alias("error"),
-    )
+    ]
+
+
+def station_cells(df: DataFrame) -> DataFrame:
+    """Last write of each status field per station and five-minute cell. Additive over batches: see `station_lives`."""
+    cell = time_cell(F.col("timestamp"), STATION_TTL_S).alias("cell")
+    return station_writes(df).groupBy("station_id", cell).agg(*station_fields())
 
 
 def merge_cells(cells: DataFrame, keys: list[str]) -> DataFrame:
@@ -173,27 +183,40 @@ def merge_cells(cells: DataFrame, keys: list[str]) -> DataFrame:
     ])
 
 
+def station_lives(cells: DataFrame) -> DataFrame:
+    """Cells, and lives of earlier calls, joined to lives: spans of writes of a station without a gap of five minutes.
+
+    The columns stay those of cells (a life has the number of its last one), so lives and cells can be joined again in
+    any order: a write that comes late and closes a gap makes one life of two.
+    """
+    before = Window.partitionBy("station_id").orderBy("first_ts", "last_ts").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("station_id").orderBy("first_ts", "last_ts").rowsBetween(Window.unboundedPreceding, 0)
+    gap = seconds_between(F.col("first_ts"), F.max("last_ts").over(before))
+    numbered = cells.withColumn("_new", F.when(gap >= STATION_TTL_S, 1).otherwise(0)).withColumn(
+        "_life", F.sum("_new").over(upto))
+    fields = [c for c in cells.columns if c != "station_id"]
+    return numbered.groupBy("station_id", "_life").agg(
+        *[(F.min(c) if c == "first_ts" else F.max(c)).alias(c) for c in fields]).drop("_life")
+
+
+def lives_since(lives: DataFrame, cutoff: Column) -> DataFrame:
+    """Lives that a write at the cutoff or later can still continue."""
+    return lives.filter(F.col("last_ts") >= cutoff - F.expr(f"INTERVAL {STATION_TTL_S} SECONDS"))
+
+
 def station_status(cells: DataFrame, now: Column) -> DataFrame:
     """One row per uninterrupted life of a station's status entry, with the fields as last written in it.
 
     A write at least five minutes after the one before finds an expired entry and starts an empty one.
     """
-    in_order = Window.partitionBy("station_id").orderBy("cell")
-    gap = seconds_between(F.col("first_ts"), F.lag("last_ts").over(in_order))
-    segmented = cells.withColumn("_new", F.when(gap >= STATION_TTL_S, 1).otherwise(0)).withColumn(
-        "_segment", F.sum("_new").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    return (
-        segmented.groupBy("station_id", "_segment")
-        .agg(
-            F.min("first_ts").alias("segment_start"),
-            F.max("last_ts").alias("last_updated"),
-            F.max("status")["value"].alias("status"),
-            F.max("session")["value"].alias("session_id"),
-            F.max("error")["value"].alias("error_code"),
-        )
-        .drop("_segment")
-        .withColumn("is_live", seconds_between(now, F.col("last_updated")) < STATION_TTL_S)
+    return station_lives(cells).select(
+        "station_id",
+        F.col("first_ts").alias("segment_start"),
+        F.col("last_ts").alias("last_updated"),
+        F.col("status.value").alias("status"),
+        F.col("session.value").alias("session_id"),
+        F.col("error.value").alias("error_code"),
+        (seconds_between(now, F.col("last_ts")) < STATION_TTL_S).alias("is_live"),
     )
 
 
@@ -220,20 +243,55 @@ METER_FIELDS = {
 }
 
 
-def session_cells(df: DataFrame) -> DataFrame:
-    """Last start, meter update and stop per session and one-hour cell. Additive over batches: see `merge_cells`."""
+def session_writes(df: DataFrame) -> DataFrame:
+    """The events that write a session's entry."""
+    return df.filter(F.col("session_id") != "").filter(F.col("event_type").isin(START, METER, STOP))
+
+
+def session_fields() -> list[Column]:
+    """First start and last start, meter update and stop, as aggregates over `session_writes`."""
     position = [F.col("timestamp").alias("ts"), F.col("event_id").alias("id")]
 
     def stamped(fields: dict[str, str]) -> Column:
         return F.struct(*position, F.struct(*[F.col(src).alias(f"f_{dst}") for dst, src in fields.items()]).alias("v"))
 
-    named = df.filter(F.col("session_id") != "").filter(F.col("event_type").isin(START, METER, STOP))
-    return named.groupBy("session_id", time_cell(F.col("timestamp"), SESSION_TTL_S).alias("cell")).agg(
+    return [
         F.min(F.when(_is(START), F.struct(*position))).alias("first_start"),
         F.max(F.when(_is(START), stamped(START_FIELDS))).alias("start"),
         F.max(F.when(_is(METER), stamped(METER_FIELDS))).alias("meter"),
         F.max(F.when(_is(STOP), F.struct(*position))).alias("stop"),
-    )
+    ]
+
+
+def session_cells(df: DataFrame) -> DataFrame:
+    """Last start, meter update and stop per session and one-hour cell. Additive over batches: see `merge_cells`."""
+    cell = time_cell(F.col("timestamp"), SESSION_TTL_S).alias("cell")
+    return session_writes(df).groupBy("session_id", cell).agg(*session_fields())
+
+
+def sessions_since(cells: DataFrame, cutoff: Column) -> DataFrame:
+    """Cells without those that no event at the cutoff or later can see again.
+
+    Of a stopped session the stop stays until the cutoff passes it, so that a start or meter update that comes late finds
+    it; of an open one all cells stay while its life lasts. An entry without a life stays until it is stopped.
+    """
+    whole = Window.partitionBy("session_id")
+    last_stop = F.max("stop").over(whole)
+    last_start = F.max("start").over(whole)
+    last_meter = F.max("meter").over(whole)
+
+    def open_since_stop(name: str) -> Column:
+        return F.col(name).isNotNull() & (F.col("_stop").isNull() | (_position(name) > F.col("_stop")))
+
+    known = cells.withColumn("_stop", last_stop).withColumn("_start", last_start).withColumn("_meter", last_meter)
+    life = F.expr(f"INTERVAL {SESSION_TTL_S} SECONDS")
+    started, metered = open_since_stop("_start"), open_since_stop("_meter")
+    in_life = started & (F.col("_start.ts") >= cutoff - life)
+    lifeless = metered & (~started | (seconds_between(F.col("_meter.ts"), F.col("_start.ts")) >= SESSION_TTL_S))
+    newest_stop = F.col("stop").isNotNull() & (F.col("stop") == F.col("_stop")) & (F.col("_stop.ts") >= cutoff)
+    open_cell = open_since_stop("start") | open_since_stop("meter")
+    kept = F.coalesce(newest_stop, F.lit(False)) | (open_cell & (F.coalesce(in_life, F.lit(False)) | F.coalesce(lifeless, F.lit(False))))
+    return known.filter(kept).select(*cells.columns)
 
 
 def _position(stamped: str) -> Column:

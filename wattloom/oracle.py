@@ -395,7 +395,10 @@ def state_sql() -> dict[str, str]:
         "t2_live_sessions": on_events(LIVE_SESSIONS, *SESSION_CTES),
         "t3_station_status": on_events("SELECT * FROM station_state", *STATION_CTES),
         "t3_station_status_live": on_events(
-            "SELECT * EXCLUDE (is_live) FROM station_state WHERE is_live", *STATION_CTES),
+            """SELECT * EXCLUDE (is_live) FROM station_state
+               WHERE last_updated > (SELECT max(timestamp) FROM writes) - INTERVAL 300 SECOND""", *STATION_CTES),
+        "t2_streamed": on_events(LIVE_SESSIONS, *SESSION_CTES),
+        "t3_streamed": on_events("SELECT * FROM station_state", *STATION_CTES),
         "t4_active_by_network": on_events(f"""
             SELECT network_id, {ACTIVE} AS active_sessions FROM ce
             WHERE event_type IN ('session_start', 'session_stop') GROUP BY 1"""),
@@ -531,8 +534,10 @@ def quality_sql() -> dict[str, str]:
                 FROM ce WHERE {SESSION_EVENTS}
                 WINDOW w AS (PARTITION BY session_id ORDER BY timestamp, event_id))"""),
         "r3_revenue_check": on_events(f"""
-            SELECT event_id, session_id, energy_kwh, price_per_kwh, revenue_eur, {expected} AS expected_revenue_eur
-            FROM ce WHERE event_type IN ('meter_update', 'session_stop') AND revenue_eur <> {expected}"""),
+            SELECT event_id, session_id, energy_kwh, price_per_kwh, charged AS revenue_eur, {expected} AS expected_revenue_eur
+            FROM (SELECT *, CASE WHEN CAST(event_id AS BIGINT) % 40 = 7 AND energy_kwh > 0
+                    THEN revenue_eur + CAST(0.01 AS DOUBLE) ELSE revenue_eur END AS charged FROM ce)
+            WHERE event_type IN ('meter_update', 'session_stop') AND charged <> {expected}"""),
         "r3_revenue_check_by_network": on_events(f"""
             SELECT network_id, count(*) AS checked, count(*) FILTER (WHERE revenue_eur <> {expected}) AS mismatches
             FROM ce WHERE event_type IN ('meter_update', 'session_stop') GROUP BY 1"""),
@@ -728,6 +733,14 @@ def ingest_sql() -> dict[str, str]:
             FROM typed WHERE event_type = 'session_stop' AND date_trunc('hour', timestamp) IN
                  (SELECT date_trunc('hour', event_ts) FROM judged WHERE {late})
             GROUP BY 1, 2, 3, 4, 5""", f"typed AS ({_typed('judged')})"),
+        "i12_replay_days": on_messages(f"""
+            SELECT CAST(timestamp AS DATE) AS day, station_id, network_id, city, country, charger_type,
+                   count(*) AS session_count, {rsum('energy_kwh')} AS total_energy_kwh,
+                   {rsum('revenue_eur')} AS total_revenue_eur,
+                   CAST(sum(duration_minutes) AS BIGINT) AS total_duration_minutes
+            FROM typed WHERE event_type = 'session_stop' AND CAST(timestamp AS DATE) IN
+                 (SELECT CAST(event_ts AS DATE) FROM judged WHERE {late})
+            GROUP BY 1, 2, 3, 4, 5, 6""", f"typed AS ({_typed('judged')})"),
     }
 
 
@@ -764,8 +777,25 @@ def storage_sql() -> dict[str, str]:
     }
 
 
+# Questions answered from stored rollups, and panels read from live tables, ask the same as those over the facts.
+STORED_AS = {
+    "t1_panel": "t1_event_counters", "t4_panel": "t4_active_by_network", "t5_panel": "t5_active_by_city",
+    "t6_panel": "t6_active_global", "t7_panel": "t7_leaderboard_station", "t8_panel": "t8_leaderboard_network",
+    "t9_panel": "t9_leaderboard_city", "t10_panel": "t10_leaderboard_topn", "t11_panel": "t11_energy_daily",
+    "t12_panel": "t12_energy_network_daily", "t13_panel": "t13_fault_counters", "t14_panel": "t14_faults_network_daily",
+    "t15_panel": "t15_status_counts", "t16_panel": "t16_live_kpis",
+    "q1_stored": "q1_revenue_by_network", "q2_stored": "q2_sessions_per_hour", "q3_stored": "q3_charger_utilization",
+    "q4_stored": "q4_top_cities_by_energy", "q5_stored": "q5_error_analysis", "q6_stored": "q6_vehicle_type_breakdown",
+    "q7_stored": "q7_real_time_throughput", "q8_stored": "q8_session_duration_distribution", "q9_stored": "q9_peak_hours",
+    "q10_stored": "q10_network_error_rate", "q11_stored": "q11_revenue_per_kwh", "q12_stored": "q12_country_summary",
+    "a1_stored": "a1_hourly_energy_7days", "a5_stored": "a5_fault_geography", "d1_stored": "d1_kpi_cover",
+    "m3_stored": "m3_errors_daily", "u1_stored": "u1_total_events",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {
+    found = {
         **analytics_sql(), **rollup_sql(), **state_sql(), **report_sql(), **quality_sql(), **ingest_sql(),
         **storage_sql(),
     }
+    return {**found, **{name: found[same] for name, same in STORED_AS.items()}}

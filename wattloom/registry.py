@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from wattloom.functions.numeric import rnd
 from wattloom.operators import ingest, lateness, quality, replay, rollups, state
@@ -13,10 +13,12 @@ from wattloom.operators.conform import conform
 from wattloom.operators.decode import decode
 from wattloom.operators.validate import apply_rule, valid_only, validate
 from wattloom.plans import analytics, report
-from wattloom.schema import BACKFILL_LATENESS_S, FACT_NAMES
+from wattloom.plans.stored import StoredAnalytics
+from wattloom.schema import BACKFILL_LATENESS_S, FACT_DDL, FACT_NAMES
 from wattloom.session import scratch_path
 from wattloom.sources import deadletter, export, fact, streams, testdata
-from wattloom.streaming import jobs, tables
+from wattloom.streaming import jobs, keyed, tables
+from wattloom.streaming.panel import LivePanel
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,11 +76,35 @@ ROLLUPS: dict[str, Query] = {
 }
 
 
+def at_last_write(df: DataFrame) -> DataFrame:
+    """Station entries alive at the moment of the newest write of any."""
+    return state.station_status_live(df, as_of=state.station_writes(df).agg(F.max("timestamp")).scalar())
+
+
+def streamed(entries: keyed.Entries, answer: Callable[[DataFrame, Column], DataFrame], rounds: int = 5) -> Query:
+    """Entries kept by a stateful stream that is stopped and started again for every stretch of the events in time order."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder, source = scratch_path(spark, "entries"), scratch_path(spark, "fact-log")
+        facts = testdata.charging_events(spark, sf_dir)
+        first, last = facts.agg(F.unix_micros(F.min("timestamp")), F.unix_micros(F.max("timestamp"))).first()
+        stretch = F.floor((F.unix_micros("timestamp") - F.lit(first)) * rounds / F.lit(last - first + 1))
+        for number in range(rounds):
+            facts.filter(stretch == number).write.mode("append").parquet(source)
+            stream = spark.readStream.schema(FACT_DDL).parquet(source)
+            keyed.start_entries(stream, folder, entries, keep_history=True, run_as_backfill=True).awaitTermination()
+        cells = keyed.read_entries(spark, folder, entries, keep_history=True)
+        return plain_times(answer(cells, F.timestamp_micros(F.lit(last))))
+
+    return run
+
+
 STATE: dict[str, Query] = {
     "t1_event_counters": on_events(state.event_counters),
     "t2_live_sessions": on_events(state.live_sessions_at),
     "t3_station_status": on_events(state.station_status_history),
-    "t3_station_status_live": on_events(state.station_status_live),
+    "t3_station_status_live": on_events(at_last_write),
+    "t2_streamed": streamed(keyed.SESSIONS, state.live_sessions),
+    "t3_streamed": streamed(keyed.STATIONS, state.station_status),
     "t4_active_by_network": on_events(state.active_by_network),
     "t5_active_by_city": on_events(state.active_by_city),
     "t6_active_global": on_events(state.active_global),
@@ -106,10 +132,16 @@ REPORT: dict[str, Query] = {
     **{f"d9_panel_{name}": on_events(panel) for name, panel in report.PANELS.items()},
 }
 
+def overcharged(df: DataFrame) -> DataFrame:
+    """The events with a cent too much on every 40th of those that carry energy, for the check to find."""
+    wrong = (F.col("event_id").cast("bigint") % 40 == 7) & (F.col("energy_kwh") > 0)
+    return df.withColumn("revenue_eur", F.when(wrong, F.col("revenue_eur") + 0.01).otherwise(F.col("revenue_eur")))
+
+
 QUALITY: dict[str, Query] = {
     "r1_session_lifecycle": on_events(quality.session_lifecycle),
     "r2_lifecycle_violations": on_events(quality.lifecycle_violations),
-    "r3_revenue_check": on_events(quality.revenue_mismatches),
+    "r3_revenue_check": on_events(lambda df: quality.revenue_mismatches(overcharged(df))),
     "r3_revenue_check_by_network": on_events(quality.revenue_check),
     "r4_power_bounds": on_events(quality.power_out_of_bounds),
     "r5_peak_multiplier": on_events(quality.sessions_per_multiplier),
@@ -142,12 +174,15 @@ def outcome(raw: DataFrame) -> DataFrame:
     return ingest.classify(raw).select("arrival", F.coalesce("reason", F.lit("accepted")).alias("outcome"))
 
 
-def replayed(raw: DataFrame) -> DataFrame:
-    """The hours that late events belong to, computed again after their replay."""
-    judged = ingest.classify(raw)
-    facts = ingest.accepted(judged)
-    late = replay.replayed_rows(ingest.rejected(judged), facts)
-    return rounded(replay.recomputed_hours(facts, late))
+def replayed(recompute: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+    """The hours or days that late events belong to, computed again after their replay."""
+    def run(raw: DataFrame) -> DataFrame:
+        judged = ingest.classify(raw)
+        facts = ingest.accepted(judged)
+        late = replay.replayed_rows(ingest.rejected(judged), facts)
+        return rounded(recompute(facts, late))
+
+    return run
 
 
 INGEST: dict[str, Query] = {
@@ -173,7 +208,8 @@ INGEST: dict[str, Query] = {
     "i10_ingest_metrics": on_messages(lambda raw: ingest.ingest_metrics(raw, ingest.classify(raw))),
     "i11_dead_letter_summary": on_messages(
         lambda raw: ingest.dead_letter_summary(ingest.rejected(ingest.classify(raw)))),
-    "i12_replay_late": on_messages(replayed),
+    "i12_replay_late": on_messages(replayed(replay.recomputed_hours)),
+    "i12_replay_days": on_messages(replayed(replay.recomputed_days)),
 }
 
 
@@ -230,6 +266,84 @@ def fanned_out(spark: SparkSession, sf_dir: str) -> DataFrame:
         counted.withColumn("consumer", F.lit("live")))
 
 
+_warehouses: dict[tuple[str, str], str] = {}
+
+
+def warehouse_of(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of a warehouse with the events of the tables in two loads; made once per application."""
+    made = (spark.sparkContext.applicationId, sf_dir)
+    if made not in _warehouses:
+        folder = scratch_path(spark, "warehouse")
+        facts = testdata.charging_events(spark, sf_dir)
+        for load, share in (("even", 0), ("odd", 1)):
+            jobs.load_facts(spark, folder, facts.filter(F.col("event_id").cast("bigint") % 2 == share), load)
+        _warehouses[made] = folder
+    return _warehouses[made]
+
+
+def on_stored(question: Callable[[StoredAnalytics], DataFrame]) -> Query:
+    return lambda spark, sf_dir: plain_times(question(StoredAnalytics(spark, warehouse_of(spark, sf_dir))))
+
+
+STORED: dict[str, Query] = {
+    "q1_stored": on_stored(StoredAnalytics.revenue_by_network),
+    "q2_stored": on_stored(StoredAnalytics.sessions_per_hour),
+    "q3_stored": on_stored(StoredAnalytics.charger_utilization),
+    "q4_stored": on_stored(StoredAnalytics.top_cities_by_energy),
+    "q5_stored": on_stored(StoredAnalytics.error_analysis),
+    "q6_stored": on_stored(StoredAnalytics.vehicle_type_breakdown),
+    "q7_stored": on_stored(StoredAnalytics.real_time_throughput),
+    "q8_stored": on_stored(StoredAnalytics.session_duration_distribution),
+    "q9_stored": on_stored(StoredAnalytics.peak_hours),
+    "q10_stored": on_stored(StoredAnalytics.network_error_rate),
+    "q11_stored": on_stored(StoredAnalytics.revenue_per_kwh),
+    "q12_stored": on_stored(StoredAnalytics.country_summary),
+    "a1_stored": on_stored(StoredAnalytics.hourly_energy_7days),
+    "a5_stored": on_stored(StoredAnalytics.fault_geography),
+    "d1_stored": on_stored(StoredAnalytics.kpi_cover),
+    "m3_stored": on_stored(StoredAnalytics.errors_daily),
+    "u1_stored": on_stored(StoredAnalytics.total_events),
+}
+
+_panels: dict[tuple[str, str], str] = {}
+
+
+def live_tables_of(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the live tables after the stream of the tables' events, as messages, in four micro-batches; made once per
+    application."""
+    made = (spark.sparkContext.applicationId, sf_dir)
+    if made not in _panels:
+        folder, source = scratch_path(spark, "live"), scratch_path(spark, "messages")
+        facts = testdata.charging_events(spark, sf_dir).withColumn("arrival", F.col("event_id").cast("bigint"))
+        messages = facts.select("arrival", export.encoded().alias("raw"))
+        messages.repartition(4, "arrival").write.parquet(source)
+        events = streams.read_folder(spark, source, files_per_trigger=1)
+        jobs.start_live(events, folder, run_as_backfill=True).awaitTermination()
+        _panels[made] = folder
+    return _panels[made]
+
+
+def on_panel(read: Callable[[LivePanel], DataFrame]) -> Query:
+    return lambda spark, sf_dir: plain_times(read(LivePanel(spark, live_tables_of(spark, sf_dir))))
+
+
+PANEL: dict[str, Query] = {
+    "t1_panel": on_panel(LivePanel.event_counters),
+    "t4_panel": on_panel(lambda p: p.active_by("network_id")),
+    "t5_panel": on_panel(lambda p: p.active_by("city")),
+    "t6_panel": on_panel(LivePanel.active_global),
+    "t7_panel": on_panel(lambda p: p.leaderboard("station_id")),
+    "t8_panel": on_panel(lambda p: p.leaderboard("network_id")),
+    "t9_panel": on_panel(lambda p: p.leaderboard("city")),
+    "t10_panel": on_panel(LivePanel.leaderboard_top),
+    "t11_panel": on_panel(LivePanel.energy_daily),
+    "t12_panel": on_panel(lambda p: p.energy_daily("network_id")),
+    "t13_panel": on_panel(LivePanel.fault_counters),
+    "t14_panel": on_panel(LivePanel.faults_network_daily),
+    "t15_panel": on_panel(LivePanel.status_counts),
+    "t16_panel": on_panel(LivePanel.kpis),
+}
+
 STORAGE: dict[str, Query] = {
     "s1_event_source": streamed_messages,
     "s2_backfill_mode": backfilled,
@@ -244,4 +358,4 @@ STORAGE: dict[str, Query] = {
 
 
 def queries() -> dict[str, Query]:
-    return {**ANALYTICS, **ROLLUPS, **STATE, **REPORT, **QUALITY, **INGEST, **STORAGE}
+    return {**ANALYTICS, **ROLLUPS, **STATE, **REPORT, **QUALITY, **INGEST, **STORED, **PANEL, **STORAGE}

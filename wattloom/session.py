@@ -86,6 +86,42 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in file_system.listStatus(target) if s.isDirectory()]
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly below a path, for folders that hold a bounded number of them."""
+    file_system, target = _file_system(spark, path)
+    if not file_system.exists(target):
+        return []
+    return [s.getPath().getName() for s in file_system.listStatus(target) if s.isFile()]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    file_system, target = _file_system(spark, path)
+    stream = file_system.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that appears whole or not at all; false if there is one of this name already."""
+    file_system, target = _file_system(spark, path)
+    if file_system.exists(target):
+        return False
+    draft = target.suffix(f".{uuid.uuid4().hex}.tmp")
+    stream = file_system.create(draft, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return file_system.rename(draft, target)
+
+
+def drop_file(spark: SparkSession, path: str) -> None:
+    file_system, target = _file_system(spark, path)
+    file_system.delete(target, False)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     file_system, target = _file_system(spark, path)
     file_system.delete(target, True)

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from wattloom.functions.windows import utc
 from wattloom.schema import DEAD_LETTER_DDL
 from wattloom.session import prepare
+from wattloom.sources.snapshot import Run, Snapshots
 
+TABLE, MONTH = "dead_letters", "reject_month"
 STORED_DDL = f"{DEAD_LETTER_DDL}, reject_month string, batch_id string"
 
 
@@ -29,9 +33,27 @@ def write_dead_letters(df: DataFrame, path: str, batch_id: str | None = None) ->
     )
 
 
-def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
+def write_letters_run(snapshots: Snapshots, df: DataFrame, run: Run) -> Run:
+    """Write the dead letters of a run of a running ingest. A repeated batch replaces its folder whole, whichever month
+    its letters are stamped with the second time."""
+    months = df.withColumn(MONTH, F.date_format("rejected_at", "yyyy-MM"))
+    return snapshots.write(months.sortWithinPartitions(MONTH, "rejected_at", "reason"), TABLE, run, MONTH)
+
+
+def read_dead_letters(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:
+    """Dead letters rejected at a time or later, of a running ingest those of published runs."""
     prepare(spark)
-    return spark.read.schema(STORED_DDL).parquet(path)
+    letters = _stored(spark, path, utc(since).strftime("%Y-%m") if since else "")
+    return letters.filter(F.col("rejected_at") >= utc(since)) if since else letters
+
+
+def _stored(spark: SparkSession, path: str, first_month: str) -> DataFrame:
+    root, _, name = path.rstrip("/").rpartition("/")
+    snapshots = Snapshots(spark, root)
+    if name == TABLE and snapshots.versions():
+        rows = snapshots.read(TABLE, DEAD_LETTER_DDL, MONTH, lambda month: month >= first_month)
+        return rows.select(*[c.split()[0].strip("`") for c in STORED_DDL.split(", ")])
+    return spark.read.schema(STORED_DDL).parquet(path).filter(F.col(MONTH) >= first_month)
 
 
 def as_json_lines(letters: DataFrame) -> DataFrame:

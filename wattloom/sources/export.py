@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wattloom.schema import FACT_NAMES
 
@@ -32,10 +32,15 @@ def export(df: DataFrame, out: str, day: date | None = None, batch: int = 200_00
     )
 
 
+def encoded() -> Column:
+    """Compact JSON of all 28 fields."""
+    options = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"}
+    return F.to_json(F.struct(*FACT_NAMES), options)
+
+
 def encode(df: DataFrame) -> DataFrame:
     """(key, value): station id and compact JSON of all 28 fields, ready for a log or a text sink."""
-    options = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"}
-    return df.select(F.col("station_id").alias("key"), F.to_json(F.struct(*FACT_NAMES), options).alias("value"))
+    return df.select(F.col("station_id").alias("key"), encoded().alias("value"))
 
 
 def publish(df: DataFrame, **kafka_options: str) -> None:

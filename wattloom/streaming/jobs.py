@@ -1,90 +1,149 @@
-"""The two consumers of the event stream, each with its own checkpoint, seen ids and progress.
+"""The two consumers of the event stream, each with its own checkpoint, tables and manifest.
 
-Both run the batch functions on every micro-batch. A batch's results go to folders named after its number, so a
-batch repeated after a failure replaces what it wrote before.
+Both run the batch functions on every micro-batch. A batch writes its rows as runs nobody sees yet and then publishes them
+all at once; one that has been published is not run again, one that has not leaves nothing behind that counts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import datetime
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from wattloom.functions.numeric import n_rows
 from wattloom.operators import ingest, replay
 from wattloom.operators.lateness import BLOCK
 from wattloom.schema import MAX_LATENESS_S
 from wattloom.session import drop_folder, prepare, store
-from wattloom.sources.deadletter import read_dead_letters, write_dead_letters
-from wattloom.sources.fact import read_fact, write_fact
+from wattloom.sources.deadletter import TABLE as LETTERS, read_dead_letters, write_letters_run
+from wattloom.sources.fact import TABLE as FACT, read_fact, write_fact_run
+from wattloom.sources.snapshot import FANOUT, Manifest, Run, Snapshots, together
 from wattloom.sources.streams import trigger_of, with_arrival
-from wattloom.streaming.tables import LIVE_PARTIALS, ROLLUP_PARTIALS, Progress, write_metrics, write_partials
+from wattloom.streaming import tables
+from wattloom.streaming.tables import LIVE_PARTIALS, METRICS, ROLLUP_PARTIALS, SEEN
 
 NEVER_LATE_S = 10**9
+COUNTS_DDL = ("messages bigint, accepted bigint, dead_letters bigint, late bigint, tested bigint, kept bigint, "
+              "first_micros bigint, last_micros bigint")
 
 
-def _classified(batch: DataFrame, batch_id: int, folder: str, lateness_s: int, block: int):
-    """The messages of the micro-batch, the same classified against the past, and the past itself."""
-    spark = batch.sparkSession
-    prepare(spark)
-    progress = Progress(spark, f"{folder}/state")
-    high_water = progress.high_water(batch_id)
-    raw = store(with_arrival(batch), f"{folder}/stage/messages")
-    fresh = store(
-        ingest.first_unseen(raw, progress.seen(batch_id, high_water)), f"{folder}/stage/fresh"
-    )
-    classified = ingest.judge(fresh, lateness_s=lateness_s, prior_high_water=high_water, block=block)
-    return raw, classified.persist(StorageLevel.MEMORY_AND_DISK), progress, high_water
+class Intake:
+    """A micro-batch classified against what earlier ones left, with its counters.
 
+    The counters are observed while the batch is stored, so they cost no pass of their own.
+    """
 
-def warehouse_batch(folder: str, lateness_s: int = MAX_LATENESS_S, block: int = BLOCK) -> Callable:
+    def __init__(self, batch: DataFrame, batch_id: int, snapshots: Snapshots, past: Manifest, lateness_s: int, block: int):
+        self.snapshots, self.past, self.batch_id = snapshots, past, batch_id
+        self.spark, self.stage = batch.sparkSession, f"{snapshots.root}/stage"
+        taken, judged = Observation(f"messages-{batch_id}"), Observation(f"outcome-{batch_id}")
+        raw = store(with_arrival(batch).observe(taken, n_rows().alias("messages")), f"{self.stage}/messages")
+        fresh = store(ingest.first_unseen(raw, tables.read_seen(snapshots, past)), f"{self.stage}/fresh")
+        classified = ingest.judge(
+            fresh, lateness_s=lateness_s, prior_high_water=tables.instant(past.high_water), block=block)
+        mark = F.max(F.unix_micros("high_water")).alias("mark")
+        self.classified = store(classified.observe(judged, *ingest.outcome_counts(), mark), f"{self.stage}/classified")
+        self.counts = {**taken.get, **judged.get}
+        marks = [m for m in (past.high_water, self.counts.pop("mark", None)) if m is not None]
+        self.high_water = max(marks, default=None)
+        self.run = Run(f"batch_id={batch_id}", 0, batch_id, batch_id, mark=self.high_water)
+
+    def publish(self, steps: tables.Steps, fanout: int, runs: dict[str, Run] | None = None) -> None:
+        """Metrics and seen ids join what the batch writes; then all of it is there at once. Merges follow, as a step of
+        their own."""
+        counted = {name.split()[0]: self.counts.get(name.split()[0]) for name in COUNTS_DDL.split(", ")}
+        row = self.spark.createDataFrame([tuple(counted.values())], COUNTS_DDL).coalesce(1)
+        steps[METRICS] = lambda: self.snapshots.write(ingest.metrics_of(row), METRICS, self.run)
+        steps[SEEN] = lambda: tables.write_seen(self.snapshots, self.classified, self.run)
+        written = {**(runs or {}), **together(steps)}
+        after = replace(self.past.with_runs(written), last_batch=self.batch_id, high_water=self.high_water)
+        self.snapshots.publish(tables.without_expired(after))
+        tables.merge_tables(self.snapshots, fanout)
+        drop_folder(self.spark, self.stage)
+
+
+def _fact_steps(snapshots: Snapshots, facts: DataFrame, past: Manifest, run: Run, *, clustered: bool) -> tuple[tables.Steps, dict[str, Run]]:
+    """What writes facts and all that a warehouse keeps of them, and the run that is written already: new stations."""
+    stations = {tables.STATIONS: tables.write_new_stations(snapshots, facts, past, run)}
+    steps = tables.partial_steps(snapshots, facts, "rollups", ROLLUP_PARTIALS, run)
+    steps.update(tables.station_set_steps(snapshots, facts, past, run))
+    steps[FACT] = lambda: write_fact_run(snapshots, facts, run, clustered=clustered)
+    return steps, stations
+
+
+def _take_in(batch: DataFrame, batch_id: int, folder: str, lateness_s: int, block: int) -> Intake | None:
+    """Nothing if the batch is published already, as when a query failed just before it could note that."""
+    prepare(batch.sparkSession)
+    snapshots = Snapshots(batch.sparkSession, folder)
+    past = snapshots.current() or Manifest()
+    return None if batch_id <= past.last_batch else Intake(batch, batch_id, snapshots, past, lateness_s, block)
+
+
+def warehouse_batch(folder: str, lateness_s: int = MAX_LATENESS_S, block: int = BLOCK, fanout: int = FANOUT) -> Callable:
     """Fact rows, dead letters and rollup partials of one micro-batch."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        raw, classified, progress, high_water = _classified(batch, batch_id, folder, lateness_s, block)
-        name = str(batch_id)
-        write_fact(ingest.accepted(classified), f"{folder}/fact", name, clustered=False)
-        write_dead_letters(ingest.rejected(classified), f"{folder}/dead_letters", name)
-        # Its own rows come from the cached batch: reading them back would list every folder of the table.
-        write_partials(ingest.accepted(classified), f"{folder}/rollups", ROLLUP_PARTIALS, batch_id)
-        write_metrics(raw, classified, f"{folder}/metrics", batch_id)
-        progress.commit(classified, batch_id, high_water)
-        classified.unpersist()
-        drop_folder(batch.sparkSession, f"{folder}/stage")
+        intake = _take_in(batch, batch_id, folder, lateness_s, block)
+        if intake is None:
+            return
+        facts = ingest.accepted(intake.classified)
+        steps, stations = _fact_steps(intake.snapshots, facts, intake.past, intake.run, clustered=False)
+        steps[LETTERS] = lambda: write_letters_run(intake.snapshots, ingest.rejected(intake.classified), intake.run)
+        intake.publish(steps, fanout, stations)
 
     return run
 
 
-def live_batch(folder: str, block: int = BLOCK) -> Callable:
+def live_batch(folder: str, block: int = BLOCK, fanout: int = FANOUT) -> Callable:
     """Live-state partials of one micro-batch; late events count here."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        raw, classified, progress, high_water = _classified(batch, batch_id, folder, NEVER_LATE_S, block)
-        facts = store(ingest.accepted(classified), f"{folder}/stage/facts")
-        write_partials(facts, f"{folder}/live", LIVE_PARTIALS, batch_id)
-        write_metrics(raw, classified, f"{folder}/metrics", batch_id)
-        progress.commit(classified, batch_id, high_water)
-        classified.unpersist()
-        drop_folder(batch.sparkSession, f"{folder}/stage")
+        intake = _take_in(batch, batch_id, folder, NEVER_LATE_S, block)
+        if intake is not None:
+            facts = ingest.accepted(intake.classified)
+            intake.publish(tables.partial_steps(intake.snapshots, facts, "live", LIVE_PARTIALS, intake.run), fanout)
 
     return run
 
 
-def replay_late(spark: SparkSession, folder: str, replay_id: str) -> None:
-    """Put the late dead letters of a warehouse back: fact rows, and the rollup partials of exactly those rows.
-
-    Rollups are additive, so the touched hours and days come out as if computed again. The same replay run twice
-    replaces its own rows; a later replay finds them in the fact table and adds nothing.
+def load_facts(spark: SparkSession, folder: str, facts: DataFrame, load_id: str) -> None:
+    """Add a table of typed facts to a warehouse, rollups included, all at once. A load that is there already adds nothing."""
+    prepare(spark)
+    snapshots = Snapshots(spark, folder)
+    past = snapshots.current() or Manifest()
+    if f"load-{load_id}" in past.replays:
+        return
+    run = Run(f"batch_id=load-{load_id}", 0, past.last_batch, past.last_batch)
+    steps, stations = _fact_steps(snapshots, facts, past, run, clustered=True)
+    snapshots.publish(replace(past.with_runs({**stations, **together(steps)}), replays=(*past.replays, f"load-{load_id}")))
+
+
+def replay_late(spark: SparkSession, folder: str, replay_id: str, since: datetime | None = None,
+                until: datetime | None = None) -> None:
+    """Put late dead letters of a warehouse back, of events between two times if they are given: fact rows, and all that the
+    warehouse keeps of exactly those rows.
+
+    Rollups are additive, so the touched hours and days come out as if computed again. A ledger keeps the ids that replays
+    have taken: the same replay run twice, or one whose period overlaps an earlier one, takes nothing twice. Letters are
+    read from the month of `since` on, as none is rejected before its event.
     """
     prepare(spark)
-    batch, stage = f"replay-{replay_id}", f"{folder}/stage-replay-{replay_id}"
-    letters = read_dead_letters(spark, f"{folder}/dead_letters").filter(F.col("batch_id") != batch)
+    snapshots = Snapshots(spark, folder)
+    past = snapshots.current() or Manifest()
+    if replay_id in past.replays:
+        return
+    stage, run = f"{folder}/stage-replay-{replay_id}", Run(f"batch_id=replay-{replay_id}", 0, past.last_batch, past.last_batch)
+    ledger = snapshots.read(tables.REPLAYED, tables.REPLAYED_DDL, runs=past.runs(tables.REPLAYED))
+    letters = replay.late_letters(read_dead_letters(spark, f"{folder}/{LETTERS}", since), since, until)
+    letters = store(replay.not_replayed(letters, ledger), f"{stage}/letters")
     rows = store(replay.late_rows(letters), f"{stage}/late")
-    failed = store(replay.unconvertible(letters), f"{stage}/failed")
-    write_dead_letters(failed, f"{folder}/dead_letters", batch)
-    others = read_fact(spark, f"{folder}/fact").filter(F.col("batch_id") != batch)
-    missing = store(replay.not_in_fact(rows, others), f"{stage}/missing")
-    write_fact(missing, f"{folder}/fact", batch)
-    write_partials(missing, f"{folder}/rollups", ROLLUP_PARTIALS, batch)
+    missing = store(replay.not_in_fact(rows, read_fact(spark, f"{folder}/{FACT}")), f"{stage}/missing")
+    steps, stations = _fact_steps(snapshots, missing, past, run, clustered=True)
+    steps[LETTERS] = lambda: write_letters_run(snapshots, replay.unconvertible(letters), run)
+    taken = letters.select("event_id", F.lit(replay_id).alias("replay_id")).distinct()
+    steps[tables.REPLAYED] = lambda: snapshots.write(taken, tables.REPLAYED, run)
+    snapshots.publish(replace(past.with_runs({**stations, **together(steps)}), replays=(*past.replays, replay_id)))
     drop_folder(spark, stage)
 
 
