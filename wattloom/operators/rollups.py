@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wattloom.functions.numeric import count_where, mean_power, n_rows
+from wattloom.functions.numeric import count_where, mean_power, n_rows, rnd
 from wattloom.functions.windows import day_bucket, hour_bucket
 from wattloom.schema import FAULT, STOP
 
@@ -85,6 +85,7 @@ def errors_daily(df: DataFrame) -> DataFrame:
 
 STOP_HOUR_KEYS = ["hour", "network_id", "city", "country", "charger_type", "vehicle_type"]
 LENGTH_KEYS = ["day", "length_class"]
+MOMENT_KEYS = ["day"]
 EVENT_HOUR_KEYS = ["hour", "network_id", "event_type"]
 # Lower bounds, in minutes, of the duration classes after the first.
 LENGTH_BOUNDS = (15, 30, 60, 120)
@@ -124,6 +125,18 @@ def stop_lengths_daily(df: DataFrame) -> DataFrame:
     )
 
 
+def power_moments_daily(df: DataFrame) -> DataFrame:
+    """Number, sum and sum of squares of the mean power of a day's timed stops, to the hundredth: decimals, so that any
+    order of adding days up gives the same mean and deviation."""
+    power = rnd(mean_power(), 2).cast("decimal(15,2)")
+    return (
+        df.filter((F.col("event_type") == STOP) & (F.col("duration_minutes") > 0))
+        .groupBy(day_bucket().alias("day"))
+        .agg(F.count(power).alias("timed"), F.sum(power.cast("decimal(28,2)")).alias("power"),
+             F.sum((power * power).cast("decimal(28,4)")).alias("power_squared"))
+    )
+
+
 def events_hourly(df: DataFrame) -> DataFrame:
     return df.groupBy(hour_bucket().alias("hour"), *EVENT_HOUR_KEYS[1:]).agg(n_rows().alias("events"))
 
@@ -147,5 +160,6 @@ STORED_ROLLUPS = {
     "network_revenue_daily": (NETWORK_KEYS, network_revenue_daily),
     "stops_hourly": (STOP_HOUR_KEYS, stops_hourly),
     "stop_lengths_daily": (LENGTH_KEYS, stop_lengths_daily),
+    "power_moments_daily": (MOMENT_KEYS, power_moments_daily),
     "events_hourly": (EVENT_HOUR_KEYS, events_hourly),
 }

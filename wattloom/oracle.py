@@ -789,6 +789,7 @@ STORED_AS = {
     "q7_stored": "q7_real_time_throughput", "q8_stored": "q8_session_duration_distribution", "q9_stored": "q9_peak_hours",
     "q10_stored": "q10_network_error_rate", "q11_stored": "q11_revenue_per_kwh", "q12_stored": "q12_country_summary",
     "a1_stored": "a1_hourly_energy_7days", "a5_stored": "a5_fault_geography", "d1_stored": "d1_kpi_cover",
+    "a6_stored": "a6_anomaly_detection", "d7_stored": "d7_anomaly_summary",
     "m3_stored": "m3_errors_daily", "u1_stored": "u1_total_events",
 }
 

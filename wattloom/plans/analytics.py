@@ -380,18 +380,20 @@ def fault_geography(df: DataFrame, *, limit: int | None = 20) -> DataFrame:
     )
 
 
-def anomalies(df: DataFrame, *, limit: int | None = 20) -> DataFrame:
+def anomalies(df: DataFrame, *, limit: int | None = 20, fleet: tuple[float | None, float | None] | None = None) -> DataFrame:
     """Stops whose mean power lies more than two population standard deviations from the fleet mean; the farthest ones,
-    all if `limit` is None."""
+    all if `limit` is None. With `fleet`, mean and deviation known already, the facts are read once."""
     sessions = _timed_stops(df).select(
         "event_id", "session_id", "station_id", "network_id", "city", "vehicle_brand",
         rnd(mean_power(), 2).alias("power_kw"),
         "energy_kwh", "duration_minutes", "revenue_eur",
     )
-    fleet = sessions.agg(
-        F.struct(F.avg("power_kw").alias("mean"), F.stddev_pop("power_kw").alias("std")).alias("fleet")
-    ).scalar()
-    mean, std = fleet["mean"], fleet["std"]
+    if fleet is None:
+        both = F.struct(F.avg("power_kw").alias("mean"), F.stddev_pop("power_kw").alias("std"))
+        found = sessions.agg(both.alias("fleet")).scalar()
+        mean, std = found["mean"], found["std"]
+    else:
+        mean, std = (F.lit(value).cast("double") for value in fleet)
     return (
         sessions.filter(F.abs(F.col("power_kw") - mean) > F.lit(2.0) * std)
         .select(

@@ -90,8 +90,13 @@ def worst_density_city(df: DataFrame) -> DataFrame:
 def anomaly_summary(df: DataFrame) -> DataFrame:
     """Counts over all anomalies; nothing when there are none."""
     stops = df.filter((F.col("event_type") == STOP) & (F.col("duration_minutes") > 0)).agg(n_rows()).scalar()
+    return summarised(analytics.anomalies(df, limit=None), stops)
+
+
+def summarised(anomalies: DataFrame, stops: Column) -> DataFrame:
+    """The summary of all anomalies among a number of stops with a duration."""
     return (
-        analytics.anomalies(df, limit=None)
+        anomalies
         .agg(
             n_rows().alias("anomalies"),
             count_where(F.col("z_score") > 0).alias("high"),

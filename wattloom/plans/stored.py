@@ -6,8 +6,10 @@ which alone facts are read. All answers of one object come from one published st
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -15,7 +17,7 @@ from wattloom.functions.joins import broadcast_if_small
 from wattloom.functions.numeric import ratio, rnd
 from wattloom.functions.windows import utc
 from wattloom.operators import distincts, rollups
-from wattloom.plans import analytics
+from wattloom.plans import analytics, report
 from wattloom.schema import FACT_DDL, FAULT
 from wattloom.sources import fact
 from wattloom.sources.snapshot import Manifest, Snapshots
@@ -186,6 +188,23 @@ class StoredAnalytics:
         ).orderBy(F.desc("fault_count"), "city", "country")
         return out if limit is None else out.limit(limit)
 
+    def fleet_power(self) -> tuple[int, float | None, float | None]:
+        """Number of timed stops, mean and population deviation of their mean power, exactly from the daily moments."""
+        n, total, squares = self._rollup("power_moments_daily").agg(
+            F.coalesce(F.sum("timed"), F.lit(0)), F.sum("power"), F.sum("power_squared")).first()
+        if not n:
+            return 0, None, None
+        mean = Fraction(total) / n
+        return n, float(mean), math.sqrt(max(Fraction(squares) / n - mean * mean, 0))
+
+    def anomalies(self, limit: int | None = 20) -> DataFrame:
+        """One scan of the facts, for the candidates alone."""
+        return analytics.anomalies(self._facts(), limit=limit, fleet=self.fleet_power()[1:])
+
+    def anomaly_summary(self) -> DataFrame:
+        stops, *fleet = self.fleet_power()
+        return report.summarised(analytics.anomalies(self._facts(), limit=None, fleet=tuple(fleet)), F.lit(stops))
+
     def errors_daily(self) -> DataFrame:
         """The error rollup with its distinct stations counted from bits."""
         coded = self._station_sets("fault_stations_daily").filter("error_code <> ''")

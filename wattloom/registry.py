@@ -300,7 +300,9 @@ STORED: dict[str, Query] = {
     "q12_stored": on_stored(StoredAnalytics.country_summary),
     "a1_stored": on_stored(StoredAnalytics.hourly_energy_7days),
     "a5_stored": on_stored(StoredAnalytics.fault_geography),
+    "a6_stored": on_stored(StoredAnalytics.anomalies),
     "d1_stored": on_stored(StoredAnalytics.kpi_cover),
+    "d7_stored": on_stored(StoredAnalytics.anomaly_summary),
     "m3_stored": on_stored(StoredAnalytics.errors_daily),
     "u1_stored": on_stored(StoredAnalytics.total_events),
 }
