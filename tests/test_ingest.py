@@ -131,7 +131,7 @@ def test_texts_become_typed_columns_in_table_order(spark):
 
 
 def test_error_code_kept_and_missing_fields_defaulted(spark):
-    kept, minimal = conformed(spark, {**STOP_EVENT, "error_code": "E77"}, {"event_type": "error"})
+    kept, minimal = conformed(spark, {**STOP_EVENT, "error_code": "E77"}, {"event_type": "heartbeat"})
     assert kept.error_code == "E77"
     assert (minimal.event_id, minimal.connector_id, minimal.power_kw, minimal.tariff_id) == ("", 0, 0.0, "")
 

@@ -27,6 +27,7 @@ def with_conversion_error(decoded: DataFrame) -> DataFrame:
         tests.append(f"WHEN {converted} IS NULL AND NOT {stands_for_zero(name)} THEN '{name}'")
         values.append(f"WHEN '{name}' THEN struct({name} AS value, {quoted(name)} AS quoted)")
     ints = ", ".join(f"'{name}'" for name in INT_FIELDS)
+    # The messages that readers of dead letters know.
     complaint = f"""IF(failed IN ({ints}), 'invalid literal for int() with base 10: ',
         'could not convert string to float: ')"""
     return (

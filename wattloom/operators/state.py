@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from wattloom.functions.numeric import count_where, n_rows, ratio, rnd, rsum
 from wattloom.functions.windows import AsOf, day_bucket, reference_time, seconds_between, time_cell
 from wattloom.schema import (
-    EVENT_TYPES, FAULT, LEADERBOARD_TTL_S, METER, SESSION_TTL_S, START, STATION_TTL_S, STATUS_CHANGE, STOP,
+    EVENT_TYPES, FAULT, LEADERBOARD_TTL_S, METER, METER_FIELDS, SESSION_TTL_S, START, START_FIELDS, STATION_TTL_S, STATUS_CHANGE, STOP,
 )
 
 
@@ -230,19 +230,6 @@ def station_status_live(df: DataFrame, *, as_of: AsOf = None) -> DataFrame:
 
 # ---- sessions --------------------------------------------------------------------------------------------------
 
-# Entry field -> event column, as written by a session start and by a meter update.
-START_FIELDS = {
-    "station_id": "station_id", "network_id": "network_id", "charger_type": "charger_type", "power_kw": "power_kw",
-    "start_time": "timestamp", "city": "city", "country": "country", "vehicle_type": "vehicle_type",
-    "vehicle_brand": "vehicle_brand", "vehicle_model": "vehicle_model", "soc_start": "soc_percent",
-    "price_per_kwh": "price_per_kwh", "tariff_id": "tariff_id",
-}
-METER_FIELDS = {
-    "energy_kwh": "energy_kwh", "soc_current": "soc_percent", "duration_minutes": "duration_minutes",
-    "revenue_eur": "revenue_eur", "last_updated": "timestamp",
-}
-
-
 def session_writes(df: DataFrame) -> DataFrame:
     """The events that write a session's entry."""
     return df.filter(F.col("session_id") != "").filter(F.col("event_type").isin(START, METER, STOP))

@@ -134,6 +134,7 @@ def real_time_throughput(df: DataFrame, *, as_of: AsOf = None, minutes: int = 5)
 
 def session_duration_distribution(df: DataFrame) -> DataFrame:
     minutes = F.col("duration_minutes")
+    # The duration classes and their labels.
     bucket = (
         F.when(minutes < 15, "< 15 min")
         .when(minutes < 30, "15–30 min")

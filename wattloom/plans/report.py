@@ -28,6 +28,7 @@ def kpi_cover(df: DataFrame, *, as_of: AsOf = None) -> DataFrame:
 
 def hour_bands(df: DataFrame) -> DataFrame:
     hour = F.col("hour_of_day")
+    # Bands of hours and their labels.
     band = (
         F.when((hour >= 7) & (hour < 9), "Morning Peak")
         .when((hour >= 12) & (hour < 14), "Lunch Peak")

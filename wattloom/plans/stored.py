@@ -23,6 +23,7 @@ from wattloom.sources import fact
 from wattloom.sources.snapshot import Manifest, Snapshots
 from wattloom.streaming import tables
 
+# Labels of the duration classes.
 LENGTH_NAMES = ["< 15 min", "15–30 min", "30–60 min", "1–2 hours", ">= 2 hours"]
 
 

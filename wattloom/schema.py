@@ -61,6 +61,19 @@ CHARGER_POWER_BOUNDS = [
 # Demand multiplier per UTC hour range [start, end).
 PEAK_WINDOWS = [(7, 9, 2.0), (12, 14, 1.5), (17, 20, 3.0)]
 
+# Fields of a live session's entry and the event columns they hold, as written by a session start and by a
+# meter update.
+START_FIELDS = {
+    "station_id": "station_id", "network_id": "network_id", "charger_type": "charger_type", "power_kw": "power_kw",
+    "start_time": "timestamp", "city": "city", "country": "country", "vehicle_type": "vehicle_type",
+    "vehicle_brand": "vehicle_brand", "vehicle_model": "vehicle_model", "soc_start": "soc_percent",
+    "price_per_kwh": "price_per_kwh", "tariff_id": "tariff_id",
+}
+METER_FIELDS = {
+    "energy_kwh": "energy_kwh", "soc_current": "soc_percent", "duration_minutes": "duration_minutes",
+    "revenue_eur": "revenue_eur", "last_updated": "timestamp",
+}
+
 # Time-to-live of live state, in seconds.
 SESSION_TTL_S = 3600
 STATION_TTL_S = 300
