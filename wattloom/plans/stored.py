@@ -42,6 +42,7 @@ class StoredAnalytics:
         self.spark, self._snapshots = spark, Snapshots(spark, folder)
         self._manifest = self._snapshots.current() or Manifest()
         self._as_of = utc(as_of) if as_of else None
+        self._tables: dict[str, DataFrame] = {}  # listed and analysed once, as the published state does not change
 
     @property
     def as_of(self) -> datetime | None:
@@ -64,12 +65,17 @@ class StoredAnalytics:
 
     def _rollup(self, name: str) -> DataFrame:
         """Partial rows of a rollup, several per key perhaps; what is made of them adds them up."""
-        shape = rollups.STORED_ROLLUPS[name][1](tables.empty_facts(self.spark))
-        table = f"rollups/{name}"
-        return self._snapshots.read(table, tables.ddl_of(shape), runs=self._manifest.runs(table)).select(*shape.columns)
+        if name not in self._tables:
+            shape = rollups.STORED_ROLLUPS[name][1](tables.empty_facts(self.spark))
+            table = f"rollups/{name}"
+            rows = self._snapshots.read(table, tables.ddl_of(shape), runs=self._manifest.runs(table))
+            self._tables[name] = rows.select(*shape.columns)
+        return self._tables[name]
 
     def _station_sets(self, name: str) -> DataFrame:
-        return tables.read_station_sets(self._snapshots, self._manifest, name)
+        if name not in self._tables:
+            self._tables[name] = tables.read_station_sets(self._snapshots, self._manifest, name)
+        return self._tables[name]
 
     def stops_since(self, since: datetime) -> DataFrame:
         """Hourly sums of the stops at a time or later: rollup rows of whole hours, and of the hour that is cut the facts."""
