@@ -121,12 +121,17 @@ def test_no_query_uses_a_cartesian_or_nested_loop_join(spark, sf):
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, question.__name__
 
 
-def test_large_dimensions_are_salted_not_broadcast(spark, sf):
-    from wattloom.functions.joins import dimension_join
-
-    fact = spark.range(1000).selectExpr("id", "IF(id % 3 = 0, 7, id % 50) AS key")
-    dim = spark.range(50).selectExpr("id AS dim_key", "id * 10 AS label")
-    salted = dimension_join(fact, dim, "key", "dim_key", "id", limit=0)
-    plain = dimension_join(fact, dim, "key", "dim_key", "id")
-    assert "_salt" in plan(salted) and "BroadcastHashJoin" in plan(plain)
-    assert rows(salted.select("id", "label")) == rows(plain.select("id", "label"))
+def test_hot_keys_of_large_dimensions_are_joined_by_broadcast(spark, sf):
+    from wattloom.functions.joins import dimension_join, heavy_hitters
+
+    fact = spark.range(10_000).selectExpr("id", "IF(id % 3 = 0, 7, id % 500) AS key")
+    dim = spark.range(490).selectExpr("id AS dim_key", "id * 10 AS label")
+    assert heavy_hitters(fact, "key") == [7] and heavy_hitters(fact.limit(0), "key") == []
+    assert heavy_hitters(fact.selectExpr("id", "IF(id % 2 = 0, NULL, key) AS key"), "key") == [7]
+    large = dimension_join(fact, dim, "key", "dim_key", limit=0)
+    plain = dimension_join(fact, dim, "key", "dim_key")
+    text = plan(large)
+    assert "BroadcastHashJoin" in plan(plain) and "BroadcastHashJoin" in text and "Union" in text
+    assert rows(large.select("id", "label")) == rows(plain.select("id", "label"))
+    cold = dimension_join(fact.filter("key <> 7"), dim, "key", "dim_key", limit=0)
+    assert rows(cold.select("id", "label")) == rows(plain.filter("key <> 7").select("id", "label"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 BROADCAST_BYTES = 32 * 1024 * 1024
-SALTS = 32
+# A key with more than 1 of this many rows is hot; so there are at most this many.
+HOT_SHARE = 100
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -17,18 +18,30 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
 
 
-def dimension_join(
-    fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, spread: str, limit: int = BROADCAST_BYTES
-) -> DataFrame:
+def heavy_hitters(fact: DataFrame, key: str, share: int = HOT_SHARE) -> list:
+    """Keys that may hold more than 1/share of the rows, by a frequency sketch of fixed size: at most `share` of them.
+
+    The sketch merges map-side, so one small row reaches the driver whatever the size of the fact.
+    """
+    top = f"approx_top_k(`{key}`, {share}, {share * 64})"
+    found = fact.selectExpr(f"{top} AS top", "count(*) AS n").first()
+    return [entry["item"] for entry in found["top"] or () if entry["item"] is not None and entry["count"] * share >= found["n"]]
+
+
+def dimension_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Inner join of a fact to a dimension unique on its key.
 
     Up to `limit` estimated bytes the dimension is broadcast. Beyond it the join shuffles, and a key that holds
-    a large share of the fact would land in one task: the fact is salted by a hash of `spread` and the
-    dimension, one row per key, is repeated once per salt.
+    a large share of the fact would land in one task. Such keys, at most HOT_SHARE of them, are joined to their own few
+    rows of the dimension by broadcast and are not shuffled; all others are shuffled once, and so is the dimension.
     """
     if estimated_bytes(dim) <= limit:
         return fact.join(F.broadcast(dim), fact[fact_key] == dim[dim_key])
-    salted = fact.withColumn("_salt", F.pmod(F.hash(spread), F.lit(SALTS)))
-    copies = dim.withColumn("_salt_dim", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    joined = salted.join(copies, (salted[fact_key] == copies[dim_key]) & (F.col("_salt") == F.col("_salt_dim")))
-    return joined.drop("_salt", "_salt_dim")
+    hot = heavy_hitters(fact, fact_key)
+    if not hot:
+        return fact.join(dim, fact[fact_key] == dim[dim_key])
+    few = F.broadcast(dim.filter(F.col(dim_key).isin(hot)))
+    rest = dim.filter(~F.col(dim_key).isin(hot))
+    hot_rows = fact.filter(F.col(fact_key).isin(hot)).join(few, F.col(fact_key) == F.col(dim_key))
+    other_rows = fact.filter(~F.col(fact_key).isin(hot)).join(rest, F.col(fact_key) == F.col(dim_key))
+    return hot_rows.unionByName(other_rows)

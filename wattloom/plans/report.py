@@ -8,6 +8,7 @@ from wattloom.functions.numeric import count_where, n_rows, ratio, rnd
 from wattloom.functions.windows import AsOf
 from wattloom.plans import analytics
 from wattloom.schema import STOP
+from wattloom.session import materialize
 
 
 def kpi_cover(df: DataFrame, *, as_of: AsOf = None) -> DataFrame:
@@ -42,10 +43,10 @@ def station_flags(df: DataFrame, *, threshold: float = 0.5, limit: int = 20) ->
     """The worst stations with their bands and, on every row, how many of all stations with a fault exceed the threshold."""
     uptime = F.col("uptime_pct")
     above = F.col("fault_rate_pct") > threshold
-    counts = analytics.station_uptime(df, limit=None).agg(
-        F.struct(count_where(above).alias("above"), n_rows().alias("listed")).alias("counts")).scalar()
+    stations = materialize(analytics.station_uptime(df, limit=None), "station-flags")  # one row per station with a fault
+    counts = stations.agg(F.struct(count_where(above).alias("above"), n_rows().alias("listed")).alias("counts")).scalar()
     return (
-        analytics.station_uptime(df, limit=limit)
+        stations.orderBy(F.desc("fault_rate_pct"), "station_id", "network_id", "city").limit(limit)
         .withColumn("above_threshold", above)
         .withColumn("uptime_band", F.when(uptime >= 90, "good").when(uptime >= 70, "fair").otherwise("poor"))
         .withColumn("stations_above", counts["above"])

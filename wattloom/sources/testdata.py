@@ -94,9 +94,9 @@ def charging_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "ts", "user_id AS u", "value", "event_type AS source_type",
         "CAST(get_json_object(props, '$.k') AS INT) AS k",
     )
-    placed = dimension_join(events, _table(spark, sf_dir, "customer"), "u", "c_custkey", "event_id")
-    placed = dimension_join(placed, _table(spark, sf_dir, "nation"), "c_nationkey", "n_nationkey", "event_id")
-    placed = dimension_join(placed, _table(spark, sf_dir, "region"), "n_regionkey", "r_regionkey", "event_id")
+    placed = dimension_join(events, _table(spark, sf_dir, "customer"), "u", "c_custkey")
+    placed = dimension_join(placed, _table(spark, sf_dir, "nation"), "c_nationkey", "n_nationkey")
+    placed = dimension_join(placed, _table(spark, sf_dir, "region"), "n_regionkey", "r_regionkey")
     return placed.selectExpr("*", EVENT_TYPE).selectExpr(
         *[f"{FACT_EXPRESSIONS[name]} AS {name}" for name in FACT_NAMES]
     )
