@@ -1,8 +1,9 @@
 """Quality rules: counting rules and the divergence of a text from language references.
 
 A text is compared with reference histograms by Jensen-Shannon distance (base 2, so between 0 and 1): how its characters
-spread over six classes, and how its words spread over the common words of a language and all others. Everything is
-built-in functions on arrays inside the row; nothing is shuffled, and a long text stays in its own row.
+spread over six classes, and how its words spread over the common words of a language and all others. The word distance
+is relative: 1 is a text with none of the language's common words, so lists of keywords and made-up words come near 1 in
+every language. Everything is built-in functions on arrays inside the row; nothing is shuffled, and a long text stays in its own row.
 
 * Null and empty texts have no words: all counts 0, base_failed, not kept.
 * A known `lang` does not bind: the closest language reference counts, so that a wrong label costs nothing.
@@ -12,6 +13,7 @@ built-in functions on arrays inside the row; nothing is shuffled, and a long tex
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -48,8 +50,8 @@ class QualityRules:
     min_chars_for_classes: int = 200
     min_words_for_common: int = 50
     max_char_distance: float = 0.30
-    max_word_distance: float = 0.47
-    max_sum: float = 0.51
+    max_word_distance: float = 0.90  # of the distance of a text with no common words, or with no others
+    max_sum: float = 0.95
 
 
 def _distance(shares: Column, reference: list[float]) -> Column:
@@ -62,6 +64,21 @@ def _distance(shares: Column, reference: list[float]) -> Column:
     return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda a, t: a + t / 2), F.lit(0.0)))
 
 
+def extreme_distances(reference: list[float]) -> tuple[float, float]:
+    """Distances of a text with none of the common words and of one with no other words, in the reference's proportions."""
+    rest = reference[-1]
+    common = 1 - rest
+    none = common + rest * math.log2(2 * rest / (1 + rest)) + math.log2(2 / (1 + rest))
+    alone = rest + common * math.log2(2 * common / (1 + common)) + math.log2(2 / (1 + common))
+    return math.sqrt(none / 2), math.sqrt(alone / 2)
+
+
+def word_reference(language: str) -> list[float]:
+    """Shares of the common words of a language and, last, of all others."""
+    common = [v / 1000 for v in COMMON_WORDS[language].values()]
+    return [*common, 1 - sum(common)]
+
+
 def _repeated_window_words(df: DataFrame) -> DataFrame:
     """Words inside three-word windows that occur twice or more in their text.
 
@@ -94,7 +111,8 @@ def _repeated_window_words(df: DataFrame) -> DataFrame:
 
 
 def _common_word_distance(df: DataFrame) -> DataFrame:
-    """Distance to the closest language. Equal words stand together once sorted, so counts are differences of places."""
+    """Distance to the closest language, as a share of what a text without its common words has,
+    or for a text richer in them than the reference, one with no other words. Equal words stand together once sorted, so counts are differences of places."""
     listed = sorted({w for words in COMMON_WORDS.values() for w in words})
     plain = F.transform("_words", lambda w: F.rtrim(F.lower(w), F.lit(".,;:!?")))
     df = df.withColumn("_hits", F.sort_array(F.filter(plain, lambda w: w.isin(listed))))
@@ -109,8 +127,9 @@ def _common_word_distance(df: DataFrame) -> DataFrame:
         counts = F.transform(F.array(*map(F.lit, words)), lambda w: F.coalesce(F.try_element_at("_count", w), F.lit(0)))
         df = df.withColumn(name, F.transform(counts, lambda c: c / F.greatest(F.size("_words"), F.lit(1))))
         rest = F.greatest(1 - F.aggregate(name, F.lit(0.0), lambda a, s: a + s), F.lit(0.0))
-        reference = [v / 1000 for v in words.values()]
-        each.append(_distance(F.concat(F.col(name), F.array(rest)), [*reference, 1 - sum(reference)]))
+        reference = word_reference(language)
+        none, alone = extreme_distances(reference)
+        each.append(_distance(F.concat(F.col(name), F.array(rest)), reference) / F.when(rest > reference[-1], none).otherwise(alone))
     return df.withColumn("word_distance", F.least(*each))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .filter_audit import AuditRules
 from .mixing import MODULUS, STEP, MixRules
-from .quality import CHAR_CLASSES, COMMON_WORDS, PUNCTUATION, QualityRules
+from .quality import CHAR_CLASSES, COMMON_WORDS, PUNCTUATION, QualityRules, extreme_distances, word_reference
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -35,9 +35,11 @@ def quality_sql(rules: QualityRules = QualityRules()) -> str:
     for language, words in COMMON_WORDS.items():
         listed = "[" + ", ".join(f"'{w}'" for w in words) + "]"
         each = f"list_transform({listed}, lambda v: len(list_filter(plain, lambda w: w = v)) / n_words)"
-        reference = [v / 1000 for v in words.values()]
-        shares = f"list_append({each}, greatest(1 - list_sum({each}), 0))"
-        languages.append(_divergence(shares, [*reference, 1 - sum(reference)]))
+        reference = word_reference(language)
+        rest = f"greatest(1 - list_sum({each}), 0)"
+        none, alone = extreme_distances(reference)
+        extreme = f"CASE WHEN {rest} > {reference[-1]!r} THEN {none!r} ELSE {alone!r} END"
+        languages.append(f"{_divergence(f'list_append({each}, {rest})', reference)} / ({extreme})")
     chars = f"""[length(regexp_replace(t, '[^\\p{{L}}]+', '', 'g')) - length(regexp_replace(t, '\\P{{Lu}}+', '', 'g')),
       length(regexp_replace(t, '\\P{{Lu}}+', '', 'g')), length(regexp_replace(t, '[^0-9]+', '', 'g')),
       length(t) - word_chars, length(regexp_replace(t, '{points.replace("[", "[^", 1)}+', '', 'g')),
