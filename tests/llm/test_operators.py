@@ -145,6 +145,37 @@ def test_quality_tells_prose_from_symbols_and_capitals(spark):
     assert kept == [True, False, False, False]
 
 
+# Plain running text in the four languages, written for this test.
+PROSE = [
+    "The bus was late again, so we walked along the river and talked about the garden that my sister wants to plant in the "
+    "spring. It is a small place with a wall on one side, and there is not much light in the morning. She thinks that beans "
+    "and peas will do well in it. I said that the soil is poor, but she has a plan for this as well, and she is rarely wrong.",
+    "Der Bus kam wieder zu spät, und wir gingen am Fluss entlang und sprachen über den Garten, den meine Schwester im Frühling "
+    "anlegen will. Es ist ein kleiner Platz mit einer Mauer auf der einen Seite, und am Morgen gibt es dort nicht viel Licht. "
+    "Sie meint, dass die Bohnen und die Erbsen sich in dem Boden wohl fühlen, auch wenn er nicht gut ist.",
+    "Le bus est encore arrivé en retard, et nous avons suivi la rivière en parlant du jardin que ma soeur veut faire dans le "
+    "quartier au printemps. C'est un petit terrain avec un mur sur le côté, et il ne reçoit pas beaucoup de lumière le matin. "
+    "Elle pense que les haricots et les pois sont faits pour cette terre, qui est pauvre mais facile à travailler.",
+    "El autobús llegó tarde otra vez, y caminamos a lo largo del río y hablamos del jardín que mi hermana quiere plantar en la "
+    "primavera. Es un lugar pequeño con una pared en un lado, y no hay mucha luz por la mañana. Ella piensa que las judías y "
+    "los guisantes se dan bien en la tierra de ese sitio, que es pobre para otras plantas como el maíz.",
+]
+
+
+def test_quality_tells_prose_from_words_that_are_no_language(spark):
+    r = random.Random(5)
+    made_up = " ".join("".join(r.choice("bdfgklmnprstv") + r.choice("aeiou") for _ in range(r.randint(1, 4))) for _ in range(120))
+    made_up = re.sub(r"((?:\w+ ){9}\w+) ", lambda m: m[1].capitalize() + ". ", made_up)
+    keywords = ", ".join(f"{a} {b}" for a in "cheap best buy online discount".split() for b in
+                         "shoes watches phones laptops cameras flights hotels cars bikes tyres".split())
+    names = ". ".join(f"Ms {a.title()} {b.title()}" for a in "ana bob cleo dan eve fay".split() for b in
+                      "smith jones miller brown clark lewis".split())
+    judged = quality.judge(spark.createDataFrame([(t,) for t in (*PROSE, made_up, keywords, names)], "text string")).collect()
+    assert [j.base_failed for j in judged] == [False] * 7
+    assert [j.kept for j in judged] == [True] * 4 + [False] * 3
+    assert max(j.word_distance for j in judged[:4]) < 0.8 and min(j.word_distance for j in judged[4:]) > 0.95
+
+
 # token counts
 
 def test_encoder_gives_the_tokenizers_ids():
@@ -232,6 +263,8 @@ def test_plain_spans_equal_the_patterns():
 HIDDEN = {
     "jane dot doe at mail dot example dot org": "email", "jane [at] example [dot] com": "email", "jane(at)example.com": "email",
     "jаne@exаmple.com": "email", "ｊａｎｅ＠ｅｘａｍｐｌｅ．ｃｏｍ": "email", "jane@example dot com": "email",
+    "jane at example.com": "email", "jane.doe at example.com": "email", "jane dot doe at uni dot se": "email",
+    "jane at uni dot it": "email", "jane @ mail.se": "email", "jane_7 at uni dot no": "email", "jane at uni dot xyz": "email",
     "192 dot 168 dot 1 dot 20": "ip", "one nine two dot one six eight dot zero dot one": "ip",
     "four one one one " + "one " * 11 + "one": "card", "４１１１ １１１１ １１１１ １１１１": "card", "4111​1111​1111​1111": "card",
     "plus one five five five zero one two three four five six": "phone", "＋１ (555) 010-2345": "phone",
@@ -246,11 +279,34 @@ def test_disguised_spans_map_back_to_the_source(text):
 
 
 @pytest.mark.parametrize("text", ["look at the dot product of at example.com", "meet me at noon", "one or two at home dot", "1.5 at 2",
-                                  prose(400, 8), "he was at work. The dot is red", "four one two", ""])
+                                  prose(400, 8), "he was at work. The dot is red", "four one two", "",
+                                  "look at example.com for more", "Available at example.com", "the shop at example.com is closed",
+                                  "email us at example.com", "he pointed at uni dot it was small", "dinner at eight.then home",
+                                  "we met at noon. it was late", "arrive at 8.30 in the morning"])
 def test_clean_texts_have_no_spans(text):
     assert not any(pii.all_spans(text)[1].values())
 
 
+def test_a_word_nearby_speaks_for_an_address():
+    for text in ("mail jane at example.com today", "you can reach jane at uni dot it if you like", "jane.doe at example.com is mine"):
+        span = pii.all_spans(text)[1]["email"]
+        assert len(span) == 1 and text[slice(*span[0])].startswith("jane")
+    assert pii.masked("mail jane at example.com today") == "mail [EMAIL] today"
+
+
+def test_digest_is_that_of_the_joined_plain_spans(spark):
+    import hashlib
+
+    texts = ["é mail jane@example.com or +1 (555) 010-2345, 10.0.0.1 and 4111 1111 1111 1111", "nothing", None, "a@b.c a@b.c"]
+    found = {r.key: r for r in pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+             .selectExpr("*", "sha2(base_spans, 256) AS digest").collect()}
+    for i, text in enumerate(texts):
+        plain = {k: [m.span() for m in re.finditer(p, text or "") if holds(k, m[0])] for k, p in PATTERNS.items()}
+        joined = ",".join(f"{k}:{a}:{b}" for k in ("email", "ip", "card", "phone") for a, b in plain[k])
+        assert found[i].digest == hashlib.sha256(joined.encode()).hexdigest()
+        assert found[i].spans == joined and found[i].n_email == len(plain["email"])
+
+
 def test_pii_rows_and_redaction(docs, empty):
     found = pii.find(docs)
     assert found.count() == docs.count() and found.where("spans <> ''").count() == 1

@@ -5,8 +5,9 @@ full-width characters, zero-width characters, spelled digits, "at" and "dot" wri
 edits, searches the normalised text by the same patterns and maps what it finds back through the edits. A found span
 counts only if an edit lies in it and no plain span of its kind overlaps it, so plain spans always stay.
 
-Words alone prove little: an "at" without brackets needs a "dot" written out and a known top-level domain behind it, a
-bare "dot" in a mail domain such a domain, and cards and addresses their check digits and ranges, as in the plain pass.
+Words alone prove little: an "at" without brackets needs a top-level domain at the end and, if its dots are plain ones, a
+mailbox with a mark in it, a word like "mail" nearby or a clause that starts with it; so does an ending that is a word. Words
+that commonly stand before "at" are no mailbox. Cards and addresses need their check digits and ranges, as in the plain pass.
 
 * A null or empty text has no spans. Texts of any length are searched whole; every pattern is linear in the text.
 * Repeated rows are searched one by one; `redact` keeps all columns, of whatever name.
@@ -52,8 +53,31 @@ DIGIT_WORDS = {
 # Number words that are common words otherwise; they count only beside other number words.
 AMBIGUOUS = frozenset(("un", "null", "oh", "acht", "neuf", "dos", "tres"))
 CLEAR = frozenset(DIGIT_WORDS) - AMBIGUOUS
-# Frequent top-level domains that are no frequent words.
-TOP_LEVEL = frozenset("com org net edu gov info biz io co dev app ai de fr es uk eu ch nl pl ru jp cn ca au br".split())
+# Generic top-level domains; besides, every ending of two letters counts as that of a country.
+TOP_LEVEL = frozenset(
+    "com org net edu gov mil int info biz name pro aero coop museum jobs mobi travel tel cat asia post xxx app dev page blog "
+    "xyz online site website space tech store shop cloud club live news email media agency studio design digital network "
+    "systems solutions services company group global world today life top vip win one link click host press wiki academy "
+    "school university institute foundation berlin london paris nyc eus bank law health care energy games".split())
+# Endings that are words as well; they need something more to show that an address is meant.
+WORD_ENDINGS = frozenset(
+    "am an as at be by do go he hi id if in is it la ma me mi my no of oh ok on or pa so to up us we name pro post page "
+    "space store shop club live news media agency design digital network systems services company group global world today "
+    "life top win one link click host press school university institute foundation bank law health care energy games site "
+    "cat travel jobs museum".split())
+# Words that stand before "at" without being a mailbox.
+NO_MAILBOX = frozenset(
+    "a all am an and are arrive arrived article available be been book bought buy came check click come could details did do does "
+    "done down download email even file find first found free from get go good had has have he held her here him his hosted i in "
+    "info is it just last least less listed located look looked looking looks mail me meet more most my near new no not now of off "
+    "on only or order our out page please posted pricing product products published read register registered see seen service "
+    "services she shop shopping sign site sold some stay still stop store that the them then there these they thing things this "
+    "time today together up us use via visit was we website went were what when where which while who with work worked working "
+    "works yet you".split())
+MAIL_WORDS = re.compile(r"\b(?:e-?mails?|mailto|mail|contact|write to|reach|address|inbox|kontakt|adresse|courriel|correo)\b", re.IGNORECASE)
+CLAUSE_START = re.compile(r"(?:^|[\n.,:;!?(\[<\"'|-])\s*$")
+CLAUSE_END = re.compile(r"\s*(?:$|[\n.,:;!?)\]>\"'|-])")
+NEAR = 48  # characters on either side in which a word may speak for an address
 
 _NUMBER = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 RUN = re.compile(
@@ -205,10 +229,32 @@ class Edited:
         return start, end if edited else last + span[1] - self._starts[j]
 
 
-def _proven(kind: str, found: str, sorts: set[str]) -> bool:
-    if not sorts - {"separator"} or "at" in sorts and not sorts & {"dot", "bracket"}:
+def _is_address(found: str, sorts: set[str], before: str, after: str) -> bool:
+    """Whether words read as "@" and "." show an address. An ending must be one, and more must speak for it if the ending is
+    a word too, or if "at" is the only disguise: a mark in the mailbox, a word like "mail" nearby, or a clause of its own."""
+    mailbox, _, domain = found.partition("@")
+    ending = domain.rpartition(".")[2].lower()
+    if not (ending in TOP_LEVEL or len(ending) == 2 and ending.isalpha()):
         return False
-    return kind != "email" or not sorts & {"at", "dot", "spaced"} or found.rpartition(".")[2].lower() in TOP_LEVEL
+    if "at" in sorts and mailbox.lower() in NO_MAILBOX:
+        return False
+    if ending not in WORD_ENDINGS and not ("at" in sorts and not sorts & {"dot", "bracket"}):
+        return True
+    if MAIL_WORDS.search(before) or MAIL_WORDS.search(after):
+        return True
+    marked = bool(re.search(r"[0-9._+%-]", mailbox))
+    alone = bool(CLAUSE_START.search(before))
+    return (marked or alone) and (ending not in WORD_ENDINGS or bool(CLAUSE_END.match(after)))
+
+
+def _proven(kind: str, text: str, span: Span, sorts: set[str]) -> bool:
+    if not sorts - {"separator"}:
+        return False
+    if kind != "email":
+        return "at" not in sorts or bool(sorts & {"dot", "bracket"})
+    start, end = span
+    return not sorts & {"at", "dot", "spaced"} or _is_address(
+        text[start:end], sorts, text[max(0, start - NEAR):start], text[end:end + NEAR])
 
 
 def hidden_spans(text: str, plain: dict[str, list[Span]]) -> dict[str, list[Span]]:
@@ -230,7 +276,7 @@ def hidden_spans(text: str, plain: dict[str, list[Span]]) -> dict[str, list[Span
             sorts = {e[3] for e in plainer.applied if middle[0] <= e[0] and e[1] <= middle[1]}
             sorts |= {e[3] for e in letters.applied if source[0] <= e[0] and e[1] <= source[1]}
             clear = all(source[1] <= a or b <= source[0] for a, b in plain[kind])
-            if clear and _proven(kind, plainer.text[slice(*span)], sorts):
+            if clear and _proven(kind, plainer.text, span, sorts):
                 found.setdefault(kind, []).append(source)
     return found
 
