@@ -101,6 +101,95 @@ def test_main_text_of_pages(spark):
     assert all(n == len(t) for (_, n), t in found.items())
 
 
+def paragraphs(n: int, seed: int) -> str:
+    return "".join(f"<p>{prose(40 + 7 * i, seed + i)}</p>" for i in range(n))
+
+
+@pytest.mark.parametrize("page", [
+    "<nav><a href=x>menu</a></nav><div class='with-sidebar content'>{}</div>", "<div class='page no-sidebar'><article>{}</article></div>",
+    "<form action=x><label>Name</label><input><select><option>a</select><div>{}</div><button>go</button></form>",
+    "<div class='menu-open layout'><article>{}</article></div><div class='menu'>one two</div>",
+    "<div class='sidebar'><p>short text</p></div><div>{}</div><div class='site-footer'><p>all rights</p></div>",
+    "<article>{}</article><div id='comments'><article class='comment'><p>a reader wrote this</p></article></div>",
+    "<header class='site-header'>Name</header><main>{}</main><aside>more</aside>"])
+def test_layout_names_do_not_take_the_article_away(page):
+    inside = paragraphs(5, 3)
+    assert html_text.main_text(f"<html><body>{page.format(inside)}</body></html>") == inside[3:-4].replace("</p><p>", "\n")
+
+
+def test_articles_side_by_side_and_formulas_stay():
+    text = html_text.main_text(f"<body><article>{paragraphs(6, 1)}</article><article>{paragraphs(2, 9)}</article></body>")
+    assert text.count("\n") == 7
+    formula = "<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p>"
+    assert html_text.main_text(f"<body><article>{paragraphs(3, 1)}{formula}</article></body>").endswith("\nso x=1 holds")
+
+
+def test_content_is_the_node_of_the_largest_density_sum():
+    """Densities by another parser and by recursion, over random well-formed pages without names."""
+    from html.parser import HTMLParser
+
+    class Tree(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.at = self.root = {"tag": "", "inside": [], "up": None}
+
+        def handle_starttag(self, tag, attrs):
+            new = {"tag": tag, "inside": [], "up": self.at}
+            self.at["inside"].append(new)
+            self.at = new
+
+        def handle_endtag(self, tag):
+            self.at = self.at["up"]
+
+        def handle_data(self, data):
+            self.at["inside"].append(data)
+
+    def measured(node, link):
+        """Characters, link characters and tags below; the density sums of all nodes, in page order."""
+        chars = links = tags = 0
+        total, own, sums = 0.0, 0, []
+        for child in node["inside"]:
+            if isinstance(child, str):
+                own += len("".join(child.split()))
+            else:
+                c, k, t, inner = measured(child, child["tag"] == "a")
+                chars, links, tags = chars + c, links + (c if child["tag"] == "a" else k), tags + t + 1
+                total += (c - k) / max(t, 1)
+                sums += inner
+        return chars + own, links + (own if link else 0), tags, [(total + (0 if link else own), node), *sums]
+
+    r = random.Random(11)
+
+    def page(depth: int) -> str:
+        if depth == 0 or r.random() < 0.3:
+            return r.choice([f"<p>{prose(r.randint(1, 60), r.randint(0, 99))}</p>", "<ul><li><a>one two</a></li><li><a>three</a></li></ul>"])
+        return "<div>" + "".join(page(depth - 1) for _ in range(r.randint(1, 4))) + "</div>"
+
+    def place(node, up, inside) -> list[int]:
+        steps = []
+        while up(node) is not None:
+            steps.append([i for i, c in enumerate(x for x in inside(up(node)) if not isinstance(x, str)) if c is node][0])
+            node = up(node)
+        return steps
+
+    for _ in range(200):
+        source = f"<body>{page(4)}</body>"
+        tree = Tree()
+        tree.feed(source)
+        sums = measured(tree.root, False)[3]
+        ours = html_text.parse(source)
+        html_text._measure(ours)
+        best = html_text._densest(ours)
+        assert best.total == pytest.approx(max(s for s, _ in sums))
+        at = place(best, lambda n: n.parent, lambda n: n.children)
+        assert any(place(n, lambda n: n["up"], lambda n: n["inside"]) == at for s, n in sums if s == pytest.approx(best.total))
+
+
+def test_no_pages_give_no_rows(spark):
+    none = spark.createDataFrame([], "page_id long, url string, html string, text string, n_chars long")
+    assert html_text.extract(none).collect() == [] and html_text.extract(none).columns == ["page_id", "url", "text", "n_chars"]
+
+
 # shards
 
 def test_table_is_even_stable_and_placed(docs, empty):

@@ -1,10 +1,12 @@
 """Main text of web pages by composite text density.
 
 Every node of the page's tree has a density: the characters below it per tag below it, lowered by the share of link
-characters. A node's score is the sum of its children's densities. The content is the subtree with the largest sum; the
-smallest density on the path from the body to it is the threshold a block inside it must reach, unless it is part of
-running text. What is not the article by its element or by its name (menus, forms, notices, comments and the like) is
-taken out before densities are computed.
+characters. A node's score is the sum of its children's densities. The content is the subtree with the largest sum, or an
+`<article>` or `<main>` within a tenth of it, widened to its parent while the rest of the parent is as dense by half. The
+smallest density on the path from the body to it is the threshold of boxes that are mostly links; other blocks of the
+subtree stay whatever their density. Menus, notices, comments and the like are taken out before densities are computed; a
+box that only its class name, or being a form or header, speaks against stays if it holds the longest article or, on a page
+without one, most of the plain text.
 
 Pages are parsed in the task that reads them, one row in, one row out; nothing is shuffled.
 
@@ -27,13 +29,13 @@ from .common import small_batches
 
 # Elements of HTML by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg math".split())
+RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg".split())
 BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section "
     "summary table tbody td tfoot th thead title tr ul".split())
 UNWANTED = frozenset(
-    "head nav footer aside form button input select option script style noscript iframe textarea template svg math canvas "
+    "head nav footer aside form button input select option script style noscript iframe textarea template svg canvas "
     "object embed audio video dialog menu search title noembed noframes xmp label fieldset".split())
 ENDS_PARAGRAPH = BLOCK - {"br", "caption", "td", "th", "tr", "tbody", "thead", "tfoot", "option", "optgroup", "legend"}
 # A tag of the first kind closes an open one of the second, inside the nearest of the third.
@@ -53,6 +55,11 @@ SURROUND = re.compile(
     r"header|share|sharing|social|newsletter|subscribe|subscription|signup|login|search|searchbox|related|recommend\w*|"
     r"trending|popular|popup|modal|overlay|paywall|pagination|pager|contentinfo|complementary|dialog|skip|"
     r"tags|tagcloud|toc|hidden|sr-only|visually-hidden|feedback|rating|ratings|outbrain|taboola)(?=$|[\s_-])", re.IGNORECASE)
+# Parts of class names that tell the state or the layout of what is around them, not what it is.
+STATE = re.compile(r"(?:^|[_-])(?:with|without|no|not|has|is|open|opened|closed|layout|wrapper|wrap|container|page|active)(?=$|[_-])", re.IGNORECASE)
+COMMENTS = re.compile(r"comment|respond|repl(?:y|ies)|disqus|discussion", re.IGNORECASE)
+SHARE = 0.5  # a named box with more of the plain text of a page without articles is a part of the layout
+NEAR_TIE = 0.9  # of the largest sum of densities: here the element's name decides
 WANTED = re.compile(r"(?:^|[\s_-])(?:article|content|main|post|entry|story|body|text|page)(?=$|[\s_-])", re.IGNORECASE)
 
 TAG = re.compile(r"<(?:(!--)|(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([!?/])|)")
@@ -65,6 +72,7 @@ class Node:
     tag: str
     parent: Node | None
     unwanted: bool = False
+    named: bool = False  # unwanted by a name only, which the text inside can overrule
     link: bool = False
     children: list = field(default_factory=list)  # nodes and strings, in page order
     chars: int = 0
@@ -75,26 +83,31 @@ class Node:
     total: float = 0.0
 
 
-def _unwanted(tag: str, attributes: str, parent: Node) -> bool:
+def _unwanted(tag: str, attributes: str, parent: Node) -> tuple[bool, bool]:
+    """Whether an element surrounds the article, and whether only its name, or its being a form or header, says so."""
+    if tag == "form":
+        return True, True
     if tag in UNWANTED:
-        return True
+        return True, False
     if tag == "header":  # the heading of an article belongs to it
         up = parent
         while up and up.tag not in ("article", "main"):
             up = up.parent
         if up is None:
-            return True
+            return True, True
     if not attributes or tag in ("body", "html", "article", "main"):
-        return False
+        return False, False
     values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
     if "hidden" in values or values.get("aria-hidden", "").lower() == "true":
-        return True
+        return True, False
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", values.get("style", ""), re.IGNORECASE):
-        return True
-    name = " ".join(values.get(k, "") for k in ("class", "id", "role", "itemtype"))
+        return True, False
+    name = " ".join(t for k in ("class", "id", "role", "itemtype") for t in values.get(k, "").split() if not STATE.search(t))
     if tag in ("p", "span", "b", "i", "em", "strong", "a", "h1", "h2", "h3", "td", "li") and not SURROUND.fullmatch(name.strip()):
-        return False
-    return bool(SURROUND.search(name)) and not (WANTED.search(name) and not re.search(r"comment|sidebar|foot|menu", name, re.I))
+        return False, False
+    if SURROUND.search(name) and not (WANTED.search(name) and not re.search(r"comment|sidebar|foot|menu", name, re.I)):
+        return True, not COMMENTS.search(name)
+    return False, False
 
 
 def parse(page: str) -> Node:
@@ -151,7 +164,8 @@ def parse(page: str) -> Node:
                 up = up.parent
             if closed:
                 node = closed.parent
-        new = Node(tag, node, unwanted=_unwanted(tag, m[4], node), link=tag == "a")
+        unwanted, named = _unwanted(tag, m[4], node)
+        new = Node(tag, node, unwanted, named, link=tag == "a")
         node.children.append(new)
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.IGNORECASE).search(page, at)
@@ -164,6 +178,31 @@ def parse(page: str) -> Node:
     return root
 
 
+def _overrule(root: Node) -> None:
+    """Keep boxes that only a name speaks against if they hold the longest article or, on a page without one, most of the
+    plain text."""
+    order, stack = [], [(root, False)]
+    while stack:
+        node, link = stack.pop()
+        order.append((node, link))
+        stack += [(c, link or c.link) for c in node.children if isinstance(c, Node) and (c.named or not c.unwanted)]
+    plain: dict[int, int] = {}
+    longest = 0, None
+    for node, link in reversed(order):
+        own = 0 if link else sum(len(SPACES.sub("", c)) for c in node.children if isinstance(c, str))
+        plain[id(node)] = own + sum(plain.get(id(c), 0) for c in node.children if isinstance(c, Node))
+        if node.tag in ("article", "main") and plain[id(node)] >= longest[0]:
+            longest = plain[id(node)], node
+    above, up = set(), longest[1]
+    while up is not None:
+        above.add(id(up))
+        up = up.parent
+    for node, _ in order:
+        most = longest[1] is None and plain[id(node)] > SHARE * plain[id(root)]
+        if node.named and (id(node) in above or most):
+            node.unwanted = False
+
+
 def _measure(root: Node) -> None:
     """Characters, link characters, tags and link tags below every node; then densities; without what is unwanted."""
     order, stack = [], [root]
@@ -183,35 +222,40 @@ def _measure(root: Node) -> None:
                 node.tags += child.tags + (child.tag not in VOID)
                 node.link_tags += child.link_tags + child.link
     for node in order:
-        plain = node.chars - min(node.link_chars, node.chars)
-        node.density = (node.chars / max(node.tags, 1)) * (plain / node.chars) if node.chars else 0.0
-    for node in order:
-        node.total = sum(c.density for c in node.children if isinstance(c, Node) and not c.unwanted)
+        node.density = _density(node.chars, node.link_chars, node.tags)
         own = sum(len(SPACES.sub("", c)) for c in node.children if isinstance(c, str))
-        node.total += own * (1.0 - node.link)
+        node.total = own * (1.0 - node.link)
+    for node in order:
+        node.total += sum(c.density for c in node.children if isinstance(c, Node) and not c.unwanted)
 
 
-def _content(root: Node) -> tuple[Node, float]:
-    """The subtree to keep and the density threshold of its path. An article or main element that holds most of the
-    text is it; otherwise the node with the largest sum of densities, widened while its parent adds plain text."""
+def _density(chars: int, link_chars: int, tags: int) -> float:
+    """Characters per tag times the share of those outside links."""
+    return max(chars - link_chars, 0) / max(tags, 1)
+
+
+def _densest(root: Node) -> Node:
+    """The node with the largest sum of densities; of those nearly as large an article or main element, if there is one."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
         order.append(node)
         stack += [c for c in reversed(node.children) if isinstance(c, Node) and not c.unwanted]
     best = max(order, key=lambda n: n.total)
-    named = [n for n in order if n.tag in ("article", "main") and n.chars]
-    if named:
-        largest = max(named, key=lambda n: n.chars - n.link_chars)
-        if 2 * (largest.chars - largest.link_chars) >= root.chars - root.link_chars:
-            best = largest
-    while best.parent is not None and best.tag not in ("article", "main", "body"):
+    near = [n for n in order if n.tag in ("article", "main") and n.total >= NEAR_TIE * best.total]
+    return max(near, key=lambda n: n.total) if near else best
+
+
+def _content(root: Node) -> tuple[Node, float]:
+    """The subtree to keep and the density threshold of its path: the densest node, widened while what its parent has
+    besides it is text of comparable density, or a heading of it."""
+    best = _densest(root)
+    while best.parent is not None and best.tag != "body":
         up = best.parent
-        plain = up.chars - up.link_chars - (best.chars - best.link_chars)
-        if best.tag in BLOCK and plain < 0.05 * max(up.chars, 1) and not _heading_before(up, best):
-            break
-        if best.tag in BLOCK and up.density < 0.5 * best.density and not _heading_before(up, best):
-            break
+        rest = up.chars - best.chars, up.link_chars - best.link_chars, up.tags - best.tags - 1
+        if best.tag in BLOCK and not (best.tag not in ("article", "main") and _heading_before(up, best)):
+            if rest[0] - rest[1] < 0.05 * max(up.chars, 1) or _density(*rest) < 0.5 * best.density:
+                break
         best = up
     path, node = [], best
     while node is not None and node.tag not in ("html", ""):
@@ -266,6 +310,7 @@ def _blocks(content: Node, threshold: float) -> list[str]:
 
 def main_text(page: str | None) -> str:
     root = parse(page or "")
+    _overrule(root)
     _measure(root)
     return "\n".join(_blocks(*_content(root)))
 
