@@ -68,6 +68,24 @@ def test_top_k_equals_brute_force_with_ties_and_odd_vectors(spark):
     assert listed(found, "query_id", "rank", "vec_id", "score") == sorted(expected, key=repr)
 
 
+def test_postings_and_bounds_leave_vectors_out():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    vectors = np.where(rng.random((2000, 64)) < 0.08, np.floor(rng.pareto(1.5, (2000, 64)) * 20), 0.0)
+    vectors *= rng.choice([-1, 1], vectors.shape)
+    rules = maxscore.SearchRules()
+    shard = maxscore.Shard(np.arange(2000), vectors)
+    assert all((np.sign(values) == sign).all() and (vectors[at, t] == values).all() for (t, sign), (at, values) in shard.postings.items())
+    scored = 0
+    for own in range(0, 2000, 50):
+        best, n = shard.best(vectors[own], own, rules)
+        scores = vectors @ vectors[own]
+        assert best == [(int(scores[i]), i) for i in sorted(set(range(2000)) - {own}, key=lambda i: (-scores[i], i))[:rules.k]]
+        scored += n
+    assert scored < 0.2 * 40 * 2000
+
+
 def test_top_k_of_few_and_huge_vectors(spark):
     rows = [(0, [3e30, 1.0]), (1, [2e30, 5.0]), (2, [-1.0, 0.5])]
     found = listed(maxscore.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"),
@@ -449,6 +467,32 @@ def test_components_equal_brute_force(spark, docs, empty):
         assert listed(found, "doc_id", "n_shingles", "component_id") == brute_components(rows)
 
 
+def test_a_joined_group_of_near_copies_leaves_no_pair_of_blocks_open(spark):
+    rows = [("g%d" % g, f"s{i}", i % 7) for i in range(70) for g in range(5)]
+    placed = spark.createDataFrame(rows, "gram string, set_id string, block long").cache()
+    pairs = jaccard._pivot_pairs(placed)
+    assert pairs.count() == 5 * (6 + 7) and {r.left for r in pairs.where("left != right").collect()} == {0}
+    joined = spark.createDataFrame([(f"s{i}", "s0") for i in range(1, 70)], "node string, root string")
+    assert jaccard._open_pairs(placed, joined).count() == 0
+    # a set of its own in block 3: its block meets every other but the first, which it has met, and no others meet
+    still = jaccard._open_pairs(placed, joined.where("node != 's3'"))
+    assert {(r.left, r.right) for r in still.collect()} == {(min(b, 3), max(b, 3)) for b in (1, 2, 4, 5, 6)}
+
+
+def test_links_that_the_first_round_leaves_out_are_found(spark):
+    r = random.Random(5)
+    base, tail = prose(200, 1).split(), [f"t{i}" for i in range(400)]
+    rows = []
+    for i in range(90):  # three families about one passage, each in several blocks, with members that link families
+        words = list(base) + tail[:20 * (i % 4)]
+        for _ in range(i % 6):
+            words[r.randrange(len(words))] = f"w{r.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    rules = jaccard.JoinRules(block_tokens=800, fragments=2, tokens_per_group=5000, tier=0.2)
+    found = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string"), rules)
+    assert listed(found, "doc_id", "n_shingles", "component_id") == brute_components(rows)
+
+
 def test_copies_of_a_text_reach_a_block_once(spark):
     rules = jaccard.JoinRules()
     texts = [prose(80, 7)] * 400 + [prose(80, 7).upper()] * 200 + [prose(90, 100 + i) for i in range(50)]

@@ -7,12 +7,13 @@ n-grams, and that order is cut into fragments:
    then by hash; the others follow by hash. Counting only the first tier needs a third of all n-grams.
 2. Two sets that link share an n-gram among the first n - ceil(0.8 n) + 1 of each. Those that only one set holds can
    find no partner, so most documents drop out after the count.
-3. Sets that may find a partner are gathered into blocks of bounded size around their most shared n-gram. Two blocks
-   meet if some n-gram of step 2 occurs in both.
+3. Sets that may find a partner are gathered into blocks of bounded size around their most shared n-gram. Of the blocks
+   that hold an n-gram of step 2, the first meets all others, and each meets itself.
 4. The hash space is cut into fragments; for each pair of blocks every fragment counts the overlaps of all their sets
-   apart, and the partial counts are summed per pair of sets. So a group of thousands of near copies costs a few block
-   pairs, not a row for each pair of documents, and no link is lost.
+   apart, and the partial counts are summed per pair of sets.
 5. Links inside a block pair leave it as a spanning forest; components follow by label propagation.
+6. The remaining pairs of blocks meet only for n-grams whose holders are not all in one component by then. So a group
+   of near copies costs block pairs in proportion to its size, and no link that joins components is lost.
 
 Documents with equal sets are one set throughout, whatever their number. Nothing but bounded block pairs meets in a task.
 
@@ -221,7 +222,7 @@ def _prefixes(docs: DataFrame, n_tokens: int, rules: JoinRules) -> DataFrame:
 
 
 def _blocks(prefixes: DataFrame, rules: JoinRules) -> DataFrame:
-    """pair, side, set_id: for every two blocks that share an n-gram of their prefixes, the sets that hold such ones.
+    """gram, set_id, block: every set under the n-grams of its prefix that another set has in its own.
 
     A set's block is that of the most frequent n-gram in its prefix, in parts of bounded size.
     """
@@ -234,12 +235,39 @@ def _blocks(prefixes: DataFrame, rules: JoinRules) -> DataFrame:
     loads = anchors.groupBy("anchor").agg(load.alias("parts"))
     placed = anchors.join(loads, "anchor").select("set_id", F.xxhash64(
         "anchor", F.pmod(F.xxhash64("set_id"), F.col("parts"))).alias("block"))
-    placed = materialize(prefixes.select("gram", "set_id").join(placed, "set_id"), "placed")
-    # A block alone is a pair with itself if an n-gram occurs in it twice.
+    return prefixes.select("gram", "set_id").join(placed, "set_id")
+
+
+def _pivot_pairs(placed: DataFrame) -> DataFrame:
+    """gram, left, right: of the blocks that hold an n-gram the first one with every other, and each with itself that
+    holds it twice. One row at most for each block of an n-gram, and one more."""
     seen = placed.groupBy("gram", "block").agg(F.count(F.lit(1)).alias("sets"))
-    both = seen.select("gram", F.col("block").alias("left"), F.col("sets")).join(
-        seen.select("gram", F.col("block").alias("right")), "gram").where("left < right or (left = right and sets > 1)")
-    both = both.select("gram", "left", "right", F.xxhash64("left", "right").alias("pair"))
+    pivots = seen.groupBy("gram").agg(F.min("block").alias("left"))
+    across = seen.join(pivots, "gram").where("left < block").select("gram", "left", F.col("block").alias("right"))
+    return across.unionByName(seen.where("sets > 1").select("gram", F.col("block").alias("left"), F.col("block").alias("right")))
+
+
+def _open_pairs(placed: DataFrame, roots: DataFrame) -> DataFrame:
+    """gram, left, right: the pairs of blocks that the first round has left out, but for those whose holders of the
+    n-gram already are in one component: a link between them would join nothing.
+
+    So an n-gram of a group of near copies that the first round has joined is dropped before blocks meet.
+    """
+    labelled = placed.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").select(
+        "gram", "block", F.coalesce("root", "set_id").alias("root"))
+    seen = labelled.groupBy("gram", "block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    still = seen.groupBy("gram").agg(
+        F.min("block").alias("pivot"), F.count(F.lit(1)).alias("blocks"), F.min("low").alias("lowest"),
+        F.max("high").alias("highest")).where("blocks > 2 and lowest < highest").select("gram", "pivot")
+    seen = materialize(seen.join(still, "gram").where("block != pivot").drop("pivot"), "open-blocks")
+    right = seen.select("gram", F.col("block").alias("right"), F.col("low").alias("low_"), F.col("high").alias("high_"))
+    both = seen.withColumnRenamed("block", "left").join(right, "gram").where("left < right")
+    return both.where("not (low = high and low_ = high_ and low = low_)").select("gram", "left", "right")
+
+
+def _members(pairs: DataFrame, placed: DataFrame) -> DataFrame:
+    """pair, side, set_id: for every pair of blocks the sets that hold an n-gram it was chosen for."""
+    both = pairs.select("gram", "left", "right", F.xxhash64("left", "right").alias("pair"))
     members = [
         both.select("gram", F.col(side).alias("block"), "pair").join(placed, ["gram", "block"]).select(
             "pair", F.lit(at).alias("side"), "set_id").distinct() for at, side in enumerate(("left", "right"))]
@@ -338,11 +366,8 @@ def _promising(counts: np.ndarray, left: list[dict], right: list[dict], percent:
     return (counts > 0) & ((100 + percent) * most >= percent * np.add.outer(*size))
 
 
-def _links(docs: DataFrame, signed: DataFrame, rules: JoinRules) -> DataFrame:
+def _links(members: DataFrame, segments: DataFrame, rules: JoinRules) -> DataFrame:
     """a, b: set ids; within every pair of blocks, a spanning forest of the links between their sets."""
-    n_tokens = signed.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    members = materialize(_blocks(_prefixes(docs, n_tokens, rules), rules), "members")
-    segments = materialize(_segments(docs, signed, members, rules), "segments")
     sets = members.join(segments, "set_id").select(
         "pair", "side", "set_id", "n", F.posexplode("parts").alias("fragment", "grams"))
     percent = rules.percent
@@ -402,6 +427,20 @@ def components(links: DataFrame) -> DataFrame:
         edges = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
 
 
+def _roots(docs: DataFrame, signed: DataFrame, rules: JoinRules) -> DataFrame:
+    """node, root: the component of every set that links with another, in two rounds of block pairs."""
+    n_tokens = signed.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    placed = materialize(_blocks(_prefixes(docs, n_tokens, rules), rules), "placed")
+    segments = materialize(_segments(docs, signed, placed, rules), "segments")
+    members = materialize(_members(_pivot_pairs(placed), placed), "members")
+    links = materialize(_links(members, segments, rules), "links")
+    roots = components(links)
+    pairs = materialize(_open_pairs(placed, roots), "open-pairs")
+    if pairs.isEmpty():
+        return roots
+    return components(links.unionByName(_links(_members(pairs, placed), segments, rules)))
+
+
 def join(docs: DataFrame, rules: JoinRules = JoinRules(), text: str = "text", key: str = "doc_id",
          carry: list[str] | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id of every row, and the columns of `carry`."""
@@ -410,7 +449,7 @@ def join(docs: DataFrame, rules: JoinRules = JoinRules(), text: str = "text", ke
     docs = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"),
                        F.col(f"`{text}`").cast("binary").alias("text"), *carry)
     signed = materialize(_signatures(docs, rules, carry), "signatures")
-    roots = components(_links(docs, signed, rules))
+    roots = _roots(docs, signed, rules)
     classes = signed.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("lowest"))
     classes = classes.join(roots, classes["set_id"] == roots["node"], "left").select(
         "set_id", "lowest", F.coalesce("root", "set_id").alias("root"))
