@@ -48,7 +48,8 @@ STAGES = [
     ("packed_sequences", packed_sequences),
 ]
 
-# Components, spans and tokens are beyond SQL; the tests compare every stage with a brute-force version.
+# Components, spans and tokens are beyond SQL. The tests compare near_duplicates with a brute-force version and hold the
+# operators of the other stages against theirs one by one.
 ORACLE_SQL = None
 
 
