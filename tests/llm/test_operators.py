@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -568,12 +569,8 @@ def test_cuts_lie_in_their_class():
 
 # language model
 
-def test_scores_equal_a_dictionary_model(docs, empty, spark):
-    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()] + [(500 + i, prose(150, i)) for i in range(30)]
-    rows += [(600 + i, "red blue green white blue black " * 5) for i in range(9)]
-    frame = spark.createDataFrame(rows, "doc_id long, text string")
-    rules = suffix_tree.TreeRules(min_share=2e-3, gain_per_token=0.05, tokens_per_part=700)
-    found = suffix_tree.score(frame, rules).collect()
+def dictionary_scores(rows, rules):
+    """Rows as the operator returns them, and the kept contexts, with one dictionary of all contexts."""
     held = [k is not None and zlib.crc32(str(k).encode()) % 7 == 2 for k, _ in rows]
     texts = [[*(t or "").encode().lower().split(), b"\n"] for _, t in rows]
     learnt = [w for w, h in zip(texts, held) if not h]
@@ -582,17 +579,14 @@ def test_scores_equal_a_dictionary_model(docs, empty, spark):
     follow = defaultdict(Counter)
     for t in learnt:
         for i, w in enumerate(t):
-            for size in (1, 2):
-                if i >= size:
-                    follow[tuple(t[i - size:i])][w] += 1
+            for size in range(1, min(i, rules.depth) + 1):
+                follow[tuple(t[i - size:i])][w] += 1
     kept = {}
     for context, after in follow.items():
         size = sum(after.values())
-        frequent = all(counts[w] >= rules.min_share * n for w in context)
-        if size >= rules.min_share * n and frequent:
+        if size >= rules.min_count:
             above = follow[context[1:]] if len(context) > 1 else counts
-            total = sum(above.values()) if len(context) > 1 else n
-            gain = sum(c * math.log(c / size / (above[w] / total)) for w, c in after.items())
+            gain = sum(c * math.log(c / size / (above[w] / sum(above.values()))) for w, c in after.items())
             if gain > rules.gain_per_token * len(after):
                 kept[context] = after
 
@@ -608,30 +602,61 @@ def test_scores_equal_a_dictionary_model(docs, empty, spark):
     expected = []
     for (key, _), words, h in zip(rows, texts, held):
         base = sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in words)
-        score = sum(math.log10(chance(tuple(words[max(0, i - 2):i]), w)) for i, w in enumerate(words))
+        score = sum(math.log10(chance(tuple(words[max(0, i - rules.depth):i]), w)) for i, w in enumerate(words))
         expected.append((key, h, len(words), sum(counts[w] > 0 for w in words), n, base, score))
-    assert len(kept) > 5 and any(len(c) == 2 for c in kept)
+    return expected, kept
+
+
+def language_rows(docs):
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()] + [(500 + i, prose(150, i)) for i in range(30)]
+    return rows + [(600 + i, "red blue green white blue black blue green red " * 5) for i in range(9)]
+
+
+def assert_scores(found, expected):
     order = lambda r: (repr(r[0]), r[2], round(r[5], 6))
     for a, b in zip(sorted(map(tuple, found), key=order), sorted(expected, key=order), strict=True):
-        assert a[:5] == b[:5] and a[5] == pytest.approx(b[5], rel=1e-9) and a[6] == pytest.approx(b[6], rel=1e-5)
+        assert a[:5] == b[:5] and a[5] == pytest.approx(b[5], rel=1e-9) and a[6] == pytest.approx(b[6], rel=1e-6)
+
+
+@pytest.mark.parametrize("depth, size", [(3, 700), (3, 10**6), (2, 700), (1, 3000), (4, 2000)])
+def test_scores_equal_a_dictionary_model(docs, empty, spark, depth, size):
+    rules = suffix_tree.TreeRules(depth=depth, min_count=3, gain_per_token=0.05, tokens_per_part=size)
+    rows = language_rows(docs)
+    expected, kept = dictionary_scores(rows, rules)
+    assert {len(c) for c in kept} == set(range(1, depth + 1))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    clash = ("row", "file", "place", "block", "part", "key", "held_out", "address", "token", "n", "about")
+    assert_scores(suffix_tree.score(frame.withColumns({c: F.lit("x") for c in clash}), rules).collect(), expected)
     assert suffix_tree.score(empty).count() == 0
 
 
-def test_a_frequent_token_is_spread_over_the_parts():
-    import numpy as np
+def test_other_text_takes_no_context_away(docs, spark):
+    rows = language_rows(docs)
+    rules = suffix_tree.TreeRules(min_count=3, tokens_per_part=5000)
+    _, kept = dictionary_scores(rows, rules)
+    other = [(10_000 + i, " ".join(f"{w}{i % 7}" for w in prose(400, 50 + i).split())) for i in range(60)]
+    expected, more = dictionary_scores(rows + other, rules)
+    assert len(more) > 1.5 * len(kept) and {c for c in kept if len(c) > 1} <= set(more)
+    assert_scores(suffix_tree.score(spark.createDataFrame(rows + other, "doc_id long, text string"), rules).collect(), expected)
+
 
-    hot, frequent = np.uint64(77), np.sort(np.array([77, *range(1000, 1300)], dtype=np.uint64))
-    base = len(frequent) + 1
-    codes = np.arange(1, base * 40, dtype=np.int64)  # contexts of one and of two words before the one token
-    keys, counts = np.full(len(codes), hot), np.ones(len(codes))
-    rows = suffix_tree._pack(keys, codes, counts, codes % base, frequent, 16)
-    sizes = [len(r["codes"]) // 8 for r in rows]
-    assert len(rows) == 16 and sum(sizes) == len(codes) and max(sizes) < 3 * len(codes) / 16
-    where = defaultdict(set)
-    for r in rows:
-        for code in np.frombuffer(r["codes"], dtype="<i8").tolist():
-            where[code % base].add(r["part"])
-    assert all(len(parts) == 1 for parts in where.values())
+def test_a_hot_word_is_spread_over_the_parts(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    texts = [" ".join(f"w{i * 50 + j} of x{j}" for j in range(50)) for i in range(60)]
+    hot = suffix_tree.Hot(np.array([xxhash.xxh64_intdigest(b"of")], dtype=np.uint64), *(np.array([0, 3000]),) * 3,
+                          np.array([False, True]), 9060, 3052)
+    block = suffix_tree.Block(pa.table({"text": [t.encode() for t in texts], "held_out": [False] * 60}), hot, 16)
+    block.known, block.pair = np.full(len(block.words), 9), np.zeros(len(block.token), dtype=np.int64)
+    block.contexts(suffix_tree.TreeRules())
+    of, sizes = 0, []
+    for row in block.ask_chances():
+        words, columns = suffix_tree._array(row["words"], "<u8"), suffix_tree._array(row["entries"], "<i4").reshape(4, -1)
+        here = int((words[columns[0] - 1] == hot.words[0]).sum())
+        sizes.append(here)
+        of += here
+    assert of == 3000 and len(sizes) == 16 and max(sizes) < 2 * of / 16
 
 
 def test_held_out_texts_score_better_than_by_counts_alone(spark, sf):

@@ -1,21 +1,26 @@
 """Scoring texts with a probabilistic suffix tree over words.
 
-A state of the tree is a context of up to two words. Contexts count only if they precede at least `min_share` of all
-training tokens, which bounds their number; of these the tree keeps those whose next-token distribution diverges from
-their parent's: the gain in log likelihood must exceed the number of next tokens seen. A token is scored in the longest
-kept context before it, where counts are smoothed with the parent's distribution in proportion to the number of
-different next tokens (Witten-Bell), down to the root with one added to every count.
-
-Counts of all training documents are gathered, by hash of the token, and for frequent tokens by hash of the token and the
-word before it, so that a token with a large share of the corpus is spread while a context stays with its parent; how
-often a frequent token occurs in all is counted beforehand. Tasks add up what they read and send one packed row per part
-of this space; blocks of documents ask every part for just their different (token, state) pairs and get counts and log
-probabilities back. So neither the counts nor the texts ever meet in one place: driver and broadcasts
-hold only the kept contexts, whose number `min_share` bounds.
+A state of the tree is a context of one to `depth` words. A context that precedes at least `min_count` training tokens is
+kept if its next-token distribution diverges from that of the context one word shorter: the gain in log likelihood must
+exceed the number of different next tokens. The least count is absolute, so the tree grows with the text learnt from, and
+text that does not share a context takes no other away. A token is scored in the longest kept context before it, where
+counts are smoothed with the next shorter kept context in proportion to the number of different next tokens
+(Witten-Bell), down to the root with one added to every count.
+
+Blocks of documents ask twice. First for the training counts of their different tokens, from parts dealt by the hash of
+the token. Then, with these, for the probabilities of their different (context, token) entries, from parts dealt by the
+word before the token. All contexts that end in a word meet in its part, which learns that branch of the tree and scores
+in it at once, so the tree is never in one place. A word with more than half a part's share of all tokens is hot: its
+branch is spread by the word before it. Its own statistics then come from a grouped count of the pairs it begins, and
+each block gets the counts of these pairs with those of its tokens. Texts are shuffled once; broadcasts and the driver
+hold totals and the hot words, at most 1 / `hot_share`.
+
+What follows one pair of words meets in one task, each block's different entries once.
 
 * A null or empty text has one token, its end. Repeated rows count and are scored each.
 * Documents without an id are learnt from. Without any training document every text scores as under one unknown token.
-* Tokens are told apart by 64-bit hashes.
+* Tokens are told apart by 64-bit hashes. Log probabilities are sums of multiples of 2**-24.
+* Columns other than key and text are left aside, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,21 +31,25 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.session import materialize
 
-from .common import parts_for, small_batches
+from .common import addressed, parts_for, small_batches
 
 END = xxhash.xxh64_intdigest(b"\n")  # no word holds white space
+UNIT = 2.0**24
 
 
 @dataclass(frozen=True)
 class TreeRules:
-    min_share: float = 5e-5
+    depth: int = 3
+    min_count: int = 4
     gain_per_token: float = 1.0
-    tokens_per_part: int = 3_000_000
+    tokens_per_part: int = 1_500_000
+    hot_share: float = 5e-5
 
 
 def tokens(text: bytes | None) -> np.ndarray:
@@ -50,255 +59,286 @@ def tokens(text: bytes | None) -> np.ndarray:
     return np.append(found, np.uint64(END))
 
 
-def _sum_by(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    unique, place = np.unique(keys, return_inverse=True)
-    return unique, np.bincount(place, weights=values, minlength=len(unique))
+def _blob(values: np.ndarray, kind: str) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values.astype(kind)).tobytes())
 
 
-def _known(flat: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The 1-based place of each token in `frequent`, 0 for others."""
-    if not len(frequent):
-        return np.zeros(len(flat), dtype=np.int64)
-    at = np.searchsorted(frequent, flat)
-    at[at == len(frequent)] = 0
-    return np.where(frequent[at] == flat, at + 1, 0)
+def _array(blob: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=kind)
 
 
-def _spread(keys: np.ndarray, last: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """A hash of every entry that places it: of its token, and for a frequent token of the word before it (`last`) too."""
-    word = np.where(_known(keys, frequent) > 0, last, 0).astype(np.uint64)
-    mixed = keys ^ (word * np.uint64(0x9E3779B97F4A7C15))
+def _known(words: np.ndarray, sorted_words: np.ndarray) -> np.ndarray:
+    """The 1-based place of each word in `sorted_words`, 0 for others."""
+    if not len(sorted_words):
+        return np.zeros(len(words), dtype=np.int64)
+    at = np.searchsorted(sorted_words, words)
+    at[at == len(sorted_words)] = 0
+    return np.where(sorted_words[at] == words, at + 1, 0)
+
+
+def _part(words: np.ndarray, second: np.ndarray, parts: int) -> np.ndarray:
+    """The part of every entry by the hash of a word and a second value."""
+    mixed = words ^ (second.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
-    return mixed ^ (mixed >> np.uint64(29))
-
-
-def _previous(streams: list[np.ndarray], frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All tokens, and for each the 1-based places in `frequent` of the word before it and of the one before that (0:
-    none, or not frequent, or beyond the start of the text)."""
-    flat = np.concatenate(streams)
-    known = _known(flat, frequent)
-    starts = np.cumsum([0, *map(len, streams[:-1])])
-    one, two = np.zeros_like(known), np.zeros_like(known)
-    one[1:], two[2:] = known[:-1], known[:-2]
-    one[starts] = 0
-    two[starts] = 0
-    two[np.minimum(starts + 1, len(flat) - 1)] = 0
-    return flat, one, np.where(one > 0, two, 0)
-
-
-def _places(keys: np.ndarray, last: np.ndarray, frequent: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """The part of every entry, and the order of entries by part that otherwise keeps theirs."""
-    part = ((_spread(keys, last, frequent) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-    return part, np.argsort(part, kind="stable")
-
-
-def _pack(keys: np.ndarray, codes: np.ndarray, counts: np.ndarray, last: np.ndarray, frequent: np.ndarray,
-          parts: int) -> list[dict]:
-    """One row per part: its different tokens, the number of entries of each, their codes and counts. Entries come sorted
-    by token, then code, and are so in every part; `last` is the word before the token in each."""
-    part, order = _places(keys, last, frequent, parts)
-    part, keys, codes, counts = part[order], keys[order], codes[order], counts[order]
-    edges = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
-    rows = []
-    for p, (x, y) in enumerate(zip(edges, edges[1:])):
-        if x < y:
-            tokens_, sizes = np.unique(keys[x:y], return_counts=True)
-            rows.append({"part": p, "tokens": tokens_.tobytes(), "sizes": sizes.astype("<i4").tobytes(),
-                         "codes": codes[x:y].astype("<i8").tobytes(), "counts": counts[x:y].astype("<i4").tobytes()})
-    return rows
-
-
-PACKED = pa.schema([("part", pa.int64()), ("tokens", pa.binary()), ("sizes", pa.binary()), ("codes", pa.binary()),
-                    ("counts", pa.binary())])
-PACKED_DDL = "part long, tokens binary, sizes binary, codes binary, counts binary"
-
-
-def _unpack(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    keys = [np.repeat(np.frombuffer(r["tokens"], dtype=np.uint64), np.frombuffer(r["sizes"], dtype="<i4")) for r in rows]
-    codes, counts = ([np.frombuffer(r[c], dtype=t) for r in rows] for c, t in (("codes", "<i8"), ("counts", "<i4")))
-    return np.concatenate(keys), np.concatenate(codes), np.concatenate(counts).astype(np.int64)
-
-
-def _entries(flat: np.ndarray, codes: np.ndarray, learnt: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Different (token, code) in order, how often each is learnt, and the place of every position among them."""
-    order = np.lexsort((codes, flat))
-    keys, sorted_codes = flat[order], codes[order]
-    new = np.append(True, (keys[1:] != keys[:-1]) | (sorted_codes[1:] != sorted_codes[:-1]))
-    at = np.empty(len(flat), dtype=np.int64)
-    at[order] = np.cumsum(new) - 1
-    counts = np.bincount(at, weights=learnt, minlength=int(new.sum())).astype(np.int64)
-    return keys[new], sorted_codes[new], counts, at
-
-
-def _frequent(docs: DataFrame, rules: TreeRules) -> tuple[np.ndarray, int, int]:
-    """Hashes of all words that make up min_share of the training tokens (and no more than twice as many as can), and
-    the numbers of training tokens and of all tokens. A batch reports words of at least half that share in it, so what goes unreported is less
-    than half of it in sum."""
-    share = rules.min_share / 2
+    mixed ^= mixed >> np.uint64(29)
+    return (((mixed >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            streams = [tokens(t) for t in batch.column(0).to_pylist()]
-            held = batch.column(1).to_pylist()
-            every = sum(map(len, streams))
-            streams = [s for s, h in zip(streams, held) if not h]
-            flat = np.concatenate(streams) if streams else np.empty(0, dtype=np.uint64)
-            found, n = np.unique(flat, return_counts=True)
-            often = n >= share * len(flat)
-            words = [None, None, *found[often].view(np.int64).tolist()]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(words, pa.int64()), pa.array([False, True, *[False] * int(often.sum())], pa.bool_()),
-                pa.array([len(flat), every, *n[often].tolist()], pa.int64())], names=["word", "every", "n"])
-
-    counted = docs.select("text", "held_out").mapInArrow(count, "word long, every boolean, n long")
-    counted = materialize(counted.groupBy("word", "every").agg(F.sum("n").alias("n")), "frequent-words")
-    totals = {r["every"]: r["n"] for r in counted.where("word is null").collect()}
-    rows = counted.where("word is not null").where(F.col("n") >= totals.get(False, 0) * share).collect()
-    words = np.array([r["word"] for r in rows], dtype=np.int64).view(np.uint64)
-    return np.sort(words), totals.get(False, 0), totals.get(True, 0)
-
-
-def _occurrences(docs: DataFrame, frequent: np.ndarray) -> np.ndarray:
-    """How often each word of `frequent` occurs in the training documents."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(frequent) + 1, dtype=np.int64)
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                total += np.bincount(_known(tokens(text), frequent), minlength=len(total))
-        at = np.flatnonzero(total[1:])
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[1:][at], pa.int64())], names=["at", "n"])
-
-    found = docs.where("not held_out").select("text").mapInArrow(count, "at long, n long")
-    counts = np.zeros(len(frequent), dtype=np.int64)
-    for row in found.groupBy("at").agg(F.sum("n").alias("n")).collect():
-        counts[row["at"]] = row["n"]
-    return counts
-
-
-def _statistics(docs: DataFrame, frequent: np.ndarray, occurrences: np.ndarray, parts: int, rules: TreeRules) -> DataFrame:
-    """code, n, kinds, gain of every context seen: tokens after it, different ones, and the sum of n ln(n / n of the same
-    token after the parent). Code -1 has the tokens that are not frequent and the different ones of them."""
-    base = len(frequent) + 1
-
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        streams, size = [], 0
-
-        def rows() -> pa.RecordBatch:
-            flat, one, two = _previous(streams, frequent)
-            keys, codes, counts, _ = _entries(flat, two * base + one, np.ones(len(flat)))
-            return pa.RecordBatch.from_pylist(_pack(keys, codes, counts, codes % base, frequent, parts), schema=PACKED)
-
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                streams.append(tokens(text))
-                size += len(streams[-1])
-                if size >= rules.tokens_per_part:
-                    yield rows()
-                    streams, size = [], 0
-        if streams:
-            yield rows()
-
-    def sums(table: pa.Table) -> pa.Table:
-        keys, codes, counts = _unpack(table.to_pylist())
-        words, token = np.unique(keys, return_inverse=True)
-        place = _known(words, frequent)
-        # in numbers that fit: token below 2**22 or so, code below 2**31
-        both, n = _sum_by(token.astype(np.int64) * (base * base) + codes, counts)
-        token, codes = both // (base * base), both % (base * base)
-        per_token = _per_token(place, np.bincount(token, weights=n), occurrences)
-        one_keys, one = _sum_by((token * base + codes % base)[codes % base > 0], n[codes % base > 0])
-        deep = codes >= base
-        parent = one[np.searchsorted(one_keys, (token * base + codes % base)[deep])]
-        of = np.concatenate([one_keys % base, codes[deep]])
-        n = np.concatenate([one, n[deep]])
-        above = np.concatenate([per_token[one_keys // base], parent])
-        code, at = np.unique(of, return_inverse=True)
-        add = lambda values: np.bincount(at, weights=values, minlength=len(code))
-        return pa.table({
-            "code": pa.array(np.append(code, -1).astype(np.int64)),
-            "n": pa.array(np.append(add(n), per_token[place == 0].sum()).astype(np.int64)),
-            "kinds": pa.array(np.append(add(np.ones(len(n))), (place == 0).sum()).astype(np.int64)),
-            "gain": pa.array(np.append(add(n * np.log(n / above)), 0.0))})
 
-    packed = docs.where("not held_out").select("text").mapInArrow(learn, PACKED_DDL)
-    found = packed.groupBy("part").applyInArrow(sums, "code long, n long, kinds long, gain double")
-    return found.groupBy("code").agg(F.sum("n").alias("n"), F.sum("kinds").alias("kinds"), F.sum("gain").alias("gain"))
+def _slices(part: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The order of entries by part that otherwise keeps theirs, and (part, begin, end) of each part in it."""
+    order = np.argsort(part, kind="stable")
+    found, begin = np.unique(part[order], return_index=True)
+    return order, list(zip(found.tolist(), begin.tolist(), [*begin[1:].tolist(), len(part)]))
+
+
+def _positions(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each text starts among all tokens, and the place of every token in its text."""
+    starts = np.append(0, np.cumsum(sizes)[:-1])
+    return starts, np.arange(sizes.sum()) - np.repeat(starts, sizes)
+
+
+def _before(flat: np.ndarray, place: np.ndarray, k: int) -> np.ndarray:
+    """The k-th value before every position, 0 beyond the start of its text."""
+    shifted = np.zeros_like(flat)
+    shifted[k:] = flat[:-k]
+    return np.where(place >= k, shifted, np.zeros(1, dtype=flat.dtype))
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list[np.ndarray], list[bool]]]:
+    """Token lists of (text, held_out) rows and whether each is learnt from, about `size` tokens at a time."""
+    streams, learnt, n = [], [], 0
+    for batch in batches:
+        for text, held_out in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            streams.append(tokens(text))
+            learnt.append(not held_out)
+            n += len(streams[-1])
+            if n >= size:
+                yield streams, learnt
+                streams, learnt, n = [], [], 0
+    if streams:
+        yield streams, learnt
+
 
+def vocabulary(docs: DataFrame, rules: TreeRules) -> DataFrame:
+    """token, n, every: occurrences in training documents and in all, of every token."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for streams, learnt in _chunks(batches, rules.tokens_per_part):
+            words, at = np.unique(np.concatenate(streams), return_inverse=True)
+            n = np.bincount(at, weights=np.repeat(learnt, list(map(len, streams))), minlength=len(words))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(np.bincount(at).astype(np.int64))],
+                names=["token", "n", "every"])
 
-def _per_token(place: np.ndarray, here: np.ndarray, occurrences: np.ndarray) -> np.ndarray:
-    """Training counts of tokens: those of this part, and of frequent ones, which other parts hold too, the known ones."""
-    return np.where(place > 0, np.append(0, occurrences)[place], here)
+    counted = docs.select("text", "held_out").mapInArrow(count, "token long, n long, every long")
+    return materialize(counted.groupBy("token").agg(F.sum("n").alias("n"), F.sum("every").alias("every")), "vocabulary")
 
 
 @dataclass
-class Tree:
-    """How often each frequent word is learnt. The kept contexts: sorted codes, and by state (0: root) tokens after it, different ones, and the parent's state."""
+class Hot:
+    """The hot words, sorted, and by 1-based place (0: no word) how often they are learnt, how many tokens are learnt after
+    them, different ones, and whether their context is kept; with the numbers of training tokens and of different ones."""
 
-    frequent: np.ndarray
-    occurrences: np.ndarray
-    codes: np.ndarray
+    words: np.ndarray
+    counts: np.ndarray
     n: np.ndarray
     kinds: np.ndarray
-    parent: np.ndarray
+    kept: np.ndarray
     tokens: int
     vocabulary: int
 
-    def states(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        """The longest kept context of each position, as 1-based place in codes, 0 for the root."""
-        base = len(self.frequent) + 1
-        return np.where(self._place(two * base + one) * (two > 0) > 0, self._place(two * base + one), self._place(one))
-
-    def last(self, states: np.ndarray) -> np.ndarray:
-        """The word before the token in each state, 0 for the root; a state and its parent share it."""
-        return np.append(0, self.codes % (len(self.frequent) + 1))[states]
-
-    def _place(self, codes: np.ndarray) -> np.ndarray:
-        if not len(self.codes):
-            return np.zeros(len(codes), dtype=np.int64)
-        at = np.searchsorted(self.codes, codes)
-        at[at == len(self.codes)] = 0
-        return np.where(self.codes[at] == codes, at + 1, 0)
-
-
-def learn_tree(docs: DataFrame, frequent: np.ndarray, n_tokens: int, parts: int, rules: TreeRules) -> Tree:
-    occurrences = _occurrences(docs, frequent)
-    found = _statistics(docs, frequent, occurrences, parts, rules)
-    # The row of the other tokens, and at most 1 / min_share contexts of each length.
-    rows = found.where((F.col("code") == -1) | (F.col("n") >= n_tokens * rules.min_share)).collect()
-    vocabulary = sum(r["kinds"] for r in rows if r["code"] == -1) + int((occurrences > 0).sum())
-    base = len(frequent) + 1
-    size = {r["code"]: r["n"] for r in rows}
-    kept = []
-    for r in rows:
-        if r["code"] > 0:
-            above = size[r["code"] % base] if r["code"] >= base else n_tokens
-            gain = r["gain"] + r["n"] * np.log(above / r["n"])
-            if gain > rules.gain_per_token * r["kinds"]:
-                kept.append(r)
-    kept.sort(key=lambda r: r["code"])
-    codes = np.array([r["code"] for r in kept], dtype=np.int64)
-    tree = Tree(frequent, occurrences, codes, *(np.array([0, *[r[c] for r in kept]], dtype=np.int64) for c in ("n", "kinds")),
-                np.zeros(len(kept) + 1, dtype=np.int64), n_tokens, vocabulary)
-    tree.parent[1:] = np.where(codes >= base, tree._place(codes % base), 0)
-    return tree
-
-
-def _answer(keys: np.ndarray, states: np.ndarray, counts: np.ndarray, tree: Tree) -> tuple[np.ndarray, np.ndarray]:
-    """Training count of each entry's token, and log10 probability of the token in its state."""
+    def root(self, counts: np.ndarray) -> np.ndarray:
+        return (counts + 1) / (self.tokens + self.vocabulary + 1)
+
+
+def hot_words(docs: DataFrame, known: DataFrame, parts: int, rules: TreeRules) -> Hot:
+    total = known.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
+    least = max(rules.hot_share, 0.5 / parts) * total.n
+    found = known.where((F.col("n") > least) & (F.col("n") > 0)).collect()
+    found.sort(key=lambda r: r.token % 2**64)
+    words = np.array([r.token % 2**64 for r in found], dtype=np.uint64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for streams, learnt in _chunks(batches, rules.tokens_per_part):
+            sizes = np.array(list(map(len, streams)))
+            flat = np.concatenate(streams)
+            code = _known(_before(flat, _positions(sizes)[1], 1), words)
+            begun = (code > 0) & np.repeat(learnt, sizes)
+            different, token = np.unique(flat[begun], return_inverse=True)
+            pairs, n = np.unique(token * (len(words) + 1) + code[begun], return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(different[pairs // (len(words) + 1)].view(np.int64)), pa.array(pairs % (len(words) + 1)),
+                 pa.array(n.astype(np.int64))], names=["token", "code", "pair"])
+
+    n, kinds = (np.zeros(len(words) + 1, dtype=np.int64) for _ in range(2))
+    gain = np.zeros(len(words) + 1)
+    if len(words):
+        pairs = docs.select("text", "held_out").mapInArrow(count, "token long, code long, pair long")
+        pairs = pairs.groupBy("token", "code").agg(F.sum("pair").alias("pair")).join(known, "token")
+        for r in pairs.groupBy("code").agg(F.sum("pair").alias("n"), F.count("*").alias("kinds"), F.sum(
+                F.col("pair") * F.log(F.col("pair") / F.col("n"))).alias("gain")).collect():
+            n[r.code], kinds[r.code], gain[r.code] = r.n, r.kinds, r.gain + r.n * np.log(total.n / r.n)
+    kept = (n >= rules.min_count) & (gain > rules.gain_per_token * kinds)
+    return Hot(words, np.array([0, *[r.n for r in found]]), n, kinds, kept, total.n, total.v)
+
+
+class Block:
+    """The tokens of a block of documents. Neither entries nor their order depend on the order of its rows."""
+
+    def __init__(self, table: pa.Table, hot: Hot, parts: int):
+        streams = [tokens(t) for t in table["text"].to_pylist()]
+        self.sizes = np.array(list(map(len, streams)))
+        self.starts, self.place = _positions(self.sizes)
+        flat = np.concatenate(streams)
+        self.learnt = np.repeat([not h for h in table["held_out"].to_pylist()], self.sizes).astype(float)
+        self.words, self.token = np.unique(flat, return_inverse=True)
+        self.code = _known(_before(flat, self.place, 1), hot.words)
+        self.parts, base = parts, len(hot.words) + 1
+        # different (token, hot word before it or 0)
+        pairs, self._pair = np.unique(self.token * base + self.code, return_inverse=True)
+        self._pairs = pairs // base, pairs % base
+        keys = self.words[self._pairs[0]]
+        spread = np.where(_known(keys, hot.words) > 0, self._pairs[1], 0)
+        self._pair_order, self._pair_slices = _slices(_part(keys, spread, parts))
+
+    def ask_counts(self) -> Iterator[dict]:
+        token, code = (values[self._pair_order] for values in self._pairs)
+        n = np.bincount(self._pair, weights=self.learnt)[self._pair_order]
+        for part, a, b in self._pair_slices:
+            yield {"part": part, "tokens": _blob(self.words[token[a:b]], "<u8"), "codes": _blob(code[a:b], "<i4"),
+                   "counts": _blob(n[a:b], "<i4")}
+
+    def take_counts(self, replies: list[dict]) -> None:
+        """Sets the training count of every different word, and of the pair that ends at every position, if a hot word
+        begins it."""
+        rows = sorted(replies, key=lambda r: r["part"])
+        back = np.empty(len(self._pair_order), dtype=np.int64)
+        back[self._pair_order] = np.arange(len(back))
+        known, pair = (np.concatenate([_array(r[c], "<i8") for r in rows])[back] for c in ("x", "y"))
+        self.known = np.empty(len(self.words), dtype=np.int64)
+        self.known[self._pairs[0]] = known
+        self.pair = pair[self._pair]
+
+    def contexts(self, rules: TreeRules) -> None:
+        """Sets the different (context, token) entries. A word learnt less than min_count times ends a context."""
+        width = len(self.words) + 1
+        often = np.append(False, self.known >= rules.min_count)
+        before, above = [], np.ones(len(self.token), dtype=bool)
+        for k in range(1, rules.depth + 1):
+            word = _before(self.token + 1, self.place, k)
+            above &= often[word]
+            before.append(np.where(above, word, 0))
+        self.deep = np.flatnonzero(before[0])
+        key = before[0][self.deep]
+        for word in before[1:]:
+            key = np.unique(key * width + word[self.deep], return_inverse=True)[1]
+        _, first, self._entry = np.unique(key * width + self.token[self.deep], return_index=True, return_inverse=True)
+        at = self.deep[first]
+        self._columns = [word[at] for word in before] + [self.token[at] + 1]
+        self._above = np.where(self.code[at] > 0, self.pair[at], 0)
+        second = self._columns[1] if rules.depth > 1 else np.zeros(len(at), dtype=np.int64)
+        hashes = np.append(np.uint64(0), self.words)
+        spread = np.where(self.code[at] > 0, hashes[second], np.uint64(0))
+        self._entry_order, self._entry_slices = _slices(_part(hashes[self._columns[0]], spread, self.parts))
+
+    def ask_chances(self) -> Iterator[dict]:
+        columns = np.stack(self._columns)[:, self._entry_order]
+        n = np.bincount(self._entry, weights=self.learnt[self.deep], minlength=len(self._entry_order))[self._entry_order]
+        above = self._above[self._entry_order]
+        for part, a, b in self._entry_slices:
+            used, local = np.unique(columns[:, a:b], return_inverse=True)
+            if used[0] > 0:
+                used, local = np.append(0, used), local + 1
+            yield {"part": part, "words": _blob(self.words[used[1:] - 1], "<u8"), "known": _blob(self.known[used[1:] - 1], "<i8"),
+                   "entries": _blob(local.reshape(len(columns), -1), "<i4"), "counts": _blob(n[a:b], "<i4"),
+                   "above": _blob(above[a:b], "<i8")}
+
+    def costs(self, replies: list[dict], hot: Hot) -> np.ndarray:
+        """-log10 of the probability of every token, in units of 2**-24."""
+        out = np.rint(-np.log10(hot.root(self.known)) * UNIT).astype(np.int64)[self.token]
+        if len(self.deep):
+            sent = np.concatenate([_array(r["x"], "<i4") for r in sorted(replies, key=lambda r: r["part"])])
+            entry = np.empty(len(sent), dtype=np.int64)
+            entry[self._entry_order] = sent
+            out[self.deep] = entry[self._entry]
+        return out
+
+
+def _sums(groups: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    return np.bincount(groups, weights=values, minlength=size)
+
+
+def count_tokens(rows: list[dict], hot: Hot) -> Iterator[tuple[dict, np.ndarray, np.ndarray]]:
+    """Every row with the training counts of its tokens and, for entries with a hot word, of its pairs."""
+    keys, codes, counts = (np.concatenate([_array(r[c], kind) for r in rows])
+                           for c, kind in (("tokens", "<u8"), ("codes", "<i4"), ("counts", "<i4")))
     words, token = np.unique(keys, return_inverse=True)
-    token = token.astype(np.int64)
-    per_token = _per_token(_known(words, tree.frequent), np.bincount(token, weights=counts), tree.occurrences)
-    width = len(tree.n)
-    up = tree.parent[states]
-    every = np.concatenate([token * width + states, (token * width + up)[up > 0]])
-    pairs, n = _sum_by(every, np.concatenate([counts, counts[up > 0]]))
-    chance = (per_token[token] + 1) / (tree.tokens + tree.vocabulary + 1)
-    for state in (up, states):
-        inside = state > 0
-        seen = n[np.minimum(np.searchsorted(pairs, token * width + state), len(n) - 1)]
-        mixed = (seen + tree.kinds[state] * chance) / np.maximum(tree.n[state] + tree.kinds[state], 1)
-        chance = np.where(inside, mixed, chance)
-    return per_token[token].astype(np.int64), np.log10(chance)
+    # a hot token's entries are in several parts; its count is known
+    place = _known(words, hot.words)
+    known = np.where(place > 0, hot.counts[place], np.bincount(token, weights=counts)).astype(np.int64)[token]
+    _, at = np.unique(token * (len(hot.words) + 1) + codes, return_inverse=True)
+    pair = np.where(codes > 0, np.bincount(at, weights=counts)[at], 0).astype(np.int64)
+    ends = np.cumsum([len(_array(r["codes"], "<i4")) for r in rows])
+    for row, a, b in zip(rows, np.append(0, ends[:-1]), ends):
+        yield row, known[a:b], pair[a:b]
+
+
+def branch(rows: list[dict], hot: Hot, rules: TreeRules) -> Iterator[tuple[dict, np.ndarray]]:
+    """Learns the branches of the tree that end in the words of a part; every row with the costs of its entries."""
+    words, place = np.unique(np.concatenate([_array(r["words"], "<u8") for r in rows]), return_inverse=True)
+    known = np.zeros(len(words) + 1, dtype=np.int64)
+    known[place + 1] = np.concatenate([_array(r["known"], "<i8") for r in rows])
+    columns, begin = [], 0
+    for r in rows:
+        n = len(_array(r["words"], "<u8"))
+        columns.append(np.append(0, place[begin:begin + n] + 1)[_array(r["entries"], "<i4").reshape(rules.depth + 1, -1)])
+        begin += n
+    ends = np.cumsum([c.shape[1] for c in columns])
+    *before, token = np.concatenate(columns, axis=1)
+    counts, above = (np.concatenate([_array(r[c], kind) for r in rows]) for c, kind in (("counts", "<i4"), ("above", "<i8")))
+    width = len(words) + 1
+    chance = hot.root(known[token])
+    # of the context one word shorter: its id, and how often it is learnt, with the token and in all
+    at, context = np.arange(len(token)), np.zeros(len(token), dtype=np.int64)
+    parent, parent_size = known[token].astype(float), np.full(len(token), float(hot.tokens))
+    for k, word in enumerate(before):
+        inside = word[at] > 0
+        at, context, parent, parent_size = at[inside], context[inside], parent[inside], parent_size[inside]
+        if not len(at):
+            break
+        context = np.unique(context * width + word[at], return_inverse=True)[1]
+        size = int(context.max()) + 1
+        pairs, first, pair = np.unique(context * width + token[at], return_index=True, return_inverse=True)
+        owner = pairs // width
+        n = _sums(pair, counts[at], len(pairs))
+        total, kinds = _sums(owner, n, size), _sums(owner, n > 0, size)
+        seen = n > 0
+        ratio = n[seen] / total[owner[seen]] / (parent[first[seen]] / parent_size[first[seen]])
+        gain = _sums(owner[seen], n[seen] * np.log(ratio), size)
+        kept = (total >= rules.min_count) & (gain > rules.gain_per_token * kinds)
+        if k == 0 and len(hot.words):
+            code = np.zeros(size, dtype=np.int64)
+            code[context] = _known(words[word[at] - 1], hot.words)
+            n = np.where(code[owner] > 0, above[at[first]], n)
+            total, kinds, kept = (np.where(code > 0, whole[code], here)
+                                  for whole, here in ((hot.n, total), (hot.kinds, kinds), (hot.kept, kept)))
+        parent, parent_size = n[pair], total[context]
+        use = kept[context]
+        chance[at[use]] = ((parent + kinds[context] * chance[at]) / np.maximum(parent_size + kinds[context], 1))[use]
+    costs = np.rint(-np.log10(chance) * UNIT).astype(np.int64)
+    for row, a, b in zip(rows, np.append(0, ends[:-1]), ends):
+        yield row, costs[a:b]
+
+
+COUNTS_DDL = "block long, part long, tokens binary, codes binary, counts binary"
+CHANCES_DDL = "block long, part long, words binary, known binary, entries binary, counts binary, above binary"
+REPLY_DDL = "block long, about string, part long, x binary, y binary"
+SCORES_DDL = ("key long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
+              "score double")
+
+
+def _schema(ddl: str) -> pa.Schema:
+    kinds = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (field.split() for field in ddl.split(", "))])
 
 
 def score(docs: DataFrame, rules: TreeRules = TreeRules(), text: str = "text", key: str = "doc_id",
@@ -306,58 +346,54 @@ def score(docs: DataFrame, rules: TreeRules = TreeRules(), text: str = "text", k
     """key, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     spark = docs.sparkSession
     small_batches(spark)
-    fold = F.crc32(F.col(f"`{key}`").cast("string")) % folds
-    docs = docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").cast("binary").alias("text"),
-                       F.coalesce(fold == held_out_fold, F.lit(False)).alias("held_out"))
-    frequent, n_tokens, every = _frequent(docs, rules)
-    parts = parts_for(every, rules.tokens_per_part)
-    shared = spark.sparkContext.broadcast(learn_tree(docs, frequent, n_tokens, parts, rules))
-
-    def read(table: pa.Table) -> tuple:
-        tree = shared.value
-        streams = [tokens(t) for t in table["text"].to_pylist()]
-        flat, one, two = _previous(streams, tree.frequent)
-        learnt = np.repeat([not h for h in table["held_out"].to_pylist()], [len(s) for s in streams]).astype(float)
-        return streams, _entries(flat, tree.states(one, two), learnt)
-
-    def ask(table: pa.Table) -> pa.Table:
-        _, (keys, states, counts, _) = read(table)
-        tree = shared.value
+    held_out = F.coalesce(F.crc32(F.col(f"row.`{key}`").cast("string")) % folds == held_out_fold, F.lit(False))
+    docs = addressed(docs, "suffix-tree-documents").select(
+        F.col(f"row.`{key}`").cast("long").alias("key"), F.col(f"row.`{text}`").cast("binary").alias("text"),
+        held_out.alias("held_out"), F.xxhash64("file", "place").alias("address"))
+    known = vocabulary(docs, rules)
+    parts = parts_for(known.agg(F.sum("every")).first()[0] or 0, rules.tokens_per_part)
+    hot = hot_words(docs, known, parts, rules)
+    shared = spark.sparkContext.broadcast(hot)
+
+    def ask_counts(table: pa.Table) -> pa.Table:
         block = table["block"][0].as_py()
-        rows = [{"block": block, **row} for row in _pack(keys, states, counts, tree.last(states), tree.frequent, parts)]
-        return pa.Table.from_pylist(rows, schema=pa.schema([("block", pa.int64()), *PACKED]))
-
-    def reply(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        known, chances = _answer(*_unpack(rows), shared.value)
-        sizes = np.cumsum([0, *[len(r["codes"]) // 8 for r in rows]])
-        return pa.table({
-            "block": pa.array([r["block"] for r in rows], pa.int64()),
-            "part": pa.array([r["part"] for r in rows], pa.int64()),
-            "known": pa.array([known[a:b].astype("<i8").tobytes() for a, b in zip(sizes, sizes[1:])], pa.binary()),
-            "chances": pa.array([chances[a:b].astype("<f4").tobytes() for a, b in zip(sizes, sizes[1:])], pa.binary())})
+        rows = [{"block": block, **row} for row in Block(table, shared.value, parts).ask_counts()]
+        return pa.Table.from_pylist(rows, schema=_schema(COUNTS_DDL))
+
+    def reply_counts(table: pa.Table) -> pa.Table:
+        rows = [{"block": row["block"], "about": "counts", "part": row["part"], "x": _blob(n, "<i8"), "y": _blob(pair, "<i8")}
+                for row, n, pair in count_tokens(table.to_pylist(), shared.value)]
+        return pa.Table.from_pylist(rows, schema=_schema(REPLY_DDL))
+
+    def ask_chances(table: pa.Table, replies: pa.Table) -> pa.Table:
+        block = Block(table, shared.value, parts)
+        block.take_counts(replies.to_pylist())
+        block.contexts(rules)
+        rows = [{"block": table["block"][0].as_py(), **row} for row in block.ask_chances()]
+        return pa.Table.from_pylist(rows, schema=_schema(CHANCES_DDL))
+
+    def reply_chances(table: pa.Table) -> pa.Table:
+        rows = [{"block": row["block"], "about": "chances", "part": row["part"], "x": _blob(costs, "<i4"), "y": None}
+                for row, costs in branch(table.to_pylist(), shared.value, rules)]
+        return pa.Table.from_pylist(rows, schema=_schema(REPLY_DDL))
 
     def finish(table: pa.Table, replies: pa.Table) -> pa.Table:
-        tree = shared.value
-        streams, (keys, states, _, at) = read(table)
-        _, order = _places(keys, tree.last(states), tree.frequent, parts)
-        back = np.argsort(order)[at]  # replies come by part, positions by token and state
-        rows = sorted(replies.to_pylist(), key=lambda r: r["part"])
-        known = np.concatenate([np.frombuffer(r["known"], dtype="<i8") for r in rows])[back]
-        chances = np.concatenate([np.frombuffer(r["chances"], dtype="<f4") for r in rows]).astype(float)[back]
-        starts = np.cumsum([0, *[len(s) for s in streams[:-1]]])
-        base = np.log10((known + 1) / (tree.tokens + tree.vocabulary + 1))
-        add = lambda values: np.add.reduceat(values, starts)
+        hot = shared.value
+        rows = replies.to_pylist()
+        block = Block(table, hot, parts)
+        block.take_counts([r for r in rows if r["about"] == "counts"])
+        block.contexts(rules)
+        costs = block.costs([r for r in rows if r["about"] == "chances"], hot)
+        add = lambda values: np.add.reduceat(values, block.starts)
+        known = block.known[block.token]
         return pa.table({
-            "key": table["key"], "held_out": table["held_out"],
-            "n_tokens": pa.array([len(s) for s in streams], pa.int64()),
-            "n_known": pa.array(add((known > 0).astype(np.int64)), pa.int64()),
-            "train_tokens": pa.array([tree.tokens] * len(streams), pa.int64()),
-            "base_score": pa.array(add(base)), "score": pa.array(add(chances))})
-
-    block = F.pmod(F.xxhash64("key", F.length("text")), F.lit(parts))
-    blocks = docs.withColumn("block", block)
-    asked = blocks.groupBy("block").applyInArrow(ask, f"block long, {PACKED_DDL}")
-    replied = asked.groupBy("part").applyInArrow(reply, "block long, part long, known binary, chances binary")
-    return blocks.groupBy("block").cogroup(replied.groupBy("block")).applyInArrow(
-        finish, "key long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+            "key": table["key"], "held_out": table["held_out"], "n_tokens": pa.array(block.sizes.astype(np.int64)),
+            "n_known": pa.array(add((known > 0).astype(np.int64))),
+            "train_tokens": pa.array(np.full(len(block.sizes), hot.tokens, dtype=np.int64)),
+            "base_score": pa.array(add(np.log10(hot.root(known)))), "score": pa.array(-add(costs) / UNIT)})
+
+    blocks = docs.select("key", "text", "held_out", F.pmod("address", F.lit(parts)).alias("block"))
+    counts = blocks.groupBy("block").applyInArrow(ask_counts, COUNTS_DDL).groupBy("part").applyInArrow(reply_counts, REPLY_DDL)
+    asked = blocks.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(ask_chances, CHANCES_DDL)
+    replies = counts.unionByName(asked.groupBy("part").applyInArrow(reply_chances, REPLY_DDL))
+    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(finish, SCORES_DDL)
