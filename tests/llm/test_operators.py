@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import pytest
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -625,7 +626,7 @@ def test_scores_equal_a_dictionary_model(docs, empty, spark, depth, size):
     expected, kept = dictionary_scores(rows, rules)
     assert {len(c) for c in kept} == set(range(1, depth + 1))
     frame = spark.createDataFrame(rows, "doc_id long, text string")
-    clash = ("row", "file", "place", "block", "part", "key", "held_out", "address", "token", "n", "about")
+    clash = ("row", "file", "place", "block", "part", "key", "held_out", "address", "token", "n", "about", "keys", "texts")
     assert_scores(suffix_tree.score(frame.withColumns({c: F.lit("x") for c in clash}), rules).collect(), expected)
     assert suffix_tree.score(empty).count() == 0
 
@@ -642,20 +643,20 @@ def test_other_text_takes_no_context_away(docs, spark):
 
 def test_a_hot_word_is_spread_over_the_parts(spark):
     import numpy as np
-    import pyarrow as pa
 
     texts = [" ".join(f"w{i * 50 + j} of x{j}" for j in range(50)) for i in range(60)]
     hot = suffix_tree.Hot(np.array([xxhash.xxh64_intdigest(b"of")], dtype=np.uint64), *(np.array([0, 3000]),) * 3,
                           np.array([False, True]), 9060, 3052)
-    block = suffix_tree.Block(pa.table({"text": [t.encode() for t in texts], "held_out": [False] * 60}), hot, 16)
+    packed = zstandard.compress("\n".join(texts).encode())
+    block = suffix_tree.Block([{"keys": [1] * 60, "held_out": [False] * 60, "texts": packed}], hot, 16)
     block.known, block.pair = np.full(len(block.words), 9), np.zeros(len(block.token), dtype=np.int64)
+    block.number = np.where(block.words == hot.words[0], 1, 2 + np.arange(len(block.words)))
     block.contexts(suffix_tree.TreeRules())
     of, sizes = 0, []
     for row in block.ask_chances():
-        words, columns = suffix_tree._array(row["words"], "<u8"), suffix_tree._array(row["entries"], "<i4").reshape(4, -1)
-        here = int((words[columns[0] - 1] == hot.words[0]).sum())
-        sizes.append(here)
-        of += here
+        numbers, columns = suffix_tree._from_steps(row["words"]), suffix_tree._array(row["entries"], "<i4").reshape(4, -1)
+        sizes.append(int((numbers[columns[0] - 1] == 1).sum()))
+        of += sizes[-1]
     assert of == 3000 and len(sizes) == 16 and max(sizes) < 2 * of / 16
 
 

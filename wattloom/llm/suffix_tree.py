@@ -19,7 +19,7 @@ What follows one pair of words meets in one task, each block's different entries
 
 * A null or empty text has one token, its end. Repeated rows count and are scored each.
 * Documents without an id are learnt from. Without any training document every text scores as under one unknown token.
-* Tokens are told apart by 64-bit hashes. Log probabilities are sums of multiples of 2**-24.
+* Tokens are told apart by 64-bit hashes. Log probabilities are sums of multiples of 2**-20.
 * Columns other than key and text are left aside, whatever their names.
 """
 
@@ -40,7 +40,7 @@ from wattloom.session import materialize
 from .common import addressed, parts_for, small_batches
 
 END = xxhash.xxh64_intdigest(b"\n")  # no word holds white space
-UNIT = 2.0**24
+UNIT = 2.0**20
 
 
 @dataclass(frozen=True)
@@ -54,17 +54,34 @@ class TreeRules:
 
 def tokens(text: bytes | None) -> np.ndarray:
     """64-bit hashes of the words of a UTF-8 text, A-Z lower-cased, and of its end."""
-    words = (text or b"").lower().split()
+    return _hashes((text or b"").lower().split())
+
+
+def _hashes(words: list[bytes]) -> np.ndarray:
     found = np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
     return np.append(found, np.uint64(END))
 
 
 def _blob(values: np.ndarray, kind: str) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values.astype(kind)).tobytes())
+    """Numbers in little space: their first bytes, then their second ones, and so on, compressed."""
+    planes = np.ascontiguousarray(values, dtype=kind).reshape(-1, 1).view(np.uint8).T
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(planes).tobytes())
 
 
 def _array(blob: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def _steps(values: np.ndarray) -> bytes:
+    """Numbers that mostly rise or mostly fall, as their differences."""
+    step = np.diff(values, prepend=0)
+    return _blob((step << 1) ^ (step >> 63), "<i8")
+
+
+def _from_steps(blob: bytes) -> np.ndarray:
+    step = _array(blob, "<i8")
+    return np.cumsum((step >> 1) ^ -(step & 1))
 
 
 def _known(words: np.ndarray, sorted_words: np.ndarray) -> np.ndarray:
@@ -120,17 +137,18 @@ def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list
 
 
 def vocabulary(docs: DataFrame, rules: TreeRules) -> DataFrame:
-    """token, n, every: occurrences in training documents and in all, of every token."""
+    """token, n: occurrences of every token in training documents. The null token counts those in all documents."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for streams, learnt in _chunks(batches, rules.tokens_per_part):
-            words, at = np.unique(np.concatenate(streams), return_inverse=True)
-            n = np.bincount(at, weights=np.repeat(learnt, list(map(len, streams))), minlength=len(words))
+            every = sum(map(len, streams))
+            streams = [s for s, use in zip(streams, learnt) if use]
+            words, n = np.unique(np.concatenate(streams or [np.empty(0, dtype=np.uint64)]), return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(words.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(np.bincount(at).astype(np.int64))],
-                names=["token", "n", "every"])
+                [pa.concat_arrays([pa.array([None], pa.int64()), pa.array(words.view(np.int64))]),
+                 pa.array(np.append(every, n).astype(np.int64))], names=["token", "n"])
 
-    counted = docs.select("text", "held_out").mapInArrow(count, "token long, n long, every long")
-    return materialize(counted.groupBy("token").agg(F.sum("n").alias("n"), F.sum("every").alias("every")), "vocabulary")
+    counted = docs.select("text", "held_out").mapInArrow(count, "token long, n long")
+    return materialize(counted.groupBy("token").agg(F.sum("n").alias("n")), "vocabulary")
 
 
 @dataclass
@@ -151,9 +169,8 @@ class Hot:
 
 
 def hot_words(docs: DataFrame, known: DataFrame, parts: int, rules: TreeRules) -> Hot:
-    total = known.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
-    least = max(rules.hot_share, 0.5 / parts) * total.n
-    found = known.where((F.col("n") > least) & (F.col("n") > 0)).collect()
+    total = known.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    found = known.where(F.col("n") > max(rules.hot_share, 0.5 / parts) * total.n).collect()
     found.sort(key=lambda r: r.token % 2**64)
     words = np.array([r.token % 2**64 for r in found], dtype=np.uint64)
 
@@ -181,15 +198,53 @@ def hot_words(docs: DataFrame, known: DataFrame, parts: int, rules: TreeRules) -
     return Hot(words, np.array([0, *[r.n for r in found]]), n, kinds, kept, total.n, total.v)
 
 
-class Block:
-    """The tokens of a block of documents. Neither entries nor their order depend on the order of its rows."""
+def blocks_of(docs: DataFrame, rules: TreeRules) -> DataFrame:
+    """block, keys, held_out, texts: about tokens_per_part tokens of neighbouring documents a row, the texts as lower-cased
+    words between single spaces and newlines, compressed. A block is named by the address of its first document."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, keys, held, texts, size = [], [], [], [], 0
+
+        def row() -> pa.RecordBatch:
+            packed = zstandard.ZstdCompressor(compression_params=zstandard.ZstdCompressionParameters.from_level(
+                3, window_log=24, enable_ldm=True)).compress(b"\n".join(texts))
+            return pa.RecordBatch.from_pylist([{"block": names[0], "keys": keys, "held_out": held, "texts": packed}],
+                                              schema=BLOCK)
 
-    def __init__(self, table: pa.Table, hot: Hot, parts: int):
-        streams = [tokens(t) for t in table["text"].to_pylist()]
+        for batch in batches:
+            for name, key, held_out, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                words = (text or b"").lower().split()
+                names.append(name)
+                keys.append(key)
+                held.append(held_out)
+                texts.append(b" ".join(words))
+                size += len(words) + 1
+                if size >= rules.tokens_per_part:
+                    yield row()
+                    names, keys, held, texts, size = [], [], [], [], 0
+        if names:
+            yield row()
+
+    return docs.select("address", "key", "held_out", "text").mapInArrow(
+        pack, "block long, keys array<long>, held_out array<boolean>, texts binary")
+
+
+BLOCK = pa.schema([("block", pa.int64()), ("keys", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())),
+                   ("texts", pa.binary())])
+
+
+class Block:
+    """The tokens of a block of documents, of a row or more of the same name. Entries and their order do not depend on the
+    order of rows."""
+
+    def __init__(self, rows: list[dict], hot: Hot, parts: int):
+        self.keys = [k for r in rows for k in r["keys"]]
+        self.held_out = [h for r in rows for h in r["held_out"]]
+        texts = [t for r in rows for t in zstandard.ZstdDecompressor().decompress(r["texts"]).split(b"\n")]
+        streams = [tokens(t) for t in texts]
         self.sizes = np.array(list(map(len, streams)))
         self.starts, self.place = _positions(self.sizes)
         flat = np.concatenate(streams)
-        self.learnt = np.repeat([not h for h in table["held_out"].to_pylist()], self.sizes).astype(float)
+        self.learnt = np.repeat([not h for h in self.held_out], self.sizes).astype(float)
         self.words, self.token = np.unique(flat, return_inverse=True)
         self.code = _known(_before(flat, self.place, 1), hot.words)
         self.parts, base = parts, len(hot.words) + 1
@@ -208,14 +263,14 @@ class Block:
                    "counts": _blob(n[a:b], "<i4")}
 
     def take_counts(self, replies: list[dict]) -> None:
-        """Sets the training count of every different word, and of the pair that ends at every position, if a hot word
-        begins it."""
+        """Sets the number and the training count of every different word, and the count of the pair that ends at every
+        position, if a hot word begins it."""
         rows = sorted(replies, key=lambda r: r["part"])
         back = np.empty(len(self._pair_order), dtype=np.int64)
         back[self._pair_order] = np.arange(len(back))
-        known, pair = (np.concatenate([_array(r[c], "<i8") for r in rows])[back] for c in ("x", "y"))
-        self.known = np.empty(len(self.words), dtype=np.int64)
-        self.known[self._pairs[0]] = known
+        number, known, pair = (np.concatenate([_array(r[c], "<i8") for r in rows])[back] for c in ("x", "y", "z"))
+        self.number, self.known = (np.empty(len(self.words), dtype=np.int64) for _ in range(2))
+        self.number[self._pairs[0]], self.known[self._pairs[0]] = number, known
         self.pair = pair[self._pair]
 
     def contexts(self, rules: TreeRules) -> None:
@@ -241,19 +296,22 @@ class Block:
         self._entry_order, self._entry_slices = _slices(_part(hashes[self._columns[0]], spread, self.parts))
 
     def ask_chances(self) -> Iterator[dict]:
-        columns = np.stack(self._columns)[:, self._entry_order]
+        by_number = np.argsort(self.number)
+        place = np.zeros(len(by_number) + 1, dtype=np.int64)
+        place[by_number + 1] = np.arange(1, len(by_number) + 1)
+        columns = place[np.stack(self._columns)[:, self._entry_order]]
         n = np.bincount(self._entry, weights=self.learnt[self.deep], minlength=len(self._entry_order))[self._entry_order]
         above = self._above[self._entry_order]
         for part, a, b in self._entry_slices:
             used, local = np.unique(columns[:, a:b], return_inverse=True)
             if used[0] > 0:
                 used, local = np.append(0, used), local + 1
-            yield {"part": part, "words": _blob(self.words[used[1:] - 1], "<u8"), "known": _blob(self.known[used[1:] - 1], "<i8"),
-                   "entries": _blob(local.reshape(len(columns), -1), "<i4"), "counts": _blob(n[a:b], "<i4"),
-                   "above": _blob(above[a:b], "<i8")}
+            words = by_number[used[1:] - 1]
+            yield {"part": part, "words": _steps(self.number[words]), "known": _steps(self.known[words]),
+                   "entries": _blob(local, "<i4"), "counts": _blob(n[a:b], "<i4"), "above": _blob(above[a:b], "<i8")}
 
     def costs(self, replies: list[dict], hot: Hot) -> np.ndarray:
-        """-log10 of the probability of every token, in units of 2**-24."""
+        """-log10 of the probability of every token, in units of 2**-20."""
         out = np.rint(-np.log10(hot.root(self.known)) * UNIT).astype(np.int64)[self.token]
         if len(self.deep):
             sent = np.concatenate([_array(r["x"], "<i4") for r in sorted(replies, key=lambda r: r["part"])])
@@ -267,29 +325,34 @@ def _sums(groups: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     return np.bincount(groups, weights=values, minlength=size)
 
 
-def count_tokens(rows: list[dict], hot: Hot) -> Iterator[tuple[dict, np.ndarray, np.ndarray]]:
-    """Every row with the training counts of its tokens and, for entries with a hot word, of its pairs."""
+def count_tokens(rows: list[dict], hot: Hot, parts: int) -> Iterator[tuple[dict, np.ndarray, np.ndarray, np.ndarray]]:
+    """Every row with the numbers and training counts of its tokens and, for entries with a hot word, counts of its pairs.
+
+    Hot tokens, which are in several parts, are numbered from 1 by place. The others follow, in each part by falling
+    count, so that words that are close in number are close in count."""
     keys, codes, counts = (np.concatenate([_array(r[c], kind) for r in rows])
                            for c, kind in (("tokens", "<u8"), ("codes", "<i4"), ("counts", "<i4")))
     words, token = np.unique(keys, return_inverse=True)
-    # a hot token's entries are in several parts; its count is known
     place = _known(words, hot.words)
-    known = np.where(place > 0, hot.counts[place], np.bincount(token, weights=counts)).astype(np.int64)[token]
+    known = np.where(place > 0, hot.counts[place], np.bincount(token, weights=counts)).astype(np.int64)
+    rank = np.empty(len(words), dtype=np.int64)
+    rank[np.argsort(-known, kind="stable")] = np.arange(len(words))
+    number = np.where(place > 0, place, len(hot.words) + 1 + rank * parts + rows[0]["part"])
     _, at = np.unique(token * (len(hot.words) + 1) + codes, return_inverse=True)
     pair = np.where(codes > 0, np.bincount(at, weights=counts)[at], 0).astype(np.int64)
     ends = np.cumsum([len(_array(r["codes"], "<i4")) for r in rows])
     for row, a, b in zip(rows, np.append(0, ends[:-1]), ends):
-        yield row, known[a:b], pair[a:b]
+        yield row, number[token[a:b]], known[token[a:b]], pair[a:b]
 
 
 def branch(rows: list[dict], hot: Hot, rules: TreeRules) -> Iterator[tuple[dict, np.ndarray]]:
     """Learns the branches of the tree that end in the words of a part; every row with the costs of its entries."""
-    words, place = np.unique(np.concatenate([_array(r["words"], "<u8") for r in rows]), return_inverse=True)
+    numbers = [_from_steps(r["words"]) for r in rows]
+    words, place = np.unique(np.concatenate(numbers), return_inverse=True)
     known = np.zeros(len(words) + 1, dtype=np.int64)
-    known[place + 1] = np.concatenate([_array(r["known"], "<i8") for r in rows])
+    known[place + 1] = np.concatenate([_from_steps(r["known"]) for r in rows])
     columns, begin = [], 0
-    for r in rows:
-        n = len(_array(r["words"], "<u8"))
+    for r, n in zip(rows, map(len, numbers)):
         columns.append(np.append(0, place[begin:begin + n] + 1)[_array(r["entries"], "<i4").reshape(rules.depth + 1, -1)])
         begin += n
     ends = np.cumsum([c.shape[1] for c in columns])
@@ -317,7 +380,8 @@ def branch(rows: list[dict], hot: Hot, rules: TreeRules) -> Iterator[tuple[dict,
         kept = (total >= rules.min_count) & (gain > rules.gain_per_token * kinds)
         if k == 0 and len(hot.words):
             code = np.zeros(size, dtype=np.int64)
-            code[context] = _known(words[word[at] - 1], hot.words)
+            number = words[word[at] - 1]
+            code[context] = np.where(number <= len(hot.words), number, 0)
             n = np.where(code[owner] > 0, above[at[first]], n)
             total, kinds, kept = (np.where(code > 0, whole[code], here)
                                   for whole, here in ((hot.n, total), (hot.kinds, kinds), (hot.kept, kept)))
@@ -331,7 +395,7 @@ def branch(rows: list[dict], hot: Hot, rules: TreeRules) -> Iterator[tuple[dict,
 
 COUNTS_DDL = "block long, part long, tokens binary, codes binary, counts binary"
 CHANCES_DDL = "block long, part long, words binary, known binary, entries binary, counts binary, above binary"
-REPLY_DDL = "block long, about string, part long, x binary, y binary"
+REPLY_DDL = "block long, about string, part long, x binary, y binary, z binary"
 SCORES_DDL = ("key long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
               "score double")
 
@@ -351,48 +415,50 @@ def score(docs: DataFrame, rules: TreeRules = TreeRules(), text: str = "text", k
         F.col(f"row.`{key}`").cast("long").alias("key"), F.col(f"row.`{text}`").cast("binary").alias("text"),
         held_out.alias("held_out"), F.xxhash64("file", "place").alias("address"))
     known = vocabulary(docs, rules)
-    parts = parts_for(known.agg(F.sum("every")).first()[0] or 0, rules.tokens_per_part)
-    hot = hot_words(docs, known, parts, rules)
+    every = known.where("token is null").first()
+    parts = parts_for(every.n if every else 0, rules.tokens_per_part)
+    hot = hot_words(docs, known.where("token is not null"), parts, rules)
     shared = spark.sparkContext.broadcast(hot)
 
     def ask_counts(table: pa.Table) -> pa.Table:
+        rows = Block(table.to_pylist(), shared.value, parts).ask_counts()
         block = table["block"][0].as_py()
-        rows = [{"block": block, **row} for row in Block(table, shared.value, parts).ask_counts()]
-        return pa.Table.from_pylist(rows, schema=_schema(COUNTS_DDL))
+        return pa.Table.from_pylist([{"block": block, **row} for row in rows], schema=_schema(COUNTS_DDL))
 
     def reply_counts(table: pa.Table) -> pa.Table:
-        rows = [{"block": row["block"], "about": "counts", "part": row["part"], "x": _blob(n, "<i8"), "y": _blob(pair, "<i8")}
-                for row, n, pair in count_tokens(table.to_pylist(), shared.value)]
+        rows = [{"block": row["block"], "about": "counts", "part": row["part"],
+                 **{c: _blob(values, "<i8") for c, values in zip("xyz", reply)}}
+                for row, *reply in count_tokens(table.to_pylist(), shared.value, parts)]
         return pa.Table.from_pylist(rows, schema=_schema(REPLY_DDL))
 
     def ask_chances(table: pa.Table, replies: pa.Table) -> pa.Table:
-        block = Block(table, shared.value, parts)
+        block = Block(table.to_pylist(), shared.value, parts)
         block.take_counts(replies.to_pylist())
         block.contexts(rules)
         rows = [{"block": table["block"][0].as_py(), **row} for row in block.ask_chances()]
         return pa.Table.from_pylist(rows, schema=_schema(CHANCES_DDL))
 
     def reply_chances(table: pa.Table) -> pa.Table:
-        rows = [{"block": row["block"], "about": "chances", "part": row["part"], "x": _blob(costs, "<i4"), "y": None}
+        rows = [{"block": row["block"], "about": "chances", "part": row["part"], "x": _blob(costs, "<i4"), "y": None, "z": None}
                 for row, costs in branch(table.to_pylist(), shared.value, rules)]
         return pa.Table.from_pylist(rows, schema=_schema(REPLY_DDL))
 
     def finish(table: pa.Table, replies: pa.Table) -> pa.Table:
         hot = shared.value
         rows = replies.to_pylist()
-        block = Block(table, hot, parts)
+        block = Block(table.to_pylist(), hot, parts)
         block.take_counts([r for r in rows if r["about"] == "counts"])
         block.contexts(rules)
         costs = block.costs([r for r in rows if r["about"] == "chances"], hot)
         add = lambda values: np.add.reduceat(values, block.starts)
         known = block.known[block.token]
         return pa.table({
-            "key": table["key"], "held_out": table["held_out"], "n_tokens": pa.array(block.sizes.astype(np.int64)),
-            "n_known": pa.array(add((known > 0).astype(np.int64))),
+            "key": pa.array(block.keys, pa.int64()), "held_out": pa.array(block.held_out, pa.bool_()),
+            "n_tokens": pa.array(block.sizes.astype(np.int64)), "n_known": pa.array(add((known > 0).astype(np.int64))),
             "train_tokens": pa.array(np.full(len(block.sizes), hot.tokens, dtype=np.int64)),
             "base_score": pa.array(add(np.log10(hot.root(known)))), "score": pa.array(-add(costs) / UNIT)})
 
-    blocks = docs.select("key", "text", "held_out", F.pmod("address", F.lit(parts)).alias("block"))
+    blocks = blocks_of(docs, rules)
     counts = blocks.groupBy("block").applyInArrow(ask_counts, COUNTS_DDL).groupBy("part").applyInArrow(reply_counts, REPLY_DDL)
     asked = blocks.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(ask_chances, CHANCES_DDL)
     replies = counts.unionByName(asked.groupBy("part").applyInArrow(reply_chances, REPLY_DDL))
