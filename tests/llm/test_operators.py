@@ -651,10 +651,11 @@ def test_a_hot_word_is_spread_over_the_parts(spark):
     block = suffix_tree.Block([{"keys": [1] * 60, "held_out": [False] * 60, "texts": packed}], hot, 16)
     block.known, block.pair = np.full(len(block.words), 9), np.zeros(len(block.token), dtype=np.int64)
     block.number = np.where(block.words == hot.words[0], 1, 2 + np.arange(len(block.words)))
+    block._rank()
     block.contexts(suffix_tree.TreeRules())
     of, sizes = 0, []
     for row in block.ask_chances():
-        numbers, columns = suffix_tree._from_steps(row["words"]), suffix_tree._array(row["entries"], "<i4").reshape(4, -1)
+        numbers, columns = suffix_tree._from_steps(row["words"]), suffix_tree._entries(row, 3)
         sizes.append(int((numbers[columns[0] - 1] == 1).sum()))
         of += sizes[-1]
     assert of == 3000 and len(sizes) == 16 and max(sizes) < 2 * of / 16

@@ -10,7 +10,7 @@ counts are smoothed with the next shorter kept context in proportion to the numb
 Blocks of documents ask twice. First for the training counts of their different tokens, from parts dealt by the hash of
 the token. Then, with these, for the probabilities of their different (context, token) entries, from parts dealt by the
 word before the token. All contexts that end in a word meet in its part, which learns that branch of the tree and scores
-in it at once, so the tree is never in one place. A word with more than half a part's share of all tokens is hot: its
+in it at once, so the tree is never in one place. A word with more than half a part's share of all tokens, or a 200th of them, is hot: its
 branch is spread by the word before it. Its own statistics then come from a grouped count of the pairs it begins, and
 each block gets the counts of these pairs with those of its tokens. Texts are shuffled once; broadcasts and the driver
 hold totals and the hot words, at most 1 / `hot_share`.
@@ -93,6 +93,27 @@ def _known(words: np.ndarray, sorted_words: np.ndarray) -> np.ndarray:
     return np.where(sorted_words[at] == words, at + 1, 0)
 
 
+def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different keys in order, one place of each, and the group of every key. The sort needs not be stable."""
+    order = np.argsort(keys)
+    ranked = keys[order]
+    new = np.append(True, ranked[1:] != ranked[:-1])[:len(keys)]
+    group = np.empty(len(keys), dtype=np.int64)
+    group[order] = np.cumsum(new) - 1
+    return ranked[new], order[new], group
+
+
+def _used(columns: np.ndarray, size: int) -> np.ndarray:
+    """The different values above 0, in order, of numbers up to `size`."""
+    if columns.size * 16 < size:
+        used = np.unique(columns)
+        return used[used > 0]
+    seen = np.zeros(size + 1, dtype=bool)
+    seen[columns.ravel()] = True
+    seen[0] = False
+    return np.flatnonzero(seen)
+
+
 def _part(words: np.ndarray, second: np.ndarray, parts: int) -> np.ndarray:
     """The part of every entry by the hash of a word and a second value."""
     mixed = words ^ (second.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -170,7 +191,7 @@ class Hot:
 
 def hot_words(docs: DataFrame, known: DataFrame, parts: int, rules: TreeRules) -> Hot:
     total = known.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    found = known.where(F.col("n") > max(rules.hot_share, 0.5 / parts) * total.n).collect()
+    found = known.where(F.col("n") > max(rules.hot_share, min(0.5 / parts, 0.005)) * total.n).collect()
     found.sort(key=lambda r: r.token % 2**64)
     words = np.array([r.token % 2**64 for r in found], dtype=np.uint64)
 
@@ -206,7 +227,7 @@ def blocks_of(docs: DataFrame, rules: TreeRules) -> DataFrame:
 
         def row() -> pa.RecordBatch:
             packed = zstandard.ZstdCompressor(compression_params=zstandard.ZstdCompressionParameters.from_level(
-                3, window_log=24, enable_ldm=True)).compress(b"\n".join(texts))
+                6, window_log=24, enable_ldm=True)).compress(b"\n".join(texts))
             return pa.RecordBatch.from_pylist([{"block": names[0], "keys": keys, "held_out": held, "texts": packed}],
                                               schema=BLOCK)
 
@@ -245,11 +266,11 @@ class Block:
         self.starts, self.place = _positions(self.sizes)
         flat = np.concatenate(streams)
         self.learnt = np.repeat([not h for h in self.held_out], self.sizes).astype(float)
-        self.words, self.token = np.unique(flat, return_inverse=True)
+        self.words, _, self.token = _groups(flat)
         self.code = _known(_before(flat, self.place, 1), hot.words)
         self.parts, base = parts, len(hot.words) + 1
         # different (token, hot word before it or 0)
-        pairs, self._pair = np.unique(self.token * base + self.code, return_inverse=True)
+        pairs, _, self._pair = _groups(self.token * base + self.code)
         self._pairs = pairs // base, pairs % base
         keys = self.words[self._pairs[0]]
         spread = np.where(_known(keys, hot.words) > 0, self._pairs[1], 0)
@@ -263,8 +284,8 @@ class Block:
                    "counts": _blob(n[a:b], "<i4")}
 
     def take_counts(self, replies: list[dict]) -> None:
-        """Sets the number and the training count of every different word, and the count of the pair that ends at every
-        position, if a hot word begins it."""
+        """Sets the number and the training count of every different word, by which words are put in order, and the count
+        of the pair that ends at every position, if a hot word begins it."""
         rows = sorted(replies, key=lambda r: r["part"])
         back = np.empty(len(self._pair_order), dtype=np.int64)
         back[self._pair_order] = np.arange(len(back))
@@ -272,6 +293,14 @@ class Block:
         self.number, self.known = (np.empty(len(self.words), dtype=np.int64) for _ in range(2))
         self.number[self._pairs[0]], self.known[self._pairs[0]] = number, known
         self.pair = pair[self._pair]
+        self._rank()
+
+    def _rank(self) -> None:
+        order = np.argsort(self.number)
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        self.words, self.known, self.number = self.words[order], self.known[order], self.number[order]
+        self.token = place[self.token]
 
     def contexts(self, rules: TreeRules) -> None:
         """Sets the different (context, token) entries. A word learnt less than min_count times ends a context."""
@@ -283,10 +312,13 @@ class Block:
             above &= often[word]
             before.append(np.where(above, word, 0))
         self.deep = np.flatnonzero(before[0])
-        key = before[0][self.deep]
-        for word in before[1:]:
-            key = np.unique(key * width + word[self.deep], return_inverse=True)[1]
-        _, first, self._entry = np.unique(key * width + self.token[self.deep], return_index=True, return_inverse=True)
+        key, room = before[0][self.deep], width
+        for word in [*before[1:], self.token]:
+            if room * width >= 2**63:
+                different, _, key = _groups(key)
+                room = len(different)
+            key, room = key * width + word[self.deep], room * width
+        _, first, self._entry = _groups(key)
         at = self.deep[first]
         self._columns = [word[at] for word in before] + [self.token[at] + 1]
         self._above = np.where(self.code[at] > 0, self.pair[at], 0)
@@ -296,19 +328,17 @@ class Block:
         self._entry_order, self._entry_slices = _slices(_part(hashes[self._columns[0]], spread, self.parts))
 
     def ask_chances(self) -> Iterator[dict]:
-        by_number = np.argsort(self.number)
-        place = np.zeros(len(by_number) + 1, dtype=np.int64)
-        place[by_number + 1] = np.arange(1, len(by_number) + 1)
-        columns = place[np.stack(self._columns)[:, self._entry_order]]
+        columns = np.stack(self._columns)[:, self._entry_order]
         n = np.bincount(self._entry, weights=self.learnt[self.deep], minlength=len(self._entry_order))[self._entry_order]
         above = self._above[self._entry_order]
+        local = np.zeros(len(self.words) + 1, dtype=np.int64)
         for part, a, b in self._entry_slices:
-            used, local = np.unique(columns[:, a:b], return_inverse=True)
-            if used[0] > 0:
-                used, local = np.append(0, used), local + 1
-            words = by_number[used[1:] - 1]
-            yield {"part": part, "words": _steps(self.number[words]), "known": _steps(self.known[words]),
-                   "entries": _blob(local, "<i4"), "counts": _blob(n[a:b], "<i4"), "above": _blob(above[a:b], "<i8")}
+            used = _used(columns[:, a:b], len(self.words))
+            local[used] = np.arange(1, len(used) + 1)
+            entries = local[columns[:, a:b]]
+            entries[:2] = np.diff(entries[:2], axis=1, prepend=0)  # they rise, the second inside the first
+            yield {"part": part, "words": _steps(self.number[used - 1]), "known": _steps(self.known[used - 1]),
+                   "entries": _blob(entries, "<i4"), "counts": _blob(n[a:b], "<i4"), "above": _blob(above[a:b], "<i8")}
 
     def costs(self, replies: list[dict], hot: Hot) -> np.ndarray:
         """-log10 of the probability of every token, in units of 2**-20."""
@@ -345,6 +375,13 @@ def count_tokens(rows: list[dict], hot: Hot, parts: int) -> Iterator[tuple[dict,
         yield row, number[token[a:b]], known[token[a:b]], pair[a:b]
 
 
+def _entries(row: dict, depth: int) -> np.ndarray:
+    """The columns of a row's entries: the words before a token, nearest first, and the token, as places among its words."""
+    entries = _array(row["entries"], "<i4").reshape(depth + 1, -1).astype(np.int64)
+    entries[:2] = np.cumsum(entries[:2], axis=1)
+    return entries
+
+
 def branch(rows: list[dict], hot: Hot, rules: TreeRules) -> Iterator[tuple[dict, np.ndarray]]:
     """Learns the branches of the tree that end in the words of a part; every row with the costs of its entries."""
     numbers = [_from_steps(r["words"]) for r in rows]
@@ -353,7 +390,7 @@ def branch(rows: list[dict], hot: Hot, rules: TreeRules) -> Iterator[tuple[dict,
     known[place + 1] = np.concatenate([_from_steps(r["known"]) for r in rows])
     columns, begin = [], 0
     for r, n in zip(rows, map(len, numbers)):
-        columns.append(np.append(0, place[begin:begin + n] + 1)[_array(r["entries"], "<i4").reshape(rules.depth + 1, -1)])
+        columns.append(np.append(0, place[begin:begin + n] + 1)[_entries(r, rules.depth)])
         begin += n
     ends = np.cumsum([c.shape[1] for c in columns])
     *before, token = np.concatenate(columns, axis=1)
@@ -368,9 +405,9 @@ def branch(rows: list[dict], hot: Hot, rules: TreeRules) -> Iterator[tuple[dict,
         at, context, parent, parent_size = at[inside], context[inside], parent[inside], parent_size[inside]
         if not len(at):
             break
-        context = np.unique(context * width + word[at], return_inverse=True)[1]
-        size = int(context.max()) + 1
-        pairs, first, pair = np.unique(context * width + token[at], return_index=True, return_inverse=True)
+        different, _, context = _groups(context * width + word[at])
+        size = len(different)
+        pairs, first, pair = _groups(context * width + token[at])
         owner = pairs // width
         n = _sums(pair, counts[at], len(pairs))
         total, kinds = _sums(owner, n, size), _sums(owner, n > 0, size)
