@@ -88,6 +88,20 @@ def test_postings_and_bounds_leave_vectors_out():
     assert scored < 0.2 * 40 * 2000
 
 
+def test_every_row_of_a_repeated_id_is_a_candidate_and_a_query(spark):
+    rows = [(0, [1.0, 0.0]), (1, [3.0, 1.0]), (1, [3.0, 1.0]), (1, [2.0, 0.0]), (2, [1.0, 5.0]), (50, [0.0, 1.0]), (50, [1.0, 1.0])]
+    for factor in (1.0, 2.0**19):  # the second is beyond what doubles add up exactly
+        scaled = [(i, [x * factor for x in v]) for i, v in rows]
+        found = maxscore.search(spark.createDataFrame(scaled, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0,
+                                maxscore.SearchRules(shard_rows=2, query_rows=1))
+        ints = [(i, [math.floor(256 * x) for x in v]) for i, v in scaled]
+        expected = []
+        for own, (q, query) in enumerate(ints):
+            others = [(-sum(a * b for a, b in zip(query, v)), i) for row, (i, v) in enumerate(ints) if row != own]
+            expected += [(q, k, i, -s) for k, (s, i) in enumerate(sorted(others)[:5], 1) if q % 50 == 0]
+        assert listed(found, "query_id", "rank", "vec_id", "score") == sorted(expected, key=repr)
+
+
 def test_top_k_of_few_and_huge_vectors(spark):
     rows = [(0, [3e30, 1.0]), (1, [2e30, 5.0]), (2, [-1.0, 0.5])]
     found = listed(maxscore.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"),
