@@ -109,3 +109,17 @@ def test_distinct_stations_do_not_add_up_twice(spark, events):
                                   distincts.FAULT_KEYS)
     found = distincts.distinct_by(merged, ["error_code"]).orderBy("error_code").collect()
     assert [(r.error_code, r.faults, r.distinct_stations) for r in found] == [("E0", 30, 7), ("E1", 30, 7)]
+
+
+def test_a_load_reads_its_facts_once(spark, sf, tmp_path):
+    """A dozen tables are made of a load; what its facts come from runs once, not for each of them."""
+    passed = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            passed.add(batch.num_rows)
+            yield batch
+
+    facts = testdata.charging_events(spark, sf)
+    jobs.load_facts(spark, str(tmp_path), facts.mapInArrow(counted, facts.schema), "one")
+    assert passed.value == facts.count() == StoredAnalytics(spark, str(tmp_path)).total_events().first()[0]

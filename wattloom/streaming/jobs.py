@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wattloom.functions.numeric import n_rows
 from wattloom.operators import ingest, replay
 from wattloom.operators.lateness import BLOCK
-from wattloom.schema import MAX_LATENESS_S
+from wattloom.schema import FACT_NAMES, MAX_LATENESS_S
 from wattloom.session import drop_folder, prepare, store
 from wattloom.sources.deadletter import TABLE as LETTERS, read_dead_letters, write_letters_run
 from wattloom.sources.fact import TABLE as FACT, read_fact, write_fact_run
@@ -114,9 +114,12 @@ def load_facts(spark: SparkSession, folder: str, facts: DataFrame, load_id: str)
     past = snapshots.current() or Manifest()
     if f"load-{load_id}" in past.replays:
         return
-    run = Run(f"batch_id=load-{load_id}", 0, past.last_batch, past.last_batch)
+    stage, run = f"{folder}/stage-load-{load_id}", Run(f"batch_id=load-{load_id}", 0, past.last_batch, past.last_batch)
+    # A dozen tables are made of the facts: stored once, what they come from is read, joined and broadcast once.
+    facts = store(facts.select(*FACT_NAMES), f"{stage}/facts")
     steps, stations = _fact_steps(snapshots, facts, past, run, clustered=True)
     snapshots.publish(replace(past.with_runs({**stations, **together(steps)}), replays=(*past.replays, f"load-{load_id}")))
+    drop_folder(spark, stage)
 
 
 def replay_late(spark: SparkSession, folder: str, replay_id: str, since: datetime | None = None,
