@@ -251,3 +251,19 @@ def test_replay_takes_each_late_event_once(spark):
     assert replay.replayed_rows(letters, facts.drop("arrival").union(rows)).count() == 0
     hours = replay.recomputed_hours(facts, rows).selectExpr("hour(hour) AS h", "total_energy_kwh AS e").collect()
     assert {r.h: r.e for r in hours} == {8: 2.0, 7: 4.0}
+
+
+def test_a_large_stored_file_is_parsed_in_parts(spark, tmp_path):
+    """One file is one task's; its messages are dealt out evenly before they are parsed, whatever hash the log was cut by."""
+    texts = [message(event_id=f"e{i // 2}", vehicle_model=random.Random(i).randbytes(200).hex()) for i in range(30_000)]
+    raw = raw_frame(spark, texts).repartition(4, "arrival")
+    raw.filter("spark_partition_id() = 1").coalesce(1).write.parquet(str(tmp_path / "small"))
+    raw.coalesce(1).write.parquet(str(tmp_path / "large"))
+    small, large = (spark.read.schema(RAW_DDL).parquet(str(tmp_path / name)) for name in ("small", "large"))
+    assert ingest.spread(small) is small
+    assert "xxhash64(arrival" in ingest.first_unseen(large)._jdf.queryExecution().optimizedPlan().toString()
+    for stored, part_bytes in ((large, ingest.PART_BYTES), (small, 100_000)):
+        spread = ingest.spread(stored, part_bytes)
+        sizes = [len(p) for p in spread.select("arrival").rdd.glom().collect()]
+        assert len(sizes) >= 8 and sum(sizes) == stored.count() and max(sizes) < 1.5 * sum(sizes) / len(sizes)
+    assert ingest.first_unseen(large).count() == 15_000
