@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wattloom.functions.numeric import n_rows
 from wattloom.operators import ingest, replay
+from wattloom.operators.dedup import drop_seen
 from wattloom.operators.lateness import BLOCK
 from wattloom.schema import FACT_NAMES, MAX_LATENESS_S
 from wattloom.session import drop_folder, prepare, store
@@ -41,7 +42,10 @@ class Intake:
         self.spark, self.stage = batch.sparkSession, f"{snapshots.root}/stage"
         taken, judged = Observation(f"messages-{batch_id}"), Observation(f"outcome-{batch_id}")
         raw = store(with_arrival(batch).observe(taken, n_rows().alias("messages")), f"{self.stage}/messages")
-        fresh = store(ingest.first_unseen(raw, tables.read_seen(snapshots, past)), f"{self.stage}/fresh")
+        # Stored before the seen ids are asked for, so that messages are not parsed a second time for theirs.
+        fresh, seen = store(ingest.first_unseen(raw), f"{self.stage}/first"), tables.read_seen(snapshots, past)
+        if seen is not None:
+            fresh = store(drop_seen(fresh, seen), f"{self.stage}/fresh")
         classified = ingest.judge(
             fresh, lateness_s=lateness_s, prior_high_water=tables.instant(past.high_water), block=block)
         mark = F.max(F.unix_micros("high_water")).alias("mark")
