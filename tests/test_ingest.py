@@ -267,3 +267,45 @@ def test_a_large_stored_file_is_parsed_in_parts(spark, tmp_path):
         sizes = [len(p) for p in spread.select("arrival").rdd.glom().collect()]
         assert len(sizes) >= 8 and sum(sizes) == stored.count() and max(sizes) < 1.5 * sum(sizes) / len(sizes)
     assert ingest.first_unseen(large).count() == 15_000
+
+
+@pytest.fixture
+def two_partitions(spark):
+    """A session whose shuffles have two partitions, whatever the size of the input."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "2")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_whole_rows_are_sorted_in_parts_of_a_bounded_size(spark, tmp_path, two_partitions):
+    """The shuffles of first arrivals, blocks and late letters follow the stored size, not the session's setting; a hot id
+    and repeated rows still leave the earliest message."""
+    rng = random.Random(1)
+    texts = [
+        message(event_id="hot" if i % 3 == 0 else f"e{i // 2}", vehicle_model=rng.randbytes(500).hex(),
+                timestamp=f"2024-06-15T{12 - rng.randrange(3):02}:{rng.randrange(60):02}:00Z")
+        for i in range(30_000)
+    ]
+    raw_frame(spark, texts).coalesce(1).write.parquet(str(tmp_path / "stored"))
+    stored = spark.read.schema(RAW_DDL).parquet(str(tmp_path / "stored"))
+    fresh, judged = ingest.first_unseen(stored), ingest.classify(stored, block=64)
+    for rows in (fresh, judged):
+        sizes = [len(p) for p in rows.select("arrival", "raw", "reason").rdd.glom().collect()]
+        assert len(sizes) >= 8 and max(sizes) < 2 * sum(sizes) / len(sizes)
+    found = {r.arrival: r.reason is not None for r in judged.select("arrival", "reason").collect()}
+    assert found == reference_outcome(texts) and 1_000 < sum(found.values())
+
+
+def test_a_hot_id_is_reduced_before_it_is_dealt_out_by_id(spark, tmp_path):
+    texts = [message(event_id="hot", vehicle_model=random.Random(i).randbytes(200).hex()) for i in range(20_000)]
+    raw_frame(spark, texts).coalesce(1).write.parquet(str(tmp_path / "hot"))
+    stored = spark.read.schema(RAW_DDL).parquet(str(tmp_path / "hot"))
+    cells = ingest.spread(stored).select("_cell").distinct().count()
+    kept = ingest.first_unseen(stored)
+    assert [r.arrival for r in kept.collect()] == [0]
+    assert cells <= 8 * ingest.CELLS
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    by_id = plan.index("hashpartitioning(dedup_key")
+    assert "windowspecdefinition(_cell" in plan[by_id:] and "hashpartitioning(_cell" in plan[by_id:]

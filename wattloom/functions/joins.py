@@ -1,4 +1,4 @@
-"""Dimension lookups that hold up under a hot key."""
+"""Dimension lookups that hold up under a hot key, and the number of parts that a shuffle deals a table out in."""
 
 from __future__ import annotations
 
@@ -7,6 +7,12 @@ from pyspark.sql import DataFrame, functions as F
 BROADCAST_BYTES = 32 * 1024 * 1024
 # A key with more than 1 of this many rows is hot; so there are at most this many.
 HOT_SHARE = 100
+# Stored size of the messages in a part, some 35,000 of 600 characters in snappy Parquet. Sizes that Catalyst does not know,
+# it takes for larger than any table.
+PART_BYTES = 4 * 1024 * 1024
+UNKNOWN_BYTES = 2**60
+# Up to as many parts a task writes its rows straight to files; for more, Spark keeps them in memory to sort them by part.
+SHUFFLE_PARTS = 200
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -14,6 +20,24 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def stored_bytes(df: DataFrame) -> int:
+    """Size of the largest table that a frame reads; joins and windows on the way, which Catalyst can't size, don't count."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return max((int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())), default=0)
+
+
+def parts_of(df: DataFrame, part_bytes: int = PART_BYTES) -> int | None:
+    """Number of parts that bound a task's share of a frame, at least one a core; none if it is small or of unknown size.
+
+    Parts hold `part_bytes` of the stored table, or more of a table beyond SHUFFLE_PARTS of these, up to eight times as much.
+    """
+    size = stored_bytes(df)
+    if not part_bytes < size < UNKNOWN_BYTES:
+        return None
+    parts = max(min(-(-size // part_bytes), SHUFFLE_PARTS), -(-size // (8 * part_bytes)))
+    return max(parts, df.sparkSession.sparkContext.defaultParallelism)
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
 

@@ -10,19 +10,22 @@ from wattloom.functions.joins import broadcast_if_small
 DEDUP_KEY = "IF(reason IS NULL, concat('id:', event_id), concat('at:', CAST(arrival AS STRING)))"
 
 
-def first_arrivals(checked: DataFrame) -> DataFrame:
+def _first_of(keyed: DataFrame, *keys: str) -> DataFrame:
+    by_id = Window.partitionBy(*keys).orderBy("arrival")
+    return keyed.withColumn("_rank", F.row_number().over(by_id)).filter("_rank = 1").drop("_rank")
+
+
+def first_arrivals(checked: DataFrame, parts: int | None = None) -> DataFrame:
     """One row per event id, the earliest.
 
     The rank filter is a top-1 per key, which Spark also applies before the shuffle: of an id resent a billion
-    times each task passes on one row.
+    times each task passes on one row. Messages that come in parts are dealt out by id in as many, as a task sorts whole
+    rows; then the filter runs once more before that shuffle, in each cell of a part.
     """
-    by_id = Window.partitionBy("dedup_key").orderBy("arrival")
-    return (
-        checked.selectExpr("*", f"{DEDUP_KEY} AS dedup_key")
-        .withColumn("_rank", F.row_number().over(by_id))
-        .filter("_rank = 1")
-        .drop("_rank")
-    )
+    keyed = checked.selectExpr("*", f"{DEDUP_KEY} AS dedup_key")
+    if parts is not None:
+        keyed = _first_of(keyed, "_cell", "dedup_key").drop("_cell").repartition(parts, "dedup_key")
+    return _first_of(keyed, "dedup_key")
 
 
 def drop_seen(fresh: DataFrame, seen: DataFrame | None) -> DataFrame:

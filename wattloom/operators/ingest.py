@@ -10,7 +10,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wattloom.functions.joins import estimated_bytes
+from wattloom.functions.joins import PART_BYTES, parts_of
 from wattloom.functions.numeric import count_where, n_rows, ratio, rnd
 from wattloom.operators.conform import fact_columns, with_conversion_error
 from wattloom.operators.decode import decode
@@ -20,10 +20,8 @@ from wattloom.operators.validate import validate
 from wattloom.schema import MAX_LATENESS_S
 from wattloom.session import materialize
 
-# Stored size of the messages that one task parses, some 35,000 of 600 characters in snappy Parquet. Sizes that Catalyst
-# does not know, it takes for larger than any table.
-PART_BYTES = 4 * 1024 * 1024
-UNKNOWN_BYTES = 2**60
+# Shares of a part of the messages, enough to make parts even.
+CELLS = 64
 
 PAYLOAD = ["arrival", "raw", "event_id", "event_type", "station_id", "event_ts", "reason", "fact"]
 
@@ -35,26 +33,27 @@ def check(raw: DataFrame) -> DataFrame:
     """
     checked = with_conversion_error(validate(decode(raw)))
     typed = f"IF(reason IS NULL, struct({', '.join(fact_columns())}), NULL) AS fact"
-    return checked.selectExpr(*[c for c in PAYLOAD if c != "fact"], typed, "conversion_error")
+    cell = [c for c in raw.columns if c == "_cell"]
+    return checked.selectExpr(*[c for c in PAYLOAD if c != "fact"], typed, "conversion_error", *cell)
 
 
 def spread(raw: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
-    """Stored messages in parts of a bounded size, at least one a core, before they are parsed.
+    """Stored messages in parts of a bounded size, at least one a core, before they are parsed; `_cell` is a share of a part.
 
     A task that reads a whole split parses all of it alone and keeps the typed rows, many times the stored size, to sort
     them by id ahead of the shuffle. Messages of unknown size, and few of them, stay as they are.
     """
-    size = estimated_bytes(raw)
-    if not part_bytes < size < UNKNOWN_BYTES:
+    parts = parts_of(raw, part_bytes)
+    if parts is None:
         return raw
-    parts = max(-(-size // part_bytes), raw.sparkSession.sparkContext.defaultParallelism)
     # A log may be partitioned by the hash that Spark uses for a column, so another one is taken.
-    return raw.repartition(parts, F.xxhash64("arrival"))
+    cell = F.expr(f"pmod(xxhash64(arrival), {CELLS * parts})")
+    return raw.withColumn("_cell", cell).repartition(parts, "_cell")
 
 
 def first_unseen(raw: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     """Checked messages without duplicates, neither among themselves nor of ids taken earlier."""
-    return drop_seen(first_arrivals(check(spread(raw))), seen)
+    return drop_seen(first_arrivals(check(spread(raw)), parts_of(raw)), seen)
 
 
 def judge(

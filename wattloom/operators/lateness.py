@@ -12,6 +12,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from wattloom.functions.joins import parts_of
 from wattloom.functions.windows import utc
 from wattloom.schema import MAX_LATENESS_S
 
@@ -33,12 +34,17 @@ def _earlier_maximum(blocks: DataFrame, block: int) -> DataFrame:
 
 
 def running_maximum(df: DataFrame, position: str, value: str, name: str, block: int = BLOCK) -> DataFrame:
-    """Adds `name`: the maximum of `value` (nulls ignored) over all rows up to this one by unique `position`."""
+    """Adds `name`: the maximum of `value` (nulls ignored) over all rows up to this one by unique `position`.
+
+    The rows are sorted whole, so those of a stored table are dealt out by block in parts of a bounded size.
+    """
     blocked = df.withColumn("_block", F.expr(f"{position} div {block}"))
     tops = blocked.groupBy("_block").agg(F.max(value).alias("_top"))
     inside = Window.partitionBy("_block").orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
+    parts = parts_of(df)
+    dealt = blocked if parts is None else blocked.repartition(parts, "_block")
     return (
-        blocked.withColumn("_running", F.max(value).over(inside))
+        dealt.withColumn("_running", F.max(value).over(inside))
         .join(_earlier_maximum(tops, block), "_block")
         .withColumn(name, F.greatest("_running", "_carry"))
         .drop("_block", "_running", "_carry")
