@@ -298,6 +298,22 @@ def test_whole_rows_are_sorted_in_parts_of_a_bounded_size(spark, tmp_path, two_p
     assert found == reference_outcome(texts) and 1_000 < sum(found.values())
 
 
+def test_many_late_letters_are_dealt_out_in_parts_and_not_broadcast(spark, tmp_path, two_partitions, monkeypatch):
+    """Behind a parsed message Catalyst takes any number of ids for few."""
+    texts = [message(event_id=f"e{i}", event_type="session_stop", vehicle_model=random.Random(i).randbytes(500).hex(),
+                     timestamp=f"2024-06-15T{10 + i % 2 if i else 23}:00:00Z") for i in range(20_000)]
+    raw_frame(spark, texts).coalesce(1).write.parquet(str(tmp_path / "late"))
+    judged = ingest.classify(spark.read.schema(RAW_DDL).parquet(str(tmp_path / "late")))
+    monkeypatch.setattr(replay, "BROADCAST_BYTES", 1_000_000)
+    letters, facts = ingest.rejected(judged), ingest.accepted(judged)
+    rows = replay.replayed_rows(letters, facts)
+    assert "strategy=broadcast" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert rows.select("event_id", "vehicle_model").rdd.getNumPartitions() >= 8
+    assert rows.count() == 19_999 == replay.late_checked(letters.union(letters)).count()
+    hours = replay.recomputed_hours(facts, rows).selectExpr("hour(hour) AS h", "session_count AS n").collect()
+    assert {r.h: r.n for r in hours} == {10: 9_999, 11: 10_000}
+
+
 def test_a_hot_id_is_reduced_before_it_is_dealt_out_by_id(spark, tmp_path):
     texts = [message(event_id="hot", vehicle_model=random.Random(i).randbytes(200).hex()) for i in range(20_000)]
     raw_frame(spark, texts).coalesce(1).write.parquet(str(tmp_path / "hot"))

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wattloom.functions.joins import broadcast_if_small
+from wattloom.functions.joins import BROADCAST_BYTES, broadcast_if_small, parts_of, stored_bytes
 from wattloom.functions.windows import day_bucket, hour_bucket, utc
 from wattloom.operators.decode import evaluate_once
 from wattloom.operators.ingest import check, rejected
@@ -35,7 +35,10 @@ def late_rows(letters: DataFrame) -> DataFrame:
 def late_checked(letters: DataFrame) -> DataFrame:
     """The first late dead letter of each event id with its typed row and the conversion error it meets, if any."""
     first = F.min_by("raw_event", F.struct("rejected_at", "raw_event"))
-    late = late_letters(letters).groupBy("event_id").agg(first.alias("raw"))
+    late, parts = late_letters(letters), parts_of(letters)
+    # Texts are sorted to be grouped. They are dealt out in parts first; an id is rejected as late but a few times.
+    late = late if parts is None else late.repartition(parts, "event_id")
+    late = late.groupBy("event_id").agg(first.alias("raw"))
     return evaluate_once(check(late.select(F.lit(0).cast("bigint").alias("arrival"), "raw")))
 
 
@@ -49,9 +52,13 @@ def not_in_fact(rows: DataFrame, fact: DataFrame) -> DataFrame:
     """Rows whose event id the fact table lacks.
 
     The ids in question are looked up in the fact table, not the other way round: few of them, once stored, are
-    broadcast and the fact table is only scanned.
+    broadcast and the fact table is only scanned. Behind a parsed message Catalyst takes any number of ids for few, so the
+    table the rows are made of has to be small, too; rows of a larger one are dealt out in parts of a bounded size.
     """
-    known = fact.select("event_id").join(broadcast_if_small(rows.select("event_id")), "event_id", "left_semi").distinct()
+    parts, small = parts_of(rows), stored_bytes(rows) <= BROADCAST_BYTES
+    rows = rows if parts is None else rows.repartition(parts, "event_id")
+    ids = rows.select("event_id")
+    known = fact.select("event_id").join(broadcast_if_small(ids) if small else ids, "event_id", "left_semi").distinct()
     return rows.join(known, "event_id", "left_anti").select(*FACT_NAMES)
 
 
