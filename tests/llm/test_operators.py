@@ -675,6 +675,36 @@ def test_a_hot_word_is_spread_over_the_parts(spark):
     assert of == 3000 and len(sizes) == 16 and max(sizes) < 2 * of / 16
 
 
+def test_a_packed_block_has_its_tokens_ready(spark, monkeypatch):
+    import numpy as np
+
+    digest = xxhash.xxh64_intdigest
+    long = "y" * 128
+    texts = [" A\x0bb\tb\x1cc  b ", None, "", f"\u00c9 x\u00a0x {long} {long}y {long} abcdefgh abcdefghi", prose(90, 1), prose(90, 2), " \n "]
+    rows = [(i, 100 + i, i % 3 == 0, t) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "address long, key long, held_out boolean, text string").coalesce(1)
+    rules = suffix_tree.TreeRules(tokens_per_part=100)
+    packed = [r.asDict() for r in suffix_tree.blocks_of(frame.withColumn("text", F.col("text").cast("binary")), rules).collect()]
+    hot = suffix_tree.Hot(np.array([digest(b"b")], dtype=np.uint64), *(np.array([0, 3]),) * 3, np.array([False, True]), 9, 9)
+    monkeypatch.setattr(xxhash, "xxh64_intdigest", None)  # no word is hashed again
+    found = {}
+    for row in packed:
+        block = suffix_tree.Block([row], hot, 4)
+        found.update(zip(block.keys, zip(block.held_out, np.split(block.words[block.token], block.starts[1:]))))
+    assert len(packed) > 1 and sorted(found) == [r[1] for r in rows]
+    for _, key, held_out, text in rows:
+        expected = [digest(w) for w in [*(text or "").encode().lower().split(), b"\n"]]
+        assert found[key][0] == held_out and found[key][1].tolist() == expected
+
+
+def test_scoring_leaves_no_vocabulary_behind(docs, spark):
+    from wattloom.session import shared_dir, subfolders
+
+    stored = lambda: {f for f in subfolders(spark, shared_dir(spark)) if f.startswith("vocabulary")}
+    before = stored()
+    assert suffix_tree.score(docs.select("doc_id", "text")).count() == docs.count() and stored() == before
+
+
 def test_held_out_texts_score_better_than_by_counts_alone(spark, sf):
     scored = suffix_tree.score(spark.read.parquet(f"{sf}/documents.parquet")).where("held_out")
     sums = scored.agg(F.sum("score").alias("score"), F.sum("base_score").alias("base")).first()
