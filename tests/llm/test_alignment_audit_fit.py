@@ -123,6 +123,20 @@ def test_alignment_equals_brute_force(docs, block):
     assert counted == dict(pairs)
 
 
+def test_blocks_travel_in_rows_of_bounded_size(spark, docs):
+    words = [prose(40_000, 5), *[prose(3, i) for i in range(1_100)]]
+    wide = frame(spark, [(i, t, "en", "", 1) for i, t in enumerate(words)]).coalesce(1)
+    coded = alignment.code(wide)
+    size = sum((F.length(name) for name in alignment.ARRAYS), F.lit(0))
+    rows = coded.select("block", size.alias("bytes"), F.size("docs").alias("n"), F.length("words").alias("words")).collect()
+    assert len({r.block for r in rows}) == 1 and max(r.words for r in rows) <= 4 * 32_768 < sum(r.words for r in rows)
+    assert max(r.bytes for r in rows) < 2_000_000 and max(r.n for r in rows) <= 1_000 < sum(r.n for r in rows) == len(words)
+
+    whole = alignment.align(docs, keep_groups=True)
+    pieces = alignment.align(docs, alignment.AlignRules(piece_numbers=7, piece_docs=2), keep_groups=True)
+    assert sorted(whole.collect(), key=repr) == sorted(pieces.collect(), key=repr)
+
+
 def test_alignment_meets_odd_texts(docs):
     """The table has what the rules speak of: texts that a tokenizer does not give back, and groups of every shape."""
     expected, pairs = brute_alignment([r.text for r in docs.select("text").collect()])

@@ -6,7 +6,8 @@ whose bytes overlap are linked; an id pair's count is how many links of the corp
 1. Workers gather documents into blocks of bounded size. Neither vocabulary has a token that goes on behind a character
    into a space (checked for the second when it is loaded), so a text without two blanks in a row falls into words, which
    are encoded and aligned once a block; a document is the list of its words. Byte ends of all words of a block are lined
-   up in one array, where groups and links come out by sorted search.
+   up in one array, where groups and links come out by sorted search. A block travels as pieces, rows of a few hundred
+   kilobytes: for rows of megabytes a JVM takes its whole heap and buffers beside it.
 2. Identity map: an array takes each id of A to the id of B with the same bytes. A group of one token each whose ids it
    pairs is regular, and is counted in a vector as long as A's vocabulary. Only the links of other groups enter the pair
    shuffle, one row per block and pair.
@@ -45,6 +46,8 @@ class AlignRules:
     block_bytes: int = 4_000_000
     block_rows: int = 50_000
     chunk_words: int = 20_000
+    piece_numbers: int = 32_768  # of every array
+    piece_docs: int = 1_000
     byte_bpe: str | None = None
     piece_bpe: str | None = None
 
@@ -176,12 +179,14 @@ def align_in_chunks(words: list[str], vocabularies: Vocabularies, chunk: int) ->
 
 DOC = [("doc_id", pa.int64()), *[(c, pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")],
        ("groups_sha256", pa.string()), ("groups", pa.string())]
-# Number arrays travel as bytes: words of the documents and how many each has, links (an id of A if regular, else the size
+DOC_TYPE = pa.struct(DOC)
+# Number arrays travel as bytes, a stretch of each in every piece of a block: words of the documents and how many each has, links (an id of A if regular, else the size
 # of A's vocabulary and the place in `pairs`) and how many each word has, pairs and regular ids with their counts.
 ARRAYS = {"words": "<u4", "n_words": "<u4", "links": "<u4", "n_links": "<u4", "pairs": "<i8", "pair_counts": "<i8",
           "regular": "<u4", "regular_counts": "<i8"}
-BLOCK = pa.schema([("block", pa.int64()), ("docs", pa.list_(pa.struct(DOC))), *[(name, pa.binary()) for name in ARRAYS]])
-BLOCK_DDL = ("block long, docs array<struct<doc_id long, n_a long, n_b long, n_groups long, n_links long, "
+PIECE = pa.schema([("block", pa.int64()), ("piece", pa.int64()), ("docs", pa.list_(DOC_TYPE)),
+                   *[(name, pa.binary()) for name in ARRAYS]])
+PIECE_DDL = ("block long, piece long, docs array<struct<doc_id long, n_a long, n_b long, n_groups long, n_links long, "
              "groups_sha256 string, groups string>>, " + ", ".join(f"{name} binary" for name in ARRAYS))
 
 
@@ -193,8 +198,8 @@ def sums_by(lengths: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def code_block(block: int, keys: list, texts: list[str], vocabularies: Vocabularies, rules: AlignRules,
-               keep_groups: bool) -> pa.RecordBatch:
-    """One row with the documents of a block, their words and links, and its counts."""
+               keep_groups: bool) -> Iterator[pa.RecordBatch]:
+    """The documents of a block, their words and links, and its counts, a row for each piece."""
     index: dict[str, int] = {}
     placed = [np.array([index.setdefault(w, len(index)) for w in vocabularies.words(t)] if t else [], dtype=np.int64)
               for t in texts]
@@ -203,13 +208,14 @@ def code_block(block: int, keys: list, texts: list[str], vocabularies: Vocabular
     n_words = np.array(list(map(len, placed)), dtype=np.int64)
     words = np.concatenate(placed)
 
-    figures = {c: sums_by(n_words, getattr(found, c)[words]).tolist() for c in ("n_a", "n_b", "n_groups", "n_links")}
+    figures = {c: sums_by(n_words, getattr(found, c)[words]) for c in ("n_a", "n_b", "n_groups", "n_links")}
     digests, shown = [], []
     for ids in placed:
         joined = b";".join(map(found.groups.__getitem__, ids.tolist()))
         digests.append(hashlib.sha256(joined).hexdigest() if joined else "")
         shown.append(joined.decode() if keep_groups else None)
-    docs = [dict(zip([c for c, _ in DOC], row)) for row in zip(keys, *figures.values(), digests, shown)]
+    columns = [keys, *figures.values(), digests, shown]
+    docs = pa.StructArray.from_arrays([pa.array(c, type=kind) for c, (_, kind) in zip(columns, DOC)], fields=list(DOC_TYPE))
 
     times = np.repeat(np.bincount(words, minlength=len(index)), found.n_links)
     irregular = ~found.regular
@@ -221,13 +227,19 @@ def code_block(block: int, keys: list, texts: list[str], vocabularies: Vocabular
     regular = np.flatnonzero(vector)
     arrays = {"words": words, "n_words": n_words, "links": links, "n_links": found.n_links, "pairs": pairs,
               "pair_counts": pair_counts, "regular": regular, "regular_counts": vector[regular]}
-    row = {"block": block, "docs": docs, **{name: arrays[name].astype(kind).tobytes() for name, kind in ARRAYS.items()}}
-    return pa.RecordBatch.from_pylist([row], schema=BLOCK)
+    arrays = {name: arrays[name].astype(kind) for name, kind in ARRAYS.items()}
+    n, m = rules.piece_numbers, rules.piece_docs
+    for piece in range(max(-(-len(docs) // m), *[-(-len(values) // n) for values in arrays.values()])):
+        few = docs[piece * m:(piece + 1) * m]
+        stretches_of = [values[piece * n:(piece + 1) * n].tobytes() for values in arrays.values()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([block]), pa.array([piece]), pa.ListArray.from_arrays(pa.array([0, len(few)], pa.int32()), few),
+             *[pa.array([values], pa.binary()) for values in stretches_of]], schema=PIECE)
 
 
 def code(docs: DataFrame, rules: AlignRules = AlignRules(), text: str = "text", key: str = "doc_id",
          keep_groups: bool = False) -> DataFrame:
-    """One row per block of documents."""
+    """Blocks of documents, in pieces."""
     small_batches(docs.sparkSession)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,21 +251,31 @@ def code(docs: DataFrame, rules: AlignRules = AlignRules(), text: str = "text",
                 texts.append(value or "")
                 size += len(value or "")
                 if size >= rules.block_bytes or len(keys) >= rules.block_rows:
-                    yield code_block(number, keys, texts, vocabularies, rules, keep_groups)
+                    yield from code_block(number, keys, texts, vocabularies, rules, keep_groups)
                     keys, texts, size, number = [], [], 0, number + 1
+                    pa.default_memory_pool().release_unused()
         if keys:
-            yield code_block(number, keys, texts, vocabularies, rules, keep_groups)
+            yield from code_block(number, keys, texts, vocabularies, rules, keep_groups)
 
     columns = [F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")]
-    return docs.select(*columns).mapInArrow(blocks, BLOCK_DDL)
+    return docs.select(*columns).mapInArrow(blocks, PIECE_DDL)
 
 
-def _numbers(block: dict | pa.RecordBatch, name: str) -> np.ndarray:
+def _numbers(block: dict, name: str) -> np.ndarray:
     return np.frombuffer(block[name], dtype=ARRAYS[name]).astype(np.int64)
 
 
+def _whole(pieces: pa.Table) -> dict:
+    """The documents and the arrays of a block out of its pieces."""
+    order = np.argsort(pieces["piece"].to_numpy())
+    lists = pieces["docs"].combine_chunks()
+    docs = pa.concat_arrays([lists[i].values for i in order.tolist()])
+    arrays = {name: pieces[name].to_pylist() for name in ARRAYS}
+    return {"docs": docs, **{name: b"".join(map(values.__getitem__, order.tolist())) for name, values in arrays.items()}}
+
+
 def _counts(coded: DataFrame, ids: str, counts: str, name: str) -> DataFrame:
-    """block, name, n: the counts of every block, one row each."""
+    """block, name, n: the counts of every block, one row each; a piece has as many ids as counts."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -321,17 +343,16 @@ def align(docs: DataFrame, rules: AlignRules = AlignRules(), text: str = "text",
 
     def finish(blocks: pa.Table, replies: pa.Table) -> pa.Table:
         same, regular_total, highest = vectors.value
-        out: list[dict] = []
-        for row in blocks.to_pylist():
-            pairs, links = _numbers(row, "pairs"), _numbers(row, "links")
-            order = np.argsort(replies["pair"].to_numpy())
-            counts = np.concatenate([regular_total, replies["total"].to_numpy()[order]])[links]
-            b = np.concatenate([same, pairs & ((1 << B_SHIFT) - 1)])[links]
-            by_word = [sums_by(_numbers(row, "n_links"), v) for v in (counts == highest[b], counts)]
-            n_words, words = _numbers(row, "n_words"), _numbers(row, "words")
-            sums = [sums_by(n_words, w[words]).tolist() for w in by_word]
-            out += [{**doc, "n_best": best, "count_sum": total} for doc, best, total in zip(row["docs"], *sums)]
-        return pa.Table.from_pylist(out, schema=schema)
+        whole = _whole(blocks)
+        pairs, links = _numbers(whole, "pairs"), _numbers(whole, "links")
+        order = np.argsort(replies["pair"].to_numpy())
+        counts = np.concatenate([regular_total, replies["total"].to_numpy()[order]])[links]
+        b = np.concatenate([same, pairs & ((1 << B_SHIFT) - 1)])[links]
+        by_word = [sums_by(_numbers(whole, "n_links"), v) for v in (counts == highest[b], counts)]
+        n_words, words = _numbers(whole, "n_words"), _numbers(whole, "words")
+        sums = [pa.array(sums_by(n_words, w[words]), pa.int64()) for w in by_word]
+        told = [whole["docs"].field(name) for name, _ in DOC]
+        return pa.Table.from_arrays([*told[:5], *sums, *told[5:]], schema=schema)
 
     ddl = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
            "groups_sha256 string, groups string")
