@@ -1,6 +1,8 @@
 """Fact and dead-letter tables, export, encoding, and the two streaming consumers."""
 
 import json
+import os
+import time
 from datetime import date, datetime, timezone
 
 import pytest
@@ -206,3 +208,38 @@ def test_live_consumer_counts_late_events_too(spark, chunks, tmp_path):
     assert rows(stored("active_counts")) == rows(state.active_counts(facts))
     assert rows(state.station_status(stored("station_cells"), now)) == rows(state.station_status_history(facts))
     assert rows(state.live_sessions(stored("session_cells"), now)) == rows(state.live_sessions_at(facts))
+
+
+@pytest.mark.parametrize("consumer, letters", [(jobs.live_batch, False), (jobs.warehouse_batch, True)])
+def test_a_batch_keeps_on_disk_only_what_its_next_step_reads(spark, sf, tmp_path, monkeypatch, consumer, letters):
+    batch, folder, stored, staged = testdata.raw_events(spark, sf), str(tmp_path / "consumer"), {}, []
+    store, together = jobs.store, jobs.together
+
+    def watched_store(df, path):
+        stored[os.path.basename(path)] = set(df.columns)
+        return store(df, path)
+
+    def watched_steps(steps):
+        staged.append(sorted(os.listdir(f"{folder}/stage")))
+        judged = spark.read.parquet(f"{folder}/stage/classified")
+        assert judged.filter("reason IS NULL AND fact IS NULL").isEmpty()
+        if letters:
+            assert judged.filter("isnull(reason) = isnotnull(raw)").isEmpty()
+        return together(steps)
+
+    def shuffles():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        return {name for top in found for _, _, names in os.walk(str(top)) for name in names if name.startswith("shuffle_")}
+
+    monkeypatch.setattr(jobs, "store", watched_store)
+    monkeypatch.setattr(jobs, "together", watched_steps)
+    before = shuffles()
+    consumer(folder)(batch, 0)
+    # Stored messages get no copy, and only letters need their text.
+    assert sorted(stored) == ["classified", "first"] and staged == [["classified"]]
+    assert all(("raw" in columns) == letters for columns in stored.values())
+    until = time.time() + 30
+    while shuffles() - before and time.time() < until:  # they are deleted in the background
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert batch.sparkSession.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"

@@ -26,6 +26,11 @@ def stored_bytes(df: DataFrame) -> int:
     return max((int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())), default=0)
 
 
+def is_sized(df: DataFrame) -> bool:
+    """Whether Catalyst knows the size of the tables that a frame reads."""
+    return stored_bytes(df) < UNKNOWN_BYTES
+
+
 def parts_of(df: DataFrame, part_bytes: int = PART_BYTES) -> int | None:
     """Number of parts that bound a task's share of a frame, at least one a core; none if it is small or of unknown size.
 

@@ -66,7 +66,8 @@ def judge(
     """Adds `high_water` and turns `reason` into the final one: schema rule, then lateness, then conversion."""
     timed = with_high_water(fresh, prior_high_water, block)
     final = f"coalesce(reason, {late_reason(lateness_s)}, conversion_error) AS reason"
-    return timed.selectExpr(*[c for c in PAYLOAD if c != "reason"], "dedup_key", "high_water", final)
+    carried = [c for c in PAYLOAD if c != "reason" and c in timed.columns]  # without raw if nobody writes letters
+    return timed.selectExpr(*carried, "dedup_key", "high_water", final)
 
 
 def classify(raw: DataFrame, *, seen: DataFrame | None = None, stage: bool = True, **judging) -> DataFrame:
@@ -79,6 +80,12 @@ def classify(raw: DataFrame, *, seen: DataFrame | None = None, stage: bool = Tru
     return judge(materialize(fresh, "fresh-messages") if stage else fresh, **judging)
 
 
+def only_used(classified: DataFrame) -> DataFrame:
+    """The same without what no one reads: the text of accepted messages and the typed row of rejected ones."""
+    used = {"raw": F.col("reason").isNotNull(), "fact": F.col("reason").isNull()}
+    return classified.withColumns({c: F.when(kept, F.col(c)) for c, kept in used.items() if c in classified.columns})
+
+
 def accepted(classified: DataFrame) -> DataFrame:
     """Typed fact rows of the accepted messages, with their arrival number."""
     return classified.filter("reason IS NULL").select("arrival", "fact.*")

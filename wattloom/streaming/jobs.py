@@ -13,12 +13,13 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from wattloom.functions.joins import is_sized
 from wattloom.functions.numeric import n_rows
 from wattloom.operators import ingest, replay
 from wattloom.operators.dedup import drop_seen
 from wattloom.operators.lateness import BLOCK
 from wattloom.schema import FACT_NAMES, MAX_LATENESS_S
-from wattloom.session import drop_folder, prepare, store
+from wattloom.session import drop_folder, prepare, shuffles_dropped, store
 from wattloom.sources.deadletter import TABLE as LETTERS, read_dead_letters, write_letters_run
 from wattloom.sources.fact import TABLE as FACT, read_fact, write_fact_run
 from wattloom.sources.snapshot import FANOUT, Manifest, Run, Snapshots, together
@@ -34,27 +35,45 @@ COUNTS_DDL = ("messages bigint, accepted bigint, dead_letters bigint, late bigin
 class Intake:
     """A micro-batch classified against what earlier ones left, with its counters.
 
-    The counters are observed while the batch is stored, so they cost no pass of their own.
+    The counters are observed while the batch is stored, so they cost no pass of their own. A step's table goes once the
+    next one is stored, and a consumer without `letters` does not carry the text of the messages.
     """
 
-    def __init__(self, batch: DataFrame, batch_id: int, snapshots: Snapshots, past: Manifest, lateness_s: int, block: int):
+    def __init__(self, batch: DataFrame, batch_id: int, snapshots: Snapshots, past: Manifest, lateness_s: int, block: int,
+                 letters: bool):
         self.snapshots, self.past, self.batch_id = snapshots, past, batch_id
         self.spark, self.stage = batch.sparkSession, f"{snapshots.root}/stage"
         taken, judged = Observation(f"messages-{batch_id}"), Observation(f"outcome-{batch_id}")
-        raw = store(with_arrival(batch).observe(taken, n_rows().alias("messages")), f"{self.stage}/messages")
+        raw = with_arrival(batch)
+        # Messages of a stored table are read from there; a log's get a copy, which tells their number of parts.
+        if "arrival" not in batch.columns or not is_sized(batch):
+            raw = store(raw.observe(taken, n_rows().alias("messages")), f"{self.stage}/messages")
+            counted = taken.get
+        else:  # not observed ahead of a shuffle, whose tasks may run again
+            counted = {"messages": raw.count()}
+        first = ingest.first_unseen(raw)
         # Stored before the seen ids are asked for, so that messages are not parsed a second time for theirs.
-        fresh, seen = store(ingest.first_unseen(raw), f"{self.stage}/first"), tables.read_seen(snapshots, past)
+        fresh = store(first if letters else first.drop("raw"), f"{self.stage}/first")
+        self._drop("messages")
+        seen = tables.read_seen(snapshots, past)
         if seen is not None:
             fresh = store(drop_seen(fresh, seen), f"{self.stage}/fresh")
+            self._drop("first")
         classified = ingest.judge(
             fresh, lateness_s=lateness_s, prior_high_water=tables.instant(past.high_water), block=block)
         mark = F.max(F.unix_micros("high_water")).alias("mark")
-        self.classified = store(classified.observe(judged, *ingest.outcome_counts(), mark), f"{self.stage}/classified")
-        self.counts = {**taken.get, **judged.get}
+        observed = ingest.only_used(classified.observe(judged, *ingest.outcome_counts(), mark))
+        self.classified = store(observed, f"{self.stage}/classified")
+        self._drop("first", "fresh")
+        self.counts = {**counted, **judged.get}
         marks = [m for m in (past.high_water, self.counts.pop("mark", None)) if m is not None]
         self.high_water = max(marks, default=None)
         self.run = Run(f"batch_id={batch_id}", 0, batch_id, batch_id, mark=self.high_water)
 
+    def _drop(self, *names: str) -> None:
+        for name in names:
+            drop_folder(self.spark, f"{self.stage}/{name}")
+
     def publish(self, steps: tables.Steps, fanout: int, runs: dict[str, Run] | None = None) -> None:
         """Metrics and seen ids join what the batch writes; then all of it is there at once. Merges follow, as a step of
         their own."""
@@ -78,24 +97,25 @@ def _fact_steps(snapshots: Snapshots, facts: DataFrame, past: Manifest, run: Run
     return steps, stations
 
 
-def _take_in(batch: DataFrame, batch_id: int, folder: str, lateness_s: int, block: int) -> Intake | None:
+def _take_in(batch: DataFrame, batch_id: int, folder: str, lateness_s: int, block: int, letters: bool) -> Intake | None:
     """Nothing if the batch is published already, as when a query failed just before it could note that."""
     prepare(batch.sparkSession)
     snapshots = Snapshots(batch.sparkSession, folder)
     past = snapshots.current() or Manifest()
-    return None if batch_id <= past.last_batch else Intake(batch, batch_id, snapshots, past, lateness_s, block)
+    return None if batch_id <= past.last_batch else Intake(batch, batch_id, snapshots, past, lateness_s, block, letters)
 
 
 def warehouse_batch(folder: str, lateness_s: int = MAX_LATENESS_S, block: int = BLOCK, fanout: int = FANOUT) -> Callable:
     """Fact rows, dead letters and rollup partials of one micro-batch."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        intake = _take_in(batch, batch_id, folder, lateness_s, block)
-        if intake is None:
-            return
-        facts = ingest.accepted(intake.classified)
-        steps, stations = _fact_steps(intake.snapshots, facts, intake.past, intake.run, clustered=False)
-        steps[LETTERS] = lambda: write_letters_run(intake.snapshots, ingest.rejected(intake.classified), intake.run)
-        intake.publish(steps, fanout, stations)
+        with shuffles_dropped(batch.sparkSession):
+            intake = _take_in(batch, batch_id, folder, lateness_s, block, letters=True)
+            if intake is None:
+                return
+            facts = ingest.accepted(intake.classified)
+            steps, stations = _fact_steps(intake.snapshots, facts, intake.past, intake.run, clustered=False)
+            steps[LETTERS] = lambda: write_letters_run(intake.snapshots, ingest.rejected(intake.classified), intake.run)
+            intake.publish(steps, fanout, stations)
 
     return run
 
@@ -103,10 +123,11 @@ def warehouse_batch(folder: str, lateness_s: int = MAX_LATENESS_S, block: int =
 def live_batch(folder: str, block: int = BLOCK, fanout: int = FANOUT) -> Callable:
     """Live-state partials of one micro-batch; late events count here."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        intake = _take_in(batch, batch_id, folder, NEVER_LATE_S, block)
-        if intake is not None:
-            facts = ingest.accepted(intake.classified)
-            intake.publish(tables.partial_steps(intake.snapshots, facts, "live", LIVE_PARTIALS, intake.run), fanout)
+        with shuffles_dropped(batch.sparkSession):
+            intake = _take_in(batch, batch_id, folder, NEVER_LATE_S, block, letters=False)
+            if intake is not None:
+                facts = ingest.accepted(intake.classified)
+                intake.publish(tables.partial_steps(intake.snapshots, facts, "live", LIVE_PARTIALS, intake.run), fanout)
 
     return run
 
